@@ -259,3 +259,86 @@ SELECT pickup_zone, dropoff_zone, trip_duration_p90 FROM (
     GROUP BY year, month, pulocationid, pickup_zone, dolocationid, dropoff_zone
   )
 ) WHERE _rank = {P.P90_RANK}""")
+
+# ---- ad-hoc questions --------------------------------------------------------
+
+GREEN = "raw_green AS (SELECT * FROM raw_trips WHERE service_type = 'Green')"
+YELLOW = "raw_yellow AS (SELECT * FROM raw_trips WHERE service_type = 'Yellow')"
+
+SQL["distance_bands"] = with_ctes(RAW_TRIPS, GREEN, body="""
+SELECT count(*) FILTER (WHERE trip_distance <= 1) AS trips_upto_1,
+       count(*) FILTER (WHERE trip_distance > 1 AND trip_distance <= 3) AS trips_1_to_3,
+       count(*) FILTER (WHERE trip_distance > 3 AND trip_distance <= 7) AS trips_3_to_7,
+       count(*) FILTER (WHERE trip_distance > 7 AND trip_distance <= 10) AS trips_7_to_10,
+       count(*) FILTER (WHERE trip_distance > 10) AS trips_over_10
+FROM raw_green""")
+
+SQL["longest_trip_day"] = with_ctes(RAW_TRIPS, GREEN, body="""
+SELECT CAST(extract(day FROM pickup_datetime) AS INTEGER) AS day, max(trip_distance) AS longest_trip
+FROM raw_green GROUP BY 1 ORDER BY longest_trip DESC, day ASC LIMIT 1""")
+
+SQL["longest_trip_date"] = with_ctes(RAW_TRIPS, GREEN, body="""
+SELECT CAST(pickup_datetime AS DATE) AS day, max(trip_distance) AS longest_trip
+FROM raw_green GROUP BY 1 ORDER BY longest_trip DESC, day ASC LIMIT 1""")
+
+SQL["top_pickup_zones"] = with_ctes(RAW_TRIPS, ZONES, GREEN, f"""
+cte AS (
+  SELECT CAST(pulocationid AS INTEGER) AS pulocationid, CAST(sum(total_amount) AS DECIMAL(38,2)) AS total_amount
+  FROM raw_green
+  WHERE strftime(pickup_datetime, '%Y-%m-%d') = '{P.TOP_ZONES_DAY}'
+  GROUP BY 1
+  HAVING sum(total_amount) > {P.TOP_ZONES_MIN_TOTAL}
+)""", body=f"""
+SELECT lk.zone, total_amount FROM cte JOIN zones lk ON cte.pulocationid = lk.locationid
+ORDER BY total_amount DESC, zone LIMIT {P.TOP_ZONES_K}""")
+
+SQL["largest_tip_dropoff"] = with_ctes(RAW_TRIPS, ZONES, GREEN, f"""
+cte AS (
+  SELECT g.* FROM raw_green g JOIN zones lk ON CAST(g.pulocationid AS INTEGER) = lk.locationid
+  WHERE lk.zone = '{P.TIP_PICKUP_ZONE}'
+),
+highest_tip AS (SELECT * FROM cte WHERE tip_amount = (SELECT max(tip_amount) FROM cte))""", body="""
+SELECT lk.zone AS dropoff_zone, ht.tip_amount
+FROM highest_tip ht JOIN zones lk ON CAST(ht.dolocationid AS INTEGER) = lk.locationid""")
+
+SQL["distinct_pickups"] = with_ctes(RAW_TRIPS, YELLOW, body="""
+SELECT count(DISTINCT pulocationid) AS distinct_pickups FROM raw_yellow""")
+
+SQL["zero_fare_count"] = with_ctes(RAW_TRIPS, YELLOW, body="""
+SELECT count(*) AS zero_fare_trips FROM raw_yellow WHERE fare_amount = 0""")
+
+SQL["zero_tip_count"] = with_ctes(RAW_TRIPS, YELLOW, body="""
+SELECT count(*) AS zero_tip_trips FROM raw_yellow WHERE tip_amount = 0""")
+
+SQL["vendors_in_range"] = with_ctes(RAW_TRIPS, YELLOW, body=f"""
+SELECT DISTINCT vendorid FROM raw_yellow
+WHERE CAST(dropoff_datetime AS DATE) BETWEEN DATE '{P.VENDOR_RANGE[0]}' AND DATE '{P.VENDOR_RANGE[1]}'""")
+
+SQL["trips_on_day"] = with_ctes(RIDES, body=f"""
+SELECT count(*) AS trips FROM rides WHERE CAST(pickup_datetime AS DATE) = DATE '{P.EVENT_DAY}'""")
+
+SQL["trips_on_day_bounds"] = with_ctes(RIDES, body=f"""
+SELECT count(*) AS trips FROM rides
+WHERE pickup_datetime >= TIMESTAMP '{P.EVENT_DAY} 00:00:00' AND pickup_datetime <= TIMESTAMP '{P.EVENT_DAY} 23:59:59'""")
+
+SQL["longest_trip_hours"] = with_ctes(RAW_TRIPS, YELLOW, body="""
+SELECT max(date_sub('hour', pickup_datetime, dropoff_datetime)) AS max_trip_hours FROM raw_yellow""")
+
+SQL["zone_frequency"] = with_ctes(RAW_TRIPS, ZONES, YELLOW, body="""
+SELECT t.zone, count(1) AS frequency
+FROM raw_yellow y JOIN zones t ON CAST(y.pulocationid AS INTEGER) = t.locationid
+GROUP BY 1 ORDER BY frequency ASC""")
+
+SQL["avg_trip_minutes"] = with_ctes(RIDES, body=f"""
+SELECT {exact_mean_sql("date_diff('minute', pickup_datetime, dropoff_datetime)", 0, 4)} AS avg_trip_minutes
+FROM rides""")
+
+SQL["avg_trip_minutes_elapsed"] = with_ctes(RIDES, body=f"""
+SELECT {exact_mean_sql("date_sub('minute', pickup_datetime, dropoff_datetime)", 0, 4)} AS avg_trip_minutes
+FROM rides""")
+
+SQL["rows_by_file"] = with_ctes(RAW_TRIPS, body="""
+SELECT lower(service_type) || '_tripdata_' || strftime(pickup_datetime, '%Y-%m') || '.csv' AS filename,
+       service_type, CAST(year(pickup_datetime) AS INTEGER) AS year,
+       CAST(month(pickup_datetime) AS INTEGER) AS month, count(*) AS rows
+FROM raw_trips GROUP BY 1, 2, 3, 4""")

@@ -67,6 +67,81 @@ def fhv_nth_longest_p90(spark, d):
     return models.fhv_nth_longest_p90(dim_fhv_trips(spark, d), P.P90_YEAR, P.P90_MONTH, P.P90_RANK)
 
 
+# -- ad-hoc questions ---------------------------------------------------------
+
+def _green(spark, d):
+    return A.raw_service_trips(spark, d, "Green")
+
+
+def _yellow(spark, d):
+    return A.raw_service_trips(spark, d, "Yellow")
+
+
+def distance_bands(spark, d):
+    return adhoc.distance_bands(_green(spark, d))
+
+
+def longest_trip_day(spark, d):
+    return adhoc.longest_trip_day(_green(spark, d), by="dayofmonth")
+
+
+def longest_trip_date(spark, d):
+    return adhoc.longest_trip_day(_green(spark, d), by="date")
+
+
+def top_pickup_zones(spark, d):
+    return adhoc.top_pickup_zones(_green(spark, d), A.zones(spark, d), P.TOP_ZONES_DAY,
+                                  P.TOP_ZONES_MIN_TOTAL, P.TOP_ZONES_K)
+
+
+def largest_tip_dropoff(spark, d):
+    return adhoc.largest_tip_dropoff(_green(spark, d), A.zones(spark, d), P.TIP_PICKUP_ZONE)
+
+
+def distinct_pickups(spark, d):
+    return adhoc.distinct_count(_yellow(spark, d), "pulocationid", "distinct_pickups")
+
+
+def zero_fare_count(spark, d):
+    return adhoc.count_equal(_yellow(spark, d), "fare_amount", 0, "zero_fare_trips")
+
+
+def zero_tip_count(spark, d):
+    return adhoc.count_equal(_yellow(spark, d), "tip_amount", 0, "zero_tip_trips")
+
+
+def vendors_in_range(spark, d):
+    return adhoc.distinct_in_range(_yellow(spark, d), "vendorid", "dropoff_datetime", *P.VENDOR_RANGE)
+
+
+def trips_on_day(spark, d):
+    return adhoc.trips_on_day(A.ride_events(spark, d), P.EVENT_DAY)
+
+
+def trips_on_day_bounds(spark, d):
+    return adhoc.trips_on_day_bounds(A.ride_events(spark, d), P.EVENT_DAY)
+
+
+def longest_trip_hours(spark, d):
+    return adhoc.longest_trip_hours(_yellow(spark, d))
+
+
+def zone_frequency(spark, d):
+    return adhoc.zone_frequency(_yellow(spark, d), A.zones(spark, d))
+
+
+def avg_trip_minutes(spark, d):
+    return adhoc.avg_trip_minutes(A.ride_events(spark, d), "boundaries")
+
+
+def avg_trip_minutes_elapsed(spark, d):
+    return adhoc.avg_trip_minutes(A.ride_events(spark, d), "elapsed")
+
+
+def rows_by_file(spark, d):
+    return adhoc.rows_by_file(A.raw_trips(spark, d))
+
+
 QUERIES: dict[str, Query] = {
     "stg_green": stg_green,
     "stg_yellow": stg_yellow,
@@ -79,4 +154,20 @@ QUERIES: dict[str, Query] = {
     "monthly_fare_percentiles": monthly_fare_percentiles,
     "fhv_travel_time_p90": fhv_travel_time_p90,
     "fhv_nth_longest_p90": fhv_nth_longest_p90,
+    "distance_bands": distance_bands,
+    "longest_trip_day": longest_trip_day,
+    "longest_trip_date": longest_trip_date,
+    "top_pickup_zones": top_pickup_zones,
+    "largest_tip_dropoff": largest_tip_dropoff,
+    "distinct_pickups": distinct_pickups,
+    "zero_fare_count": zero_fare_count,
+    "zero_tip_count": zero_tip_count,
+    "vendors_in_range": vendors_in_range,
+    "trips_on_day": trips_on_day,
+    "trips_on_day_bounds": trips_on_day_bounds,
+    "longest_trip_hours": longest_trip_hours,
+    "zone_frequency": zone_frequency,
+    "avg_trip_minutes": avg_trip_minutes,
+    "avg_trip_minutes_elapsed": avg_trip_minutes_elapsed,
+    "rows_by_file": rows_by_file,
 }
