@@ -171,7 +171,11 @@ _SNAKE_BAD = re.compile(r"[^0-9a-zA-Z_]+")
 
 
 def snake_case(name: str) -> str:
-    """``Trip_Dropoff_DateTime`` -> ``trip_dropoff_date_time``; keeps ``__``."""
+    """``Trip_Dropoff_DateTime`` -> ``trip_dropoff_date_time``; keeps ``__``
+    separators and leading underscores of system columns (``_parent_id``)."""
+    lead = len(name) - len(name.lstrip("_"))
+    if lead:
+        return name[:lead] + snake_case(name[lead:])
     parts = name.split("__")
     out = []
     for p in parts:

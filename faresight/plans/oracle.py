@@ -342,3 +342,119 @@ SELECT lower(service_type) || '_tripdata_' || strftime(pickup_datetime, '%Y-%m')
        service_type, CAST(year(pickup_datetime) AS INTEGER) AS year,
        CAST(month(pickup_datetime) AS INTEGER) AS month, count(*) AS rows
 FROM raw_trips GROUP BY 1, 2, 3, 4""")
+
+# ---- data-quality checks -----------------------------------------------------
+
+
+def dq_sql(stg: str, dropoff_severity: str) -> str:
+    return f"""
+SELECT 'not_null' AS check_name, 'tripid' AS column_name, 'warn' AS severity,
+       count(*) FILTER (WHERE tripid IS NULL) AS failures FROM {stg}
+UNION ALL
+SELECT 'relationships', 'pickup_locationid', 'warn',
+       count(*) FILTER (WHERE pickup_locationid IS NOT NULL
+                        AND NOT EXISTS (SELECT 1 FROM zones z WHERE z.locationid = s.pickup_locationid))
+FROM {stg} s
+UNION ALL
+SELECT 'relationships', 'dropoff_locationid', '{dropoff_severity}',
+       count(*) FILTER (WHERE dropoff_locationid IS NOT NULL
+                        AND NOT EXISTS (SELECT 1 FROM zones z WHERE z.locationid = s.dropoff_locationid))
+FROM {stg} s
+UNION ALL
+SELECT 'accepted_values', 'payment_type', 'warn',
+       count(*) FILTER (WHERE payment_type IS NOT NULL AND payment_type NOT IN (1, 2, 3, 4, 5, 6)) FROM {stg}
+UNION ALL
+SELECT 'unique', 'tripid', 'warn', count(*) FROM (
+  SELECT tripid FROM {stg} WHERE tripid IS NOT NULL GROUP BY tripid HAVING count(*) > 1
+)"""
+
+
+SQL["dq_stg_green"] = with_ctes(RAW_TRIPS, ZONES, STG_GREEN, body=dq_sql("stg_green", "error"))
+SQL["dq_stg_yellow"] = with_ctes(RAW_TRIPS, ZONES, STG_YELLOW, body=dq_sql("stg_yellow", "warn"))
+
+# ---- sessions ----------------------------------------------------------------
+
+
+def sessions_cte(name: str, keys: str, gap_micros: int, gap_literal: str) -> str:
+    return f"""
+{name}_lagged AS (
+  SELECT {keys}, dropoff_datetime AS t,
+         lag(dropoff_datetime) OVER (PARTITION BY {keys} ORDER BY dropoff_datetime) AS prev
+  FROM rides WHERE dropoff_datetime IS NOT NULL
+),
+{name}_flagged AS (
+  SELECT *, sum(CASE WHEN prev IS NULL OR epoch_us(t) - epoch_us(prev) > {gap_micros} THEN 1 ELSE 0 END)
+            OVER (PARTITION BY {keys} ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid
+  FROM {name}_lagged
+),
+{name} AS (
+  SELECT {keys}, min(t) AS session_start, max(t) + INTERVAL '{gap_literal}' AS session_end,
+         count(*) AS taxi_trips_streak
+  FROM {name}_flagged GROUP BY {keys}, sid
+)"""
+
+
+SQL["session_streaks"] = with_ctes(RIDES, sessions_cte("s5", "user_id, event_type", 300_000_000, "5 minutes"),
+                                   body="SELECT * FROM s5")
+SQL["session_streaks_6h"] = with_ctes(RIDES, sessions_cte("s6", "user_id", 21_600_000_000, "6 hours"),
+                                      body="SELECT * FROM s6")
+SQL["longest_streak"] = with_ctes(RIDES, sessions_cte("s6", "user_id", 21_600_000_000, "6 hours"), body="""
+SELECT * FROM s6 WHERE taxi_trips_streak = (SELECT max(taxi_trips_streak) FROM s6)""")
+
+# ---- ingest, loads, messages -------------------------------------------------
+
+LANDED_COLUMNS = ("vendorid, pickup_datetime, dropoff_datetime, passenger_count, trip_distance, ratecodeid, "
+                  "store_and_fwd_flag, pulocationid, dolocationid, payment_type, fare_amount, extra, mta_tax, "
+                  "tip_amount, tolls_amount, improvement_surcharge, total_amount, congestion_surcharge")
+
+
+def merge_sql(service: str, key_columns) -> str:
+    hashed = " || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in key_columns)
+    return with_ctes(RAW_TRIPS, f"""
+landed AS (
+  SELECT md5({hashed}) AS unique_row_id,
+         lower(service_type) || '_tripdata_' || strftime(pickup_datetime, '%Y-%m') || '.csv' AS filename,
+         {LANDED_COLUMNS}
+  FROM raw_trips WHERE service_type = '{service}'
+),
+target AS (SELECT * FROM landed WHERE pickup_datetime < TIMESTAMP '{P.MERGE_TARGET_BEFORE}'),
+source AS (SELECT * FROM landed WHERE pickup_datetime >= TIMESTAMP '{P.MERGE_SOURCE_FROM}')""", body="""
+SELECT * FROM target
+UNION ALL
+SELECT * FROM source s WHERE NOT EXISTS (SELECT 1 FROM target t WHERE t.unique_row_id = s.unique_row_id)""")
+
+
+SQL["ingest_merge"] = merge_sql("Yellow", P.ROW_ID_COLUMNS_ON_PREMISE)
+SQL["ingest_merge_cloud"] = merge_sql("Green", P.ROW_ID_COLUMNS_CLOUD)
+
+SQL["publish_trips"] = with_ctes(RIDES, body="""
+SELECT event_id, user_id, event_type, pickup_datetime, dropoff_datetime,
+       coalesce(passenger_count, 0) AS passenger_count, coalesce(tip_amount, 0.0) AS tip_amount
+FROM rides""")
+
+SQL["load_incremental"] = with_ctes(RIDES, f"""
+r AS (SELECT event_id, user_id, event_type, pickup_datetime, dropoff_datetime, passenger_count, tip_amount
+      FROM rides),
+run1 AS (SELECT * FROM r WHERE pickup_datetime < TIMESTAMP '{P.INCREMENTAL_SPLIT}'
+                          AND dropoff_datetime >= TIMESTAMP '{P.INCREMENTAL_INITIAL}')""", body="""
+SELECT *, 1 AS _load_id FROM run1
+UNION ALL
+SELECT *, 2 AS _load_id FROM r WHERE dropoff_datetime > (SELECT max(dropoff_datetime) FROM run1)""")
+
+SQL["load_nested_parents"] = """
+SELECT conv_id, turn, md5(CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR)) AS record_hash,
+       role AS message__role, text AS message__text
+FROM conversations"""
+
+SQL["load_nested_children"] = """
+SELECT md5(CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR)) AS _parent_id,
+       CAST(idx - 1 AS INTEGER) AS _list_idx, word, CAST(length(word) AS INTEGER) AS length
+FROM (
+  SELECT conv_id, turn, unnest(string_split(text, ' ')) AS word,
+         generate_subscripts(string_split(text, ' '), 1) AS idx
+  FROM conversations
+)"""
+
+SQL["brand_avg_price"] = f"""
+SELECT p_brand AS brand, {exact_mean_sql('CAST(p_retailprice AS DECIMAL(18,2))', 2, 2)} AS avg_price
+FROM part GROUP BY p_brand ORDER BY avg_price DESC"""

@@ -10,9 +10,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faresight.operators import adhoc, models, staging
+from faresight.functions.columns import keep_keys
+from faresight.operators import adhoc, models, nested, quality, sessions, staging
 from faresight.plans import params as P
+from faresight.sinks import merge
 from faresight.sources import taxi_adapter as A
+from faresight.sources.tables import table
+from faresight.streaming import messages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -142,6 +146,138 @@ def rows_by_file(spark, d):
     return adhoc.rows_by_file(A.raw_trips(spark, d))
 
 
+# -- data-quality checks -------------------------------------------------------
+
+def _staging_checks(zones, dropoff_severity: str):
+    return [
+        quality.unique("tripid", "warn"),
+        quality.not_null("tripid", "warn"),
+        quality.relationships("pickup_locationid", zones, "locationid", "warn"),
+        quality.relationships("dropoff_locationid", zones, "locationid", dropoff_severity),
+        quality.accepted_values("payment_type", [1, 2, 3, 4, 5, 6], "warn"),
+    ]
+
+
+def dq_stg_green(spark, d):
+    # X17: the green drop-off relationship test carries no severity -> error
+    return quality.run_checks(stg_green(spark, d), _staging_checks(stg_zones(spark, d), "error"))
+
+
+def dq_stg_yellow(spark, d):
+    return quality.run_checks(stg_yellow(spark, d), _staging_checks(stg_zones(spark, d), "warn"))
+
+
+# -- sessions -----------------------------------------------------------------
+
+def session_streaks(spark, d):
+    return sessions.session_counts(A.ride_events(spark, d), ["user_id", "event_type"],
+                                   "dropoff_datetime", P.SESSION_GAP)
+
+
+def session_streaks_6h(spark, d):
+    return sessions.session_counts(A.ride_events(spark, d), ["user_id"], "dropoff_datetime",
+                                   P.SESSION_GAP_LONG)
+
+
+def longest_streak(spark, d):
+    return sessions.longest_sessions(session_streaks_6h(spark, d))
+
+
+# -- ingest, loads, messages ---------------------------------------------------
+
+_LANDED = ("vendorid", "pickup_datetime", "dropoff_datetime", "passenger_count", "trip_distance",
+           "ratecodeid", "store_and_fwd_flag", "pulocationid", "dolocationid", "payment_type",
+           "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge",
+           "total_amount", "congestion_surcharge")
+
+
+def _landed(raw):
+    return merge.stamp(raw.select("service_type", *_LANDED), P.ROW_ID_COLUMNS_ON_PREMISE,
+                       adhoc.file_name()).drop("service_type")
+
+
+def ingest_merge(spark, d):
+    """Yellow target (files before 1998) merged with an overlapping new batch
+    (files from mid-1997 on): target rows plus the batch rows not yet there."""
+    y = _yellow(spark, d)
+    target = _landed(y.filter(F.col("pickup_datetime") < F.lit(P.MERGE_TARGET_BEFORE).cast("timestamp_ntz")))
+    source = _landed(y.filter(F.col("pickup_datetime") >= F.lit(P.MERGE_SOURCE_FROM).cast("timestamp_ntz")))
+    return merge.merged(source, target)
+
+
+def ingest_merge_cloud(spark, d):
+    """Same merge on green trips with the 5-column row id of the cloud flow (X7)."""
+    g = _green(spark, d).select("service_type", *_LANDED)
+    st = lambda df: merge.stamp(df, P.ROW_ID_COLUMNS_CLOUD, adhoc.file_name()).drop("service_type")
+    target = st(g.filter(F.col("pickup_datetime") < F.lit(P.MERGE_TARGET_BEFORE).cast("timestamp_ntz")))
+    source = st(g.filter(F.col("pickup_datetime") >= F.lit(P.MERGE_SOURCE_FROM).cast("timestamp_ntz")))
+    return merge.merged(source, target)
+
+
+_RIDE_COLUMNS = ("event_id", "user_id", "event_type", "pickup_datetime", "dropoff_datetime",
+                 "passenger_count", "tip_amount")
+_RIDE_DDL = ("event_id bigint, user_id bigint, event_type string, pickup_datetime timestamp_ntz, "
+             "dropoff_datetime timestamp_ntz, passenger_count int, tip_amount double")
+
+
+def publish_trips(spark, d):
+    """Rides serialised to JSON messages (NULLs filled) and parsed back."""
+    msgs = messages.to_messages(A.ride_events(spark, d), _RIDE_COLUMNS,
+                                fill={"passenger_count": 0, "tip_amount": 0.0})
+    return messages.parse_messages(msgs, _RIDE_DDL)
+
+
+def load_incremental(spark, d):
+    """Two incremental runs over rides with the drop-off time as cursor:
+    run 1 sees the rides picked up before the split day (cursor >= initial),
+    run 2 sees all rides and loads those past run 1's largest cursor."""
+    rides = A.ride_events(spark, d).select(*_RIDE_COLUMNS)
+    cursor = F.col("dropoff_datetime")
+    run1 = rides.filter((F.col("pickup_datetime") < F.lit(P.INCREMENTAL_SPLIT).cast("timestamp_ntz"))
+                        & (cursor >= F.lit(P.INCREMENTAL_INITIAL).cast("timestamp_ntz")))
+    last = run1.agg(F.max("dropoff_datetime")).scalar()
+    run2 = rides.filter(cursor > last)
+    return run1.withColumn("_load_id", F.lit(1)).unionByName(run2.withColumn("_load_id", F.lit(2)))
+
+
+def _nested_turns(spark, d):
+    """Conversation turns as nested JSON records (struct + list of structs),
+    round-tripped through JSON text like landed API pages."""
+    c = table(spark, d, "conversations")
+    words = F.transform(F.split(F.col("text"), " "),
+                        lambda w: F.struct(w.alias("word"), F.length(w).alias("length")))
+    rec = c.select(
+        F.col("conv_id"), F.col("turn"),
+        F.md5(F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))).alias("record_hash"),
+        F.struct(F.col("role").alias("Role"), F.col("text").alias("Text")).alias("Message"),
+        words.alias("Words"))
+    ddl = ("conv_id bigint, turn bigint, record_hash string, Message struct<Role: string, Text: string>, "
+           "Words array<struct<word: string, length: int>>")
+    return messages.parse_messages(messages.to_messages(rec), ddl)
+
+
+def load_nested_parents(spark, d):
+    return nested.normalise(_nested_turns(spark, d), "turns", key="record_hash")["turns"].drop(nested.RECORD_ID)
+
+
+def load_nested_children(spark, d):
+    child = nested.normalise(_nested_turns(spark, d), "turns", key="record_hash")["turns__words"]
+    return child.select(nested.PARENT_ID, nested.LIST_IDX, "word", "length")
+
+
+def brand_avg_price(spark, d):
+    """Products as JSON documents ``{"products": [...]}``, unwrapped, reduced
+    to the kept keys (missing -> 'N/A') and averaged per brand."""
+    p = table(spark, d, "part")
+    docs = p.select(F.to_json(F.struct(F.array(F.struct(
+        F.col("p_partkey").alias("id"), F.col("p_name").alias("title"), F.col("p_brand").alias("brand"),
+        F.col("p_type").alias("category"), F.col("p_retailprice").alias("price"))).alias("products"))).alias("value"))
+    parsed = messages.parse_messages(
+        docs, "products array<struct<id: bigint, title: string, brand: string, category: string, price: double>>")
+    kept = keep_keys(nested.unwrap(parsed, "products"), P.PRODUCT_KEYS)
+    return adhoc.rounded_group_mean(kept, "brand", "price", "avg_price", scale=2, in_scale=2)
+
+
 QUERIES: dict[str, Query] = {
     "stg_green": stg_green,
     "stg_yellow": stg_yellow,
@@ -170,4 +306,16 @@ QUERIES: dict[str, Query] = {
     "avg_trip_minutes": avg_trip_minutes,
     "avg_trip_minutes_elapsed": avg_trip_minutes_elapsed,
     "rows_by_file": rows_by_file,
+    "dq_stg_green": dq_stg_green,
+    "dq_stg_yellow": dq_stg_yellow,
+    "session_streaks": session_streaks,
+    "session_streaks_6h": session_streaks_6h,
+    "longest_streak": longest_streak,
+    "ingest_merge": ingest_merge,
+    "ingest_merge_cloud": ingest_merge_cloud,
+    "publish_trips": publish_trips,
+    "load_incremental": load_incremental,
+    "load_nested_parents": load_nested_parents,
+    "load_nested_children": load_nested_children,
+    "brand_avg_price": brand_avg_price,
 }
