@@ -398,6 +398,7 @@ SQL["session_streaks"] = with_ctes(RIDES, sessions_cte("s5", "user_id, event_typ
                                    body="SELECT * FROM s5")
 SQL["session_streaks_6h"] = with_ctes(RIDES, sessions_cte("s6", "user_id", 21_600_000_000, "6 hours"),
                                       body="SELECT * FROM s6")
+SQL["session_streaks_stream"] = SQL["session_streaks"]
 SQL["longest_streak"] = with_ctes(RIDES, sessions_cte("s6", "user_id", 21_600_000_000, "6 hours"), body="""
 SELECT * FROM s6 WHERE taxi_trips_streak = (SELECT max(taxi_trips_streak) FROM s6)""")
 

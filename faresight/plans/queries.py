@@ -16,7 +16,9 @@ from faresight.plans import params as P
 from faresight.sinks import merge
 from faresight.sources import taxi_adapter as A
 from faresight.sources.tables import table
+from faresight.session import scratch_path
 from faresight.streaming import messages
+from faresight.streaming import sessions as stream_sessions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -183,6 +185,35 @@ def longest_streak(spark, d):
     return sessions.longest_sessions(session_streaks_6h(spark, d))
 
 
+def session_streaks_stream(spark, d):
+    """The streaming job end to end: rides published as JSON message files,
+    read as a stream, watermarked on drop-off time (5 s), counted per
+    (user, event type) session (5 min gap), appended to a parquet sink.
+
+    One flush marker far past the last ride is published after the rides so
+    the watermark passes every real session (the newest session of a stream
+    stays open otherwise); the marker's own session never closes, so it
+    never reaches the sink.
+    """
+    base = scratch_path(spark, "session-stream")
+    rides = A.ride_events(spark, d).select(*_RIDE_COLUMNS)
+    messages.publish(rides, path=f"{base}/messages")
+    marker = rides.agg(F.max("dropoff_datetime").alias("m")).select(
+        F.lit(None).cast("bigint").alias("event_id"), F.lit(None).cast("bigint").alias("user_id"),
+        F.lit(None).cast("string").alias("event_type"), F.col("m").alias("pickup_datetime"),
+        F.timestamp_add("DAY", F.lit(1), F.col("m")).alias("dropoff_datetime"),
+        F.lit(None).cast("int").alias("passenger_count"), F.lit(None).cast("double").alias("tip_amount"))
+    messages.publish(marker, path=f"{base}/messages")
+    stream = stream_sessions.message_stream(spark, _RIDE_DDL, path=f"{base}/messages")
+    agg = stream_sessions.session_aggregate(stream, ["user_id", "event_type"], "dropoff_datetime",
+                                            "5 seconds", P.SESSION_GAP)
+    q = stream_sessions.start(agg, f"{base}/checkpoint", path=f"{base}/sessions", available_now=True)
+    q.awaitTermination()
+    return (spark.read.schema("user_id bigint, event_type string, session_start timestamp_ntz, "
+                              "session_end timestamp_ntz, taxi_trips_streak bigint")
+                 .parquet(f"{base}/sessions").filter(F.col("user_id").isNotNull()))
+
+
 # -- ingest, loads, messages ---------------------------------------------------
 
 _LANDED = ("vendorid", "pickup_datetime", "dropoff_datetime", "passenger_count", "trip_distance",
@@ -311,6 +342,7 @@ QUERIES: dict[str, Query] = {
     "session_streaks": session_streaks,
     "session_streaks_6h": session_streaks_6h,
     "longest_streak": longest_streak,
+    "session_streaks_stream": session_streaks_stream,
     "ingest_merge": ingest_merge,
     "ingest_merge_cloud": ingest_merge_cloud,
     "publish_trips": publish_trips,
