@@ -24,7 +24,8 @@ def append_parquet(df: DataFrame, path: str) -> None:
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """JSON lines, one record per row."""
-    df.write.mode(mode).option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(path)
+    fmt = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"  # keep microseconds (the default keeps milliseconds)
+    df.write.mode(mode).option("timestampFormat", fmt).option("timestampNTZFormat", fmt).json(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True) -> None:

@@ -59,7 +59,7 @@ def read_json(spark: SparkSession, path: str, schema: str | None = None, multili
     ``schema`` is given."""
     r = spark.read.option("multiLine", multiline)
     if timestamp_format:
-        r = r.option("timestampFormat", timestamp_format)
+        r = r.option("timestampFormat", timestamp_format).option("timestampNTZFormat", timestamp_format)
     if schema:
         r = r.schema(schema)
     return r.json(path)

@@ -43,10 +43,21 @@ UNKNOWN_BOROUGH = "MIDDLE EAST"      # zones excluded by borough in fact_trips
 UNKNOWN_ZONE_IDS = (23, 24)          # zones excluded by id in dim_fhv_trips
 
 
-def _joined_lines(spark: SparkSession, data_dir: str) -> DataFrame:
+def _service_predicate(service: str):
+    """The service as a predicate on the raw column, so it reaches the scan."""
+    if service == "Green":
+        return F.col("l_linestatus") == "O"
+    if service == "Yellow":
+        return ~F.col("l_linestatus").eqNullSafe("O")
+    raise ValueError(f"unknown service {service!r}")
+
+
+def _joined_lines(spark: SparkSession, data_dir: str, service: str | None = None) -> DataFrame:
     li = table(spark, data_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+    if service is not None:
+        li = li.filter(_service_predicate(service))
     orders = table(spark, data_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     cust = table(spark, data_dir, "customer").select("c_custkey", "c_nationkey")
     supp = table(spark, data_dir, "supplier").select("s_suppkey", "s_nationkey")
@@ -55,9 +66,10 @@ def _joined_lines(spark: SparkSession, data_dir: str) -> DataFrame:
               .join(supp, li.l_suppkey == supp.s_suppkey))
 
 
-def raw_trips(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Raw green+yellow trips, columns as landed from the monthly files."""
-    t = _joined_lines(spark, data_dir)
+def raw_trips(spark: SparkSession, data_dir: str, service: str | None = None) -> DataFrame:
+    """Raw trips, columns as landed from the monthly files (one service's
+    file when ``service`` is given, both otherwise)."""
+    t = _joined_lines(spark, data_dir, service)
     fare = money("l_extendedprice")
     tip = F.round(fare * F.col("l_discount").cast("decimal(4,2)"), 2).cast(MONEY)
     tax = F.round(fare * F.col("l_tax").cast("decimal(4,2)"), 2).cast(MONEY)
@@ -92,7 +104,7 @@ def raw_trips(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def raw_service_trips(spark: SparkSession, data_dir: str, service: str) -> DataFrame:
     """One service's raw file (``'Green'`` or ``'Yellow'``)."""
-    return raw_trips(spark, data_dir).filter(F.col("service_type") == service)
+    return raw_trips(spark, data_dir, service)
 
 
 def zones(spark: SparkSession, data_dir: str) -> DataFrame:
