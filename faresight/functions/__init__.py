@@ -9,10 +9,13 @@ from faresight.functions.columns import (  # noqa: F401
     keep_keys,
     money,
     month_start,
+    on_day_formatted,
+    parse_timestamp,
     payment_description,
     row_hash,
     safe_cast,
     seconds_between,
+    since_days,
     snake_case,
     snake_case_columns,
     surrogate_key,

@@ -197,3 +197,24 @@ def is_numeric_field(df: DataFrame, name: str) -> bool:
 
 def is_string_field(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, StringType)
+
+
+def on_day_formatted(ts: str | Column, day: str) -> Column:
+    """Parity form ``to_char(ts, 'yyyy-mm-dd') = day``.  Same rows as
+    :func:`day_range`, but a function of the column, so not pushed into the
+    scan; prefer :func:`day_range`."""
+    return F.date_format(_col(ts), "yyyy-MM-dd") == F.lit(day)
+
+
+def since_days(ts: str | Column, days: int, as_of: str | _dt.date | None = None) -> Column:
+    """``ts >= as_of - INTERVAL days DAY``; ``as_of`` defaults to the current
+    date and is injectable for tests and re-runs."""
+    anchor = F.current_date() if as_of is None else F.lit(_dt.date.fromisoformat(str(as_of)))
+    return _col(ts) >= F.date_sub(anchor, int(days)).cast("timestamp_ntz")
+
+
+def parse_timestamp(c: str | Column, fmt: str | None = None, ntz: bool = True) -> Column:
+    """Text -> timestamp (``to_timestamp``); zone-less by default."""
+    if ntz:
+        return F.to_timestamp_ntz(_col(c), F.lit(fmt)) if fmt else F.to_timestamp_ntz(_col(c))
+    return F.to_timestamp(_col(c), fmt) if fmt else F.to_timestamp(_col(c))

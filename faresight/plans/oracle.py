@@ -329,6 +329,8 @@ SELECT t.zone, count(1) AS frequency
 FROM raw_yellow y JOIN zones t ON CAST(y.pulocationid AS INTEGER) = t.locationid
 GROUP BY 1 ORDER BY frequency ASC""")
 
+SQL["zone_frequency_sql"] = SQL["zone_frequency"]
+
 SQL["avg_trip_minutes"] = with_ctes(RIDES, body=f"""
 SELECT {exact_mean_sql("date_diff('minute', pickup_datetime, dropoff_datetime)", 0, 4)} AS avg_trip_minutes
 FROM rides""")

@@ -136,6 +136,18 @@ def zone_frequency(spark, d):
     return adhoc.zone_frequency(_yellow(spark, d), A.zones(spark, d))
 
 
+def zone_frequency_sql(spark, d):
+    """The same question through Spark SQL over temp views (the direct
+    PySpark path), with ``GROUP BY 1`` as written in the reference notebook."""
+    _yellow(spark, d).createOrReplaceTempView("yellow_taxi")
+    A.zones(spark, d).createOrReplaceTempView("taxi_zone_lookup")
+    return spark.sql("""
+        SELECT t.zone, COUNT(1) AS frequency
+        FROM yellow_taxi y JOIN taxi_zone_lookup t ON CAST(y.pulocationid AS INT) = t.locationid
+        GROUP BY 1
+        ORDER BY frequency ASC""")
+
+
 def avg_trip_minutes(spark, d):
     return adhoc.avg_trip_minutes(A.ride_events(spark, d), "boundaries")
 
@@ -334,6 +346,7 @@ QUERIES: dict[str, Query] = {
     "trips_on_day_bounds": trips_on_day_bounds,
     "longest_trip_hours": longest_trip_hours,
     "zone_frequency": zone_frequency,
+    "zone_frequency_sql": zone_frequency_sql,
     "avg_trip_minutes": avg_trip_minutes,
     "avg_trip_minutes_elapsed": avg_trip_minutes_elapsed,
     "rows_by_file": rows_by_file,

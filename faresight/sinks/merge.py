@@ -61,8 +61,9 @@ def merged(source: DataFrame, target: DataFrame, key: str = ROW_ID, dedupe_sourc
 
 
 def merge_insert_only(spark: SparkSession, source: DataFrame, target_table: str, key: str = ROW_ID,
-                      dedupe_source: bool = False) -> None:
-    """Append the new rows of ``source`` to catalog table ``target_table``.
+                      dedupe_source: bool = False) -> int:
+    """Append the new rows of ``source`` to catalog table ``target_table``;
+    returns the number of rows inserted.
 
     The new rows are checkpointed to the shared checkpoint folder before the
     append, so the anti-join never reads files the append is writing and a
@@ -72,3 +73,4 @@ def merge_insert_only(spark: SparkSession, source: DataFrame, target_table: str,
     new = new_rows(source, target, key, dedupe_source).select(*target.columns)
     new = new.checkpoint(eager=True)
     new.write.insertInto(target_table)
+    return new.count()  # re-reads the checkpoint files, not the source
