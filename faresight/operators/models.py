@@ -58,6 +58,15 @@ def fact_trips(green: DataFrame, yellow: DataFrame, zones: DataFrame,
     return with_zone_roles(unioned, dim, "pickup_locationid", "dropoff_locationid").select(*_FACT_COLUMNS)
 
 
+def fact_trips_staged(staged: DataFrame, zones: DataFrame, zone_filter: Column | None = None,
+                      unknown_borough: str = "Unknown") -> DataFrame:
+    """:func:`fact_trips` from trips already staged with a ``service_type``
+    column (see ``staging.stage_services``)."""
+    cond = zone_filter if zone_filter is not None else (F.col("borough") != F.lit(unknown_borough))
+    return with_zone_roles(staged, zones.filter(cond), "pickup_locationid", "dropoff_locationid") \
+        .select(*_FACT_COLUMNS)
+
+
 def dim_fhv_trips(fhv: DataFrame, zones: DataFrame, excluded_ids: Sequence[int] = (264, 265),
                   limit: int | None = None) -> DataFrame:
     """Staged FHV trips with year, month and both zone roles; zones with the

@@ -112,3 +112,16 @@ def test_p90_join_back_equals_window(spark):
     want = t.withColumn("trip_duration_p90", F.round(F.percentile("trip_duration", 0.9).over(
         Window.partitionBy("year", "month", "pulocationid", "dolocationid")), 4))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_single_pass_staging_equals_per_service_union(spark):
+    rows = [trip(key=1), trip(key=2), trip(key=3, service="Yellow", ttype="2"),
+            trip(key=4, service="Yellow", pickup=T0 + dt.timedelta(hours=1), pay=None),
+            trip(key=5, service="Green", vendor="2", pu="3", do="264")]
+    r = raw(spark, rows)
+    green = staging.stage_trips(r.filter("service_type = 'Green'"), tiebreak=["src_orderkey"])
+    yellow = staging.stage_trips(r.filter("service_type = 'Yellow'"), street_hail_only=True, tiebreak=["src_orderkey"])
+    a = models.fact_trips(green, yellow, zones(spark))
+    b = models.fact_trips_staged(staging.stage_services(r, tiebreak=["src_orderkey"]), zones(spark))
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    assert a.count() == 3
