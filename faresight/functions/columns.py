@@ -93,16 +93,42 @@ def elapsed(unit: str, start: str | Column, end: str | Column) -> Column:
     return F.timestamp_diff(unit.upper(), _col(start), _col(end))
 
 
+def ntz_literal(value) -> Column:
+    """A zone-less timestamp literal from text, a date or a datetime.
+
+    Built from text, so the session time zone never shifts it (a Python
+    ``datetime`` literal is read as a zone-aware instant first)."""
+    if isinstance(value, _dt.datetime):
+        text = value.isoformat(sep=" ")
+    elif isinstance(value, _dt.date):
+        text = value.isoformat() + " 00:00:00"
+    else:
+        text = str(value)
+    return F.lit(text).cast("timestamp_ntz")
+
+
+_EPOCH = "1970-01-01 00:00:00"
+
+
+def wall_micros(ts: str | Column) -> Column:
+    """Microseconds from 1970-01-01 of the wall-clock time (zone-less
+    arithmetic: no session time zone or DST is involved)."""
+    return F.timestamp_diff("MICROSECOND", ntz_literal(_EPOCH), _col(ts).cast("timestamp_ntz"))
+
+
+def floor_div(a: Column, b: int) -> Column:
+    """Exact integer floor division of a BIGINT column by a positive constant."""
+    return ((a - F.pmod(a, F.lit(b))) / F.lit(b)).cast("bigint")
+
+
 def boundaries(unit: str, start: str | Column, end: str | Column) -> Column:
     """Number of ``unit`` boundaries crossed from ``start`` to ``end``.
 
     00:00:59 -> 00:02:01 is 2 minutes here but 1 with :func:`elapsed`.
+    Computed on wall-clock time, independent of the session time zone.
     """
-    u = unit.lower()
-    micros = _UNIT_MICROS[u]
-    diff = F.unix_micros(F.date_trunc(u, _col(end))) - F.unix_micros(F.date_trunc(u, _col(start)))
-    # both ends are truncated to the unit, so the division is exact
-    return (diff / F.lit(micros)).cast("bigint")
+    micros = _UNIT_MICROS[unit.lower()]
+    return floor_div(wall_micros(end), micros) - floor_div(wall_micros(start), micros)
 
 
 def seconds_between(start: str | Column, end: str | Column) -> Column:
@@ -111,9 +137,10 @@ def seconds_between(start: str | Column, end: str | Column) -> Column:
 
 
 def month_start(ts: str | Column, ntz: bool = True) -> Column:
-    """First instant of the month; keeps zone-less timestamps zone-less."""
-    out = F.date_trunc("month", _col(ts))
-    return out.cast("timestamp_ntz") if ntz else out
+    """First instant of the month (from the calendar date, so no session
+    time zone is involved); zone-less by default."""
+    out = F.trunc(F.to_date(_col(ts)), "month")
+    return out.cast("timestamp_ntz") if ntz else out.cast("timestamp")
 
 
 def day_range(ts: str | Column, day: str | _dt.date) -> Column:
@@ -126,7 +153,7 @@ def day_range(ts: str | Column, day: str | _dt.date) -> Column:
     start = _dt.datetime.combine(d, _dt.time())
     end = start + _dt.timedelta(days=1)
     c = _col(ts)
-    return (c >= F.lit(start).cast("timestamp_ntz")) & (c < F.lit(end).cast("timestamp_ntz"))
+    return (c >= ntz_literal(start)) & (c < ntz_literal(end))
 
 
 def exact_mean(c: str | Column, in_scale: int, out_scale: int) -> Column:
@@ -209,7 +236,7 @@ def on_day_formatted(ts: str | Column, day: str) -> Column:
 def since_days(ts: str | Column, days: int, as_of: str | _dt.date | None = None) -> Column:
     """``ts >= as_of - INTERVAL days DAY``; ``as_of`` defaults to the current
     date and is injectable for tests and re-runs."""
-    anchor = F.current_date() if as_of is None else F.lit(_dt.date.fromisoformat(str(as_of)))
+    anchor = F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
     return _col(ts) >= F.date_sub(anchor, int(days)).cast("timestamp_ntz")
 
 

@@ -13,11 +13,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faresight.functions.columns import boundaries, day_range, elapsed, exact_mean
+from faresight.functions.columns import boundaries, day_range, elapsed, exact_mean, ntz_literal
 
 
 def _ts(value) -> F.Column:
-    return F.lit(value if isinstance(value, _dt.datetime) else _dt.datetime.fromisoformat(str(value))).cast("timestamp_ntz")
+    return ntz_literal(value if isinstance(value, _dt.datetime) else _dt.datetime.fromisoformat(str(value)))
 
 
 def filter_time(df: DataFrame, ts_col: str, start=None, end=None) -> DataFrame:

@@ -25,6 +25,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from faresight.functions.columns import floor_div, wall_micros
+
 
 def _gap_micros(gap: str) -> int:
     n, unit = gap.split()
@@ -41,13 +43,11 @@ def session_counts(df: DataFrame, keys: Sequence[str], ts_col: str, gap: str = "
     g = _gap_micros(gap)
     keys = list(keys)
     t = df.select(*keys, F.col(ts_col).alias("_ts")).filter(F.col("_ts").isNotNull())
-    micros = F.unix_micros(F.col("_ts").cast("timestamp"))
-    pieces = (t.groupBy(*keys, F.floor(micros / F.lit(g)).alias("_bucket"))
+    pieces = (t.groupBy(*keys, floor_div(wall_micros("_ts"), g).alias("_bucket"))
                .agg(F.min("_ts").alias("_lo"), F.max("_ts").alias("_hi"), F.count(F.lit(1)).alias("_n")))
     w = Window.partitionBy(*keys).orderBy("_bucket")
     prev_hi = F.lag("_hi").over(w)
-    gap_exceeded = (F.unix_micros(F.col("_lo").cast("timestamp"))
-                    - F.unix_micros(prev_hi.cast("timestamp"))) > F.lit(g)
+    gap_exceeded = F.timestamp_diff("MICROSECOND", prev_hi, F.col("_lo")) > F.lit(g)
     starts = pieces.withColumn("_new", F.when(prev_hi.isNull() | gap_exceeded, 1).otherwise(0))
     sid = starts.withColumn("_sid", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     out = (sid.groupBy(*keys, "_sid")

@@ -49,12 +49,13 @@ def date_partition_filter(ts_col: str, first_day: str, last_day: str, date_col:
     prunes partitions) and the timestamp itself (exact rows)."""
     import datetime as dt
 
+    from faresight.functions.columns import ntz_literal
+
     lo = dt.date.fromisoformat(first_day)
     hi = dt.date.fromisoformat(last_day)
-    end = dt.datetime.combine(hi + dt.timedelta(days=1), dt.time())
-    return (F.col(date_col).between(F.lit(lo), F.lit(hi))
-            & (F.col(ts_col) >= F.lit(dt.datetime.combine(lo, dt.time())).cast("timestamp_ntz"))
-            & (F.col(ts_col) < F.lit(end).cast("timestamp_ntz")))
+    return (F.col(date_col).between(F.lit(lo.isoformat()).cast("date"), F.lit(hi.isoformat()).cast("date"))
+            & (F.col(ts_col) >= ntz_literal(lo))
+            & (F.col(ts_col) < ntz_literal(hi + dt.timedelta(days=1))))
 
 
 def materialize(spark: SparkSession, df: DataFrame, name: str, path: str | None = None) -> DataFrame:

@@ -40,3 +40,16 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "revenue_monthly_total_amount" in df.columns
+
+
+@pytest.mark.parametrize("key", ["trips_on_day", "avg_trip_minutes", "session_streaks", "monthly_zone_revenue",
+                                 "vendors_in_range", "load_incremental"])
+def test_results_do_not_depend_on_session_time_zone(spark, con, key):
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = QUERIES[key](spark, SF_SMALL)
+        got = rows_of(df.columns, [tuple(r) for r in df.collect()])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    rel = con.sql(SQL[key])
+    assert Counter(got) == Counter(rows_of(rel.columns, rel.fetchall()))
