@@ -8,8 +8,19 @@ from pyspark.sql import DataFrame
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partitions: int | None = None,
                   partition_by: list[str] | None = None) -> None:
     """Write parquet; ``partitions`` fixes the number of output files
-    (``repartition(n)``, a round-robin shuffle), otherwise AQE sizes them."""
-    out = df.repartition(partitions) if partitions else df
+    (``repartition(n)``, a round-robin shuffle).
+
+    With ``partition_by`` (and no fixed count) rows are first rebalanced on
+    the partition columns: AQE then merges small outputs into few files per
+    directory and splits a hot directory's rows over several tasks, instead
+    of every task writing a small file into every directory.
+    """
+    if partitions:
+        out = df.repartition(partitions)
+    elif partition_by:
+        out = df.hint("rebalance", *partition_by)
+    else:
+        out = df
     w = out.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -36,7 +36,8 @@ def save_partitioned_clustered(df: DataFrame, name: str, ts_col: str, cluster_co
     """Partition by the calendar date of ``ts_col`` and cluster (bucket +
     sort) by ``cluster_col``.  Filters must name ``date_col`` to prune
     partitions (see :func:`date_partition_filter`)."""
-    out = df.withColumn(date_col, F.to_date(ts_col))
+    # rebalance on the partition column: few files per date, hot dates split by AQE
+    out = df.withColumn(date_col, F.to_date(ts_col)).hint("rebalance", date_col)
     w = (out.write.mode(mode).format("parquet").partitionBy(date_col)
             .bucketBy(buckets, cluster_col).sortBy(cluster_col))
     if path:
