@@ -119,3 +119,37 @@ def test_jdbc_roundtrip_in_process_derby(spark):
     sink_files.append_jdbc(df, url, "T_ROWS", batch_size=1, properties=props)
     back = files.read_jdbc_query(spark, url, "SELECT ID, NAME FROM T_ROWS WHERE ID > 1", properties=props)
     assert [tuple(r) for r in back.collect()] == [(2, "b")]
+
+
+def test_partitioned_jdbc_read(spark):
+    if not _derby(spark):
+        pytest.skip("no embedded Derby driver on the classpath")
+    url = "jdbc:derby:memory:faresight_p;create=true"
+    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    sink_files.append_jdbc(spark.range(100).selectExpr("CAST(id AS INT) AS ID"), url, "T_IDS", properties=props)
+    df = files.read_jdbc_query(spark, url, "SELECT ID FROM T_IDS", properties=props, partition_column="ID",
+                               lower=0, upper=100, num_partitions=4)
+    assert df.rdd.getNumPartitions() == 4 and df.count() == 100
+
+
+def test_stream_sessions_to_jdbc(spark):
+    if not _derby(spark):
+        pytest.skip("no embedded Derby driver on the classpath")
+    from faresight.streaming import messages
+    from faresight.streaming import sessions as ss
+    url = "jdbc:derby:memory:faresight_s;create=true"
+    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    base = scratch_path(spark, "t-stream-jdbc")
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(95, 95, t0), (95, 95, t0 + dt.timedelta(minutes=3)), (1, 2, t0),
+            (None, None, t0 + dt.timedelta(days=1))]  # last row: flush marker
+    ddl = "PULocationID int, DOLocationID int, lpep_dropoff_datetime timestamp_ntz"
+    messages.publish(spark.createDataFrame(rows, ddl).coalesce(1), path=f"{base}/in")
+    agg = ss.session_aggregate(ss.message_stream(spark, ddl, path=f"{base}/in"),
+                               ["PULocationID", "DOLocationID"], "lpep_dropoff_datetime")
+    q = ss.start(agg, f"{base}/ckpt", foreach_batch=ss.jdbc_batch_writer(url, "SESSIONS", props),
+                 available_now=True)
+    q.awaitTermination()
+    back = files.read_jdbc_query(spark, url, "SELECT * FROM SESSIONS", properties=props)
+    got = sorted((r.PULocationID, r.taxi_trips_streak) for r in back.collect())
+    assert got == [(1, 1), (95, 2)]
