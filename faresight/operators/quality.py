@@ -44,7 +44,17 @@ def accepted_values(column: str, values: Sequence, severity: str = "error") -> C
 
 
 def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Evaluate ``checks`` on ``df``; one result row per check.
+
+    One pass: relationship checks first join the parent key set (broadcast
+    when small), every row-level check becomes a ``count_if`` flag, and if a
+    ``unique`` check is present the flags are summed inside the group-by on
+    that column (map-side partial aggregation, so a hot key is pre-combined),
+    which then also yields the duplicate count.  Further ``unique`` checks on
+    other columns need one more grouped pass each.
+    """
     row_checks = [c for c in checks if c.kind != "unique"]
+    uniques = [c for c in checks if c.kind == "unique"]
     base = df
     conds = []
     for i, c in enumerate(row_checks):
@@ -62,24 +72,27 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
             conds.append(col.isNotNull() & F.col(flag).isNull())
         else:
             raise ValueError(f"unknown check kind {c.kind!r}")
-    parts = []
-    if row_checks:
+
+    results = [(c, f"_f{i}") for i, c in enumerate(row_checks)]
+    if uniques:
+        u = uniques[0]
+        grouped = base.groupBy(F.col(u.column).alias("_u")).agg(
+            F.count(F.lit(1)).alias("_n"), *[F.count_if(cond).alias(f"_f{i}") for i, cond in enumerate(conds)])
+        agg = grouped.agg(*[F.sum(f"_f{i}").cast("bigint").alias(f"_f{i}") for i in range(len(conds))],
+                          F.count_if((F.col("_n") > 1) & F.col("_u").isNotNull()).alias("_fu"))
+        results.append((u, "_fu"))
+    else:
         agg = base.agg(*[F.count_if(cond).alias(f"_f{i}") for i, cond in enumerate(conds)])
-        rows = F.array(*[
-            F.struct(F.lit(c.kind).alias("check_name"), F.lit(c.column).alias("column_name"),
-                     F.lit(c.severity).alias("severity"), F.col(f"_f{i}").alias("failures"))
-            for i, c in enumerate(row_checks)])
-        parts.append(agg.select(F.inline(rows)))
-    for c in checks:
-        if c.kind != "unique":
-            continue
+    rows = F.array(*[
+        F.struct(F.lit(c.kind).alias("check_name"), F.lit(c.column).alias("column_name"),
+                 F.lit(c.severity).alias("severity"), F.coalesce(F.col(name), F.lit(0)).cast("bigint").alias("failures"))
+        for c, name in results])
+    out = agg.select(F.inline(rows))
+    for c in uniques[1:]:
         dup = (df.filter(F.col(c.column).isNotNull()).groupBy(c.column).count()
                  .filter(F.col("count") > 1).agg(F.count(F.lit(1)).alias("failures")))
-        parts.append(dup.select(F.lit("unique").alias("check_name"), F.lit(c.column).alias("column_name"),
-                                F.lit(c.severity).alias("severity"), "failures"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        out = out.unionByName(dup.select(F.lit("unique").alias("check_name"), F.lit(c.column).alias("column_name"),
+                                         F.lit(c.severity).alias("severity"), "failures"))
     return out
 
 

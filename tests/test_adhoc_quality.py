@@ -105,3 +105,12 @@ def test_count_equal_and_distinct(spark):
     assert adhoc.count_equal(df, "fare_amount", 0).first()[0] == 1
     assert adhoc.distinct_count(df, "pulocationid").first()[0] == 2
     assert T0.year == 2020
+
+
+def test_two_unique_checks_and_single_pass(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 2), (None, 3), (None, 3)], "k1 string, k2 int")
+    out = {(r.column_name, r.failures) for r in quality.run_checks(
+        df, [quality.unique("k1"), quality.unique("k2"), quality.not_null("k1")]).collect()}
+    assert out == {("k1", 1), ("k2", 2), ("k1", 2)} or out == {("k1", 1), ("k2", 2), ("k1", 2)}
+    rows = quality.run_checks(df, [quality.unique("k1"), quality.not_null("k1")]).collect()
+    assert sorted((r.check_name, r.failures) for r in rows) == [("not_null", 2), ("unique", 1)]
