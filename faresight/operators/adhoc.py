@@ -197,3 +197,10 @@ def rounded_group_mean(df: DataFrame, key: str, value: str, alias: str, scale: i
     v = F.col(value).try_cast("double").cast(f"decimal(18,{in_scale})")
     return (df.groupBy(key).agg(exact_mean(v, in_scale, scale).alias(alias))
               .orderBy(F.col(alias).desc_nulls_last(), F.col(key)))
+
+
+def top_k(df: DataFrame, k: int, order_col: str, tiebreak: Sequence[str] = ()) -> DataFrame:
+    """The ``k`` rows with the largest ``order_col`` (a global rank without an
+    unpartitioned window: ``TakeOrderedAndProject`` keeps k rows per task and
+    merges them, so no task ever holds more than k rows per input partition)."""
+    return df.orderBy(F.col(order_col).desc_nulls_last(), *[F.col(c) for c in tiebreak]).limit(k)

@@ -114,3 +114,10 @@ def test_two_unique_checks_and_single_pass(spark):
     assert out == {("k1", 1), ("k2", 2), ("k1", 2)} or out == {("k1", 1), ("k2", 2), ("k1", 2)}
     rows = quality.run_checks(df, [quality.unique("k1"), quality.not_null("k1")]).collect()
     assert sorted((r.check_name, r.failures) for r in rows) == [("not_null", 2), ("unique", 1)]
+
+
+def test_top_k_is_bounded_and_ordered(spark):
+    rows = [trip(key=i, tip=f"{i}.00") for i in range(20)]
+    df = adhoc.top_k(raw(spark, rows), 3, "tip_amount", ["src_orderkey"])
+    assert [int(r.tip_amount) for r in df.collect()] == [19, 18, 17]
+    assert "TakeOrderedAndProject" in df._jdf.queryExecution().executedPlan().toString()

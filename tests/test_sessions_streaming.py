@@ -124,3 +124,11 @@ def test_late_rows_are_dropped_after_watermark(spark):
     first = out.filter((F.col("pu") == 1) & (F.col("session_start") == T0)).collect()
     assert dropped >= 1
     assert len(first) == 1 and first[0].taxi_trips_streak == 1
+
+
+def test_kafka_probe_without_connector(spark):
+    # the image has no Kafka connector: publishing without a path must refuse, not hang
+    import pytest
+    assert messages.kafka_available(spark) is False
+    with pytest.raises(ValueError):
+        messages.publish(spark.createDataFrame([(1,)], "a int"), topic="t", bootstrap_servers="localhost:9")
