@@ -56,6 +56,12 @@ def _pruning(spark, sf_dir: str) -> dict:
 
     y = A.raw_service_trips(spark, sf_dir, "Yellow")
     plain, part = scratch_path(spark, "bench-plain"), scratch_path(spark, "bench-part")
+    t0 = time.perf_counter()
+    four = scratch_path(spark, "bench-four")
+    write_parquet(y, four, partitions=4)
+    t_four = time.perf_counter() - t0
+    n_four = len([f for f in os.listdir(four[len("file:"):] if four.startswith("file:") else four)
+                  if f.endswith(".parquet")])
     write_parquet(y, plain)
     t0 = time.perf_counter()
     spark.sql("DROP TABLE IF EXISTS bench_yellow_by_day")
@@ -76,7 +82,9 @@ def _pruning(spark, sf_dir: str) -> dict:
             "bytes_ratio": round(b_plain / b_part, 1) if b_part else None,
             "sec_unpartitioned": round(t1 - t0, 3), "sec_partitioned": round(t2 - t1, 3),
             "sec_write_partitioned": round(t_write, 3), "partitions": len(spark.sql(
-                "SHOW PARTITIONS bench_yellow_by_day").collect())}
+                "SHOW PARTITIONS bench_yellow_by_day").collect()),
+            "repartition4_files": n_four, "repartition4_bytes": _local_bytes(four),
+            "repartition4_sec": round(t_four, 3)}
 
 
 def main() -> None:
