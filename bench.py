@@ -2,7 +2,7 @@
 
 Each query is executed in full with the ``noop`` sink (the whole plan runs,
 nothing is collected to the driver).  Before timing, every query is run once
-on the smallest tables ($BENCH_WARMUP_DIR, default sf0.001): that loads and
+on smaller tables ($BENCH_WARMUP_DIR, default sf0.01): that loads and
 JIT-compiles the JVM paths and fills the codegen cache (same plan shapes),
 so the timed pass measures data work rather than first-run compilation.  Also measures message-publish throughput
 (rows -> JSON messages -> files), the reference's only throughput figure.
@@ -20,7 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-WARMUP_DIR = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
+WARMUP_DIR = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.01")
 
 
 def _sf(path: str) -> float | str:

@@ -14,8 +14,20 @@ TABLES = (
 ).split()
 
 
+# Schemas already inferred in this process, per session and path: later reads
+# pass the schema explicitly and skip the footer-reading inference job.
+_SCHEMAS: dict[tuple[int, str], object] = {}
+
+
 def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
+    path = f"{data_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    schema = _SCHEMAS.get(key)
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
+    df = spark.read.parquet(path)
+    _SCHEMAS[key] = df.schema
+    return df
 
 
 def register_views(spark: SparkSession, data_dir: str, names=TABLES) -> None:
