@@ -46,8 +46,6 @@ def _pruning(spark, sf_dir: str) -> dict:
     vs a catalog table partitioned by drop-off date and clustered by vendor
     (the shape of the reference's 310 MB -> 26.84 MB figure): bytes the scan
     must read and seconds.  The catalog prunes partitions before listing."""
-    from pyspark.sql import functions as F
-
     from faresight.operators.adhoc import distinct_in_range
     from faresight.session import scratch_path
     from faresight.sinks.files import write_parquet

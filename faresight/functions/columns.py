@@ -12,7 +12,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, NumericType, StringType
+from pyspark.sql.types import DecimalType
 
 # Money type used throughout (the reference stores amounts as DECIMAL(18,2);
 # an unqualified NUMERIC cast is read as this type as well).
@@ -218,14 +218,6 @@ def snake_case_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[snake_case(c) for c in df.columns])
 
 
-def is_numeric_field(df: DataFrame, name: str) -> bool:
-    return isinstance(df.schema[name].dataType, NumericType)
-
-
-def is_string_field(df: DataFrame, name: str) -> bool:
-    return isinstance(df.schema[name].dataType, StringType)
-
-
 def on_day_formatted(ts: str | Column, day: str) -> Column:
     """Parity form ``to_char(ts, 'yyyy-mm-dd') = day``.  Same rows as
     :func:`day_range`, but a function of the column, so not pushed into the

@@ -70,3 +70,19 @@ def models_from_test_tables(spark: SparkSession, data_dir: str, materialize: boo
                         A.zones(spark, data_dir), tiebreak=A.TRIP_TIEBREAK, years=P.GROWTH_YEARS,
                         unknown_borough=A.UNKNOWN_BOROUGH, excluded_zone_ids=A.UNKNOWN_ZONE_IDS,
                         materialize=materialize)
+
+
+def write_models(built: dict[str, DataFrame], base_path: str, names: Sequence[str] | None = None,
+                 partition_by: dict[str, list[str]] | None = None) -> dict[str, str]:
+    """Materialise models as parquet tables under ``base_path/<name>`` (the
+    ``table`` materialisation); returns name -> path.  Partitioned writes
+    rebalance on the partition columns first (see ``sinks.files``)."""
+    from faresight.sinks.files import write_parquet
+
+    parts = partition_by or {"fact_trips": ["service_type"]}
+    out = {}
+    for name in names or [n for n in built if not n.startswith("checks_")]:
+        path = f"{base_path.rstrip('/')}/{name}"
+        write_parquet(built[name], path, partition_by=parts.get(name))
+        out[name] = path
+    return out

@@ -22,6 +22,10 @@ def test_model_layer_materialises_fact_once(spark):
     assert checks[("relationships", "dropoff_locationid")].severity == "error"
     model_layer.register_models(built)
     assert spark.sql("SELECT count(*) FROM fact_trips").first()[0] == built["fact_trips"].count()
+    paths = model_layer.write_models(built, scratch_path(spark, "t-models"), ["fact_trips", "monthly_zone_revenue"])
+    assert spark.read.parquet(paths["fact_trips"]).count() == built["fact_trips"].count()
+    assert {r.service_type for r in spark.read.parquet(paths["fact_trips"]).select("service_type").distinct().collect()} \
+        == {"Green", "Yellow"}
 
 
 YELLOW_HEADER = ("VendorID,tpep_pickup_datetime,tpep_dropoff_datetime,passenger_count,trip_distance,RatecodeID,"
