@@ -69,14 +69,28 @@ def surrogate_key(cols: Sequence[str | Column], sep: str = "-") -> Column:
     return F.md5(F.concat_ws(sep, *parts))
 
 
-def row_hash(cols: Sequence[str | Column], sep: str = "") -> Column:
+def postgres_text(c: str | Column) -> Column:
+    """Text form of a DOUBLE as a PostgreSQL ``float8::text`` prints it for
+    the common cases: whole numbers without a fraction (``10``, not ``10.0``
+    or ``1.0E7``); other values in shortest form.  Use for row ids that must
+    equal ids computed in that database."""
+    x = _col(c)
+    whole = (x == F.floor(x)) & (F.abs(x) < F.lit(1e15))
+    return F.when(whole, x.cast("bigint").cast("string")).otherwise(x.cast("string"))
+
+
+def row_hash(cols: Sequence[str | Column], sep: str = "", text_form: dict | None = None) -> Column:
     """Row id used by the insert-only merge: lower-case hex MD5 of the
     concatenated text forms, NULL parts as ''.
 
     ``sep=''`` keeps parity with the reference (so ``'1'+'23'`` equals
-    ``'12'+'3'``); pass a separator to avoid that collision.
+    ``'12'+'3'``); pass a separator to avoid that collision.  ``text_form``
+    maps a column name to a function giving its text (e.g.
+    :func:`postgres_text` for doubles); others use Spark's cast to string.
     """
-    parts = [F.coalesce(_col(c).cast("string"), F.lit("")) for c in cols]
+    forms = text_form or {}
+    parts = [F.coalesce(forms[c](c) if isinstance(c, str) and c in forms else _col(c).cast("string"), F.lit(""))
+             for c in cols]
     return F.md5(F.concat_ws(sep, *parts) if sep else F.concat(*parts))
 
 

@@ -27,10 +27,11 @@ FILE_NAME = "filename"
 
 
 def stamp(df: DataFrame, key_columns: Sequence[str], filename: str | Column | None = None,
-          sep: str = "", id_col: str = ROW_ID) -> DataFrame:
+          sep: str = "", id_col: str = ROW_ID, text_form: dict | None = None) -> DataFrame:
     """Prepend ``unique_row_id`` (MD5 of the key columns' text) and
     ``filename``.  ``filename=None`` takes the name of the file each row was
-    read from (``_metadata.file_name``; file sources only)."""
+    read from (``_metadata.file_name``; file sources only).  ``text_form``
+    overrides the text of chosen key columns (see ``row_hash``)."""
     if filename is None:
         fn = F.col("_metadata.file_name")
     elif isinstance(filename, str):
@@ -38,7 +39,7 @@ def stamp(df: DataFrame, key_columns: Sequence[str], filename: str | Column | No
     else:
         fn = filename
     rest = [F.col(f"`{c}`") for c in df.columns if c not in (id_col, FILE_NAME)]
-    return df.select(row_hash(list(key_columns), sep).alias(id_col), fn.alias(FILE_NAME), *rest)
+    return df.select(row_hash(list(key_columns), sep, text_form).alias(id_col), fn.alias(FILE_NAME), *rest)
 
 
 def new_rows(source: DataFrame, target: DataFrame, key: str = ROW_ID, dedupe_source: bool = False,

@@ -104,3 +104,12 @@ def test_month_start_keeps_ntz(spark):
     r = df.select(C.month_start("t").alias("m"))
     assert r.schema["m"].dataType.typeName() == "timestamp_ntz"
     assert r.first().m == dt.datetime(2020, 3, 1)
+
+
+def test_postgres_text_form_for_row_ids(spark):
+    import hashlib
+    df = spark.createDataFrame([(1.0, 1.5, 10000000.0, "7")], "a double, b double, c double, d string")
+    r = df.select(C.postgres_text("a"), C.postgres_text("b"), C.postgres_text("c"), F.col("c").cast("string")).first()
+    assert tuple(r) == ("1", "1.5", "10000000", "1.0E7")
+    h = df.select(C.row_hash(["d", "a", "c"], text_form={"a": C.postgres_text, "c": C.postgres_text})).first()[0]
+    assert h == hashlib.md5(b"7110000000").hexdigest()
