@@ -24,3 +24,5 @@ ROW_ID_COLUMNS_ON_PREMISE = ("vendorid", "pickup_datetime", "dropoff_datetime",
                              "dolocationid", "fare_amount", "trip_distance")
 ROW_ID_COLUMNS_CLOUD = ("vendorid", "pickup_datetime", "dropoff_datetime", "pulocationid", "dolocationid")
 PRODUCT_KEYS = ("brand", "price")
+ROWS_YEAR = 1997                       # "rows for all files of 2020"
+ROWS_MONTH = (1998, 3)                 # "rows for the March 2021 file"

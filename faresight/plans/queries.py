@@ -161,6 +161,14 @@ def rows_by_file(spark, d):
     return adhoc.rows_by_file(A.raw_trips(spark, d))
 
 
+def rows_per_service_year(spark, d):
+    return adhoc.rows_per_service_period(A.raw_trips(spark, d), P.ROWS_YEAR)
+
+
+def rows_per_service_month(spark, d):
+    return adhoc.rows_per_service_period(A.raw_trips(spark, d), *P.ROWS_MONTH)
+
+
 # -- data-quality checks -------------------------------------------------------
 
 def _staging_checks(zones, dropoff_severity: str):
@@ -198,6 +206,18 @@ def longest_streak(spark, d):
     return sessions.longest_sessions(session_streaks_6h(spark, d))
 
 
+def trip_session_streaks(spark, d):
+    """The reference job's shape on trips: sessions per (pickup zone,
+    drop-off zone) on drop-off time with a 5-minute gap."""
+    g = _green(spark, d).select(F.col("pulocationid").cast("int").alias("pulocationid"),
+                                F.col("dolocationid").cast("int").alias("dolocationid"), "dropoff_datetime")
+    return sessions.session_counts(g, ["pulocationid", "dolocationid"], "dropoff_datetime", P.SESSION_GAP)
+
+
+def longest_trip_streak(spark, d):
+    return sessions.longest_sessions(trip_session_streaks(spark, d))
+
+
 def session_streaks_stream(spark, d):
     """The streaming job end to end: rides published as JSON message files,
     read as a stream, watermarked on drop-off time (5 s), counted per
@@ -351,11 +371,15 @@ QUERIES: dict[str, Query] = {
     "avg_trip_minutes": avg_trip_minutes,
     "avg_trip_minutes_elapsed": avg_trip_minutes_elapsed,
     "rows_by_file": rows_by_file,
+    "rows_per_service_year": rows_per_service_year,
+    "rows_per_service_month": rows_per_service_month,
     "dq_stg_green": dq_stg_green,
     "dq_stg_yellow": dq_stg_yellow,
     "session_streaks": session_streaks,
     "session_streaks_6h": session_streaks_6h,
     "longest_streak": longest_streak,
+    "trip_session_streaks": trip_session_streaks,
+    "longest_trip_streak": longest_trip_streak,
     "session_streaks_stream": session_streaks_stream,
     "ingest_merge": ingest_merge,
     "ingest_merge_cloud": ingest_merge_cloud,
