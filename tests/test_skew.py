@@ -54,7 +54,8 @@ def test_p90_join_back_splits_a_hot_group(spark):
 def test_dedup_forwards_one_row_per_key_per_task(spark):
     # every row shares one (vendor, pickup): the partial limit keeps one row per map task
     df = spark.range(20000).repartition(8).select(
-        F.lit("1").alias("vendorid"), F.lit(T).cast("timestamp_ntz").alias("pickup_datetime"), F.col("id"))
+        F.when(F.col("id") >= 0, F.lit("1")).otherwise(F.lit("2")).alias("vendorid"),
+        F.when(F.col("id") >= 0, F.lit(T).cast("timestamp_ntz")).alias("pickup_datetime"), F.col("id"))
     out = staging.dedupe_first(df, ["vendorid", "pickup_datetime"], [F.col("id")])
     assert [r.id for r in out.collect()] == [0]
     plan = out._jdf.queryExecution().executedPlan().toString()
