@@ -11,7 +11,8 @@ TIGHT_AQE = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k"
              "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
              "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
              "spark.sql.autoBroadcastJoinThreshold": "-1",
-             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.shuffle.partitions": "32"}
 
 
 def _with_conf(spark, conf, fn):
@@ -60,3 +61,20 @@ def test_dedup_forwards_one_row_per_key_per_task(spark):
     assert [r.id for r in out.collect()] == [0]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_merge_anti_join_splits_a_hot_row_id(spark):
+    from faresight.sinks.merge import new_rows
+
+    def run():
+        src = spark.range(30000).select(
+            F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.md5(F.col("id").cast("string"))).alias("unique_row_id"),
+            F.col("id"), F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+        tgt = spark.range(0, 30000, 2).select(F.md5(F.col("id").cast("string")).alias("unique_row_id"), F.col("id"))
+        df = new_rows(src, tgt)
+        rows = df.collect()
+        return rows, df._jdf.queryExecution().executedPlan().toString()
+    rows, plan = _with_conf(spark, TIGHT_AQE, run)
+    # hot id (10,000 in-batch duplicates, absent from the target) all kept; odd ids kept
+    assert sum(1 for r in rows if r.unique_row_id == "hot") == 10000
+    assert "SortMergeJoin(skew=true)" in plan
