@@ -93,3 +93,29 @@ def rows_per_file(spark: SparkSession, target_table: str, files_like: Sequence[s
             cond = c if cond is None else cond | c
         t = t.filter(cond)
     return t.groupBy("filename").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def main(argv: Sequence[str] | None = None) -> int:
+    """``python -m faresight.plans.ingest --service yellow --year 2020 --month 12
+    --landing DIR --target TABLE``: the parameterised monthly ingest."""
+    import argparse
+
+    from faresight.session import get_session
+
+    ap = argparse.ArgumentParser(description="Ingest one monthly taxi file (insert-only merge).")
+    ap.add_argument("--service", choices=sorted(CSV_SCHEMAS), required=True)
+    ap.add_argument("--year", type=int, required=True)
+    ap.add_argument("--month", type=int, required=True)
+    ap.add_argument("--landing", required=True, help="folder holding <service>_tripdata_<yyyy>-<mm>.csv")
+    ap.add_argument("--target", required=True, help="catalog table to merge into")
+    ap.add_argument("--key-set", choices=["on_premise", "cloud"], default="on_premise")
+    ap.add_argument("--buckets", type=int, default=64)
+    a = ap.parse_args(argv)
+    spark = get_session()
+    info = ingest_month(spark, a.landing, a.service, a.year, a.month, a.target, a.key_set, a.buckets)
+    print(info)
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

@@ -90,3 +90,26 @@ def jdbc_batch_writer(url: str, table: str, properties: dict | None = None) -> C
         (batch.write.format("jdbc").mode("append").option("url", url).option("dbtable", table)
               .options(**(properties or {})).save())
     return write
+
+
+def run_session_job(spark: SparkSession, schema_ddl: str, keys: Sequence[str], event_time_col: str,
+                    source_path: str | None = None, topic: str | None = None,
+                    bootstrap_servers: str | None = None, sink_path: str | None = None,
+                    jdbc: tuple[str, str, dict] | None = None, checkpoint: str | None = None,
+                    watermark: str = "5 seconds", gap: str = "5 minutes",
+                    processing_time: str = "10 seconds", available_now: bool = False) -> StreamingQuery:
+    """The whole job in one call: source (topic or message files) -> event
+    time + watermark -> session counts per key -> parquet files or a JDBC
+    table (``jdbc=(url, table, properties)``).  Unlike the reference job,
+    start-up errors raise instead of being printed.  ``checkpoint`` defaults
+    to a fresh folder under ``spark.checkpoint.dir``."""
+    from faresight.session import scratch_path
+
+    stream = message_stream(spark, schema_ddl, path=source_path, topic=topic, bootstrap_servers=bootstrap_servers)
+    agg = session_aggregate(stream, keys, event_time_col, watermark, gap)
+    ckpt = checkpoint or scratch_path(spark, "session-job-checkpoint")
+    writer = jdbc_batch_writer(*jdbc) if jdbc else None
+    if writer is None and not sink_path:
+        raise ValueError("a sink is required: sink_path or jdbc")
+    return start(agg, ckpt, path=sink_path, foreach_batch=writer, processing_time=processing_time,
+                 available_now=available_now)

@@ -132,3 +132,14 @@ def test_kafka_probe_without_connector(spark):
     assert messages.kafka_available(spark) is False
     with pytest.raises(ValueError):
         messages.publish(spark.createDataFrame([(1,)], "a int"), topic="t", bootstrap_servers="localhost:9")
+
+
+def test_run_session_job_to_parquet(spark):
+    base = scratch_path(spark, "t-job")
+    rows = [(1, 1, T0), (1, 1, T0 + dt.timedelta(minutes=2)), (None, None, T0 + dt.timedelta(days=1))]
+    _publish(spark, f"{base}/in", rows)
+    q = stream_sessions.run_session_job(spark, MSG_DDL, ["pu", "do"], "drop_ts", source_path=f"{base}/in",
+                                        sink_path=f"{base}/out", available_now=True)
+    q.awaitTermination()
+    got = spark.read.parquet(f"{base}/out").filter(F.col("pu").isNotNull()).collect()
+    assert [(r.pu, r.taxi_trips_streak) for r in got] == [(1, 2)]
