@@ -17,6 +17,8 @@ def test_model_layer_materialises_fact_once(spark):
     built = model_layer.models_from_test_tables(spark, SF_SMALL)
     fact_plan = built["fact_trips"]._jdf.queryExecution().executedPlan().toString()
     assert "lineitem" not in fact_plan          # marts read the written fact, not the sources
+    p90_plan = built["fhv_travel_time_p90"]._jdf.queryExecution().executedPlan().toString()
+    assert "lineitem" not in p90_plan
     assert built["monthly_zone_revenue"].count() > 0
     checks = {(r.check_name, r.column_name): r for r in built["checks_stg_green"].collect()}
     assert checks[("relationships", "dropoff_locationid")].severity == "error"
