@@ -97,7 +97,8 @@ def main() -> None:
     import tempfile
 
     extra.setdefault("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="faresight-bench-wh-"))
-    spark = get_session(f"local[{CPUS}]", int(CPUS) * 2, extra=extra)
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", int(CPUS) * 2))
+    spark = get_session(f"local[{CPUS}]", parts, extra=extra)
     only = [a for a in sys.argv[1:] if a in QUERIES]
     keys = only or list(QUERIES)
 
