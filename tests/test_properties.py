@@ -6,11 +6,14 @@ from decimal import ROUND_HALF_UP, Decimal
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from faresight.functions.columns import exact_mean
 from faresight.operators import sessions
 
 T0 = dt.datetime(2024, 1, 1)
 SETTINGS = settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+FEW = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
 
 def brute_sessions(rows, gap_s):
@@ -53,3 +56,40 @@ def test_exact_mean_matches_decimal(spark, cents, out_scale):
     q = Decimal(1).scaleb(-out_scale)
     want = abs(mean).quantize(q, rounding=ROUND_HALF_UP) * (1 if mean >= 0 else -1)
     assert df.agg(exact_mean("x", 2, out_scale)).first()[0] == want
+
+
+ids = st.lists(st.sampled_from(["a", "b", "c", "d", "e", "f"]), min_size=0, max_size=12)
+
+
+@FEW
+@given(ids, ids, st.booleans())
+def test_merge_matches_model(spark, target_ids, source_ids, dedupe):
+    from collections import Counter
+
+    from faresight.sinks.merge import merged
+    tgt = spark.createDataFrame([(k, "t", i) for i, k in enumerate(target_ids)],
+                                "unique_row_id string, filename string, n int")
+    src = spark.createDataFrame([(k, "s", i) for i, k in enumerate(source_ids)],
+                                "unique_row_id string, filename string, n int")
+    got = Counter((r.unique_row_id, r.filename) for r in merged(src, tgt, dedupe_source=dedupe).collect())
+    want = Counter((k, "t") for k in target_ids)
+    new = [k for k in source_ids if k not in set(target_ids)]
+    if dedupe:
+        new = list(dict.fromkeys(new))
+    want.update((k, "s") for k in new)
+    assert got == want
+
+
+@FEW
+@given(st.lists(st.tuples(st.sampled_from(["1", "2", None]), st.integers(0, 3), st.integers(0, 10**6)),
+                min_size=1, max_size=30, unique_by=lambda x: x[2]))
+def test_dedupe_keeps_min_tiebreak_per_key(spark, rows):
+    from faresight.operators.staging import dedupe_first
+    df = spark.createDataFrame(rows, "vendorid string, minute int, k int")
+    key = lambda t: (t[0] or "", t[1], t[2])
+    got = sorted((tuple(r) for r in dedupe_first(df, ["vendorid", "minute"], [F.col("k")]).collect()), key=key)
+    best = {}
+    for v, m, k in rows:
+        best[(v, m)] = min(best.get((v, m), k), k)
+    want = sorted(((v, m, k) for (v, m), k in best.items()), key=key)
+    assert got == want
