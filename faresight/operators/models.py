@@ -130,6 +130,44 @@ def quarterly_revenue_growth(fact: DataFrame, years: Sequence[int] = (2019, 2020
     return g.withColumn("yoy_growth", F.round(growth, 6))
 
 
+def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str | Column,
+                      percentiles: Sequence[float], names: Sequence[str]) -> DataFrame:
+    """Exact interpolated percentiles per group (same result as Spark's
+    ``percentile``: position ``(n-1)·p`` between the two neighbouring
+    values), one row per group, NULL where a group has no non-null value.
+
+    Built from a distributed histogram instead of one value->count map per
+    group: step 1 counts rows per (group, value), a hash aggregate whose
+    shuffle spreads even a group holding a third of all rows over many
+    reducers; step 2 is a running count over each group's histogram (its
+    size is bounded by the group's distinct values, not its rows) that
+    finds which value sits at the lower and upper rank of each percentile.
+    """
+    keys = list(keys)
+    v = (F.col(value) if isinstance(value, str) else value).cast("double")
+    h = df.groupBy(*keys, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    counted = F.when(F.col("_v").isNotNull(), F.col("_c")).otherwise(F.lit(0))
+    running = Window.partitionBy(*keys).orderBy(F.col("_v").asc_nulls_first()) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    h = (h.withColumn("_end", F.sum(counted).over(running))
+          .withColumn("_n", F.sum(counted).over(Window.partitionBy(*keys))))
+    h = h.withColumn("_start", F.col("_end") - counted)   # first 0-based rank holding this value
+    aggs, finals = [], []
+    for i, p in enumerate(percentiles):
+        pos = (F.col("_n") - 1) * F.lit(float(p))
+        lo, hi = F.floor(pos), F.ceil(pos)
+        at = lambda r: F.col("_v").isNotNull() & (F.col("_start") <= r) & (r < F.col("_end"))
+        aggs += [F.max(F.when(at(lo), F.col("_v"))).alias(f"_lo{i}"),
+                 F.max(F.when(at(hi), F.col("_v"))).alias(f"_hi{i}")]
+    g = h.groupBy(*keys).agg(F.max("_n").alias("_n"), *aggs)
+    for i, (p, name) in enumerate(zip(percentiles, names)):
+        pos = (F.col("_n") - 1) * F.lit(float(p))
+        lo, hi = F.floor(pos), F.ceil(pos)
+        lo_v, hi_v = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        finals.append(F.when(lo == hi, lo_v).otherwise((hi - pos) * lo_v + (pos - lo) * hi_v).alias(name))
+    return g.select(*keys, *finals)
+
+
 def valid_paid_fares(fact: DataFrame, methods: Sequence[str] = ("Cash", "Credit card")) -> DataFrame:
     return fact.filter((F.col("fare_amount") > 0) & (F.col("trip_distance") > 0)
                        & F.col("payment_type_description").isin(list(methods)))
@@ -143,13 +181,12 @@ def monthly_fare_percentiles(fact: DataFrame, percentiles: Sequence[float] = (0.
     the same as one grouped aggregate, which is what runs here (one pass,
     partial aggregation of value counts before the shuffle).
     """
-    v = valid_paid_fares(fact, methods)
-    p = F.percentile(F.col("fare_amount").cast("double"), F.array(*[F.lit(x) for x in percentiles]))
-    g = (v.groupBy("service_type", F.year("pickup_datetime").alias("year"),
-                   F.month("pickup_datetime").alias("month"))
-          .agg(p.alias("_p")))
-    cols = [F.round(F.col("_p")[i], 4).alias(f"p{round(x * 100):02d}") for i, x in enumerate(percentiles)]
-    return g.select("service_type", "year", "month", *cols)
+    v = valid_paid_fares(fact, methods).select(
+        "service_type", F.year("pickup_datetime").alias("year"), F.month("pickup_datetime").alias("month"),
+        "fare_amount")
+    names = [f"p{round(x * 100):02d}" for x in percentiles]
+    g = exact_percentiles(v, ["service_type", "year", "month"], "fare_amount", percentiles, names)
+    return g.select("service_type", "year", "month", *[F.round(n, 4).alias(n) for n in names])
 
 
 def with_trip_duration(dim: DataFrame) -> DataFrame:
@@ -167,15 +204,19 @@ def fhv_travel_time_p90(dim: DataFrame, p: float = 0.90) -> DataFrame:
     """
     keys = ["year", "month", "pulocationid", "dolocationid"]
     t = with_trip_duration(dim)
-    p90 = t.groupBy(*keys).agg(F.round(F.percentile("trip_duration", p), 4).alias("trip_duration_p90"))
-    return t.join(p90, keys, "inner").select(*t.columns, "trip_duration_p90")
+    p90 = exact_percentiles(t, keys, "trip_duration", [p], ["_p90"]) \
+        .select(*[F.col(k).alias(f"_g_{k}") for k in keys], F.round("_p90", 4).alias("trip_duration_p90"))
+    # NULL-safe keys: a row whose group key is NULL still gets its group's p90
+    cond = [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys]
+    return t.join(p90, cond, "left").select(*t.columns, "trip_duration_p90")
 
 
 def zone_pair_p90(dim: DataFrame, p: float = 0.90) -> DataFrame:
     """One row per (year, month, pickup zone, drop-off zone) with its p90."""
     t = with_trip_duration(dim)
-    return (t.groupBy("year", "month", "pulocationid", "pickup_zone", "dolocationid", "dropoff_zone")
-             .agg(F.round(F.percentile("trip_duration", p), 4).alias("trip_duration_p90")))
+    keys = ["year", "month", "pulocationid", "pickup_zone", "dolocationid", "dropoff_zone"]
+    return exact_percentiles(t, keys, "trip_duration", [p], ["_p90"]) \
+        .select(*keys, F.round("_p90", 4).alias("trip_duration_p90"))
 
 
 def fhv_nth_longest_p90(dim: DataFrame, year: int, month: int, n: int = 2,

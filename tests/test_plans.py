@@ -40,8 +40,11 @@ def test_top_k_is_take_ordered(spark):
     assert "TakeOrderedAndProject" in plan(Q.top_pickup_zones(spark, SF_SMALL))
 
 
-def test_percentiles_are_one_grouped_aggregate(spark):
+def test_percentiles_come_from_a_distributed_histogram(spark):
     p = plan(Q.monthly_fare_percentiles(spark, SF_SMALL))
-    aggs = [line for line in p.splitlines() if "Aggregate" in line and "percentile" in line]
-    assert any("partial_percentile" in line for line in aggs)  # map-side partial step
-    assert not [line for line in p.splitlines() if "Window [" in line and "percentile" in line]
+    # counts per (group, value) are a partial hash aggregate shuffled on (group, value) ...
+    assert "partial_count" in p
+    assert any("Exchange hashpartitioning(service_type" in line and "month" in line and "_groupingexpression" in line
+               for line in p.splitlines())
+    # ... and no per-group value->count map is merged in one task
+    assert "percentile" not in p

@@ -93,3 +93,20 @@ def test_dedupe_keeps_min_tiebreak_per_key(spark, rows):
         best[(v, m)] = min(best.get((v, m), k), k)
     want = sorted(((v, m, k) for (v, m), k in best.items()), key=key)
     assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 3), st.one_of(st.none(), st.integers(-50, 50))), min_size=1, max_size=60),
+       st.lists(st.floats(0, 1), min_size=1, max_size=3))
+def test_histogram_percentiles_equal_spark_percentile(spark, rows, ps):
+    from faresight.operators.models import exact_percentiles
+    rows = rows + [(9, None)]                      # a group with only NULLs -> NULL percentile
+    df = spark.createDataFrame(rows, "g int, x int")
+    names = [f"q{i}" for i in range(len(ps))]
+    got = {r.g: tuple(r[n] for n in names) for r in exact_percentiles(df, ["g"], "x", ps, names).collect()}
+    want_df = df.groupBy("g").agg(*[F.percentile(F.col("x").cast("double"), p).alias(n) for p, n in zip(ps, names)])
+    want = {r.g: tuple(r[n] for n in names) for r in want_df.collect()}
+    assert got.keys() == want.keys()
+    for g in want:
+        for a, b in zip(got[g], want[g]):
+            assert (a is None and b is None) or abs(a - b) <= 1e-9 * max(1.0, abs(b))
