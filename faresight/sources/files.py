@@ -89,5 +89,19 @@ def read_jdbc_query(spark: SparkSession, url: str, query: str, properties: dict
 
 
 def from_records(spark: SparkSession, records: list, schema: str | None = None) -> DataFrame:
-    """Small in-memory nested records (dicts, dicts of dicts, lists of dicts)."""
-    return spark.createDataFrame(records, schema=schema) if schema else spark.createDataFrame(records)
+    """Small in-memory nested records (dicts, dicts of dicts, lists of dicts).
+
+    Without a schema, nested dicts are inferred as structs (not maps), so
+    they flatten into columns like records read from JSON."""
+    if schema:
+        return spark.createDataFrame(records, schema=schema)
+    key = "spark.sql.pyspark.inferNestedDictAsStruct.enabled"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        return spark.createDataFrame(records)
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)

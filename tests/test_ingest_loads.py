@@ -150,3 +150,18 @@ def test_unwrap_products(spark):
     kept = keep_keys(nested.unwrap(files.read_json(spark, f"{base}/data.json"), "products"), ["brand", "price"])
     out = {r.brand: r.avg_price for r in rounded_group_mean(kept, "brand", "price", "avg_price").collect()}
     assert {k: float(v) for k, v in out.items()} == {"A": 1.5, "N/A": 3.0}
+
+
+def test_in_memory_nested_records_and_grandchildren(spark):
+    # SRC12 + NST1/NST2: the sample record as Python dicts; a list inside list elements -> grandchild table
+    rec = dict(SAMPLE, passengers=[{"name": "John", "rating": 4.9, "tags": ["a", "b"]},
+                                   {"name": "Jack", "rating": 3.9, "tags": []}])
+    df = files.from_records(spark, [rec])
+    tables = nested.normalise(df, "rides", key="record_hash")
+    assert set(tables) == {"rides", "rides__passengers", "rides__passengers__tags"}
+    assert "coordinates__end__lat" in tables["rides"].columns
+    kids = tables["rides__passengers"].collect()
+    tags = tables["rides__passengers__tags"].collect()
+    john = [k for k in kids if k.name == "John"][0]
+    assert sorted((t._list_idx, t.value) for t in tags) == [(0, "a"), (1, "b")]
+    assert {t._parent_id for t in tags} == {john._record_id}
