@@ -240,7 +240,8 @@ def session_streaks_stream(spark, d):
     stream = stream_sessions.message_stream(spark, _RIDE_DDL, path=f"{base}/messages")
     agg = stream_sessions.session_aggregate(stream, ["user_id", "event_type"], "dropoff_datetime",
                                             "5 seconds", P.SESSION_GAP)
-    q = stream_sessions.start(agg, f"{base}/checkpoint", path=f"{base}/sessions", available_now=True)
+    q = stream_sessions.start(agg, f"{base}/checkpoint", path=f"{base}/sessions", available_now=True,
+                              state_partitions=spark.sparkContext.defaultParallelism)
     q.awaitTermination()
     return (spark.read.schema("user_id bigint, event_type string, session_start timestamp_ntz, "
                               "session_end timestamp_ntz, taxi_trips_streak bigint")

@@ -69,9 +69,23 @@ def session_aggregate(stream: DataFrame, keys: Sequence[str], event_time_col: st
 def start(agg: DataFrame, checkpoint: str, path: str | None = None,
           foreach_batch: Callable[[DataFrame, int], None] | None = None,
           processing_time: str | None = "10 seconds", available_now: bool = False,
-          query_name: str | None = None) -> StreamingQuery:
+          query_name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
     """Start the append-mode query into parquet files at ``path`` or a
-    ``foreach_batch`` function (e.g. :func:`jdbc_batch_writer`)."""
+    ``foreach_batch`` function (e.g. :func:`jdbc_batch_writer`).
+
+    ``state_partitions`` sets the number of state-store partitions of the
+    session aggregation.  It is fixed for the life of the checkpoint, so
+    size it for the expected key volume; it is applied only while the query
+    starts (the stream keeps its own copy of the session settings).
+    """
+    if state_partitions:
+        spark = agg.sparkSession
+        old = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+        try:
+            return start(agg, checkpoint, path, foreach_batch, processing_time, available_now, query_name)
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", old)
     w = agg.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
@@ -97,7 +111,8 @@ def run_session_job(spark: SparkSession, schema_ddl: str, keys: Sequence[str], e
                     bootstrap_servers: str | None = None, sink_path: str | None = None,
                     jdbc: tuple[str, str, dict] | None = None, checkpoint: str | None = None,
                     watermark: str = "5 seconds", gap: str = "5 minutes",
-                    processing_time: str = "10 seconds", available_now: bool = False) -> StreamingQuery:
+                    processing_time: str = "10 seconds", available_now: bool = False,
+                    state_partitions: int | None = None) -> StreamingQuery:
     """The whole job in one call: source (topic or message files) -> event
     time + watermark -> session counts per key -> parquet files or a JDBC
     table (``jdbc=(url, table, properties)``).  Unlike the reference job,
@@ -112,4 +127,4 @@ def run_session_job(spark: SparkSession, schema_ddl: str, keys: Sequence[str], e
     if writer is None and not sink_path:
         raise ValueError("a sink is required: sink_path or jdbc")
     return start(agg, ckpt, path=sink_path, foreach_batch=writer, processing_time=processing_time,
-                 available_now=available_now)
+                 available_now=available_now, state_partitions=state_partitions)
