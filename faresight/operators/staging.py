@@ -33,21 +33,10 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFra
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def stage_trips(raw: DataFrame, street_hail_only: bool = False,
-                pickup_col: str = "pickup_datetime", dropoff_col: str = "dropoff_datetime",
-                tiebreak: Sequence[str] = (), limit: int | None = None) -> DataFrame:
-    """Green/yellow staging model.
-
-    ``street_hail_only`` (yellow): trip type is the constant 1 and there is no
-    e-hail fee.  ``limit`` is the development row limit, applied after a
-    total order (off by default).
-    """
-    t = raw.filter(F.col("vendorid").isNotNull())
-    t = dedupe_first(t, ["vendorid", pickup_col], [F.col(c) for c in tiebreak] or [F.col("vendorid")])
-    trip_type = F.lit(1) if street_hail_only else safe_cast("trip_type", "int")
-    ehail = F.lit(0).cast(MONEY) if street_hail_only else money("ehail_fee")
+def _typed_columns(pickup_col: str, dropoff_col: str, trip_type, ehail_fee) -> list:
+    """The staged column list (types, safe casts, payment description)."""
     payment = F.coalesce(safe_cast("payment_type", "int"), F.lit(0))
-    out = t.select(
+    return [
         surrogate_key(["vendorid", pickup_col]).alias("tripid"),
         safe_cast("vendorid", "int").alias("vendorid"),
         safe_cast("ratecodeid", "int").alias("ratecodeid"),
@@ -64,13 +53,29 @@ def stage_trips(raw: DataFrame, street_hail_only: bool = False,
         money("mta_tax").alias("mta_tax"),
         money("tip_amount").alias("tip_amount"),
         money("tolls_amount").alias("tolls_amount"),
-        ehail.alias("ehail_fee"),
+        ehail_fee.alias("ehail_fee"),
         money("improvement_surcharge").alias("improvement_surcharge"),
         money("total_amount").alias("total_amount"),
         payment.alias("payment_type"),
         # X6: the description comes from the same safe-cast value (NULL -> 0 -> EMPTY)
         payment_description(payment).alias("payment_type_description"),
-    )
+    ]
+
+
+def stage_trips(raw: DataFrame, street_hail_only: bool = False,
+                pickup_col: str = "pickup_datetime", dropoff_col: str = "dropoff_datetime",
+                tiebreak: Sequence[str] = (), limit: int | None = None) -> DataFrame:
+    """Green/yellow staging model.
+
+    ``street_hail_only`` (yellow): trip type is the constant 1 and there is no
+    e-hail fee.  ``limit`` is the development row limit, applied after a
+    total order (off by default).
+    """
+    t = raw.filter(F.col("vendorid").isNotNull())
+    t = dedupe_first(t, ["vendorid", pickup_col], [F.col(c) for c in tiebreak] or [F.col("vendorid")])
+    trip_type = F.lit(1) if street_hail_only else safe_cast("trip_type", "int")
+    ehail = F.lit(0).cast(MONEY) if street_hail_only else money("ehail_fee")
+    out = t.select(*_typed_columns(pickup_col, dropoff_col, trip_type, ehail))
     if limit is not None:
         out = out.orderBy("tripid", "pickup_datetime").limit(limit)
     return out
@@ -92,31 +97,10 @@ def stage_services(raw: DataFrame, service_col: str = "service_type",
     t = dedupe_first(t, [service_col, "vendorid", pickup_col],
                      [F.col(c) for c in tiebreak] or [F.col("vendorid")])
     hail = F.col(service_col).isin(list(street_hail_services))
-    payment = F.coalesce(safe_cast("payment_type", "int"), F.lit(0))
-    return t.select(
-        surrogate_key(["vendorid", pickup_col]).alias("tripid"),
-        safe_cast("vendorid", "int").alias("vendorid"),
-        safe_cast("ratecodeid", "int").alias("ratecodeid"),
-        safe_cast("pulocationid", "int").alias("pickup_locationid"),
-        safe_cast("dolocationid", "int").alias("dropoff_locationid"),
-        F.col(pickup_col).cast("timestamp_ntz").alias("pickup_datetime"),
-        F.col(dropoff_col).cast("timestamp_ntz").alias("dropoff_datetime"),
-        F.col("store_and_fwd_flag"),
-        safe_cast("passenger_count", "int").alias("passenger_count"),
-        money("trip_distance").alias("trip_distance"),
-        F.when(hail, F.lit(1)).otherwise(safe_cast("trip_type", "int")).cast("int").alias("trip_type"),
-        money("fare_amount").alias("fare_amount"),
-        money("extra").alias("extra"),
-        money("mta_tax").alias("mta_tax"),
-        money("tip_amount").alias("tip_amount"),
-        money("tolls_amount").alias("tolls_amount"),
-        F.when(hail, F.lit(0).cast(MONEY)).otherwise(money("ehail_fee")).alias("ehail_fee"),
-        money("improvement_surcharge").alias("improvement_surcharge"),
-        money("total_amount").alias("total_amount"),
-        payment.alias("payment_type"),
-        payment_description(payment).alias("payment_type_description"),
-        F.col(service_col).alias("service_type"),
-    )
+    trip_type = F.when(hail, F.lit(1)).otherwise(safe_cast("trip_type", "int"))
+    ehail = F.when(hail, F.lit(0).cast(MONEY)).otherwise(money("ehail_fee"))
+    return t.select(*_typed_columns(pickup_col, dropoff_col, trip_type, ehail),
+                    F.col(service_col).alias("service_type"))
 
 
 def stage_fhv(raw: DataFrame, limit: int | None = None) -> DataFrame:
