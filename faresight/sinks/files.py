@@ -27,10 +27,14 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partitions:
     w.parquet(path)
 
 
-def append_parquet(df: DataFrame, path: str) -> None:
-    """Append rows (the batched append of the reference: Spark writes each
-    task's rows as a file; there is no driver-side batching loop)."""
-    df.write.mode("append").parquet(path)
+def append_parquet(df: DataFrame, path: str, rows_per_file: int | None = None) -> None:
+    """Append rows.  The reference appends in fixed batches of 100,000 rows
+    from a driver loop; here every task writes its own rows in parallel and
+    ``rows_per_file`` caps each output file at that many rows."""
+    w = df.write.mode("append")
+    if rows_per_file:
+        w = w.option("maxRecordsPerFile", int(rows_per_file))
+    w.parquet(path)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -153,3 +153,11 @@ def test_stream_sessions_to_jdbc(spark):
     back = files.read_jdbc_query(spark, url, "SELECT * FROM SESSIONS", properties=props)
     got = sorted((r.PULocationID, r.taxi_trips_streak) for r in back.collect())
     assert got == [(1, 1), (95, 2)]
+
+
+def test_append_in_fixed_size_files(spark):
+    out = scratch_path(spark, "t-batches")
+    sink_files.append_parquet(spark.range(2500).coalesce(1), out, rows_per_file=1000)
+    sink_files.append_parquet(spark.range(10).coalesce(1), out, rows_per_file=1000)
+    parts = glob.glob(f"{_local(out)}/part-*.parquet")
+    assert len(parts) == 4 and spark.read.parquet(out).count() == 2510
