@@ -70,6 +70,9 @@ def merge_insert_only(spark: SparkSession, source: DataFrame, target_table: str,
     append, so the anti-join never reads files the append is writing and a
     lost executor recomputes from the checkpoint, not from the source.
     """
+    from faresight.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)  # the session's shared folder; a local one only if none is named
     target = spark.table(target_table)
     new = new_rows(source, target, key, dedupe_source).select(*target.columns)
     new = new.checkpoint(eager=True)
