@@ -394,8 +394,10 @@ def sessions_cte(name: str, keys: str, gap_micros: int, gap_literal: str) -> str
   FROM rides WHERE dropoff_datetime IS NOT NULL
 ),
 {name}_flagged AS (
+  -- RANGE frame: rows with equal timestamps get the same running count (at most one of them
+  -- starts a session), so the result does not depend on how ties are ordered
   SELECT *, sum(CASE WHEN prev IS NULL OR epoch_us(t) - epoch_us(prev) > {gap_micros} THEN 1 ELSE 0 END)
-            OVER (PARTITION BY {keys} ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid
+            OVER (PARTITION BY {keys} ORDER BY t RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid
   FROM {name}_lagged
 ),
 {name} AS (
