@@ -53,3 +53,22 @@ def test_results_do_not_depend_on_session_time_zone(spark, con, key):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     rel = con.sql(SQL[key])
     assert Counter(got) == Counter(rows_of(rel.columns, rel.fetchall()))
+
+
+def test_session_oracle_is_stable_under_tied_timestamps(spark):
+    # many rows share a timestamp: every tied row must land in the same session
+    import datetime as dt
+
+    from faresight.operators import sessions
+    from faresight.plans.oracle import sessions_cte, with_ctes
+    t0 = dt.datetime(2000, 1, 1)
+    rows = [(1, t0)] + [(1, t0 + dt.timedelta(days=9))] * 5 + [(1, t0 + dt.timedelta(days=9, minutes=4))]
+    c = duckdb.connect()
+    c.execute("CREATE TABLE rides (k INTEGER, dropoff_datetime TIMESTAMP)")
+    c.executemany("INSERT INTO rides VALUES (?, ?)", rows)
+    sql = with_ctes(sessions_cte("s", "k", 300_000_000, "5 minutes"), body="SELECT * FROM s")
+    want = sorted((r[1], r[3]) for r in c.execute(sql).fetchall())
+    df = spark.createDataFrame(rows, "k int, dropoff_datetime timestamp_ntz")
+    got = sorted((r.session_start, r.taxi_trips_streak)
+                 for r in sessions.session_counts(df, ["k"], "dropoff_datetime", "5 minutes").collect())
+    assert got == want == [(t0, 1), (t0 + dt.timedelta(days=9), 6)]
