@@ -6,13 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from faresight.plans.oracle import SQL
+from faresight.plans.queries import QUERIES
 from faresight.sources.tables import TABLES
 from tests.conftest import SF_SMALL
 from tools.check_oracle import rows_of
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con():
@@ -24,6 +23,7 @@ def con():
 
 def test_every_query_has_oracle():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(E.queries()) and set(SQL) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("key", sorted(QUERIES))
