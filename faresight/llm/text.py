@@ -117,6 +117,7 @@ def groups(texts) -> Iterator[tuple[int, list[bytes]]]:
     """
     begin, group, size = 0, [], 0
     for i, t in enumerate(texts):
+        t = t.as_py() if hasattr(t, "as_py") else t  # Arrow values one by one
         b = t.encode("utf-8", "surrogatepass") if isinstance(t, str) else b""
         if group and size + len(b) > GROUP_BYTES:
             yield begin, group
