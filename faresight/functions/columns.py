@@ -46,11 +46,14 @@ def safe_cast(c: str | Column, to: str = "int") -> Column:
     """Bad input becomes NULL instead of failing (ANSI mode raises on ``cast``).
 
     Text such as ``'1.0'`` is NULL for a direct string->int ``try_cast`` in
-    Spark, so integral targets go through DOUBLE first (truncating).
+    Spark, so integral targets also accept a number in another form if it is
+    whole; ``'1.9'`` is NULL, as no integer stands for it.
     """
     col = _col(c)
     if to in ("int", "integer", "bigint", "long", "smallint", "tinyint"):
-        return F.coalesce(col.try_cast(to), col.try_cast("double").try_cast(to))
+        number = col.try_cast("double")
+        return F.coalesce(F.when((number == F.floor(number)) | number.isNull(), col.try_cast(to)),
+                          F.when(number == F.floor(number), number.try_cast(to)))
     return col.try_cast(to)
 
 
@@ -70,13 +73,31 @@ def surrogate_key(cols: Sequence[str | Column], sep: str = "-") -> Column:
 
 
 def postgres_text(c: str | Column) -> Column:
-    """Text form of a DOUBLE as a PostgreSQL ``float8::text`` prints it for
-    the common cases: whole numbers without a fraction (``10``, not ``10.0``
-    or ``1.0E7``); other values in shortest form.  Use for row ids that must
-    equal ids computed in that database."""
-    x = _col(c)
-    whole = (x == F.floor(x)) & (F.abs(x) < F.lit(1e15))
-    return F.when(whole, x.cast("bigint").cast("string")).otherwise(x.cast("string"))
+    """Text form of a DOUBLE as PostgreSQL 12 and later print ``float8::text``:
+    the shortest digits that give the value back, without a needless fraction
+    (``10``), plain for exponents from -4 to 14 and as ``1.5e-05`` or
+    ``1e+15`` outside; ``NaN``, ``Infinity``, ``-Infinity`` and ``-0`` as such.
+    Use for row ids that must equal ids computed in that database."""
+    t = F.regexp_extract(_col(c).cast("string"), r"^(-?)(\d+)\.(\d+)(?:E(-?\d+))?$", 0)
+    part = lambda i: F.regexp_extract(_col(c).cast("string"), r"^(-?)(\d+)\.(\d+)(?:E(-?\d+))?$", i)
+    sign, whole, fraction, power = part(1), part(2), part(3), F.coalesce(part(4).try_cast("int"), F.lit(0))
+    raw = F.concat(whole, fraction)
+    lead = F.length(raw) - F.length(F.ltrim(raw, F.lit("0")))  # leading zeros of 0.00...
+    digits = F.rtrim(F.ltrim(raw, F.lit("0")), F.lit("0"))
+    exponent = F.length(whole) - 1 + power - lead  # of the first digit
+    n = F.length(digits)
+    plain = (F.when(exponent < 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits))
+             .when(n <= exponent + 1, F.rpad(digits, exponent + 1, F.lit("0")))
+             .otherwise(F.concat(F.substr(digits, F.lit(1), exponent + 1), F.lit("."), F.substr(digits, exponent + 2))))
+    scientific = F.concat(F.substr(digits, F.lit(1), F.lit(1)),
+                          F.when(n > 1, F.concat(F.lit("."), F.substr(digits, F.lit(2)))).otherwise(F.lit("")),
+                          F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+")),
+                          F.lpad(F.abs(exponent).cast("string"), F.greatest(F.length(F.abs(exponent).cast("string")), F.lit(2)),
+                                 F.lit("0")))
+    return (F.when(_col(c).isNull(), F.lit(None).cast("string"))
+            .when(t == "", _col(c).cast("string"))  # NaN, Infinity
+            .when(digits == "", F.concat(sign, F.lit("0")))
+            .otherwise(F.concat(sign, F.when(exponent.between(-4, 14), plain).otherwise(scientific))))
 
 
 def row_hash(cols: Sequence[str | Column], sep: str = "", text_form: dict | None = None) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from faresight.functions.columns import boundaries, day_range, elapsed, exact_mean, ntz_literal
@@ -92,18 +92,23 @@ def largest_tip_dropoff(trips: DataFrame, zones: DataFrame, pickup_zone: str,
     """Drop-off zone(s) of the trip(s) with the largest tip among trips
     picked up in ``pickup_zone``.  All trips tied at the maximum are kept.
 
-    The maximum is an uncorrelated scalar subquery (a separate small job),
-    not a join.
+    One pass: ``rank() = 1`` keeps ties, and Spark limits each task's rows by
+    that rank before they meet, so only tied rows travel.
     """
     pz = zones.filter(F.col("zone") == pickup_zone).select(F.col("locationid").alias("_pu"))
     from_zone = trips.join(pz, F.col(pickup_key).cast("int") == pz["_pu"]).drop("_pu")
-    top = from_zone.agg(F.max(tip_col))
-    best = from_zone.filter(F.col(tip_col) == top.scalar())
+    best = first_ranked(from_zone.filter(F.col(tip_col).isNotNull()), tip_col)
     dz = zones.select(F.col("locationid").alias("_do"), F.col("zone").alias("dropoff_zone"))
     return (best.join(dz, F.col(dropoff_key).cast("int") == dz["_do"])
                 .select("dropoff_zone", F.col(tip_col).alias("tip_amount")))
 
 
+def first_ranked(df: DataFrame, col: str) -> DataFrame:
+    """All rows with the largest ``col`` (a partial rank limit per task, then one task over their survivors)."""
+    ranked = df.withColumn("_rank", F.rank().over(Window.orderBy(F.col(col).desc())))
+    return ranked.filter(F.col("_rank") == 1).drop("_rank")
+
+
 def distinct_count(df: DataFrame, col: str, alias: str | None = None) -> DataFrame:
     return df.agg(F.count_distinct(col).alias(alias or f"distinct_{col}"))
 
@@ -185,16 +190,19 @@ def rows_by_file(trips: DataFrame, service_col: str = "service_type",
 def rows_per_service_period(trips: DataFrame, year: int, month: int | None = None,
                             service_col: str = "service_type", ts_col: str = "pickup_datetime") -> DataFrame:
     """Row count per service for one year (or one month of it)."""
-    t = trips.filter(F.year(ts_col) == year)
-    if month is not None:
-        t = t.filter(F.month(ts_col) == month)
+    first = _dt.date(year, month or 1, 1)
+    after = _dt.date(year + (month is None or month == 12), 1 if month is None else month % 12 + 1, 1)
+    t = trips.filter((F.col(ts_col) >= _ts(first)) & (F.col(ts_col) < _ts(after)))
     return t.groupBy(service_col).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def rounded_group_mean(df: DataFrame, key: str, value: str, alias: str, scale: int = 2,
-                       in_scale: int = 2) -> DataFrame:
-    """``round(avg(value), scale)`` per key, exact, highest first."""
-    v = F.col(value).try_cast("double").cast(f"decimal(18,{in_scale})")
+                       in_scale: int = 9) -> DataFrame:
+    """``round(avg(value), scale)`` per key, exact, highest first.
+
+    Values are averaged as they are and rounded once at the end; they are
+    taken to ``in_scale`` decimals so that the sum does not depend on order."""
+    v = F.col(value).try_cast("double").cast(f"decimal(20,{in_scale})")
     return (df.groupBy(key).agg(exact_mean(v, in_scale, scale).alias(alias))
               .orderBy(F.col(alias).desc_nulls_last(), F.col(key)))
 

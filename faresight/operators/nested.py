@@ -12,7 +12,7 @@ list: no grouping, no shuffle, work stays with the partition that read it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
@@ -56,10 +56,16 @@ def normalise(df: DataFrame, table: str, key: str | None = None) -> dict[str, Da
     """Return ``{table: flat_parent, f"{table}__{list}": child, ...}``.
 
     ``key`` names the column identifying a record (e.g. ``record_hash``);
-    without it a row hash is used.  Nested lists inside list elements
-    become grandchild tables keyed by the child's own ``_record_id``.
+    without it a row hash is used, with a number for each further one of
+    several identical records.  Nested lists inside list elements, and lists
+    of lists, become grandchild tables keyed by the child's own ``_record_id``.
     """
     keyed = df.withColumn(RECORD_ID, record_key(df, key))
+    if key is None and PARENT_ID not in df.columns:  # a child row has its parent and place to tell it apart
+        same = Window.partitionBy(RECORD_ID).orderBy(RECORD_ID)
+        keyed = keyed.withColumn("_copy", F.row_number().over(same)).withColumn(
+            RECORD_ID, F.when(F.col("_copy") == 1, F.col(RECORD_ID)).otherwise(
+                F.concat_ws("-", RECORD_ID, "_copy"))).drop("_copy")
     cols, arrays = _flatten_fields(keyed.schema, None, "")
     out = {table: keyed.select(*cols)}
     for name, col, elem in arrays:
@@ -71,6 +77,8 @@ def normalise(df: DataFrame, table: str, key: str | None = None) -> dict[str, Da
             inner = normalise(flat, child, key=None)
             # keep the link columns first for readability
             out.update(inner)
+        elif isinstance(elem, ArrayType):
+            out.update(normalise(exploded.select(PARENT_ID, LIST_IDX, F.col("_elem").alias("value")), child))
         else:
             out[child] = exploded.select(PARENT_ID, LIST_IDX, F.col("_elem").alias("value"))
     return out

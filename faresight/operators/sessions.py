@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from faresight.functions.columns import floor_div, wall_micros
+from faresight.operators.adhoc import first_ranked
 
 
 def _gap_micros(gap: str) -> int:
@@ -69,7 +70,5 @@ def session_counts_native(df: DataFrame, keys: Sequence[str], ts_col: str, gap:
 
 
 def longest_sessions(sessions: DataFrame, count_col: str = "taxi_trips_streak") -> DataFrame:
-    """Sessions whose count equals the maximum (ties kept); the maximum is a
-    scalar subquery over the session rows."""
-    top = sessions.agg(F.max(count_col))
-    return sessions.filter(F.col(count_col) == top.scalar())
+    """Sessions whose count equals the maximum (ties kept), in one pass over the sessions."""
+    return first_ranked(sessions.filter(F.col(count_col).isNotNull()), count_col)

@@ -64,21 +64,19 @@ def _typed_columns(pickup_col: str, dropoff_col: str, trip_type, ehail_fee) -> l
 
 def stage_trips(raw: DataFrame, street_hail_only: bool = False,
                 pickup_col: str = "pickup_datetime", dropoff_col: str = "dropoff_datetime",
-                tiebreak: Sequence[str] = (), limit: int | None = None) -> DataFrame:
+                tiebreak: Sequence[str] = ()) -> DataFrame:
     """Green/yellow staging model.
 
     ``street_hail_only`` (yellow): trip type is the constant 1 and there is no
-    e-hail fee.  ``limit`` is the development row limit, applied after a
-    total order (off by default).
+    e-hail fee.  Of rows with the same vendor and pickup time the first by
+    ``tiebreak`` (default: all columns) stays.  A development row limit is
+    the caller's ``.limit(n)`` on the result.
     """
     t = raw.filter(F.col("vendorid").isNotNull())
-    t = dedupe_first(t, ["vendorid", pickup_col], [F.col(c) for c in tiebreak] or [F.col("vendorid")])
+    t = dedupe_first(t, ["vendorid", pickup_col], [F.col(c) for c in tiebreak or raw.columns])
     trip_type = F.lit(1) if street_hail_only else safe_cast("trip_type", "int")
     ehail = F.lit(0).cast(MONEY) if street_hail_only else money("ehail_fee")
-    out = t.select(*_typed_columns(pickup_col, dropoff_col, trip_type, ehail))
-    if limit is not None:
-        out = out.orderBy("tripid", "pickup_datetime").limit(limit)
-    return out
+    return t.select(*_typed_columns(pickup_col, dropoff_col, trip_type, ehail))
 
 
 def stage_services(raw: DataFrame, service_col: str = "service_type",
@@ -95,7 +93,7 @@ def stage_services(raw: DataFrame, service_col: str = "service_type",
     """
     t = raw.filter(F.col("vendorid").isNotNull())
     t = dedupe_first(t, [service_col, "vendorid", pickup_col],
-                     [F.col(c) for c in tiebreak] or [F.col("vendorid")])
+                     [F.col(c) for c in tiebreak or raw.columns])
     hail = F.col(service_col).isin(list(street_hail_services))
     trip_type = F.when(hail, F.lit(1)).otherwise(safe_cast("trip_type", "int"))
     ehail = F.when(hail, F.lit(0).cast(MONEY)).otherwise(money("ehail_fee"))
@@ -103,18 +101,14 @@ def stage_services(raw: DataFrame, service_col: str = "service_type",
                     F.col(service_col).alias("service_type"))
 
 
-def stage_fhv(raw: DataFrame, limit: int | None = None) -> DataFrame:
+def stage_fhv(raw: DataFrame) -> DataFrame:
     """FHV staging: drop rows without a dispatching base, type the times."""
-    out = raw.filter(F.col("dispatching_base_num").isNotNull()).select(
+    return raw.filter(F.col("dispatching_base_num").isNotNull()).select(
         "dispatching_base_num",
         F.col("pickup_datetime").cast("timestamp_ntz").alias("pickup_datetime"),
         F.col("dropoff_datetime").cast("timestamp_ntz").alias("dropoff_datetime"),
         "pulocationid", "dolocationid", "sr_flag", "affiliated_base_number",
     )
-    if limit is not None:
-        out = out.orderBy("dispatching_base_num", "pickup_datetime", "dropoff_datetime",
-                          "pulocationid", "dolocationid").limit(limit)
-    return out
 
 
 def stage_zones(zones: DataFrame) -> DataFrame:

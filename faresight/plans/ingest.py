@@ -13,6 +13,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from faresight.functions.columns import postgres_text
 from faresight.sinks import merge, tables
 from faresight.sources import files
 
@@ -43,6 +44,9 @@ ROW_ID_KEYS = {
 }
 # ---------------------------------------------------------------------------
 
+# Key columns of type double, written in the row id as the database writes them.
+DOUBLE_KEYS = {c: postgres_text for c in ("fare_amount", "trip_distance")}
+
 
 def monthly_file_name(service: str, year: int, month: int) -> str:
     """``green_tripdata_2020-04.csv``"""
@@ -66,20 +70,23 @@ def ingest_month(spark: SparkSession, landing_dir: str, service: str, year: int,
     staging_name = f"{service}_tripdata_staging"
     ensure_target(spark, service, target_table, buckets)
     staged = files.external_table(spark, staging_name, f"{landing_dir.rstrip('/')}/{fname}", CSV_SCHEMAS[service])
-    stamped = merge.stamp(staged, ROW_ID_KEYS[(service, key_set)], fname)
+    stamped = merge.stamp(staged, ROW_ID_KEYS[(service, key_set)], fname, text_form=DOUBLE_KEYS)
     inserted = merge.merge_insert_only(spark, stamped, target_table)
     tables.drop(spark, staging_name, view=True)  # X21: drop the staging view
     return {"file": fname, "inserted": inserted}
 
 
 def ingest_months(spark: SparkSession, landing_dir: str, service: str, months: Iterable[tuple[int, int]],
-                  target_table: str, key_set: str = "on_premise", buckets: int = 64) -> int:
+                  target_table: str, key_set: str = "on_premise", buckets: int = 64,
+                  named_by_folder: bool = False) -> int:
     """Backfill several months in one read and one merge; each row keeps the
-    name of the file it came from."""
+    name of the file it came from (``named_by_folder``: a month is a folder of
+    that name with part files)."""
     ensure_target(spark, service, target_table, buckets)
     paths = [f"{landing_dir.rstrip('/')}/{monthly_file_name(service, y, m)}" for y, m in months]
     staged = files.read_csv(spark, paths[0] if len(paths) == 1 else paths, schema=CSV_SCHEMAS[service])
-    stamped = merge.stamp(staged, ROW_ID_KEYS[(service, key_set)], None)
+    name = F.element_at(F.split("_metadata.file_path", "/"), -2) if named_by_folder else None
+    stamped = merge.stamp(staged, ROW_ID_KEYS[(service, key_set)], name, text_form=DOUBLE_KEYS)
     return merge.merge_insert_only(spark, stamped, target_table)
 
 

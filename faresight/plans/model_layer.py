@@ -28,13 +28,13 @@ def materialize_parquet(spark: SparkSession, df: DataFrame, name: str) -> DataFr
 def build_models(spark: SparkSession, raw_green: DataFrame, raw_yellow: DataFrame, raw_fhv: DataFrame,
                  zones: DataFrame, *, tiebreak: Sequence[str] = (), years: Sequence[int] = (2019, 2020),
                  unknown_borough: str = "Unknown", excluded_zone_ids: Sequence[int] = (264, 265),
-                 payment_values: Sequence[int] = (1, 2, 3, 4, 5, 6), limit: int | None = None,
+                 payment_values: Sequence[int] = (1, 2, 3, 4, 5, 6),
                  materialize: bool = True) -> dict[str, DataFrame]:
     """Return every model by name (all lazy except the materialised fact)."""
     out: dict[str, DataFrame] = {}
-    out["stg_green"] = staging.stage_trips(raw_green, tiebreak=tiebreak, limit=limit)
-    out["stg_yellow"] = staging.stage_trips(raw_yellow, street_hail_only=True, tiebreak=tiebreak, limit=limit)
-    out["stg_fhv"] = staging.stage_fhv(raw_fhv, limit=limit)
+    out["stg_green"] = staging.stage_trips(raw_green, tiebreak=tiebreak)
+    out["stg_yellow"] = staging.stage_trips(raw_yellow, street_hail_only=True, tiebreak=tiebreak)
+    out["stg_fhv"] = staging.stage_fhv(raw_fhv)
     out["stg_zones"] = staging.stage_zones(zones)
     fact = models.fact_trips(out["stg_green"], out["stg_yellow"], out["stg_zones"], unknown_borough=unknown_borough)
     out["fact_trips"] = materialize_parquet(spark, fact, "fact_trips") if materialize else fact

@@ -8,6 +8,7 @@ Output column names and types are aligned with the Spark results.
 
 from __future__ import annotations
 
+from faresight.functions.columns import PAYMENT_TYPE_DESCRIPTIONS, PAYMENT_TYPE_OTHER
 from faresight.plans import params as P
 
 # ---- adapter views ---------------------------------------------------------
@@ -15,23 +16,23 @@ from faresight.plans import params as P
 RAW_TRIPS = """
 raw_lines AS (
   SELECT l.*, o.o_orderdate, c.c_nationkey, s.s_nationkey,
-         CAST(l.l_extendedprice AS DECIMAL(18,2)) AS _fare,
-         CAST(round(CAST(l.l_extendedprice AS DECIMAL(18,2)) * CAST(l.l_discount AS DECIMAL(4,2)), 2) AS DECIMAL(18,2)) AS _tip,
-         CAST(round(CAST(l.l_extendedprice AS DECIMAL(18,2)) * CAST(l.l_tax AS DECIMAL(4,2)), 2) AS DECIMAL(18,2)) AS _tax
-  FROM lineitem l
-  JOIN orders o ON l.l_orderkey = o.o_orderkey
-  JOIN customer c ON o.o_custkey = c.c_custkey
-  JOIN supplier s ON l.l_suppkey = s.s_suppkey
+         CAST(round(_fare * CAST(l.l_discount AS DECIMAL(4,2)), 2) AS DECIMAL(18,2)) AS _tip,
+         CAST(round(_fare * CAST(l.l_tax AS DECIMAL(4,2)), 2) AS DECIMAL(18,2)) AS _tax
+  FROM (SELECT *, CAST(CASE WHEN l_partkey % 89 = 1 THEN 0 ELSE l_extendedprice END AS DECIMAL(18,2)) AS _fare
+        FROM lineitem) l
+  LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
+  LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+  LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
 ),
 raw_trips AS (
-  SELECT CAST(l_suppkey AS VARCHAR) AS vendorid,
+  SELECT CASE WHEN l_partkey % 97 <> 0 THEN CAST(l_suppkey AS VARCHAR) END AS vendorid,
          l_orderkey AS src_orderkey, l_linenumber AS src_linenumber, l_partkey AS src_partkey,
          CASE WHEN l_linestatus = 'O' THEN 'Green' ELSE 'Yellow' END AS service_type,
          least(o_orderdate, l_shipdate) AS pickup_datetime,
          greatest(o_orderdate, l_shipdate) AS dropoff_datetime,
          l_returnflag AS store_and_fwd_flag,
          CAST(l_linenumber AS VARCHAR) AS ratecodeid,
-         CAST(c_nationkey AS VARCHAR) AS pulocationid,
+         CASE WHEN l_partkey % 83 = 2 THEN '999' ELSE CAST(c_nationkey AS VARCHAR) END AS pulocationid,
          CAST(s_nationkey AS VARCHAR) AS dolocationid,
          nullif(l_linenumber, 1) AS passenger_count,
          l_quantity AS trip_distance,
@@ -58,7 +59,8 @@ zones AS (
 
 RAW_FHV = """
 raw_fhv AS (
-  SELECT 'B' || lpad(CAST(l.l_suppkey AS VARCHAR), 5, '0') AS dispatching_base_num,
+  SELECT CASE WHEN l.l_partkey % 79 <> 3 THEN 'B' || lpad(CAST(l.l_suppkey AS VARCHAR), 5, '0') END
+           AS dispatching_base_num,
          least(o.o_orderdate, l.l_shipdate) AS pickup_datetime,
          greatest(o.o_orderdate, l.l_shipdate) AS dropoff_datetime,
          c.c_nationkey AS pulocationid,
@@ -66,25 +68,25 @@ raw_fhv AS (
          CASE WHEN l.l_returnflag = 'R' THEN 1 END AS sr_flag,
          'B' || lpad(CAST(l.l_suppkey AS VARCHAR), 5, '0') AS affiliated_base_number
   FROM lineitem l
-  JOIN orders o ON l.l_orderkey = o.o_orderkey
-  JOIN customer c ON o.o_custkey = c.c_custkey
-  JOIN supplier s ON l.l_suppkey = s.s_suppkey
+  LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
+  LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+  LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
 )"""
 
 RIDES = """
 rides AS (
-  SELECT event_id, user_id, event_type,
-         ts AS pickup_datetime,
-         ts + to_microseconds(CAST(round(value * 1000000) AS BIGINT)) AS dropoff_datetime,
-         CAST(json_extract_string(props, '$.k') AS INTEGER) AS passenger_count,
+  SELECT event_id, user_id, event_type, pickup_datetime,
+         pickup_datetime + to_microseconds(CAST(round(value * 1000000) AS BIGINT)) AS dropoff_datetime,
+         CASE WHEN event_id % 11 <> 0 THEN CAST(json_extract_string(props, '$.k') AS INTEGER) END AS passenger_count,
          value AS tip_amount
-  FROM events
+  FROM (SELECT *, CASE WHEN event_id % 50 = 7 THEN CAST(CAST(ts AS DATE) AS TIMESTAMP) + to_microseconds(86399500000)
+                       ELSE ts END AS pickup_datetime FROM events)
 )"""
 
 
 def payment_case(expr: str) -> str:
-    return (f"CASE {expr} WHEN 1 THEN 'Credit card' WHEN 2 THEN 'Cash' WHEN 3 THEN 'No charge' "
-            f"WHEN 4 THEN 'Dispute' WHEN 5 THEN 'Unknown' WHEN 6 THEN 'Voided trip' ELSE 'EMPTY' END")
+    cases = " ".join(f"WHEN {code} THEN '{label}'" for code, label in PAYMENT_TYPE_DESCRIPTIONS.items())
+    return f"CASE {expr} {cases} ELSE '{PAYMENT_TYPE_OTHER}' END"
 
 
 def stg_sql(name: str, service: str, street_hail_only: bool) -> str:
@@ -138,17 +140,16 @@ FACT_COLUMNS = """tripid, vendorid, service_type, ratecodeid, pickup_locationid,
     payment_type_description"""
 
 FACT = f"""
-known_zones AS (SELECT * FROM zones WHERE borough != 'MIDDLE EAST'),
-trips_unioned AS (
-  SELECT *, 'Green' AS service_type FROM stg_green
-  UNION ALL
-  SELECT *, 'Yellow' AS service_type FROM stg_yellow
+named_zones AS (SELECT locationid, borough, zone FROM zones WHERE borough != 'MIDDLE EAST'),
+both_services AS (
+  FROM stg_yellow SELECT 'Yellow' AS service_type, *
+  UNION ALL BY NAME
+  FROM stg_green SELECT 'Green' AS service_type, *
 ),
 fact_trips AS (
   SELECT {FACT_COLUMNS}
-  FROM trips_unioned
-  JOIN known_zones pz ON trips_unioned.pickup_locationid = pz.locationid
-  JOIN known_zones dz ON trips_unioned.dropoff_locationid = dz.locationid
+  FROM both_services, named_zones pz, named_zones dz
+  WHERE pz.locationid = pickup_locationid AND dz.locationid = dropoff_locationid
 )"""
 
 DIM_FHV = f"""
@@ -293,13 +294,13 @@ SELECT lk.zone, total_amount FROM cte JOIN zones lk ON cte.pulocationid = lk.loc
 ORDER BY total_amount DESC, zone LIMIT {P.TOP_ZONES_K}""")
 
 SQL["largest_tip_dropoff"] = with_ctes(RAW_TRIPS, ZONES, GREEN, f"""
-cte AS (
-  SELECT g.* FROM raw_green g JOIN zones lk ON CAST(g.pulocationid AS INTEGER) = lk.locationid
-  WHERE lk.zone = '{P.TIP_PICKUP_ZONE}'
-),
-highest_tip AS (SELECT * FROM cte WHERE tip_amount = (SELECT max(tip_amount) FROM cte))""", body="""
-SELECT lk.zone AS dropoff_zone, ht.tip_amount
-FROM highest_tip ht JOIN zones lk ON CAST(ht.dolocationid AS INTEGER) = lk.locationid""")
+ranked AS (
+  SELECT dolocationid, tip_amount, rank() OVER (ORDER BY tip_amount DESC) AS place
+  FROM raw_green
+  WHERE pulocationid IN (SELECT CAST(locationid AS VARCHAR) FROM zones WHERE zone = '{P.TIP_PICKUP_ZONE}')
+)""", body="""
+SELECT zone AS dropoff_zone, tip_amount
+FROM ranked, zones WHERE place = 1 AND dolocationid = CAST(locationid AS VARCHAR)""")
 
 SQL["distinct_pickups"] = with_ctes(RAW_TRIPS, YELLOW, body="""
 SELECT count(DISTINCT pulocationid) AS distinct_pickups FROM raw_yellow""")
@@ -325,9 +326,9 @@ SQL["longest_trip_hours"] = with_ctes(RAW_TRIPS, YELLOW, body="""
 SELECT max(date_sub('hour', pickup_datetime, dropoff_datetime)) AS max_trip_hours FROM raw_yellow""")
 
 SQL["zone_frequency"] = with_ctes(RAW_TRIPS, ZONES, YELLOW, body="""
-SELECT t.zone, count(1) AS frequency
-FROM raw_yellow y JOIN zones t ON CAST(y.pulocationid AS INTEGER) = t.locationid
-GROUP BY 1 ORDER BY frequency ASC""")
+SELECT zone, count(*) AS frequency
+FROM zones INNER JOIN raw_yellow ON CAST(locationid AS VARCHAR) = pulocationid
+GROUP BY zone ORDER BY 2""")
 
 SQL["zone_frequency_sql"] = SQL["zone_frequency"]
 
@@ -380,6 +381,19 @@ SELECT 'unique', 'tripid', 'warn', count(*) FROM (
 )"""
 
 
+SQL["dq_raw_trips"] = with_ctes(RAW_TRIPS, ZONES, """
+t AS (
+  SELECT md5(concat_ws('-', coalesce(vendorid, ''), coalesce(CAST(pickup_datetime AS VARCHAR), ''))) AS tripid,
+         vendorid, CAST(pulocationid AS INTEGER) AS zone
+  FROM raw_trips
+)""", body="""
+SELECT 'not_null' AS check_name, 'vendorid' AS column_name, 'warn' AS severity,
+       count(*) FILTER (WHERE vendorid IS NULL) AS failures FROM t
+UNION ALL
+SELECT 'relationships', 'pulocationid', 'warn',
+       count(*) FILTER (WHERE zone NOT IN (SELECT locationid FROM zones)) FROM t
+UNION ALL
+SELECT 'unique', 'tripid', 'warn', count(*) FROM (SELECT tripid FROM t GROUP BY tripid HAVING count(*) > 1)""")
 SQL["dq_stg_green"] = with_ctes(RAW_TRIPS, ZONES, STG_GREEN, body=dq_sql("stg_green", "error"))
 SQL["dq_stg_yellow"] = with_ctes(RAW_TRIPS, ZONES, STG_YELLOW, body=dq_sql("stg_yellow", "warn"))
 
@@ -437,15 +451,18 @@ LANDED_COLUMNS = ("vendorid, pickup_datetime, dropoff_datetime, passenger_count,
 
 def merge_sql(service: str, key_columns) -> str:
     hashed = " || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in key_columns)
+    stamped = (f"md5({hashed}) AS unique_row_id, lower(service_type) || '_tripdata_' || "
+               f"strftime(pickup_datetime, '%Y-%m') || '.csv' AS filename, {LANDED_COLUMNS}")
     return with_ctes(RAW_TRIPS, f"""
-landed AS (
-  SELECT md5({hashed}) AS unique_row_id,
-         lower(service_type) || '_tripdata_' || strftime(pickup_datetime, '%Y-%m') || '.csv' AS filename,
-         {LANDED_COLUMNS}
-  FROM raw_trips WHERE service_type = '{service}'
+files AS (SELECT * FROM raw_trips WHERE service_type = '{service}'),
+batch AS (
+  SELECT * FROM files WHERE pickup_datetime >= TIMESTAMP '{P.MERGE_SOURCE_FROM}'
+  UNION ALL
+  SELECT * REPLACE (CAST(fare_amount + 1 AS DECIMAL(18,2)) AS fare_amount) FROM files
+  WHERE pickup_datetime >= TIMESTAMP '{P.MERGE_SOURCE_FROM}' AND ratecodeid = '{P.REVISED_RATECODE}'
 ),
-target AS (SELECT * FROM landed WHERE pickup_datetime < TIMESTAMP '{P.MERGE_TARGET_BEFORE}'),
-source AS (SELECT * FROM landed WHERE pickup_datetime >= TIMESTAMP '{P.MERGE_SOURCE_FROM}')""", body="""
+target AS (SELECT {stamped} FROM files WHERE pickup_datetime < TIMESTAMP '{P.MERGE_TARGET_BEFORE}'),
+source AS (SELECT {stamped} FROM batch)""", body="""
 SELECT * FROM target
 UNION ALL
 SELECT * FROM source s WHERE NOT EXISTS (SELECT 1 FROM target t WHERE t.unique_row_id = s.unique_row_id)""")
@@ -466,7 +483,8 @@ run1 AS (SELECT * FROM r WHERE pickup_datetime < TIMESTAMP '{P.INCREMENTAL_SPLIT
                           AND dropoff_datetime >= TIMESTAMP '{P.INCREMENTAL_INITIAL}')""", body="""
 SELECT *, 1 AS _load_id FROM run1
 UNION ALL
-SELECT *, 2 AS _load_id FROM r WHERE dropoff_datetime > (SELECT max(dropoff_datetime) FROM run1)""")
+SELECT *, 2 AS _load_id FROM r WHERE dropoff_datetime >= (SELECT max(dropoff_datetime) FROM run1)
+                               AND event_id NOT IN (SELECT event_id FROM run1)""")
 
 SQL["load_nested_parents"] = """
 SELECT conv_id, turn, md5(CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR)) AS record_hash,
@@ -483,5 +501,48 @@ FROM (
 )"""
 
 SQL["brand_avg_price"] = f"""
-SELECT p_brand AS brand, {exact_mean_sql('CAST(p_retailprice AS DECIMAL(18,2))', 2, 2)} AS avg_price
+SELECT p_brand AS brand, {exact_mean_sql('CAST(p_retailprice AS DECIMAL(20,9))', 9, 2)} AS avg_price
 FROM part GROUP BY p_brand ORDER BY avg_price DESC"""
+
+
+# ---- readers, writers, loads, catalog -------------------------------------------
+
+SQL["csv_inferred"] = "SELECT * FROM part"
+SQL["csv_gzip"] = "SELECT * FROM customer"
+SQL["csv_external"] = "SELECT * FROM orders"
+SQL["bulk_load_columns"] = "SELECT s_suppkey, s_acctbal, CAST(NULL AS INTEGER) AS s_rating FROM supplier"
+SQL["parquet_glob"] = "SELECT * FROM orders WHERE year(o_orderdate) IN (1996, 1997)"
+SQL["repartition_parquet"] = "SELECT CAST(4 AS BIGINT) AS files, count(*) AS rows FROM events"
+SQL["append_batches"] = """
+SELECT c_custkey, c_nationkey FROM customer UNION ALL SELECT s_suppkey, s_nationkey FROM supplier"""
+SQL["json_lines"] = "SELECT * FROM events"
+SQL["json_pages"] = "SELECT conv_id, turn, role, text FROM conversations"
+SQL["parse_timestamps"] = "SELECT o_orderkey, date_trunc('minute', o_orderdate) AS ordered_at FROM orders"
+SQL["external_parquet_table"] = "SELECT * FROM customer"
+SQL["bucketed_table"] = "SELECT o_custkey, count(*) AS orders FROM orders GROUP BY o_custkey"
+SQL["partitioned_vendors"] = SQL["vendors_in_range"]
+SQL["native_copy_reload"] = """
+SELECT o_orderpriority, count(*) AS orders, false AS dropped_table_exists
+FROM orders WHERE year(o_orderdate) = 1997 GROUP BY o_orderpriority"""
+SQL["table_catalog"] = """
+SELECT column_name, (SELECT count(*) FROM lineitem) AS rows, count(*) OVER () AS columns
+FROM (DESCRIBE SELECT * FROM lineitem)"""
+SQL["replace_append_loads"] = """
+SELECT event_type, count(*) AS rows, CAST(4 AS BIGINT) AS loads,
+       (SELECT count(*) FROM events WHERE event_type IN ('click', 'view', 'purchase', 'error')) AS loaded_rows
+FROM events WHERE event_type IN ('purchase', 'error') GROUP BY event_type"""
+SQL["ingest_monthly"] = with_ctes(RAW_TRIPS, body=f"""
+SELECT 'yellow_tripdata_' || strftime(pickup_datetime, '%Y-%m') || '.csv' AS filename, count(*) AS rows
+FROM raw_trips
+WHERE service_type = 'Yellow' AND strftime(pickup_datetime, '%Y-%m') IN ({", ".join(f"'{y}-{m:02d}'" for y, m in P.INGEST_MONTHS)})
+GROUP BY 1""")
+SQL["trips_on_day_formatted"] = SQL["trips_on_day"]
+SQL["recent_rides"] = with_ctes(RIDES, body=f"""
+SELECT count(*) FILTER (WHERE pickup_datetime >= DATE '{P.AS_OF}' - INTERVAL {P.DAYS_BACK} DAY) AS before_day,
+       count(*) FILTER (WHERE pickup_datetime >= current_date - INTERVAL 36500 DAY) AS last_century
+FROM rides""")
+SQL["top_tips"] = with_ctes(RIDES, body=f"""
+SELECT event_id, tip_amount FROM rides ORDER BY tip_amount DESC NULLS LAST, event_id LIMIT {P.TOP_TIPS}""")
+SQL["late_rides_dropped"] = with_ctes(RIDES, body=f"""
+SELECT CAST(count(*) AS BIGINT) AS rides, min(dropoff_datetime) AS first_session
+FROM rides WHERE dropoff_datetime >= TIMESTAMP '{P.LATE_BEFORE}'""")

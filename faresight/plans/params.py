@@ -17,6 +17,7 @@ P90_YEAR, P90_MONTH, P90_RANK = 1996, 11, 2
 INCREMENTAL_INITIAL = "2024-01-01"     # first-run cursor floor
 INCREMENTAL_SPLIT = "2024-01-15"       # source extent at the first run
 MERGE_TARGET_BEFORE = "1998-01-01"     # target holds files before this month
+REVISED_RATECODE = "3"                 # rides of the new batch that come again with another fare
 MERGE_SOURCE_FROM = "1997-07-01"       # new batch overlaps the target by 6 months
 SESSION_GAP = "5 minutes"
 SESSION_GAP_LONG = "6 hours"
@@ -26,3 +27,11 @@ ROW_ID_COLUMNS_CLOUD = ("vendorid", "pickup_datetime", "dropoff_datetime", "pulo
 PRODUCT_KEYS = ("brand", "price")
 ROWS_YEAR = 1997                       # "rows for all files of 2020"
 ROWS_MONTH = (1998, 3)                 # "rows for the March 2021 file"
+
+INGEST_MONTHS = ((1997, 5), (1997, 6), (1997, 7))
+AS_OF, DAYS_BACK = "2024-01-20", 7
+TOP_TIPS = 10
+LATE_BEFORE = "2024-01-15 00:00:00"
+
+# Slices of drop-off time in which the streaming query receives its rides.
+STREAM_SLICES = 3

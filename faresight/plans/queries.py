@@ -5,16 +5,20 @@ adapter) in full and returns a lazy DataFrame; nothing is collected here.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faresight.functions.columns import keep_keys
+from faresight.functions.columns import MONEY, keep_keys, surrogate_key
 from faresight.operators import adhoc, models, nested, quality, sessions, staging
+from faresight.plans import io_queries
 from faresight.plans import params as P
-from faresight.sinks import merge
+from faresight.sinks import loads, merge
+from faresight.sinks.files import write_json
 from faresight.sources import taxi_adapter as A
+from faresight.sources.files import read_json
 from faresight.sources.tables import table
 from faresight.session import scratch_path
 from faresight.streaming import messages
@@ -71,54 +75,60 @@ def fhv_travel_time_p90(spark, d):
 
 
 def fhv_nth_longest_p90(spark, d):
-    return models.fhv_nth_longest_p90(dim_fhv_trips(spark, d), P.P90_YEAR, P.P90_MONTH, P.P90_RANK)
+    fhv = staging.stage_fhv(A.raw_fhv_trips(spark, d, pickup_from=dt.date(P.P90_YEAR, P.P90_MONTH, 1)))
+    dim = models.dim_fhv_trips(fhv, stg_zones(spark, d), excluded_ids=A.UNKNOWN_ZONE_IDS)
+    return models.fhv_nth_longest_p90(dim, P.P90_YEAR, P.P90_MONTH, P.P90_RANK)
 
 
 # -- ad-hoc questions ---------------------------------------------------------
 
-def _green(spark, d):
-    return A.raw_service_trips(spark, d, "Green")
+def _green(spark, d, *columns, **implied):
+    return A.raw_service_trips(spark, d, "Green", columns, **implied)
 
 
-def _yellow(spark, d):
-    return A.raw_service_trips(spark, d, "Yellow")
+def _yellow(spark, d, *columns, **implied):
+    return A.raw_service_trips(spark, d, "Yellow", columns, **implied)
 
 
 def distance_bands(spark, d):
-    return adhoc.distance_bands(_green(spark, d))
+    return adhoc.distance_bands(_green(spark, d, "trip_distance"))
 
 
 def longest_trip_day(spark, d):
-    return adhoc.longest_trip_day(_green(spark, d), by="dayofmonth")
+    return adhoc.longest_trip_day(_green(spark, d, "trip_distance", "pickup_datetime"), by="dayofmonth")
 
 
 def longest_trip_date(spark, d):
-    return adhoc.longest_trip_day(_green(spark, d), by="date")
+    return adhoc.longest_trip_day(_green(spark, d, "trip_distance", "pickup_datetime"), by="date")
 
 
 def top_pickup_zones(spark, d):
-    return adhoc.top_pickup_zones(_green(spark, d), A.zones(spark, d), P.TOP_ZONES_DAY,
-                                  P.TOP_ZONES_MIN_TOTAL, P.TOP_ZONES_K)
+    day = dt.date.fromisoformat(str(P.TOP_ZONES_DAY))
+    trips = _green(spark, d, "pulocationid", "pickup_datetime", "total_amount", pickup_from=day)
+    return adhoc.top_pickup_zones(trips, A.zones(spark, d), P.TOP_ZONES_DAY, P.TOP_ZONES_MIN_TOTAL, P.TOP_ZONES_K)
 
 
 def largest_tip_dropoff(spark, d):
-    return adhoc.largest_tip_dropoff(_green(spark, d), A.zones(spark, d), P.TIP_PICKUP_ZONE)
+    return adhoc.largest_tip_dropoff(_green(spark, d, "pulocationid", "dolocationid", "tip_amount"),
+                                     A.zones(spark, d), P.TIP_PICKUP_ZONE)
 
 
 def distinct_pickups(spark, d):
-    return adhoc.distinct_count(_yellow(spark, d), "pulocationid", "distinct_pickups")
+    return adhoc.distinct_count(_yellow(spark, d, "pulocationid"), "pulocationid", "distinct_pickups")
 
 
 def zero_fare_count(spark, d):
-    return adhoc.count_equal(_yellow(spark, d), "fare_amount", 0, "zero_fare_trips")
+    return adhoc.count_equal(_yellow(spark, d, "fare_amount"), "fare_amount", 0, "zero_fare_trips")
 
 
 def zero_tip_count(spark, d):
-    return adhoc.count_equal(_yellow(spark, d), "tip_amount", 0, "zero_tip_trips")
+    return adhoc.count_equal(_yellow(spark, d, "tip_amount"), "tip_amount", 0, "zero_tip_trips")
 
 
 def vendors_in_range(spark, d):
-    return adhoc.distinct_in_range(_yellow(spark, d), "vendorid", "dropoff_datetime", *P.VENDOR_RANGE)
+    after = dt.date.fromisoformat(str(P.VENDOR_RANGE[1])) + dt.timedelta(days=1)
+    trips = _yellow(spark, d, "vendorid", "dropoff_datetime", dropoff_before=after)
+    return adhoc.distinct_in_range(trips, "vendorid", "dropoff_datetime", *P.VENDOR_RANGE)
 
 
 def trips_on_day(spark, d):
@@ -130,23 +140,21 @@ def trips_on_day_bounds(spark, d):
 
 
 def longest_trip_hours(spark, d):
-    return adhoc.longest_trip_hours(_yellow(spark, d))
+    return adhoc.longest_trip_hours(_yellow(spark, d, "pickup_datetime", "dropoff_datetime"))
 
 
 def zone_frequency(spark, d):
-    return adhoc.zone_frequency(_yellow(spark, d), A.zones(spark, d))
+    return adhoc.zone_frequency(_yellow(spark, d, "pulocationid"), A.zones(spark, d))
 
 
 def zone_frequency_sql(spark, d):
-    """The same question through Spark SQL over temp views (the direct
-    PySpark path), with ``GROUP BY 1`` as written in the reference notebook."""
-    _yellow(spark, d).createOrReplaceTempView("yellow_taxi")
-    A.zones(spark, d).createOrReplaceTempView("taxi_zone_lookup")
+    """The same question as a SQL statement with an ordinal ``GROUP BY``; the
+    DataFrames are bound to it by name, so no session-wide view is left behind."""
     return spark.sql("""
-        SELECT t.zone, COUNT(1) AS frequency
-        FROM yellow_taxi y JOIN taxi_zone_lookup t ON CAST(y.pulocationid AS INT) = t.locationid
-        GROUP BY 1
-        ORDER BY frequency ASC""")
+        WITH pickups AS (SELECT try_cast(pulocationid AS INT) AS id FROM {trips})
+        SELECT named.zone, count(*) AS frequency
+        FROM {zones} AS named INNER JOIN pickups ON pickups.id = named.locationid
+        GROUP BY 1 ORDER BY 2, 1""", trips=_yellow(spark, d, "pulocationid"), zones=A.zones(spark, d))
 
 
 def avg_trip_minutes(spark, d):
@@ -158,15 +166,19 @@ def avg_trip_minutes_elapsed(spark, d):
 
 
 def rows_by_file(spark, d):
-    return adhoc.rows_by_file(A.raw_trips(spark, d))
+    return adhoc.rows_by_file(A.raw_trips(spark, d, columns=("service_type", "pickup_datetime")))
+
+
+def _from(spark, d, year, month=1):
+    return A.raw_trips(spark, d, columns=("service_type", "pickup_datetime"), pickup_from=dt.date(year, month, 1))
 
 
 def rows_per_service_year(spark, d):
-    return adhoc.rows_per_service_period(A.raw_trips(spark, d), P.ROWS_YEAR)
+    return adhoc.rows_per_service_period(_from(spark, d, P.ROWS_YEAR), P.ROWS_YEAR)
 
 
 def rows_per_service_month(spark, d):
-    return adhoc.rows_per_service_period(A.raw_trips(spark, d), *P.ROWS_MONTH)
+    return adhoc.rows_per_service_period(_from(spark, d, *P.ROWS_MONTH), *P.ROWS_MONTH)
 
 
 # -- data-quality checks -------------------------------------------------------
@@ -190,6 +202,15 @@ def dq_stg_yellow(spark, d):
     return quality.run_checks(stg_yellow(spark, d), _staging_checks(stg_zones(spark, d), "warn"))
 
 
+def dq_raw_trips(spark, d):
+    """Checks on the files as landed, before the staging drops and deduplicates rows."""
+    raw = A.raw_trips(spark, d, columns=("vendorid", "pickup_datetime", "pulocationid")).select(
+        surrogate_key(["vendorid", "pickup_datetime"]).alias("tripid"), "vendorid",
+        F.col("pulocationid").cast("int").alias("pulocationid"))
+    return quality.run_checks(raw, [quality.unique("tripid", "warn"), quality.not_null("vendorid", "warn"),
+                                    quality.relationships("pulocationid", stg_zones(spark, d), "locationid", "warn")])
+
+
 # -- sessions -----------------------------------------------------------------
 
 def session_streaks(spark, d):
@@ -209,8 +230,9 @@ def longest_streak(spark, d):
 def trip_session_streaks(spark, d):
     """The reference job's shape on trips: sessions per (pickup zone,
     drop-off zone) on drop-off time with a 5-minute gap."""
-    g = _green(spark, d).select(F.col("pulocationid").cast("int").alias("pulocationid"),
-                                F.col("dolocationid").cast("int").alias("dolocationid"), "dropoff_datetime")
+    g = _green(spark, d, "pulocationid", "dolocationid", "dropoff_datetime").select(
+        F.col("pulocationid").cast("int").alias("pulocationid"),
+        F.col("dolocationid").cast("int").alias("dolocationid"), "dropoff_datetime")
     return sessions.session_counts(g, ["pulocationid", "dolocationid"], "dropoff_datetime", P.SESSION_GAP)
 
 
@@ -219,33 +241,36 @@ def longest_trip_streak(spark, d):
 
 
 def session_streaks_stream(spark, d):
-    """The streaming job end to end: rides published as JSON message files,
-    read as a stream, watermarked on drop-off time (5 s), counted per
-    (user, event type) session (5 min gap), appended to a parquet sink.
-
-    One flush marker far past the last ride is published after the rides so
-    the watermark passes every real session (the newest session of a stream
-    stays open otherwise); the marker's own session never closes, so it
-    never reaches the sink.
+    """The streaming job end to end, restarted for every slice of the rides:
+    message files read as a stream, watermarked on drop-off time (5 s), counted
+    per (user, event type) session (5 min gap), appended to a parquet sink.
+
+    Rides arrive in ``P.STREAM_SLICES`` slices of drop-off time, each published
+    and then processed by a new start of the job on the same checkpoint, so no
+    micro-batch holds all of them and none comes too late.  A flush marker, a
+    column of its own and far past the last ride, lets the watermark pass every
+    real session; its own session never closes, so it never reaches the sink.
     """
     base = scratch_path(spark, "session-stream")
-    rides = A.ride_events(spark, d).select(*_RIDE_COLUMNS)
-    messages.publish(rides, path=f"{base}/messages")
-    marker = rides.agg(F.max("dropoff_datetime").alias("m")).select(
-        F.lit(None).cast("bigint").alias("event_id"), F.lit(None).cast("bigint").alias("user_id"),
-        F.lit(None).cast("string").alias("event_type"), F.col("m").alias("pickup_datetime"),
-        F.timestamp_add("DAY", F.lit(1), F.col("m")).alias("dropoff_datetime"),
-        F.lit(None).cast("int").alias("passenger_count"), F.lit(None).cast("double").alias("tip_amount"))
-    messages.publish(marker, path=f"{base}/messages")
-    stream = stream_sessions.message_stream(spark, _RIDE_DDL, path=f"{base}/messages")
-    agg = stream_sessions.session_aggregate(stream, ["user_id", "event_type"], "dropoff_datetime",
-                                            "5 seconds", P.SESSION_GAP)
-    q = stream_sessions.start(agg, f"{base}/checkpoint", path=f"{base}/sessions", available_now=True,
-                              state_partitions=spark.sparkContext.defaultParallelism)
-    q.awaitTermination()
-    return (spark.read.schema("user_id bigint, event_type string, session_start timestamp_ntz, "
+    rides = A.ride_events(spark, d).select(*_RIDE_COLUMNS, F.lit(False).alias("marker"))
+    shares = [i / P.STREAM_SLICES for i in range(1, P.STREAM_SLICES)]
+    at = F.unix_micros(F.col("dropoff_datetime").cast("timestamp"))
+    bounds = sorted(set(rides.agg(F.percentile_approx(at, shares)).first()[0] or []))
+    slices = [rides.filter((at >= lo) & (at < hi))
+              for lo, hi in zip([-(1 << 62), *bounds], [*bounds, 1 << 62])]
+    empty = {c: F.lit(None) for c in rides.columns}
+    marker = rides.agg(F.max("dropoff_datetime").alias("m")).select(*[
+        {**empty, "marker": F.lit(True), "dropoff_datetime": F.timestamp_add("DAY", F.lit(1), F.col("m"))}[f.name]
+        .cast(f.dataType).alias(f.name) for f in rides.schema])
+    for part in [*slices, marker]:
+        messages.publish(part, path=f"{base}/messages")
+        stream_sessions.run_session_job(
+            spark, f"{_RIDE_DDL}, marker boolean", ["user_id", "event_type", "marker"], "dropoff_datetime",
+            source_path=f"{base}/messages", sink_path=f"{base}/sessions", gap=P.SESSION_GAP, available_now=True,
+            state_partitions=spark.sparkContext.defaultParallelism).awaitTermination()
+    return (spark.read.schema("user_id bigint, event_type string, marker boolean, session_start timestamp_ntz, "
                               "session_end timestamp_ntz, taxi_trips_streak bigint")
-                 .parquet(f"{base}/sessions").filter(F.col("user_id").isNotNull()))
+                 .parquet(f"{base}/sessions").filter(~F.col("marker")).drop("marker"))
 
 
 # -- ingest, loads, messages ---------------------------------------------------
@@ -261,22 +286,30 @@ def _landed(raw):
                        adhoc.file_name()).drop("service_type")
 
 
+def _batch(raw):
+    """The new files: rides from mid-1997 on, some of them again with a revised fare."""
+    revised = F.when(F.col("ratecodeid") == P.REVISED_RATECODE, (F.col("fare_amount") + 1).cast(MONEY))
+    return (raw.filter(F.col("pickup_datetime") >= F.lit(P.MERGE_SOURCE_FROM).cast("timestamp_ntz"))
+               .withColumn("fare_amount", F.explode(F.array_compact(F.array("fare_amount", revised)))))
+
+
 def ingest_merge(spark, d):
     """Yellow target (files before 1998) merged with an overlapping new batch
-    (files from mid-1997 on): target rows plus the batch rows not yet there."""
+    (files from mid-1997 on): target rows plus the batch rows not yet there.
+    A revised fare is part of the row id, so such rides are new rows."""
     y = _yellow(spark, d)
     target = _landed(y.filter(F.col("pickup_datetime") < F.lit(P.MERGE_TARGET_BEFORE).cast("timestamp_ntz")))
-    source = _landed(y.filter(F.col("pickup_datetime") >= F.lit(P.MERGE_SOURCE_FROM).cast("timestamp_ntz")))
-    return merge.merged(source, target)
+    return merge.merged(_landed(_batch(y)), target)
 
 
 def ingest_merge_cloud(spark, d):
-    """Same merge on green trips with the 5-column row id of the cloud flow (X7)."""
-    g = _green(spark, d).select("service_type", *_LANDED)
-    st = lambda df: merge.stamp(df, P.ROW_ID_COLUMNS_CLOUD, adhoc.file_name()).drop("service_type")
+    """Same merge on green trips with the 5-column row id of the cloud flow (X7),
+    for which a ride with a revised fare is the same row."""
+    g = _green(spark, d)
+    st = lambda df: merge.stamp(df.select("service_type", *_LANDED), P.ROW_ID_COLUMNS_CLOUD,
+                                adhoc.file_name()).drop("service_type")
     target = st(g.filter(F.col("pickup_datetime") < F.lit(P.MERGE_TARGET_BEFORE).cast("timestamp_ntz")))
-    source = st(g.filter(F.col("pickup_datetime") >= F.lit(P.MERGE_SOURCE_FROM).cast("timestamp_ntz")))
-    return merge.merged(source, target)
+    return merge.merged(st(_batch(g)), target)
 
 
 _RIDE_COLUMNS = ("event_id", "user_id", "event_type", "pickup_datetime", "dropoff_datetime",
@@ -286,23 +319,26 @@ _RIDE_DDL = ("event_id bigint, user_id bigint, event_type string, pickup_datetim
 
 
 def publish_trips(spark, d):
-    """Rides serialised to JSON messages (NULLs filled) and parsed back."""
-    msgs = messages.to_messages(A.ride_events(spark, d), _RIDE_COLUMNS,
-                                fill={"passenger_count": 0, "tip_amount": 0.0})
-    return messages.parse_messages(msgs, _RIDE_DDL)
+    """Rides published as JSON message files (NULLs filled), read and parsed back."""
+    path = scratch_path(spark, "publish-trips")
+    messages.publish(A.ride_events(spark, d), path=path, columns=_RIDE_COLUMNS,
+                     fill={"passenger_count": 0, "tip_amount": 0.0})
+    return messages.parse_messages(spark.read.text(path), _RIDE_DDL)
 
 
 def load_incremental(spark, d):
     """Two incremental runs over rides with the drop-off time as cursor:
     run 1 sees the rides picked up before the split day (cursor >= initial),
-    run 2 sees all rides and loads those past run 1's largest cursor."""
+    run 2 sees all rides and loads those from run 1's largest cursor on that
+    run 1 did not load."""
+    base = scratch_path(spark, "load-incremental")
     rides = A.ride_events(spark, d).select(*_RIDE_COLUMNS)
-    cursor = F.col("dropoff_datetime")
-    run1 = rides.filter((F.col("pickup_datetime") < F.lit(P.INCREMENTAL_SPLIT).cast("timestamp_ntz"))
-                        & (cursor >= F.lit(P.INCREMENTAL_INITIAL).cast("timestamp_ntz")))
-    last = run1.agg(F.max("dropoff_datetime")).scalar()
-    run2 = rides.filter(cursor > last)
-    return run1.withColumn("_load_id", F.lit(1)).unionByName(run2.withColumn("_load_id", F.lit(2)))
+    early = rides.filter(F.col("pickup_datetime") < F.lit(P.INCREMENTAL_SPLIT).cast("timestamp_ntz"))
+    for source in (early, rides):
+        loads.load_incremental(spark, source, f"{base}/rides", f"{base}/state", "rides", "dropoff_datetime",
+                               initial_value=P.INCREMENTAL_INITIAL)
+    return loads.read_target(spark, f"{base}/rides", rides.schema).withColumn(
+        loads.LOAD_ID, F.col(loads.LOAD_ID).cast("int"))
 
 
 def _nested_turns(spark, d):
@@ -331,16 +367,18 @@ def load_nested_children(spark, d):
 
 
 def brand_avg_price(spark, d):
-    """Products as JSON documents ``{"products": [...]}``, unwrapped, reduced
-    to the kept keys (missing -> 'N/A') and averaged per brand."""
+    """Products as files of JSON documents ``{"products": [...]}``, read,
+    unwrapped, reduced to the kept keys (missing -> 'N/A') and averaged per brand."""
     p = table(spark, d, "part")
-    docs = p.select(F.to_json(F.struct(F.array(F.struct(
+    docs = p.select(F.array(F.struct(
         F.col("p_partkey").alias("id"), F.col("p_name").alias("title"), F.col("p_brand").alias("brand"),
-        F.col("p_type").alias("category"), F.col("p_retailprice").alias("price"))).alias("products"))).alias("value"))
-    parsed = messages.parse_messages(
-        docs, "products array<struct<id: bigint, title: string, brand: string, category: string, price: double>>")
+        F.col("p_type").alias("category"), F.col("p_retailprice").alias("price"))).alias("products"))
+    path = scratch_path(spark, "products")
+    write_json(docs, path)
+    parsed = read_json(spark, path, multiline=False, schema=(
+        "products array<struct<id: bigint, title: string, brand: string, category: string, price: double>>"))
     kept = keep_keys(nested.unwrap(parsed, "products"), P.PRODUCT_KEYS)
-    return adhoc.rounded_group_mean(kept, "brand", "price", "avg_price", scale=2, in_scale=2)
+    return adhoc.rounded_group_mean(kept, "brand", "price", "avg_price", scale=2)
 
 
 QUERIES: dict[str, Query] = {
@@ -374,6 +412,7 @@ QUERIES: dict[str, Query] = {
     "rows_by_file": rows_by_file,
     "rows_per_service_year": rows_per_service_year,
     "rows_per_service_month": rows_per_service_month,
+    "dq_raw_trips": dq_raw_trips,
     "dq_stg_green": dq_stg_green,
     "dq_stg_yellow": dq_stg_yellow,
     "session_streaks": session_streaks,
@@ -389,4 +428,5 @@ QUERIES: dict[str, Query] = {
     "load_nested_parents": load_nested_parents,
     "load_nested_children": load_nested_children,
     "brand_avg_price": brand_avg_price,
+    **io_queries.QUERIES,
 }

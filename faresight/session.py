@@ -58,12 +58,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all nodes share")
         # Only reached in local runs/tests where no shared folder was named.
         configured = tempfile.mkdtemp(prefix="faresight-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in the file system it belongs to."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a path (with what is in it) if it exists."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

@@ -1,14 +1,17 @@
 """Replace / append / incremental loads with a load-state table.
 
 The incremental load tracks a cursor column: the first run loads rows with
-``cursor >= initial_value``; later runs load rows with ``cursor > last``,
-where ``last`` is the largest cursor loaded so far (the boundary rule is
-ours: a row equal to the stored cursor is not reloaded).  The state table
-has one row per load ``(load_id, resource, rows, cursor_value, loaded_at)``;
-only its newest row is read back to the driver.
-
-Targets are partitioned by ``_load_id`` so the per-load row count and
-cursor maximum read only the partition just written.
+``cursor >= initial_value``; later runs load rows with ``cursor >= last``,
+where ``last`` is the largest cursor loaded so far, less the rows already
+loaded at ``last`` (a multiset difference of whole rows), so a row that turns
+up later with the same cursor is not lost.  The state table has one row per
+load ``(load_id, resource, rows, cursor_value, loaded_at)``; only its newest
+row is read back to the driver.
+
+Targets are partitioned by ``_load_id`` so the per-load row count and cursor
+maximum read only the partition just written.  An incremental load's id is its
+number: a run that died between writing rows and writing its state leaves a
+partition that no state row names, and the next run replaces it.
 """
 
 from __future__ import annotations
@@ -18,40 +21,56 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from faresight.session import delete_path, path_exists
 
 LOAD_ID = "_load_id"
+STATE_DDL = "load_id string, resource string, rows bigint, cursor_value string, loaded_at timestamp_ntz"
 
 
 def _new_load_id() -> str:
     return dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d%H%M%S%f") + "-" + uuid.uuid4().hex[:8]
 
 
-def incremental_rows(source: DataFrame, cursor_col: str, last_value=None, initial_value=None) -> DataFrame:
-    c = F.col(cursor_col)
+def read_target(spark: SparkSession, target_path: str, schema: StructType) -> DataFrame:
+    """A target's rows and load ids; ``schema`` is the rows' (an empty target has no files to tell it)."""
+    return spark.read.schema(StructType([*schema.fields, StructField(LOAD_ID, StringType())])).parquet(target_path)
+
+
+def incremental_rows(source: DataFrame, cursor_col: str, last_value=None, initial_value=None,
+                     loaded: DataFrame | None = None) -> DataFrame:
+    """Rows to load: from ``last_value`` on less those ``loaded`` at it, or else from ``initial_value`` on."""
+    c, kind = F.col(cursor_col), source.schema[cursor_col].dataType
     if last_value is not None:
-        return source.filter(c > F.lit(last_value).cast(source.schema[cursor_col].dataType))
+        last = F.lit(last_value).cast(kind)
+        at_last = source.filter(c == last)
+        if loaded is not None:
+            at_last = at_last.exceptAll(loaded.filter(c == last).select(*source.columns))
+        return source.filter(c > last).unionAll(at_last)
     if initial_value is not None:
-        return source.filter(c >= F.lit(initial_value).cast(source.schema[cursor_col].dataType))
+        return source.filter(c >= F.lit(initial_value).cast(kind))
     return source
 
 
-def _read_state(spark: SparkSession, state_path: str, resource: str):
-    try:
-        st = spark.read.parquet(state_path)
-    except Exception:  # noqa: BLE001 - no state yet
-        return None
-    row = (st.filter((F.col("resource") == resource) & F.col("cursor_value").isNotNull())
-             .orderBy(F.col("loaded_at").desc()).limit(1).collect())
-    return row[0]["cursor_value"] if row else None
+def _read_state(spark: SparkSession, state_path: str, resource: str) -> tuple[int, str | None]:
+    """(loads of the resource so far, its cursor); (0, None) only if there is no state yet."""
+    if not path_exists(spark, state_path):
+        return 0, None
+    own = spark.read.schema(STATE_DDL).parquet(state_path).filter(F.col("resource") == resource)
+    newest = own.filter(F.col("cursor_value").isNotNull()).orderBy(F.col("loaded_at").desc()).limit(1).collect()
+    return own.count(), newest[0]["cursor_value"] if newest else None
 
 
 def load(spark: SparkSession, df: DataFrame, target_path: str, disposition: str = "replace",
          state_path: str | None = None, resource: str = "rows") -> dict:
-    """``replace`` overwrites the target, ``append`` adds to it."""
+    """``replace`` overwrites the target (whatever the session's partition
+    overwrite mode), ``append`` adds to it."""
     load_id = _new_load_id()
     mode = {"replace": "overwrite", "append": "append"}[disposition]
-    df.withColumn(LOAD_ID, F.lit(load_id)).write.mode(mode).partitionBy(LOAD_ID).parquet(target_path)
-    rows = spark.read.parquet(target_path).filter(F.col(LOAD_ID) == load_id).count()
+    (df.withColumn(LOAD_ID, F.lit(load_id)).write.mode(mode).option("partitionOverwriteMode", "static")
+       .partitionBy(LOAD_ID).parquet(target_path))
+    rows = read_target(spark, target_path, df.schema).filter(F.col(LOAD_ID) == load_id).count()
     info = {"load_id": load_id, "resource": resource, "rows": rows, "cursor_value": None}
     if state_path:
         _append_state(spark, state_path, info)
@@ -59,12 +78,24 @@ def load(spark: SparkSession, df: DataFrame, target_path: str, disposition: str
 
 
 def load_incremental(spark: SparkSession, source: DataFrame, target_path: str, state_path: str,
-                     resource: str, cursor_col: str, initial_value=None) -> dict:
-    last = _read_state(spark, state_path, resource)
-    rows_df = incremental_rows(source, cursor_col, last, initial_value if last is None else None)
-    load_id = _new_load_id()
-    rows_df.withColumn(LOAD_ID, F.lit(load_id)).write.mode("append").partitionBy(LOAD_ID).parquet(target_path)
-    written = spark.read.parquet(target_path).filter(F.col(LOAD_ID) == load_id)
+                     resource: str, cursor_col: str, initial_value=None, null_cursor: str = "error") -> dict:
+    """One incremental run; it may find nothing to load.
+
+    A row without a cursor can be neither placed before nor after the last
+    load: it is an error, or left out with ``null_cursor="skip"``.
+    """
+    if null_cursor not in ("error", "skip"):
+        raise ValueError(f"null_cursor must be 'error' or 'skip', not {null_cursor!r}")
+    if null_cursor == "error" and not source.filter(F.col(cursor_col).isNull()).isEmpty():
+        raise ValueError(f"rows with a NULL {cursor_col} cannot be loaded incrementally")
+    before, last = _read_state(spark, state_path, resource)
+    load_id = f"{before + 1:08d}"
+    part = f"{target_path.rstrip('/')}/{LOAD_ID}={load_id}"
+    delete_path(spark, part)  # of a run that died before it wrote its state
+    loaded = read_target(spark, target_path, source.schema) if path_exists(spark, target_path) else None
+    rows = incremental_rows(source, cursor_col, last, initial_value if last is None else None, loaded)
+    rows.filter(F.col(cursor_col).isNotNull()).write.mode("overwrite").parquet(part)
+    written = spark.read.schema(source.schema).parquet(part)
     s = written.agg(F.count(F.lit(1)).alias("n"), F.max(cursor_col).cast("string").alias("m")).collect()[0]
     cursor = s["m"] if s["m"] is not None else last
     info = {"load_id": load_id, "resource": resource, "rows": s["n"], "cursor_value": cursor}
@@ -75,10 +106,9 @@ def load_incremental(spark: SparkSession, source: DataFrame, target_path: str, s
 def _append_state(spark: SparkSession, state_path: str, info: dict) -> None:
     row = spark.createDataFrame(
         [(info["load_id"], info["resource"], int(info["rows"]), info["cursor_value"],
-          dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))],
-        "load_id string, resource string, rows bigint, cursor_value string, loaded_at timestamp_ntz")
+          dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))], STATE_DDL)
     row.write.mode("append").parquet(state_path)
 
 
 def load_state(spark: SparkSession, state_path: str) -> DataFrame:
-    return spark.read.parquet(state_path)
+    return spark.read.schema(STATE_DDL).parquet(state_path)

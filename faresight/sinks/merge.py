@@ -7,7 +7,10 @@ that is a left-anti join of the source against the target's id column
 
 Scale notes: the anti-join shuffles the new batch on the row id; when the
 target is bucketed on the row id (``sinks.tables.save_bucketed``) the
-target side is read co-partitioned and not shuffled at all.  Plain parquet
+target side is read co-partitioned and not shuffled at all.  AQE splits a
+hot id of the batch only where both sides are shuffled, that is for a target
+that is not bucketed; on a bucketed one its rows pass one task of the join,
+row by row, before they are spread for the write.  Plain parquet
 has no transactions, so only one merge may run against a target at a time
 (the reference's flow has the same single-execution limit).
 """
@@ -16,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from faresight.functions.columns import row_hash
@@ -66,15 +69,24 @@ def merge_insert_only(spark: SparkSession, source: DataFrame, target_table: str,
     """Append the new rows of ``source`` to catalog table ``target_table``;
     returns the number of rows inserted.
 
-    The new rows are checkpointed to the shared checkpoint folder before the
-    append, so the anti-join never reads files the append is writing and a
-    lost executor recomputes from the checkpoint, not from the source.
+    Each row is written once: the target's files are listed when the anti-join
+    is planned, so it never reads what the append writes, and a lost task
+    computes the same rows again.  For a target bucketed on ``key`` the rows of
+    a bucket are first brought together (one file for each bucket); a bucket
+    that one hot id makes too large is split over several tasks.
     """
-    from faresight.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(spark)  # the session's shared folder; a local one only if none is named
     target = spark.table(target_table)
     new = new_rows(source, target, key, dedupe_source).select(*target.columns)
-    new = new.checkpoint(eager=True)
-    new.write.insertInto(target_table)
-    return new.count()  # re-reads the checkpoint files, not the source
+    buckets = _buckets(spark, target_table, key)
+    if buckets:
+        dealt = new.withColumn("_bucket", F.pmod(F.hash(key), F.lit(buckets)))  # the expression of bucketBy
+        new = dealt.hint("rebalance", "_bucket").drop("_bucket")
+    written = Observation()
+    new.observe(written, F.count(F.lit(1)).alias("n")).write.insertInto(target_table)
+    return written.get["n"]
+
+
+def _buckets(spark: SparkSession, table: str, key: str) -> int:
+    """Number of buckets if the table is bucketed on ``key`` alone, else 0."""
+    told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    return int(told["Num Buckets"]) if told.get("Bucket Columns") == f"[`{key}`]" else 0

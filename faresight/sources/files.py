@@ -15,24 +15,33 @@ from pyspark.sql import functions as F
 
 def read_csv(spark: SparkSession, path: str, schema: str | None = None, header: bool = True,
              sep: str = ",", repartition: int | None = None) -> DataFrame:
-    """CSV with a header.  ``schema`` (DDL) fixes the types; without it the
-    types are inferred.  ``.gz`` files decode transparently."""
+    """CSV with a header.  ``schema`` (DDL) fixes the types, and then a header
+    that names other columns, or a value that does not fit its column (such as
+    ``1.0`` in an INT), is an error, as in a database's bulk load; without it
+    the types are inferred.  ``.gz`` files decode transparently."""
     r = spark.read.option("header", header).option("sep", sep)
-    r = r.schema(schema) if schema else r.option("inferSchema", True)
+    r = _strict(r.schema(schema)) if schema else r.option("inferSchema", True)
     df = r.csv(path)
     return df.repartition(repartition) if repartition else df
 
 
+def _strict(reader):
+    return reader.option("enforceSchema", False).option("mode", "FAILFAST")
+
+
 def read_csv_columns(spark: SparkSession, path: str, file_schema: str, columns: Sequence[str],
                      header: bool = True) -> DataFrame:
     """Bulk load into chosen columns: read with the file's schema, project
-    ``columns`` in order; columns absent from the file come back NULL."""
+    ``columns`` in order; columns absent from the file come back NULL, of the
+    type given as ``"name type"`` (a bare name is a string)."""
     df = read_csv(spark, path, schema=file_schema, header=header)
     present = {c.lower(): c for c in df.columns}
     out = []
-    for c in columns:
+    for column in columns:
+        c, _, kind = column.partition(" ")
         src = present.get(c.lower())
-        out.append(F.col(src).alias(c) if src else F.lit(None).cast("string").alias(c))
+        value = F.col(src) if src else F.lit(None).cast("string")
+        out.append((value.cast(kind) if kind else value).alias(c))
     return df.select(*out)
 
 
@@ -41,7 +50,7 @@ def external_table(spark: SparkSession, name: str, path: str, schema: str, fmt:
     """Schema-on-read table over files in place, registered as a temp view."""
     r = spark.read.schema(schema)
     if fmt == "csv":
-        r = r.option("header", header)
+        r = _strict(r.option("header", header))
     df = r.format(fmt).load(path)
     df.createOrReplaceTempView(name)
     return df
@@ -65,12 +74,13 @@ def read_json(spark: SparkSession, path: str, schema: str | None = None, multili
     return r.json(path)
 
 
-def read_json_pages(spark: SparkSession, pages_dir: str, schema: str | None = None) -> DataFrame:
+def read_json_pages(spark: SparkSession, pages_dir: str, schema: str | None = None,
+                    pattern: str = "*.json") -> DataFrame:
     """Numbered JSON pages landed as files (``page_1.json``, ...), each a
     top-level array of records.  All pages are read in parallel; an empty
     page (``[]``) contributes no rows, so "stop at the first empty page" is
     the same as reading every page that exists."""
-    return read_json(spark, f"{pages_dir.rstrip('/')}/*.json", schema=schema, multiline=True)
+    return read_json(spark, f"{pages_dir.rstrip('/')}/{pattern}", schema=schema, multiline=True)
 
 
 def read_jdbc_query(spark: SparkSession, url: str, query: str, properties: dict | None = None,

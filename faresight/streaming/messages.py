@@ -28,6 +28,14 @@ def kafka_available(spark: SparkSession) -> bool:
         return not ("DATA_SOURCE_NOT_FOUND" in msg or "Failed to find data source" in msg)
 
 
+def require_kafka(spark: SparkSession, topic: str, bootstrap_servers: str | None) -> None:
+    """Raise unless ``topic`` can be reached: servers given, connector present."""
+    if not bootstrap_servers:
+        raise ValueError(f"topic {topic!r} needs bootstrap_servers")
+    if not kafka_available(spark):
+        raise RuntimeError(f"topic {topic!r} needs the Kafka connector on the classpath")
+
+
 def to_messages(df: DataFrame, columns: Sequence[str] | None = None, fill: dict | None = None,
                 key_col: str | None = None) -> DataFrame:
     """Select ``columns``, fill NULLs per column (``fill``), serialise each
@@ -41,23 +49,33 @@ def to_messages(df: DataFrame, columns: Sequence[str] | None = None, fill: dict
     return out.select(*cols)
 
 
-def parse_messages(df: DataFrame, schema_ddl: str, value_col: str = "value") -> DataFrame:
-    """JSON text -> typed columns (``from_json``); bad JSON gives NULL fields."""
-    return df.select(F.from_json(F.col(value_col).cast("string"), schema_ddl, JSON_OPTIONS).alias("_m")) \
+def parse_messages(df: DataFrame, schema_ddl: str, value_col: str = "value", mode: str = "FAILFAST") -> DataFrame:
+    """JSON text -> typed columns (``from_json``).  A message that is not valid
+    JSON for the schema is an error; ``mode="PERMISSIVE"`` makes its fields
+    NULL instead (count them with :func:`corrupt_messages`)."""
+    return df.select(F.from_json(F.col(value_col).cast("string"), schema_ddl, {**JSON_OPTIONS, "mode": mode}).alias("_m")) \
              .select("_m.*")
 
 
+def corrupt_messages(df: DataFrame, schema_ddl: str, value_col: str = "value") -> DataFrame:
+    """The messages that ``parse_messages`` cannot parse, as their text."""
+    options = {**JSON_OPTIONS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    parsed = F.from_json(F.col(value_col).cast("string"), f"{schema_ddl}, _corrupt string", options)
+    return df.select(parsed["_corrupt"].alias(value_col)).filter(F.col(value_col).isNotNull())
+
+
 def publish(df: DataFrame, topic: str | None = None, bootstrap_servers: str | None = None,
             path: str | None = None, columns: Sequence[str] | None = None, fill: dict | None = None) -> None:
-    """Send rows as JSON messages: to a Kafka topic when the connector is
-    present and servers are given, else as text files (one message per line)
-    under ``path``, which the file stream source reads the same way."""
+    """Send rows as JSON messages to a Kafka topic, or as text files (one
+    message per line) under ``path``, which the file stream source reads the
+    same way.  A topic is never replaced by files: without servers or
+    connector it is an error."""
     msgs = to_messages(df, columns, fill)
-    spark = df.sparkSession
-    if bootstrap_servers and topic and kafka_available(spark):
+    if topic:
+        require_kafka(df.sparkSession, topic, bootstrap_servers)
         (msgs.write.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
              .option("topic", topic).save())
         return
     if not path:
-        raise ValueError("no Kafka connector/servers: a path for message files is required")
+        raise ValueError("a topic or a path for message files is required")
     msgs.select("value").write.mode("append").text(path)

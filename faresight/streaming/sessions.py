@@ -7,10 +7,12 @@ default (X20), the watermark lags 5 seconds, sessions close after a
 sessions are emitted once (append mode).  Unlike the reference sink, the
 session bounds are emitted too (X19).
 
-Delivery: the file sink is exactly-once (its commit log is in the
-checkpoint); ``foreachBatch`` sinks such as JDBC are at-least-once, the
-batch id is passed so a sink can de-duplicate.  Checkpoints live under
-``spark.checkpoint.dir``, so a restarted query resumes where it stopped.
+Delivery: the file sink is exactly-once by its commit log, as long as the
+same checkpoint goes with it; a new checkpoint on a sink that already has a
+log would count its batches from 0 again and write nothing, so that is
+refused.  The JDBC writer keeps the batch id and replaces a batch that is
+replayed.  A job's checkpoint lies beside its sink unless it is named, so a
+restarted job resumes where it stopped.
 """
 
 from __future__ import annotations
@@ -21,7 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from faresight.streaming.messages import kafka_available, parse_messages
+from faresight.session import path_exists
+from faresight.streaming.messages import parse_messages, require_kafka
 
 # Message schema of the reference's trip topic (green trips, 7 columns).
 TRIP_MESSAGE_DDL = (
@@ -34,8 +37,9 @@ def message_stream(spark: SparkSession, schema_ddl: str, path: str | None = None
                    topic: str | None = None, bootstrap_servers: str | None = None,
                    starting_offsets: str = "earliest", max_per_trigger: int | None = None) -> DataFrame:
     """Parsed messages from a Kafka topic (from the earliest offset), or from
-    message files under ``path`` when no broker is used."""
-    if bootstrap_servers and topic and kafka_available(spark):
+    message files under ``path``.  A topic that cannot be read is an error."""
+    if topic:
+        require_kafka(spark, topic, bootstrap_servers)
         r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
                   .option("subscribe", topic).option("startingOffsets", starting_offsets))
         if max_per_trigger:
@@ -76,16 +80,27 @@ def start(agg: DataFrame, checkpoint: str, path: str | None = None,
     ``state_partitions`` sets the number of state-store partitions of the
     session aggregation.  It is fixed for the life of the checkpoint, so
     size it for the expected key volume; it is applied only while the query
-    starts (the stream keeps its own copy of the session settings).
+    starts (the stream keeps its own copy of the session settings).  Rows of
+    a key are merged into sessions within each task before the shuffle, so a
+    hot key sends its sessions, not its rows.
     """
+    spark = agg.sparkSession
+    if path and path_exists(spark, f"{path.rstrip('/')}/_spark_metadata") and not path_exists(spark, checkpoint):
+        raise ValueError(f"{path} already has a commit log; start the job with the checkpoint it was written with")
+    wanted = {"spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true"}
     if state_partitions:
-        spark = agg.sparkSession
-        old = spark.conf.get("spark.sql.shuffle.partitions")
-        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
-        try:
-            return start(agg, checkpoint, path, foreach_batch, processing_time, available_now, query_name)
-        finally:
-            spark.conf.set("spark.sql.shuffle.partitions", old)
+        wanted["spark.sql.shuffle.partitions"] = str(state_partitions)
+    old = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        return _started(agg, checkpoint, path, foreach_batch, processing_time, available_now, query_name)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def _started(agg, checkpoint, path, foreach_batch, processing_time, available_now, query_name) -> StreamingQuery:
     w = agg.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
@@ -98,14 +113,42 @@ def start(agg: DataFrame, checkpoint: str, path: str | None = None,
     return w.format("parquet").option("path", path).start()
 
 
-def jdbc_batch_writer(url: str, table: str, properties: dict | None = None) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function appending each micro-batch to a JDBC table."""
+def jdbc_batch_writer(url: str, table: str, properties: dict | None = None,
+                      batch_col: str = "batch_id") -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function writing each micro-batch to a JDBC table with
+    its batch id in ``batch_col``.  A batch that is replayed after a failure
+    first deletes what its earlier attempt wrote, so no row appears twice."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.write.format("jdbc").mode("append").option("url", url).option("dbtable", table)
+        _delete_batch(batch.sparkSession, url, table, properties or {}, batch_col, batch_id)
+        (batch.withColumn(batch_col, F.lit(batch_id).cast("bigint"))
+              .write.format("jdbc").mode("append").option("url", url).option("dbtable", table)
               .options(**(properties or {})).save())
     return write
 
 
+def _delete_batch(spark: SparkSession, url: str, table: str, properties: dict, batch_col: str, batch_id: int) -> None:
+    """Delete a batch's rows, if the table exists."""
+    jvm = spark._jvm
+    if properties.get("driver"):
+        jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(properties["driver"])
+    given = jvm.java.util.Properties()
+    for k, v in properties.items():
+        given.setProperty(k, str(v))
+    connection = jvm.java.sql.DriverManager.getConnection(url, given)
+    try:
+        names = {table, table.upper(), table.lower()}
+        found = any(connection.getMetaData().getTables(None, None, n.split(".")[-1], None).next() for n in names)
+        if found:
+            quote = connection.getMetaData().getIdentifierQuoteString().strip()
+            statement = connection.prepareStatement(f"DELETE FROM {table} WHERE {quote}{batch_col}{quote} = ?")
+            statement.setLong(1, batch_id)
+            statement.executeUpdate()
+            if not connection.getAutoCommit():
+                connection.commit()
+    finally:
+        connection.close()
+
+
 def run_session_job(spark: SparkSession, schema_ddl: str, keys: Sequence[str], event_time_col: str,
                     source_path: str | None = None, topic: str | None = None,
                     bootstrap_servers: str | None = None, sink_path: str | None = None,
@@ -117,14 +160,16 @@ def run_session_job(spark: SparkSession, schema_ddl: str, keys: Sequence[str], e
     time + watermark -> session counts per key -> parquet files or a JDBC
     table (``jdbc=(url, table, properties)``).  Unlike the reference job,
     start-up errors raise instead of being printed.  ``checkpoint`` defaults
-    to a fresh folder under ``spark.checkpoint.dir``."""
-    from faresight.session import scratch_path
-
+    to ``<sink_path>_checkpoint``, the same on every start; a JDBC sink needs
+    it named."""
+    if jdbc is None and not sink_path:
+        raise ValueError("a sink is required: sink_path or jdbc")
+    if checkpoint is None:
+        if not sink_path:
+            raise ValueError("a JDBC sink needs a checkpoint folder that stays the same on every start")
+        checkpoint = f"{sink_path.rstrip('/')}_checkpoint"
     stream = message_stream(spark, schema_ddl, path=source_path, topic=topic, bootstrap_servers=bootstrap_servers)
     agg = session_aggregate(stream, keys, event_time_col, watermark, gap)
-    ckpt = checkpoint or scratch_path(spark, "session-job-checkpoint")
     writer = jdbc_batch_writer(*jdbc) if jdbc else None
-    if writer is None and not sink_path:
-        raise ValueError("a sink is required: sink_path or jdbc")
-    return start(agg, ckpt, path=sink_path, foreach_batch=writer, processing_time=processing_time,
+    return start(agg, checkpoint, path=sink_path, foreach_batch=writer, processing_time=processing_time,
                  available_now=available_now, state_partitions=state_partitions)

@@ -104,7 +104,6 @@ def test_count_equal_and_distinct(spark):
     df = raw(spark, rows)
     assert adhoc.count_equal(df, "fare_amount", 0).first()[0] == 1
     assert adhoc.distinct_count(df, "pulocationid").first()[0] == 2
-    assert T0.year == 2020
 
 
 def test_two_unique_checks_and_single_pass(spark):

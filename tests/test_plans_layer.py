@@ -75,4 +75,3 @@ def test_var_precedence(monkeypatch):
     assert settings.var("days_back", 30, {"days_back": 3}) == 3
     monkeypatch.setenv("IS_TEST_RUN", "false")
     assert settings.var("is_test_run", True) is False
-    assert F is not None

@@ -153,6 +153,13 @@ def test_stream_sessions_to_jdbc(spark):
     back = files.read_jdbc_query(spark, url, "SELECT * FROM SESSIONS", properties=props)
     got = sorted((r.PULocationID, r.taxi_trips_streak) for r in back.collect())
     assert got == [(1, 1), (95, 2)]
+    # a batch that is replayed after a failure replaces what it wrote before
+    writer = ss.jdbc_batch_writer(url, "SESSIONS", props)
+    batch = spark.createDataFrame(back.drop("batch_id").collect(), back.drop("batch_id").schema)
+    for _ in range(2):
+        writer(batch, 77)
+    again = files.read_jdbc_query(spark, url, "SELECT * FROM SESSIONS", properties=props)
+    assert again.filter("batch_id = 77").count() == 2 and again.count() == 4
 
 
 def test_append_in_fixed_size_files(spark):

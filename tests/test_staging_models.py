@@ -32,11 +32,12 @@ def test_yellow_is_street_hail(spark):
     assert out.trip_type == 1 and out.ehail_fee == Decimal("0.00")
 
 
-def test_development_limit_is_ordered(spark):
-    rows = [trip(key=i, pickup=T0 + dt.timedelta(minutes=i)) for i in range(10)]
-    a = staging.stage_trips(raw(spark, rows), tiebreak=["src_orderkey"], limit=3).collect()
-    b = staging.stage_trips(raw(spark, rows), tiebreak=["src_orderkey"], limit=3).collect()
-    assert len(a) == 3 and a == b
+def test_without_a_tiebreak_all_columns_decide(spark):
+    rows = [trip(key=9), trip(key=3), trip(key=5)]  # one vendor and pickup time
+    for part in (1, 3):
+        one = staging.stage_trips(raw(spark, rows).repartition(part)).collect()
+        two = staging.stage_trips(raw(spark, rows[::-1]).repartition(part)).collect()
+        assert len(one) == 1 and one == two
 
 
 def test_dedupe_plan_has_partial_window_group_limit(spark):
