@@ -309,7 +309,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id"
     classes = links.with_component(signed.select("id", "set_hash"), "id", "component")
     out = rows.select("doc_id", "n_shingles", "set_hash").join(
         classes.select("set_hash", "component"), "set_hash", "left")
-    component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id"))
+    component = F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.coalesce("component", "doc_id")) \
+        .otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 

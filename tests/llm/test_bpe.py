@@ -1,0 +1,97 @@
+import base64
+import hashlib
+
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from faresight.llm import bpe
+from faresight.llm.registry import VOCABULARY, op4_bpe
+from tests.conftest import SF_SMALL
+from tests.llm.helpers import documents
+
+PATH = public_tokenizers.path(VOCABULARY)
+
+
+@pytest.fixture(scope="module")
+def both():
+    with open(PATH, "rb") as f:
+        raw = f.read()
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, raw.splitlines())}
+    return (bpe.Codec(bpe.parse_ranks(raw), public_tokenizers.PATTERN),
+            tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}))
+
+
+def test_query_against_tiktoken(spark, both):
+    docs = documents(spark, SF_SMALL)
+    got = op4_bpe(spark, SF_SMALL).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        text = docs[r["doc_id"]]["text"] or ""
+        ids = both[1].encode_ordinary(text)
+        assert r["n_tokens"] == len(ids)
+        assert r["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(max_size=60) | st.text(alphabet="ab 'sreè\n\t\x1c\x85 1!", max_size=80))
+def test_any_text(both, text):
+    ids = both[0].encode(text)
+    assert ids == both[1].encode_ordinary(text)
+    assert both[0].decode(ids) == text.encode()
+
+
+@pytest.mark.parametrize("text", ["a" * 30_000, "ab" * 8_000, "the" * 7_000, "=" * 9_999, "é" * 5_000,
+                                  "".join(chr(97 + i * i % 26) for i in range(20_000)), " " * 5_000 + "x"])
+def test_very_long_pretokens(both, text):
+    ids = both[0].encode(text)
+    assert ids == both[1].encode_ordinary(text)
+    assert both[0].decode(ids) == text.encode()
+
+
+def test_rank_queue_gives_lowest_rank_then_leftmost():
+    q = bpe.RankQueue()
+    pushed = [(700, 4), (64, 9), (64, 2), (0, 7), (63, 1), (50_000, 3), (64, 5)]
+    for r, p in pushed:
+        q.push(r, p)
+    out = []
+    while (e := q.lowest()) is not None:
+        out.append((e[0], e[1].pop()))
+    assert out == sorted(pushed)
+    q.push(3, 1)
+    q.push(2, 8)
+    assert q.lowest() == (2, [8])
+
+
+def test_pretokens_that_share_a_queue_do_not_meet(both):
+    words = ["aaaaaaa", "bthe", "thethe", "é", "hello", "xyzzy" * 9, "aa", "a"]
+    raw = [w.encode() for w in words]
+    assert both[0].encode_pretokens(raw) == [both[0].encode_pretokens([r])[0] for r in raw]
+    assert both[0].encode_pretokens(raw[::-1]) == both[0].encode_pretokens(raw)[::-1]
+
+
+def test_cases(spark, both):
+    rows = [(1, None, 1), (2, "", 1), (None, "<|endoftext|>", 1), (3, "x", 1), (3, "x", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, ids int")
+    got = bpe.round_trip(spark, docs, PATH, public_tokenizers.PATTERN).collect()
+    assert len(got) == 5
+    empty = hashlib.sha256(b"").hexdigest()
+    assert all(r["n_tokens"] == 0 and r["ids_sha256"] == r["decoded_sha256"] == empty for r in got if r["doc_id"] in (1, 2))
+    encoded = bpe.encode_documents(spark, docs, PATH, public_tokenizers.PATTERN)
+    decoded = bpe.decode_documents(spark, encoded, PATH, public_tokenizers.PATTERN).collect()
+    assert sorted(bytes(r["bytes"]) for r in decoded) == [b"", b"", b"<|endoftext|>", b"x", b"x"]
+    none = docs.limit(0)
+    assert bpe.round_trip(spark, none, PATH, public_tokenizers.PATTERN).collect() == []
+
+
+def test_kept_table_is_bounded(both, monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT_PRETOKENS", 3)
+    codec = bpe.Codec(both[0].whole, public_tokenizers.PATTERN)
+    text = " ".join(f"word{i}x" for i in range(50))
+    assert codec.encode(text) == both[1].encode_ordinary(text)
+    for i in range(20):
+        assert codec.encode(f"other{i}q zz{i}v") == both[1].encode_ordinary(f"other{i}q zz{i}v")
+    assert len(codec.known) <= 60

@@ -1,0 +1,161 @@
+import itertools
+import random
+
+import numpy as np
+
+from faresight.llm import near_dedup as N
+from faresight.llm.registry import op5_near_dedup
+from faresight.llm.tables import connected_components
+from tests.conftest import SF_SMALL
+from tests.llm.helpers import documents, shingles
+
+DDL = "doc_id long, text string, component_id int"
+
+
+def brute(texts):
+    """id -> (set size, smallest reachable id), by comparing all pairs."""
+    sets = {i: shingles(t) for i, t in texts.items()}
+    root = {i: i for i in texts}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    holders = {}
+    for i, s in sets.items():
+        for x in s:
+            holders.setdefault(x, []).append(i)
+    pairs = {p for h in holders.values() for p in itertools.combinations(sorted(h), 2)}
+    for a, b in pairs:
+        common = len(sets[a] & sets[b])
+        if 100 * common >= 75 * (len(sets[a]) + len(sets[b]) - common):
+            x, y = find(a), find(b)
+            root[max(x, y)] = min(x, y)
+    return {i: (len(sets[i]), find(i)) for i in texts}
+
+
+def check(rows, texts):
+    want = brute(texts)
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert (r["n_shingles"], r["component_id"]) == want[r["doc_id"]], r
+        assert r["kept"] == (r["doc_id"] == r["component_id"])
+
+
+def test_query_against_all_pairs(spark):
+    texts = {i: r["text"] for i, r in documents(spark, SF_SMALL).items()}
+    check(op5_near_dedup(spark, SF_SMALL).collect(), texts)
+
+
+def changed(rng, w, n):
+    w = list(w)
+    for i in rng.sample(range(len(w)), n):
+        w[i] = f"x{rng.randrange(10**9)}"
+    return w
+
+
+def test_chains_groups_and_the_threshold(spark):
+    rng = random.Random(8)
+    texts, i = {}, 0
+    for _ in range(25):  # chains: each text is near its neighbours only
+        w = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice((8, 40, 200)))]
+        for _ in range(4):
+            texts[i] = " ".join(w)
+            i += 1
+            w = changed(rng, w, max(1, len(w) // 50))
+    base = [f"b{k}" for k in range(104)]  # 100 shingles; prefixes and suffixes around 0.75
+    for n in (74, 75, 76, 79, 80, 84, 104):
+        texts[i] = " ".join(base[:n])
+        i += 1
+    check(N.near_duplicates(spark, _frame(spark, texts)).collect(), texts)
+
+
+def test_large_bucket_of_near_copies_and_a_shared_passage(spark):
+    rng = random.Random(9)
+    base = [f"b{rng.randrange(10**6)}" for _ in range(200)]
+    texts = {i: " ".join(changed(rng, base, rng.choice((1, 3, 6, 9)))) for i in range(150)}
+    passage = [f"p{rng.randrange(10**6)}" for _ in range(120)]
+    for i in range(150, 260):  # similarity about a half: many buckets in common, no link
+        texts[i] = " ".join(passage + [f"q{rng.randrange(10**9)}" for _ in range(55)])
+    check(N.near_duplicates(spark, _frame(spark, texts)).collect(), texts)
+
+
+def test_blocks_compare_all_pairs_of_a_bucket(spark):
+    rng = random.Random(10)
+    base = [f"b{rng.randrange(10**6)}" for _ in range(100)]
+    texts = {i: " ".join(changed(rng, base, rng.choice((2, 5)))) for i in range(40)}
+    plan = N.Banding()
+    docs = _frame(spark, texts)
+    signed = docs.mapInArrow(N._signer(plan), N._SIGNED).selectExpr("doc_id as id", "n_shingles as n", "sig", "set_hash")
+    links = N._Links(spark, signed, docs, plan)
+    still = signed.selectExpr("1L as key", "id", "id as comp", "1000L as n")  # divided into four blocks
+    found = {(r["a"], r["b"]) for r in N._in_blocks(links, still).collect()}
+    sets = {i: shingles(t) for i, t in texts.items()}
+    near = {(a, b) for a, b in itertools.combinations(sets, 2)
+            if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    assert near and near <= found and all(a < b for a, b in found)
+
+
+def _frame(spark, texts):
+    return spark.createDataFrame([(i, t, 0) for i, t in texts.items()], DDL).repartition(4)
+
+
+def test_cases(spark):
+    long_text = " ".join(f"w{k}" for k in range(60_000))
+    rows = [(1, None, 0), (2, "", 0), (3, " \t\n ", 0), (4, "one two", 0), (5, "ONE  two", 0), (6, "one two three", 0),
+            (7, "same a b c d e f", 0), (7, "same a b c d e f", 0), (8, "same a b c d e f", 0), (None, "same a b c d e f", 0),
+            (9, long_text, 0), (10, long_text + " more", 0), (11, "é b c d e", 0), (12, "É b c d e", 0),
+            (20, "first text of this very document", 0), (20, "second text of one document here", 0),
+            (21, "second text of one document here", 0)]
+    got = N.near_duplicates(spark, spark.createDataFrame(rows, DDL)).collect()
+    assert len(got) == len(rows)
+    by = {r["doc_id"]: r for r in got}
+    assert [by[i]["n_shingles"] for i in (1, 2, 3, 4, 6)] == [0, 0, 0, 1, 1]
+    assert [by[i]["component_id"] for i in (1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12)] == [1, 2, 3, 4, 4, 6, 7, 7, 9, 9, 11, 12]
+    assert by[None]["component_id"] is None and by[None]["kept"]
+    assert by[21]["component_id"] == 20 and {r["component_id"] for r in got if r["doc_id"] == 20} == {20}
+    assert N.near_duplicates(spark, spark.createDataFrame([], DDL)).collect() == []
+
+
+def test_near_dedup_keeps_one_of_each_group_and_all_columns(spark):
+    docs = spark.createDataFrame([(3, "a b c d e f", 1), (1, "a b c d e f", 2), (None, "a b c d e f", 3), (4, None, 4)], DDL)
+    got = N.near_dedup(spark, docs)
+    assert got.columns == docs.columns
+    assert sorted((r["component_id"] for r in got.collect())) == [2, 3, 4]
+
+
+def test_bayes_limits():
+    limits = N.fewest_matches(128, 16)
+    assert list(limits) == list(range(16, 129, 16))
+    rng = np.random.default_rng(2)
+    kept = 0
+    for _ in range(20):
+        a = rng.integers(0, 1 << 16, (500, 128), dtype=np.uint16)
+        b = np.where(rng.random((500, 128)) < 0.75, a, a + 1).astype(np.uint16)
+        kept += len(N.bayes_survivors(a, b, 16)[0])
+    assert kept >= 9_999
+    b = np.where(rng.random((500, 128)) < 0.3, a, a + 1).astype(np.uint16)
+    assert len(N.bayes_survivors(a, b, 16)[0]) < 10
+
+
+def test_components(spark):
+    rng = random.Random(4)
+    pairs = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(500 + k, 501 + k) for k in range(60)]
+    pairs += [(1000, 1000 + k) for k in range(200)] + [(7, 7)]
+    root = {}
+
+    def find(i):
+        root.setdefault(i, i)
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in pairs:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    links = spark.createDataFrame([*pairs, (None, 3), (4, None)], "a long, b long")
+    got = {r["id"]: r["component"] for r in connected_components(spark, links).collect()}
+    linked = {i for a, b in pairs if a != b for i in (a, b)}
+    assert got == {i: find(i) for i in linked}
+    assert connected_components(spark, links.limit(0)).collect() == []
