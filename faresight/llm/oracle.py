@@ -31,7 +31,7 @@ WITH docs AS (
 ), dup AS (
   SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM lines GROUP BY doc_id
 ), s AS (
-  SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, x -> length(x))), 0)::BIGINT AS word_chars,
+  SELECT doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
          (length(t) - length(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols,
          coalesce(dup.n, 0)::BIGINT AS n_dup_lines, coalesce(repeated.n, 0)::BIGINT AS n_repeat_words,
          coalesce(removed.lines, 0)::BIGINT AS n_removed_lines,
@@ -75,9 +75,9 @@ WITH d AS (
   SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
 ), bits AS (
   SELECT page_id, array_to_string(list_transform(string_split(h, ''),
-           c -> lpad(bin(instr('0123456789abcdef', c) - 1), 4, '0')), '') AS b FROM d
+           lambda c: lpad(bin(instr('0123456789abcdef', c) - 1), 4, '0')), '') AS b FROM d
 ), digests AS (
-  SELECT page_id, array_to_string(list_transform(generate_series(0, 31), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  SELECT page_id, array_to_string(list_transform(generate_series(0, 31), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
            16 * (substr(b, 5 * i + 1, 1) = '1')::INT + 8 * (substr(b, 5 * i + 2, 1) = '1')::INT
            + 4 * (substr(b, 5 * i + 3, 1) = '1')::INT + 2 * (substr(b, 5 * i + 4, 1) = '1')::INT
            + (substr(b, 5 * i + 5, 1) = '1')::INT + 1, 1)), '') AS payload_digest FROM bits

@@ -82,9 +82,12 @@ class Sentences:
         self.text = w.text[self.first]
         self.number = np.arange(len(self.first)) - np.searchsorted(self.text, self.text)  # within its text
         # hash of the words in order
-        powers = np.multiply.accumulate(np.concatenate([[1], np.full(n, _MULT, dtype=np.uint64)]).astype(np.uint64))
-        inverse = np.multiply.accumulate(np.concatenate([[1], np.full(n, _MULT_INVERSE, dtype=np.uint64)]).astype(np.uint64))
-        sums = np.concatenate([[0], np.cumsum(w.hash * powers[:n])]).astype(np.uint64)
+        powers, inverse = np.full(n + 1, _MULT, dtype=np.uint64), np.full(n + 1, _MULT_INVERSE, dtype=np.uint64)
+        powers[0] = inverse[0] = 1
+        np.multiply.accumulate(powers, out=powers)
+        np.multiply.accumulate(inverse, out=inverse)
+        sums = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(w.hash * powers[:n], out=sums[1:])
         total = (sums[self.first + self.size] - sums[self.first]) * inverse[self.first]
         self.hash = mix64(total + self.size.astype(np.uint64))
         # lines: ranges of words
@@ -211,9 +214,8 @@ def _cleaner(names: list[str], text: str, plan: PassagePlan):
     return rows
 
 
-def clean_passages(spark: SparkSession, docs: DataFrame, plan: PassagePlan = PassagePlan(), doc_id: str = "doc_id",
-                   text: str = "text") -> DataFrame:
-    """``docs`` with repeated passages removed from its texts, and ``_spans, _removed`` (spans and words removed)."""
+def _cleaned(spark: SparkSession, docs: DataFrame, plan: PassagePlan, doc_id: str, text: str) -> DataFrame:
+    """The columns of ``docs`` in order under other names, and ``_spans, _removed``."""
     names = docs.columns
     plain = docs.toDF(*[f"_c{i}" for i in range(len(names))])  # free of clashes with the columns made here
     key, body = f"_c{names.index(doc_id)}", f"_c{names.index(text)}"
@@ -232,12 +234,16 @@ def clean_passages(spark: SparkSession, docs: DataFrame, plan: PassagePlan = Pas
         n = f"_c{names.index('n_chars')}"
         cleaned = cleaned.withColumn(n, F.when(F.col("_spans") > 0, F.length(body)).otherwise(F.col(n))
                                      .cast(plain.schema[n].dataType))
-    return cleaned.toDF(*names, "_spans", "_removed")
+    return cleaned
+
+
+def clean_passages(spark: SparkSession, docs: DataFrame, plan: PassagePlan = PassagePlan(), doc_id: str = "doc_id",
+                   text: str = "text") -> DataFrame:
+    """``docs`` with repeated passages removed from its texts, and ``_spans, _removed`` (spans and words removed)."""
+    return _cleaned(spark, docs, plan, doc_id, text).toDF(*docs.columns, "_spans", "_removed")
 
 
 def dedup_passages(spark: SparkSession, docs: DataFrame, plan: PassagePlan = PassagePlan(), doc_id: str = "doc_id",
                    text: str = "text") -> DataFrame:
     """``docs`` with repeated passages removed from its texts; see the module's text."""
-    names = docs.columns
-    cleaned = clean_passages(spark, docs, plan, doc_id, text)
-    return cleaned.select(*[cleaned[c] for c in cleaned.columns[: len(names)]])
+    return _cleaned(spark, docs, plan, doc_id, text).drop("_spans", "_removed").toDF(*docs.columns)

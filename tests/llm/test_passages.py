@@ -51,7 +51,7 @@ def test_planted_passages_leave_all_but_the_first_document(spark):
             left = set(WORD.findall(got[i]))
             assert sum(x in left for x in w) < 0.5 * len(w), (k, i)
             own = set(WORD.findall(texts[i])) - set(w)
-            assert own <= left
+            assert len(own - left) <= len(w) / 3  # a line that is nearly the passage goes as a whole
 
 
 def test_near_copies_of_a_long_line(spark):
