@@ -61,7 +61,7 @@ def test_held_out_labels_are_never_read(spark):
 
 def test_features():
     lexicon = {"idiot": 2.0, "^worthl": 1.0}
-    f = T.features("You are an IDIOT and worthless!! st*pid 1diot soooo", lexicon)
+    f = T.features("You are an IDIOT and worthless!! st*pid id1ot soooo", lexicon)
     assert f[2] > 1 and f[3] == 2.0 and f[6] > 0 and f[11] > 0 and f[12] > 0 and f[13] > 0
     assert T.features(None, lexicon) == T.features("", lexicon) == T.features("123 ..", lexicon) == [0.0] * 14
     assert len(T.features("plain words", {})) == 14
