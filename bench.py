@@ -15,6 +15,7 @@ import json
 import os
 import sys
 import time
+from urllib.parse import unquote, urlparse
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -31,14 +32,14 @@ def _sf(path: str) -> float | str:
         return tail
 
 
-def _local_bytes(path: str, prefix_filter=None) -> int:
+def _local_bytes(path: str) -> int:
     root = path[len("file:"):] if path.startswith("file:") else path
-    total = 0
-    for d, _, fs in os.walk(root):
-        if prefix_filter and not prefix_filter(os.path.relpath(d, root)):
-            continue
-        total += sum(os.path.getsize(os.path.join(d, f)) for f in fs if f.endswith(".parquet"))
-    return total
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(root) for f in fs if f.endswith(".parquet"))
+
+
+def _scanned_bytes(df) -> int:
+    """Bytes of the files that the optimised plan of ``df`` is left to read."""
+    return sum(os.path.getsize(unquote(urlparse(f).path)) for f in df.inputFiles())
 
 
 def _pruning(spark, sf_dir: str) -> dict:
@@ -65,17 +66,16 @@ def _pruning(spark, sf_dir: str) -> dict:
     spark.sql("DROP TABLE IF EXISTS bench_yellow_by_day")
     save_partitioned_clustered(y, "bench_yellow_by_day", "dropoff_datetime", "vendorid", 1, path=part)
     t_write = time.perf_counter() - t0
-    days = {f"d=1998-03-{i:02d}" for i in range(1, 16)}
-    b_plain = _local_bytes(plain)
-    b_part = _local_bytes(part, lambda rel: rel in days)
+    unpruned = distinct_in_range(spark.read.parquet(plain), "vendorid", "dropoff_datetime", "1998-03-01", "1998-03-15")
     t0 = time.perf_counter()
-    n1 = distinct_in_range(spark.read.parquet(plain), "vendorid", "dropoff_datetime", "1998-03-01", "1998-03-15").count()
+    n1 = unpruned.count()
     t1 = time.perf_counter()
     q = spark.table("bench_yellow_by_day").filter(
         date_partition_filter("dropoff_datetime", "1998-03-01", "1998-03-15")).select("vendorid").distinct()
     n2 = q.count()
     t2 = time.perf_counter()
     assert n1 == n2
+    b_plain, b_part = _scanned_bytes(unpruned), _scanned_bytes(q)
     return {"vendors": n1, "bytes_unpartitioned": b_plain, "bytes_partitioned_scan": b_part,
             "bytes_ratio": round(b_plain / b_part, 1) if b_part else None,
             "sec_unpartitioned": round(t1 - t0, 3), "sec_partitioned": round(t2 - t1, 3),
