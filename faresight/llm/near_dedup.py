@@ -11,17 +11,20 @@ Documents are linked when the Jaccard similarity of their sets of distinct
    a chance of 5e-6.  A bucket with few members gives all its pairs.  A large
    bucket gives a star, every member with the smallest.  The links found are
    contracted to components, and only large buckets whose members are still in
-   different components go on: they are divided by a second shared band (a
-   pair at the threshold shares two of 32 bands except with a chance of 8e-5)
-   and treated in the same way; what is then still large and mixed is compared
-   in blocks of bounded size, so no bucket is cut off.
+   different components go on: each is divided by every other band (a pair at
+   the threshold shares ten of 32 on average, and two at least except with a
+   chance of 8e-5), and what is still large then ``DIVISIONS`` times by two
+   further bands, chosen by the bucket's key.  Pairs near the threshold stay
+   together in some division, less similar ones part.  Each step gives pairs and
+   stars, so it adds a fixed number of rows for each member, never the square of
+   a bucket.  What is still large and mixed after the last step is compared in
+   blocks of bounded size, so no bucket is cut off.
 3. Sequential Bayesian verification: signatures of a candidate pair are
    compared 16 values at a time.  With a uniform prior the similarity after m
    comparisons with k matches is Beta(k + 1, m - k + 1); a pair is pruned as
    soon as P(similarity >= 0.75) is below ``miss`` (1e-6 for each look).
 4. Survivors are verified exactly on full shingle sets, computed again from
-   the whole texts.  Each document first tries its most similar partner; after
-   contraction only pairs that would still join two components are verified.
+   the whole texts, and links are contracted to components.
 
 Cases: a text that is null, empty or without words has an empty set and is
 linked with nothing; a text with one to four words has its whole sequence as
@@ -36,6 +39,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cache
 from math import comb
 
 import numpy as np
@@ -51,6 +55,7 @@ THRESHOLD_PERCENT = 75
 MISS = 1e-6
 SMALL_BUCKET = 8
 BLOCK = 256
+DIVISIONS, STEPS = 8, 2
 
 
 @dataclass(frozen=True)
@@ -101,6 +106,7 @@ def _signed_groups(batch: pa.RecordBatch, mult: np.ndarray, add: np.ndarray) ->
              pa.array(packed, pa.binary())], ["doc_id", "n_shingles", "set_hash", "sig"])
 
 
+@cache
 def fewest_matches(values: int, look: int, threshold: float = THRESHOLD_PERCENT / 100,
                    miss: float = MISS) -> dict[int, int]:
     """For each number m of values compared, the fewest matches that stay in.
@@ -165,13 +171,19 @@ def _block_pairs(look: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
         pdf = pdf.sort_values("id").reset_index(drop=True)
         sig, ids, comp, block = _stack(pdf["sig"]), *(pdf[c].to_numpy() for c in ("id", "comp", "block"))
         one_block = (pdf["first"] == pdf["second"]).all()
+        # Every pair between two components has a member outside the largest one.
+        names, sizes = np.unique(comp, return_counts=True)
+        outside = np.flatnonzero(comp != names[sizes.argmax()])
+        before = np.full(len(ids), -1)
+        before[outside] = np.arange(len(outside))
         found = [pd.DataFrame({"a": [], "b": [], "matches": []}, dtype="int64")]
-        for i in range(len(ids)):
-            others = np.flatnonzero((np.arange(len(ids)) > i) & (comp != comp[i]) & ((block != block[i]) | one_block))
+        for place, i in enumerate(outside):
+            others = np.flatnonzero((comp != comp[i]) & ((block != block[i]) | one_block) & ((before < 0) | (before > place)))
             if len(others):
                 one = np.broadcast_to(sig[i], (len(others), sig.shape[1]))
                 live, matches = bayes_survivors(one, sig[others], look)
-                found.append(pd.DataFrame({"a": ids[i], "b": ids[others[live]], "matches": matches}))
+                to = ids[others[live]]
+                found.append(pd.DataFrame({"a": np.minimum(ids[i], to), "b": np.maximum(ids[i], to), "matches": matches}))
         return pd.concat(found).astype("int64")
 
     return pairs
@@ -191,32 +203,20 @@ class _Links:
         return df.join(c, df[column] == F.col("_i"), "left").select(
             *[df[x] for x in df.columns], F.coalesce("_c", df[column]).alias(name))
 
-    def _apart(self, pairs: DataFrame) -> DataFrame:
-        both = self.with_component(self.with_component(pairs, "a", "_ca"), "b", "_cb")
-        return both.filter("_ca <> _cb").select(*pairs.columns)
-
     def verify(self, pairs: DataFrame) -> None:
-        """Prune candidate pairs, verify survivors exactly and contract the links."""
+        """Prune candidate pairs, verify the survivors exactly and contract the links."""
         x, y = (self.signed.select(F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("sig").alias(f"sig_{s}"))
                 for s in "ab")
         sized = pairs.join(x, "a").join(y, "b").filter(
             100 * F.least("n_a", "n_b") >= THRESHOLD_PERCENT * F.greatest("n_a", "n_b"))
-        self.verify_survivors(sized.select("a", "b", "sig_a", "sig_b").mapInPandas(
+        self.confirm(sized.select("a", "b", "sig_a", "sig_b").mapInPandas(
             _pruner(self.plan.look), "a long, b long, matches long"))
 
-    def verify_survivors(self, survivors: DataFrame) -> None:
-        survivors = materialise(self.spark, survivors, "survivors")
-        best = survivors.groupBy("b").agg(F.max(F.struct("matches", (-F.col("a")).alias("n"))).alias("m")).select(
-            (-F.col("m.n")).alias("a"), "b")
-        self._confirm(best)
-        rest = materialise(self.spark, self._apart(survivors.select("a", "b")), "survivors")
-        if not rest.isEmpty():
-            self._confirm(rest)
-
-    def _confirm(self, pairs: DataFrame) -> None:
+    def confirm(self, survivors: DataFrame) -> None:
+        """Verify pairs exactly and contract the links."""
         texts = self.docs.select("doc_id", "text")
         x, y = (texts.select(F.col("doc_id").alias(s), F.col("text").alias(f"text_{s}")) for s in "ab")
-        wanted = materialise(self.spark, pairs, "pairs")
+        wanted = materialise(self.spark, survivors.select("a", "b"), "survivors")
         found = (wanted.join(y, "b").join(x, "a").select("a", "b", "text_a", "text_b")
                  .mapInPandas(_similar, "a long, b long"))
         self.add(found)
@@ -256,12 +256,26 @@ def _candidates(mixed: DataFrame) -> DataFrame:
     return small.unionAll(star).distinct()
 
 
-def _divided(links: _Links, mixed: DataFrame) -> DataFrame:
-    """Keys of still mixed large buckets, each divided by every second band of its members."""
-    still = _still_mixed(links, mixed)
-    other = _bands(links.signed.join(still.select("id").distinct(), "id", "left_semi"), links.plan).withColumnRenamed("key", "other")
-    return still.select("key", "id").join(other, "id").filter("key <> other").select(
-        F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"), "id").distinct()
+def _divided(links: _Links, large: DataFrame, step: int) -> DataFrame:
+    """``key, id`` of large buckets' members (``key, id``), dealt by further bands.
+
+    Step 0 divides a bucket by every other band, so two members that share at
+    least two bands meet again.  Later steps divide by two further bands at a
+    time, ``DIVISIONS`` times, chosen anew for each bucket by its key.
+    """
+    size, bands = 2 * links.plan.rows, links.plan.bands
+    held = large.join(links.signed.select("id", "sig"), "id")
+    if step == 0:
+        other = f"xxhash64(i, substring(sig, i * {size} + 1, {size}))"  # the keys of _bands
+        keys = f"transform(sequence(0, {bands - 1}), i -> {other})"
+        return held.select("key", "id", F.explode(F.expr(keys)).alias("other")).filter("key <> other").select(
+            F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"), "id").distinct()
+
+    def band(t: str) -> str:
+        return f"substring(sig, cast(pmod(xxhash64(key, {t}), {bands}) as int) * {size} + 1, {size})"
+
+    picked = f"xxhash64(key, t, {band('2 * t')}, {band('2 * t + 1')})"
+    return held.select(F.expr(f"explode(transform(sequence(0, {DIVISIONS - 1}), t -> {picked}))").alias("key"), "id")
 
 
 def _still_mixed(links: _Links, mixed: DataFrame) -> DataFrame:
@@ -299,13 +313,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id"
         links.add(own.select(F.col("doc_id").alias("a"), F.col("id").alias("b")))
     mixed = _mixed_buckets(links, _bands(signed, plan))
     links.verify(_candidates(mixed))
-    divided = materialise(spark, _divided(links, mixed), "buckets")
-    if not divided.isEmpty():
-        mixed = _mixed_buckets(links, divided)
-        links.verify(_candidates(mixed))
-        still = _still_mixed(links, mixed)
+    still = materialise(spark, _still_mixed(links, mixed), "buckets")
+    if not still.isEmpty():
+        pairs = None
+        for step in range(STEPS):
+            mixed = _mixed_buckets(links, _divided(links, still.select("key", "id"), step))
+            found = _candidates(mixed)
+            pairs = found if pairs is None else pairs.unionAll(found)
+            still = mixed.filter(F.col("n") > SMALL_BUCKET)
+        links.verify(pairs.distinct())
+        still = materialise(spark, _still_mixed(links, mixed), "buckets")
         if not still.isEmpty():
-            links.verify_survivors(_in_blocks(links, still))
+            links.confirm(_in_blocks(links, still))
     classes = links.with_component(signed.select("id", "set_hash"), "id", "component")
     out = rows.select("doc_id", "n_shingles", "set_hash").join(
         classes.select("set_hash", "component"), "set_hash", "left")

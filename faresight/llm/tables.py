@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from faresight.session import scratch_path
@@ -19,9 +19,12 @@ def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    r = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    return tuple(r)
+def _written(spark: SparkSession, edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """Edges as a written table, and their number and hash sum (taken while writing)."""
+    seen = Observation()
+    watched = edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h"))
+    table = materialise(spark, watched, "components")
+    return table, (seen.get["n"], seen.get["h"])
 
 
 def connected_components(spark: SparkSession, links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -36,19 +39,17 @@ def connected_components(spark: SparkSession, links: DataFrame, a: str = "a", b:
     """
     edges = (links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
              .filter(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("u") > F.col("v"))).distinct())
-    edges = materialise(spark, edges, "components")
-    state = _fingerprint(edges)
+    edges, state = _written(spark, edges)
     while state[0]:
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")) \
-            .filter("u > v").distinct()
+        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u > v")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
         small = (small.filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionAll(low.select("u", F.col("m").alias("v")))).distinct()
-        edges = materialise(spark, small, "components")
-        before, state = state, _fingerprint(edges)
+        before = state
+        edges, state = _written(spark, small)
         if before == state:
             break
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionAll(
