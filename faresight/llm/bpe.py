@@ -7,7 +7,9 @@ lowest rank is found by two find-first-set operations.  The leftmost position
 of that bucket merges; entries whose pair has changed meanwhile are stale and
 skipped.  The work for a pre-token of n bytes is O(n log n), also for very long
 ones, and the merges are exactly those of rank-ordered BPE (lowest rank first,
-leftmost among equals).
+leftmost among equals).  New pre-tokens of many texts share one queue, as if they
+were one long pre-token whose parts never meet, so a rank is looked up once for
+all its places.
 
 Encoding runs inside Arrow batches; each task keeps a bounded table of
 pre-tokens already encoded.  The vocabulary (under a million bytes) is read on
@@ -23,17 +25,22 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
+from collections import ChainMap
 from collections.abc import Iterator
-from heapq import heappop, heappush
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-KEPT_PRETOKENS = 200_000
+KEPT_PRETOKENS = 400_000
 KEPT_LENGTH = 64  # bytes; longer pre-tokens are encoded anew each time
+QUEUE_BYTES = 1 << 18  # new pre-tokens that share a queue (a longer one has its own)
+TEXT_CHARS = 1 << 20  # texts that are split together
+SHIFT = 24  # of a pair's first rank
 
 
 def parse_ranks(raw: bytes) -> dict[bytes, int]:
@@ -42,99 +49,182 @@ def parse_ranks(raw: bytes) -> dict[bytes, int]:
 
 
 class RankQueue:
-    """Buckets of positions by rank; the smallest rank in use is found through bitmaps."""
+    """Buckets of positions by rank; the lowest rank in use is found through two levels of bitmaps."""
 
     def __init__(self):
-        self.buckets: dict[int, list[int]] = {}
+        self.buckets: dict[int, list[int]] = {}  # positions, the leftmost last unless unsorted
+        self.unsorted: set[int] = set()
         self.words: dict[int, int] = {}  # rank // 64 -> bitmap of ranks
         self.summary = 0  # bitmap of words in use
 
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket:
-            heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
+    def fill(self, rank: int, positions: list[int]) -> None:
+        """A bucket that is not in use yet; ``positions`` descend."""
+        self.buckets[rank] = positions
         word = rank >> 6
         self.words[word] = self.words.get(word, 0) | 1 << (rank & 63)
         self.summary |= 1 << word
 
-    def pop(self) -> tuple[int, int] | None:
-        """(rank, position): the lowest rank, and its leftmost position; None if empty."""
-        if not self.summary:
-            return None
-        word = (self.summary & -self.summary).bit_length() - 1
-        bits = self.words[word]
-        rank = word << 6 | (bits & -bits).bit_length() - 1
-        bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            self.words[word] = bits = bits & (bits - 1)
+    def push(self, rank: int, position: int) -> None:
+        bucket = self.buckets.get(rank)
+        if bucket:
+            bucket.append(position)
+            self.unsorted.add(rank)
+        else:
+            self.fill(rank, [position])
+
+    def lowest(self) -> tuple[int, list[int]] | None:
+        """(rank, its bucket, from which the leftmost position pops); None if no rank is in use."""
+        while self.summary:
+            word = (self.summary & -self.summary).bit_length() - 1
+            bits = self.words[word]
+            rank = word << 6 | (bits & -bits).bit_length() - 1
+            bucket = self.buckets[rank]
+            if bucket:
+                if rank in self.unsorted:
+                    bucket.sort(reverse=True)
+                    self.unsorted.discard(rank)
+                return rank, bucket
+            self.words[word] = bits = bits & (bits - 1)  # used up
             if not bits:
                 self.summary &= self.summary - 1
-        return rank, position
+        return None
 
 
 class Codec:
     """Encoder and decoder for one vocabulary and pre-token pattern."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.decimals = {rank: str(rank) for rank in self.tokens}
+        self.whole = ranks
+        self.byte_rank = [ranks[bytes([i])] for i in range(256)]
+        # rank of each pair of tokens that merge, by both tokens' ranks
+        self.pairs = {ranks[t[:i]] << SHIFT | ranks[t[i:]]: r for t, r in ranks.items()
+                      for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks}
+        self.byte_pairs = np.full(1 << 16, -1, dtype=np.int64)
+        for t, r in ranks.items():
+            if len(t) == 2:
+                self.byte_pairs[t[0] << 8 | t[1]] = r
         self.find = regex.compile(pattern).findall
         self.known: dict[str, tuple[int, ...]] = {}
 
-    def encode_bytes(self, piece: bytes) -> tuple[int, ...]:
-        """Ids of one pre-token."""
-        ranks = self.ranks
-        whole = ranks.get(piece)
-        if whole is not None:
-            return (whole,)
-        n = len(piece)
-        token = [piece[i:i + 1] for i in range(n)]
-        after = list(range(1, n + 1))  # n: none
-        before = list(range(-1, n - 1))
+    def _queue(self, data: np.ndarray, last: np.ndarray) -> RankQueue:
+        """Queue of the pairs of bytes that merge; ``last``: positions that end a pre-token."""
+        rank = np.full(len(data), -1, dtype=np.int64)
+        rank[:-1] = self.byte_pairs[data[:-1].astype(np.int64) << 8 | data[1:]]
+        rank[last] = -1
+        places = np.flatnonzero(rank >= 0)[::-1]
+        order = np.argsort(rank[places], kind="stable")
+        places, ranks = places[order], rank[places[order]]
+        cut = np.flatnonzero(np.diff(ranks)) + 1
         queue = RankQueue()
-        for i in range(n - 1):
-            rank = ranks.get(piece[i:i + 2])
-            if rank is not None:
-                queue.push(rank, i)
-        while (entry := queue.pop()) is not None:
-            rank, i = entry
-            if token[i] is None or (j := after[i]) >= n or ranks.get(token[i] + token[j]) != rank:
-                continue  # stale
-            token[i] += token[j]
-            token[j] = None
-            k = after[i] = after[j]
-            if k < n:
-                before[k] = i
-                if (rank := ranks.get(token[i] + token[k])) is not None:
-                    queue.push(rank, i)
-            if (h := before[i]) >= 0 and (rank := ranks.get(token[h] + token[i])) is not None:
-                queue.push(rank, h)
-        return tuple(ranks[t] for t in token if t is not None)
-
-    def _ids(self, pretoken: str) -> tuple[int, ...]:
-        ids = self.known.get(pretoken)
-        if ids is None:
-            raw = pretoken.encode("utf-8")
-            ids = self.encode_bytes(raw)
-            if len(raw) <= KEPT_LENGTH:
-                if len(self.known) >= KEPT_PRETOKENS:
-                    self.known.clear()
-                self.known[pretoken] = ids
-        return ids
+        for part in np.split(places, cut) if len(places) else ():
+            queue.fill(int(rank[part[0]]), part.tolist())
+        return queue
+
+    def encode_pretokens(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+        """Ids of each pre-token (none of them empty).
+
+        All pre-tokens share one queue: their linked lists do not touch, and
+        the lowest rank of all is never above the lowest of any one of them.
+        """
+        flat = b"".join(pieces)
+        data = np.frombuffer(flat, dtype=np.uint8)
+        ends = np.cumsum([len(p) for p in pieces])
+        n = len(flat)
+        link = np.arange(1, n + 1, dtype=np.int32)
+        link[ends - 1] = -1
+        after = array("i", link.tobytes())
+        link = np.arange(-1, n - 1, dtype=np.int32)
+        link[ends[:-1]] = -1
+        before = array("i", link.tobytes())
+        token = array("i", np.asarray(self.byte_rank, dtype=np.int32)[data].tobytes())
+        queue, merging = self._queue(data, ends - 1), self.pairs.get
+        push = queue.push
+        while (entry := queue.lowest()) is not None:
+            rank, bucket = entry
+            lower = False
+            while bucket and not lower:
+                i = bucket.pop()
+                j = after[i]
+                if j < 0 or token[i] < 0 or merging(token[i] << SHIFT | token[j]) != rank:
+                    continue  # stale: one of the two has merged otherwise
+                token[i] = rank
+                token[j] = -1
+                k = after[i] = after[j]
+                if k >= 0:
+                    before[k] = i
+                    if (new := merging(rank << SHIFT | token[k])) is not None:
+                        push(new, i)
+                        lower = new < rank
+                if (h := before[i]) >= 0 and (new := merging(token[h] << SHIFT | rank)) is not None:
+                    push(new, h)
+                    lower = lower or new < rank
+        ids = np.frombuffer(token, dtype=np.int32)
+        left = ids >= 0
+        bounds = np.cumsum(left)[ends - 1]
+        ids = ids[left].tolist()
+        return [tuple(ids[a:b]) for a, b in zip([0, *bounds[:-1].tolist()], bounds.tolist())]
+
+    def _learn(self, pretokens: set[str]) -> dict[str, tuple[int, ...]]:
+        """Ids of new pre-tokens, of which the short ones are kept; returns the others."""
+        if len(self.known) + len(pretokens) > KEPT_PRETOKENS:
+            self.known.clear()
+        longer: dict[str, tuple[int, ...]] = {}
+        group: list[str] = []
+        raw: list[bytes] = []
+        size = 0
+        for p in chain(pretokens, (None,)):
+            if p is None or size > QUEUE_BYTES:
+                for q, r, ids in zip(group, raw, self.encode_pretokens(raw) if raw else ()):
+                    (self.known if len(r) <= KEPT_LENGTH else longer)[q] = ids
+                group, raw, size = [], [], 0
+            if p is not None:
+                b = p.encode("utf-8")
+                whole = self.whole.get(b)
+                if whole is not None:
+                    self.known[p] = (whole,)
+                else:
+                    group.append(p)
+                    raw.append(b)
+                    size += len(b)
+        return longer
+
+    def encode_batch(self, texts: list[str]) -> list[list[int]]:
+        """Ids of each text."""
+        split = [self.find(t) for t in texts]
+        found = [list(map(self.known.get, pretokens)) for pretokens in split]
+        new = {p for pretokens, ids in zip(split, found) if None in ids for p, x in zip(pretokens, ids) if x is None}
+        if new:
+            longer = self._learn(new)
+            lookup = ChainMap(self.known, longer) if longer else self.known
+            found = [[lookup[p] if x is None else x for p, x in zip(pretokens, ids)] if None in ids else ids
+                     for pretokens, ids in zip(split, found)]
+        return [list(chain.from_iterable(ids)) for ids in found]
 
     def encode(self, text: str) -> list[int]:
         """Ids of a text."""
-        return list(chain.from_iterable(map(self._ids, self.find(text))))
+        return self.encode_batch([text])[0]
 
     def decode(self, ids) -> bytes:
         """Bytes of a sequence of ids."""
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
+def text_groups(column: pa.Array) -> Iterator[list[str]]:
+    """Texts in groups of bounded size (a longer one has its own)."""
+    group, size = [], 0
+    for t in column:
+        text = t.as_py()
+        if group and size + len(text) > TEXT_CHARS:
+            yield group
+            group, size = [], 0
+        group.append(text)
+        size += len(text)
+    if group:
+        yield group
+
+
 def read_ranks(spark: SparkSession, path: str):
     """The vocabulary file's bytes, broadcast (its size is that of one vocabulary)."""
     with open(path, "rb") as f:
@@ -149,7 +239,7 @@ def encode_documents(spark: SparkSession, docs: DataFrame, vocabulary: str, patt
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(parse_ranks(raw.value), pattern)
         for batch in batches:
-            ids = [codec.encode(t.as_py()) for t in batch.column("_text")]
+            ids = [x for texts in text_groups(batch.column("_text")) for x in codec.encode_batch(texts)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     return _texts(docs, doc_id, text).mapInArrow(rows, "doc_id long, ids array<int>")
@@ -177,8 +267,7 @@ def round_trip(spark: SparkSession, docs: DataFrame, vocabulary: str, pattern: s
         codec = Codec(parse_ranks(raw.value), pattern)
         for batch in batches:
             counts, ids_digest, decoded_digest = [], [], []
-            for t in batch.column("_text"):
-                ids = codec.encode(t.as_py())
+            for ids in (x for texts in text_groups(batch.column("_text")) for x in codec.encode_batch(texts)):
                 counts.append(len(ids))
                 ids_digest.append(hashlib.sha256(",".join(map(codec.decimals.__getitem__, ids)).encode("ascii")).hexdigest())
                 decoded_digest.append(hashlib.sha256(codec.decode(ids)).hexdigest())
