@@ -14,11 +14,13 @@ Documents are linked when the Jaccard similarity of their sets of distinct
    different components go on: each is divided by every other band (a pair at
    the threshold shares ten of 32 on average, and two at least except with a
    chance of 8e-5), and what is still large then ``DIVISIONS`` times by two
-   further bands, chosen by the bucket's key.  Pairs near the threshold stay
-   together in some division, less similar ones part.  Each step gives pairs and
-   stars, so it adds a fixed number of rows for each member, never the square of
-   a bucket.  What is still large and mixed after the last step is compared in
-   blocks of bounded size, so no bucket is cut off.
+   further bands, chosen by the bucket's key.  Each step gives pairs and stars,
+   so it adds a fixed number of rows for each member, never the square of a
+   bucket.  Divisions only add candidates: the large buckets of the bands
+   themselves that are still mixed then get a star around the member with the
+   most links, and those mixed even so are compared in blocks of bounded size,
+   members outside a bucket's largest component with all of them.  So every pair
+   that shares a band is compared, or its members are linked otherwise.
 3. Sequential Bayesian verification: signatures of a candidate pair are
    compared 16 values at a time.  With a uniform prior the similarity after m
    comparisons with k matches is Beta(k + 1, m - k + 1); a pair is pruned as
@@ -54,7 +56,7 @@ from faresight.llm.text import Words, distinct_shingle_sets, groups, random_word
 THRESHOLD_PERCENT = 75
 MISS = 1e-6
 SMALL_BUCKET = 8
-BLOCK = 256
+BLOCK, SPAN = 1024, 2048
 DIVISIONS, STEPS = 8, 2
 
 
@@ -166,24 +168,20 @@ def _similar(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _block_pairs(look: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """Bayes survivors between two blocks of a bucket (or within one)."""
+    """Bayes survivors between a block of a bucket's outside members and a span of all its members."""
     def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("id").reset_index(drop=True)
-        sig, ids, comp, block = _stack(pdf["sig"]), *(pdf[c].to_numpy() for c in ("id", "comp", "block"))
-        one_block = (pdf["first"] == pdf["second"]).all()
-        # Every pair between two components has a member outside the largest one.
-        names, sizes = np.unique(comp, return_counts=True)
-        outside = np.flatnonzero(comp != names[sizes.argmax()])
-        before = np.full(len(ids), -1)
-        before[outside] = np.arange(len(outside))
         found = [pd.DataFrame({"a": [], "b": [], "matches": []}, dtype="int64")]
-        for place, i in enumerate(outside):
-            others = np.flatnonzero((comp != comp[i]) & ((block != block[i]) | one_block) & ((before < 0) | (before > place)))
-            if len(others):
-                one = np.broadcast_to(sig[i], (len(others), sig.shape[1]))
-                live, matches = bayes_survivors(one, sig[others], look)
-                to = ids[others[live]]
-                found.append(pd.DataFrame({"a": np.minimum(ids[i], to), "b": np.maximum(ids[i], to), "matches": matches}))
+        side = pdf["side"].to_numpy()
+        left, right = pdf[side], pdf[~side]
+        if len(left) and len(right):
+            sig, ids, comp, outside = _stack(right["sig"]), *(right[c].to_numpy() for c in ("id", "comp", "outside"))
+            for one, i, own in zip(_stack(left["sig"]), left["id"].to_numpy(), left["comp"].to_numpy()):
+                # Two outside members meet twice; the smaller one's turn counts.
+                others = np.flatnonzero((comp != own) & (~outside | (ids > i)))
+                if len(others):
+                    live, matches = bayes_survivors(np.broadcast_to(one, (len(others), len(one))), sig[others], look)
+                    to = ids[others[live]]
+                    found.append(pd.DataFrame({"a": np.minimum(i, to), "b": np.maximum(i, to), "matches": matches}))
         return pd.concat(found).astype("int64")
 
     return pairs
@@ -283,15 +281,36 @@ def _still_mixed(links: _Links, mixed: DataFrame) -> DataFrame:
     return _mixed_buckets(links, large).select("key", "id", "comp", "n")
 
 
+def _centre_stars(links: _Links, still: DataFrame) -> DataFrame:
+    """Each bucket's member with the most links, with all members of other components."""
+    degree = links.links.select(F.explode(F.array("a", "b")).alias("_i")).groupBy("_i").agg(F.count("*").alias("_n"))
+    held = still.join(degree, still["id"] == degree["_i"], "left")
+    centres = held.groupBy("key").agg(F.max(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "id", "comp")).alias("c"))
+    return still.join(centres, "key").filter(F.col("comp") != F.col("c.comp")).select(
+        F.least("id", "c.id").alias("a"), F.greatest("id", "c.id").alias("b")).distinct()
+
+
 def _in_blocks(links: _Links, still: DataFrame) -> DataFrame:
-    """Survivors among all pairs of the buckets' members, in blocks of bounded size."""
-    g = F.greatest(F.ceil(F.col("n") / BLOCK), F.lit(1)).cast("int")
-    block = still.withColumn("g", g).withColumn("block", F.pmod(F.xxhash64("id"), F.col("g")).cast("int"))
-    dealt = block.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("g") - 1))).select(
-        "key", "id", "comp", "block", F.least("block", "o").alias("first"), F.greatest("block", "o").alias("second"))
-    signed = links.signed.select("id", "sig")
-    return dealt.join(signed, "id").groupBy("key", "first", "second").applyInPandas(
-        _block_pairs(links.plan.look), "a long, b long, matches long").distinct()
+    """Survivors among all pairs of the buckets' members, in blocks of bounded size.
+
+    A pair between two components has a member outside the bucket's largest
+    one, so blocks of such members meet spans of all members.
+    """
+    parts = still.groupBy("key", "comp").agg(F.count("*").alias("_n"))
+    buckets = parts.groupBy("key").agg(F.sum("_n").alias("_all"), F.max(F.struct("_n", "comp")).alias("_main")).select(
+        "key", F.col("_main.comp").alias("_main"), F.ceil(F.col("_all") / SPAN).alias("spans"),
+        F.ceil((F.col("_all") - F.col("_main._n")) / BLOCK).alias("blocks"))
+    members = still.select("key", "id", "comp").join(buckets, "key").filter("blocks > 0").withColumn(
+        "outside", F.col("comp") != F.col("_main"))
+    one = F.lit(1).cast("long")
+    left = members.filter("outside").withColumn("side", F.lit(True)).withColumn(
+        "block", F.pmod(F.xxhash64("id"), "blocks") + 1).withColumn("span", F.explode(F.sequence(one, F.col("spans"))))
+    right = members.withColumn("side", F.lit(False)).withColumn(
+        "span", F.pmod(F.xxhash64("id", F.lit(1)), "spans") + 1).withColumn(
+        "block", F.explode(F.sequence(one, F.col("blocks"))))
+    names = ["key", "id", "comp", "outside", "side", "block", "span"]
+    return left.select(*names).unionAll(right.select(*names)).join(links.signed.select("id", "sig"), "id").groupBy(
+        "key", "block", "span").applyInPandas(_block_pairs(links.plan.look), "a long, b long, matches long").distinct()
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -315,14 +334,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id"
     links.verify(_candidates(mixed))
     still = materialise(spark, _still_mixed(links, mixed), "buckets")
     if not still.isEmpty():
-        pairs = None
+        pairs, divided = None, still
         for step in range(STEPS):
-            mixed = _mixed_buckets(links, _divided(links, still.select("key", "id"), step))
-            found = _candidates(mixed)
+            parts = _mixed_buckets(links, _divided(links, divided.select("key", "id"), step))
+            found = _candidates(parts)
             pairs = found if pairs is None else pairs.unionAll(found)
-            still = mixed.filter(F.col("n") > SMALL_BUCKET)
+            divided = parts.filter(F.col("n") > SMALL_BUCKET)
         links.verify(pairs.distinct())
-        still = materialise(spark, _still_mixed(links, mixed), "buckets")
+        # From the bands' own buckets: a division may part a pair.
+        still = _still_mixed(links, still)
+        links.verify(_centre_stars(links, still))
+        still = _still_mixed(links, still)
         if not still.isEmpty():
             links.confirm(_in_blocks(links, still))
     classes = links.with_component(signed.select("id", "set_hash"), "id", "component")

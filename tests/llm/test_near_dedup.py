@@ -97,6 +97,19 @@ def test_blocks_compare_all_pairs_of_a_bucket(spark):
     assert near and near <= found and all(a < b for a, b in found)
 
 
+def test_members_that_part_in_every_division_are_compared(spark, monkeypatch):
+    monkeypatch.setattr(N, "_divided", lambda links, large, step: large.select("key", "id").limit(0))
+    rng = random.Random(12)
+    hub = [f"h{rng.randrange(10**9)}" for _ in range(204)]
+    texts = {500: " ".join(hub)}
+    for i in range(60):  # near the hub, not near each other
+        w = list(hub)
+        for k in rng.sample(range(5, 199, 5), 5):
+            w[k] = f"x{rng.randrange(10**9)}"
+        texts[i] = " ".join(w + [f"y{i}z{k}" for k in range(8)])
+    check(N.near_duplicates(spark, _frame(spark, texts)).collect(), texts)
+
+
 def _frame(spark, texts):
     return spark.createDataFrame([(i, t, 0) for i, t in texts.items()], DDL).repartition(4)
 
