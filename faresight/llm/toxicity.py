@@ -91,7 +91,7 @@ def features(text: str | None, lexicon: dict[str, float]) -> list[float]:
     for i in second if hits else ():
         persons.update(range(i - NEAR, i + NEAR + 1))
     near = sum(i in persons for i, _ in hits)
-    disguised = [m.lower().translate(_LEET) for m in _DISGUISED.findall(text)] if hits or n < 20_000 else []
+    disguised = [m.lower().translate(_LEET) for m in _DISGUISED.findall(text)]
     hidden = sum(1 for m in disguised if m in lexicon)
     chars = len(text)
     weights = [w for _, w in hits]

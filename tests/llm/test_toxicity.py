@@ -65,3 +65,14 @@ def test_features():
     assert f[2] > 1 and f[3] == 2.0 and f[6] > 0 and f[11] > 0 and f[12] > 0 and f[13] > 0
     assert T.features(None, lexicon) == T.features("", lexicon) == T.features("123 ..", lexicon) == [0.0] * 14
     assert len(T.features("plain words", {})) == 14
+
+
+def test_disguised_words_of_a_very_long_text_count():
+    short, long = ("st*pid 1d10t plainword " * n for n in (10, 10_000))
+    lexicon = {"stpid": 2.0, "idiot": 2.0}
+    for text in (short, long):
+        assert len(text.split()) == (30 if text is short else 30_000)
+    a, b = T.features(short, lexicon), T.features(long, lexicon)
+    assert b[13] > a[13] > 0  # log of the hits
+    assert a[0] == b[0] == 0.0  # no plain hit
+    assert T.features("x1y " * 30_000, lexicon)[12] > 0  # the rate, too
