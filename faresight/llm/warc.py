@@ -1,9 +1,11 @@
 """WARC archives through a chunked record table.
 
-Payloads never travel as one value beyond the row they are read from: a record
-is a sequence of rows (record id, chunk number) of at most ``chunk_bytes``
-bytes, each with the payload's length and SHA-1 up to and including that chunk
-(the last one's are those of the payload).
+A record that is read back is a sequence of rows (record id, chunk number) of at
+most ``chunk_bytes`` bytes, each with the payload's length and SHA-1 up to and
+including that chunk (the last one's are those of the payload).  On the way in a
+payload is one value: it passes the join with the revisits whole (a shuffle, if
+these are too many to broadcast) and an Arrow batch, and is divided into chunks
+only inside the task that writes it, so memory there grows with the largest page.
 
 Writing takes three steps.  One pass gives every payload's digest; equal
 payloads of at least ``min_bytes`` share the smallest page_id as their response
