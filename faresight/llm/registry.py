@@ -8,8 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faresight.llm import (bpe, fingerprints, near_dedup, packing, passages, quality_rules, token_counts, toxicity,
-                           url_filter, warc)
+from faresight.llm import (bpe, exact_dedup, fingerprints, merkle, near_dedup, packing, passages, quality_rules, spelling,
+                           token_counts, toxicity, url_filter, warc)
 from faresight.llm.oracle import SQL  # noqa: F401
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -69,6 +69,18 @@ def op10_toxicity(spark: SparkSession, data_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(spark, _table(spark, data_dir, "documents"), _table(spark, data_dir, "labels"))
 
 
+def op11_spelling(spark: SparkSession, data_dir: str) -> DataFrame:
+    return spelling.spelling_variants(spark, _table(spark, data_dir, "documents"), misspell=spelling.drop_letter(31))
+
+
+def op12_exact_dedup(spark: SparkSession, data_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(spark, _table(spark, data_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, data_dir: str) -> DataFrame:
+    return merkle.tamper_report(spark, _table(spark, data_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_fingerprints, op2_token_counts, op3_substring_dedup, op4_bpe, op5_near_dedup, op6_quality_rules,
-    op7_url_filters, op8_packing, op9_warc, op10_toxicity)}
+    op7_url_filters, op8_packing, op9_warc, op10_toxicity, op11_spelling, op12_exact_dedup, op13_merkle_manifest)}
