@@ -89,3 +89,137 @@ SELECT d.page_id, d.payload_bytes::BIGINT AS payload_bytes, payload_digest,
        CASE WHEN d.page_id = first.page THEN NULL ELSE first.page END AS refers_to
 FROM d JOIN digests USING (page_id) JOIN first USING (h)
 """
+
+
+def _crc32(text: str) -> str:
+    """SQL for the unsigned CRC-32 of a text's UTF-8 bytes (``crc.t`` is the table of byte remainders)."""
+    codes = (f"list_transform(generate_series(0, strlen({text}) - 1), "
+             f"lambda i: ('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::BIGINT)")
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), "
+            f"lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1])), 4294967295::BIGINT)")
+
+
+def _crc_table() -> str:
+    step = "CASE WHEN {0} & 1 = 1 THEN xor({0} >> 1, 3988292384::BIGINT) ELSE {0} >> 1 END"   # the reflected polynomial
+    t = "generate_series(0::BIGINT, 255::BIGINT)"
+    for _ in range(8):
+        t = f"list_transform({t}, lambda c: {step.format('c')})"
+    return f"crc AS MATERIALIZED (SELECT {t} AS t)"
+
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# Near words by what is left without one code point; forms followed by recursion.
+SQL["op11_spelling"] = f"""
+WITH RECURSIVE {_crc_table()}, runs AS (
+  SELECT doc_id, run, count(*) AS k
+  FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER.format("text")}, '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+  WHERE length(run) >= 7 GROUP BY doc_id, run
+), hashed AS (
+  SELECT run, k, {_crc32("(doc_id::VARCHAR || ':' || run)")} AS h FROM runs, crc
+), misspelt AS (
+  SELECT k, CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+  FROM hashed
+), words AS MATERIALIZED (
+  SELECT word, sum(k)::BIGINT AS n FROM misspelt WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2
+), places AS MATERIALIZED (
+  SELECT word, n, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b
+  FROM (SELECT word, n, unnest(generate_series(1, length(word))) AS i FROM words)
+), close AS MATERIALIZED (
+  SELECT x.word, y.word AS other, y.n FROM places x JOIN places y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION SELECT x.word, y.word, y.n FROM places x JOIN words y ON x.a || x.b = y.word
+  UNION SELECT y.word, x.word, x.n FROM places x JOIN words y ON x.a || x.b = y.word
+), best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, encode(other)) AS form, max(n) AS form_n FROM close GROUP BY word
+), forms AS MATERIALIZED (
+  SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * n THEN form END AS form,
+         CASE WHEN form_n >= 10 * n THEN form_n END AS form_n FROM words LEFT JOIN best USING (word)
+), walk AS (
+  SELECT word, word AS at FROM forms
+  UNION ALL SELECT walk.word, forms.form FROM walk JOIN forms ON walk.at = forms.word WHERE forms.form IS NOT NULL
+)
+SELECT forms.word, forms.form, walk.at AS root, forms.n, forms.n_near, forms.form_n
+FROM forms JOIN walk USING (word) JOIN forms ends ON walk.at = ends.word WHERE ends.form IS NULL
+"""
+
+SQL["op12_exact_dedup"] = f"""
+WITH d AS (SELECT doc_id, {_LOWER.format("coalesce(text, '')")} AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+FROM d WINDOW same AS (PARTITION BY t)
+"""
+
+
+def _climb(name: str, tree: str, levels: int) -> str:
+    """CTEs of one forest: ``{name}0`` (tree, pos, d, n) grouped by threes, level by level; a tree with one node stays."""
+    out = []
+    for k in range(levels):
+        out.append(f"""
+{name}_run{k} AS MATERIALIZED (
+  SELECT {tree}, pos // 3 AS run, n, list(d ORDER BY pos) AS ds FROM {name}{k} GROUP BY {tree}, pos // 3, n
+), {name}{k + 1} AS MATERIALIZED (
+  SELECT {tree}, run AS pos, CASE WHEN n > 1 THEN sha256(array_to_string(ds, '')) ELSE ds[1] END AS d, (n + 2) // 3 AS n
+  FROM {name}_run{k}
+)""")
+    return ",".join(out)
+
+
+def _fold(start: str, name: str, tree: str, levels: int) -> str:
+    """CTEs that take ``{start}`` (doc_id, tree, pos, node, proof, ...) to the top of its tree in the forest ``name``."""
+    out, before = [], start
+    for k in range(levels):
+        left, right = "array_to_string(ds[1:p % 3], '')", "array_to_string(ds[p % 3 + 2:], '')"
+        out.append(f"""
+{name}_fold{k} AS MATERIALIZED (
+  SELECT c.* REPLACE (c.p // 3 AS p, CASE WHEN r.n > 1 THEN sha256({left} || node || {right}) ELSE node END AS node,
+                      CASE WHEN r.n > 1 THEN proof || {left} || {right} ELSE proof END AS proof)
+  FROM {before} c JOIN {name}_run{k} r ON c.{tree} = r.{tree} AND c.p // 3 = r.run
+)""")
+        before = f"{name}_fold{k}"
+    return ",".join(out)
+
+
+def _leaf(text: str) -> str:
+    fields = [f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in
+              ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text)]
+    return f"sha256({' || '.join(fields)})"
+
+
+# Levels are written out: up to 3 ** 11 documents a source and 3 ** 6 sources.
+SQL["op13_merkle_manifest"] = f"""
+WITH {_crc_table()}, rows AS MATERIALIZED (
+  SELECT doc_id, CASE WHEN source IS NULL THEN '' ELSE '=' || source END AS tree, {_leaf("text")} AS leaf,
+         CASE WHEN {_crc32("doc_id::VARCHAR")} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf("text")} END AS altered
+  FROM documents, crc
+), placed AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id, leaf) - 1 AS p, count(*) OVER (PARTITION BY tree) AS n FROM rows
+), s0 AS (SELECT tree, p AS pos, leaf AS d, n FROM placed), {_climb("s", "tree", 11)}, subroots AS MATERIALIZED (
+  SELECT tree, d AS subroot, row_number() OVER (ORDER BY encode(tree)) - 1 AS pos, count(*) OVER () AS n FROM s11
+), t0 AS (SELECT 1 AS one, pos, subroot AS d, n FROM subroots), {_climb("t", "one", 6)}, begun AS (
+  SELECT doc_id, tree, leaf, p, altered AS node, '' AS proof FROM placed
+), {_fold("begun", "s", "tree", 11)}, between AS (
+  SELECT f.* REPLACE (u.pos AS p), 1 AS one, u.subroot FROM s_fold10 f JOIN subroots u USING (tree)
+), {_fold("between", "t", "one", 6)}
+SELECT f.doc_id, f.leaf, f.subroot, t6.d AS root, sha256(f.proof) AS proof_sha256, f.node AS folded_root, f.node = t6.d AS verified
+FROM t_fold5 f JOIN t6 USING (one)
+"""
+
+# All pairs by shared shingles (whole texts), then the smallest id in reach.
+SQL["op5_near_dedup"] = rf"""
+WITH RECURSIVE words AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[p:p + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, least(len(w), 1)))) AS p FROM words)
+), sizes AS MATERIALIZED (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS MATERIALIZED (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+                    FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id) p
+  JOIN sizes m ON m.doc_id = a JOIN sizes n ON n.doc_id = b WHERE 100 * c >= 75 * (m.n + n.n - c)
+), reach AS (
+  SELECT doc_id, doc_id AS r FROM words UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.r = links.a
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, min(r) AS component_id, doc_id = min(r) AS kept
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id, n
+"""
