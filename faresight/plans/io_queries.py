@@ -23,6 +23,7 @@ from faresight.sinks import loads, tables
 from faresight.sources import catalog, files
 from faresight.sources import taxi_adapter as A
 from faresight.sources.tables import table
+from faresight.streaming import loads as stream_loads
 from faresight.streaming import messages
 from faresight.streaming import sessions as stream_sessions
 
@@ -213,6 +214,52 @@ def ingest_monthly(spark: SparkSession, d: str) -> DataFrame:
     return ingest.rows_per_file(spark, target)
 
 
+def load_incremental_resources(spark: SparkSession, d: str) -> DataFrame:
+    """Two resources loaded in turn into one target, each by its own cursor, twice."""
+    base = scratch_path(spark, "load-resources")
+    rides = A.ride_events(spark, d).select("event_id", "event_type", "dropoff_datetime", "pickup_datetime")
+    early = rides.filter(F.col("pickup_datetime") < F.lit(P.INCREMENTAL_SPLIT).cast("timestamp_ntz"))
+    for source in (early, rides):
+        for kind in P.LOAD_RESOURCES:
+            loads.load_incremental(spark, source.filter(F.col("event_type") == kind).drop("pickup_datetime"), f"{base}/rides",
+                                   f"{base}/state", kind, "dropoff_datetime", initial_value=P.INCREMENTAL_INITIAL)
+    kept = rides.drop("pickup_datetime").schema
+    return loads.read_target(spark, f"{base}/rides", kept).withColumn(loads.LOAD_ID, F.col(loads.LOAD_ID).cast("int"))
+
+
+def incremental_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Three arrivals of files, each loaded by a new start of two resources' streams into one target;
+    every row with its resource's loaded rows and cursor."""
+    base = scratch_path(spark, "load-stream")
+    rides = A.ride_events(spark, d).select("event_id", "event_type", "dropoff_datetime")
+    lo, hi = (F.lit(t).cast("timestamp_ntz") for t in P.ARRIVALS)
+    at = F.col("dropoff_datetime")
+    for arrived in (at < lo, (at >= lo) & (at < hi), at >= hi):
+        for kind in P.LOAD_RESOURCES:
+            rides.filter(arrived & (F.col("event_type") == kind)).write.mode("append").parquet(f"{base}/landing/{kind}")
+        running = [stream_loads.start_load(
+            spark, f"{base}/landing/{kind}", rides.schema, f"{base}/rides", f"{base}/state", kind, f"{base}/checkpoints",
+            "dropoff_datetime", P.INCREMENTAL_INITIAL, files_per_trigger=4) for kind in P.LOAD_RESOURCES]
+        for query in running:
+            query.awaitTermination()
+    loaded = loads.read_target(spark, f"{base}/rides", rides.schema).withColumn(
+        "resource", F.substring_index(loads.LOAD_ID, "-", 1)).drop(loads.LOAD_ID)
+    told = stream_loads.resource_state(spark, f"{base}/state").select(
+        "resource", F.col("rows").alias("loaded_rows"), "cursor_value")
+    return loaded.join(told, "resource")
+
+
+def load_new_column(spark: SparkSession, d: str) -> DataFrame:
+    """A load that lacks a column, then one that adds it: rows of both under the newest schema, with its version."""
+    base = scratch_path(spark, "load-schema")
+    orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority", F.year("o_orderdate").alias("y"))
+    loads.load(spark, orders.filter("y < 1997").drop("y", "o_orderpriority"), f"{base}/orders", "append", f"{base}/state")
+    loads.load(spark, orders.filter("y >= 1997").drop("y"), f"{base}/orders", "append", f"{base}/state")
+    version, _ = loads.target_schema(spark, f"{base}/state", f"{base}/orders")
+    return loads.read_loaded(spark, f"{base}/orders", f"{base}/state").drop(loads.LOAD_ID).withColumn(
+        "schema_version", F.lit(version))
+
+
 # -- time and rank -----------------------------------------------------------------
 
 def trips_on_day_formatted(spark: SparkSession, d: str) -> DataFrame:
@@ -256,5 +303,5 @@ def late_rides_dropped(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     csv_inferred, csv_gzip, csv_external, bulk_load_columns, parquet_glob, repartition_parquet, append_batches, json_lines,
     json_pages, parse_timestamps, external_parquet_table, bucketed_table, partitioned_vendors, native_copy_reload,
-    table_catalog, replace_append_loads, ingest_monthly, trips_on_day_formatted, recent_rides, top_tips,
+    table_catalog, replace_append_loads, load_incremental_resources, incremental_stream, load_new_column, ingest_monthly, trips_on_day_formatted, recent_rides, top_tips,
     late_rides_dropped)}

@@ -531,6 +531,26 @@ SQL["replace_append_loads"] = """
 SELECT event_type, count(*) AS rows, CAST(4 AS BIGINT) AS loads,
        (SELECT count(*) FROM events WHERE event_type IN ('click', 'view', 'purchase', 'error')) AS loaded_rows
 FROM events WHERE event_type IN ('purchase', 'error') GROUP BY event_type"""
+_RESOURCES = ", ".join(f"'{k}'" for k in P.LOAD_RESOURCES)
+SQL["load_incremental_resources"] = with_ctes(RIDES, f"""
+r AS (SELECT event_id, event_type, dropoff_datetime, pickup_datetime,
+             CASE event_type {" ".join(f"WHEN '{k}' THEN {i}" for i, k in enumerate(P.LOAD_RESOURCES, 1))} END AS place
+      FROM rides WHERE event_type IN ({_RESOURCES}) AND dropoff_datetime >= TIMESTAMP '{P.INCREMENTAL_INITIAL}'),
+run1 AS (SELECT * FROM r WHERE pickup_datetime < TIMESTAMP '{P.INCREMENTAL_SPLIT}'),
+last AS (SELECT event_type, max(dropoff_datetime) AS newest FROM run1 GROUP BY event_type)""", body=f"""
+SELECT event_id, event_type, dropoff_datetime, CAST(place AS INTEGER) AS _load_id FROM run1
+UNION ALL
+SELECT event_id, event_type, dropoff_datetime, CAST(place + {len(P.LOAD_RESOURCES)} AS INTEGER) FROM r
+LEFT JOIN last USING (event_type)
+WHERE (newest IS NULL OR dropoff_datetime >= newest) AND event_id NOT IN (SELECT event_id FROM run1)""")
+SQL["incremental_stream"] = with_ctes(RIDES, body=f"""
+SELECT event_id, event_type, dropoff_datetime, event_type AS resource, count(*) OVER (PARTITION BY event_type) AS loaded_rows,
+       CAST(max(dropoff_datetime) OVER (PARTITION BY event_type) AS VARCHAR) AS cursor_value
+FROM rides WHERE event_type IN ({_RESOURCES}) AND dropoff_datetime >= TIMESTAMP '{P.INCREMENTAL_INITIAL}'""")
+SQL["load_new_column"] = """
+SELECT o_orderkey, o_totalprice, CASE WHEN year(o_orderdate) >= 1997 THEN o_orderpriority END AS o_orderpriority,
+       2 AS schema_version
+FROM orders"""
 SQL["ingest_monthly"] = with_ctes(RAW_TRIPS, body=f"""
 SELECT 'yellow_tripdata_' || strftime(pickup_datetime, '%Y-%m') || '.csv' AS filename, count(*) AS rows
 FROM raw_trips
