@@ -10,8 +10,8 @@ session bounds are emitted too (X19).
 Delivery: the file sink is exactly-once by its commit log, as long as the
 same checkpoint goes with it; a new checkpoint on a sink that already has a
 log would count its batches from 0 again and write nothing, so that is
-refused.  The JDBC writer keeps the batch id and replaces a batch that is
-replayed.  A job's checkpoint lies beside its sink unless it is named, so a
+refused.  The JDBC writer promotes a staged batch and its ledger entry in one
+transaction, so a batch that is replayed adds nothing.  A job's checkpoint lies beside its sink unless it is named, so a
 restarted job resumes where it stopped.
 """
 
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from faresight.session import path_exists
+from faresight.streaming import jdbc
 from faresight.streaming.messages import parse_messages, require_kafka
 
 # Message schema of the reference's trip topic (green trips, 7 columns).
@@ -116,37 +117,8 @@ def _started(agg, checkpoint, path, foreach_batch, processing_time, available_no
 def jdbc_batch_writer(url: str, table: str, properties: dict | None = None,
                       batch_col: str = "batch_id") -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function writing each micro-batch to a JDBC table with
-    its batch id in ``batch_col``.  A batch that is replayed after a failure
-    first deletes what its earlier attempt wrote, so no row appears twice."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        _delete_batch(batch.sparkSession, url, table, properties or {}, batch_col, batch_id)
-        (batch.withColumn(batch_col, F.lit(batch_id).cast("bigint"))
-              .write.format("jdbc").mode("append").option("url", url).option("dbtable", table)
-              .options(**(properties or {})).save())
-    return write
-
-
-def _delete_batch(spark: SparkSession, url: str, table: str, properties: dict, batch_col: str, batch_id: int) -> None:
-    """Delete a batch's rows, if the table exists."""
-    jvm = spark._jvm
-    if properties.get("driver"):
-        jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(properties["driver"])
-    given = jvm.java.util.Properties()
-    for k, v in properties.items():
-        given.setProperty(k, str(v))
-    connection = jvm.java.sql.DriverManager.getConnection(url, given)
-    try:
-        names = {table, table.upper(), table.lower()}
-        found = any(connection.getMetaData().getTables(None, None, n.split(".")[-1], None).next() for n in names)
-        if found:
-            quote = connection.getMetaData().getIdentifierQuoteString().strip()
-            statement = connection.prepareStatement(f"DELETE FROM {table} WHERE {quote}{batch_col}{quote} = ?")
-            statement.setLong(1, batch_id)
-            statement.executeUpdate()
-            if not connection.getAutoCommit():
-                connection.commit()
-    finally:
-        connection.close()
+    its batch id in ``batch_col``, exactly once (see ``streaming.jdbc``)."""
+    return jdbc.ledger_writer(url, table, properties, batch_col)
 
 
 def run_session_job(spark: SparkSession, schema_ddl: str, keys: Sequence[str], event_time_col: str,
