@@ -23,6 +23,7 @@ from faresight.sinks import loads, tables
 from faresight.sources import catalog, files
 from faresight.sources import taxi_adapter as A
 from faresight.sources.tables import table
+from faresight.streaming import audit
 from faresight.streaming import loads as stream_loads
 from faresight.streaming import messages
 from faresight.streaming import sessions as stream_sessions
@@ -283,21 +284,26 @@ def top_tips(spark: SparkSession, d: str) -> DataFrame:
 # -- streams ------------------------------------------------------------------------
 
 def late_rides_dropped(spark: SparkSession, d: str) -> DataFrame:
-    """Rides of the first half arrive after the second half has closed their sessions: all are dropped."""
+    """Rides of the first half arrive after a heartbeat has closed the second half's sessions: all are dropped, and counted."""
     base = scratch_path(spark, "late-rides")
     rides = A.ride_events(spark, d).select("user_id", "dropoff_datetime")
     half = F.lit(P.LATE_BEFORE).cast("timestamp_ntz")
     early, late = rides.filter(F.col("dropoff_datetime") >= half), rides.filter(F.col("dropoff_datetime") < half)
-    end = rides.agg(F.max("dropoff_datetime").alias("m")).select(
-        F.lit(None).cast("bigint").alias("user_id"), F.timestamp_add("DAY", F.lit(1), F.col("m")).alias("dropoff_datetime"))
-    for part in (early, end, late):
-        messages.publish(part, path=f"{base}/in")
-        stream_sessions.run_session_job(
-            spark, "user_id bigint, dropoff_datetime timestamp_ntz", ["user_id"], "dropoff_datetime",
-            source_path=f"{base}/in", sink_path=f"{base}/out", gap=P.SESSION_GAP, available_now=True,
-            state_partitions=spark.sparkContext.defaultParallelism).awaitTermination()
+    end = rides.agg(F.timestamp_add("DAY", F.lit(1), F.max("dropoff_datetime")).alias("until"))
+    arrivals = [lambda: messages.publish(early, path=f"{base}/in"),
+                lambda: stream_sessions.send_heartbeat(end, f"{base}/heartbeats"),
+                lambda: messages.publish(late, path=f"{base}/in")]
+    for arrive in arrivals:
+        arrive()
+        with audit.ProgressLog(spark, f"{base}/log") as log:
+            stream_sessions.run_session_job(
+                spark, "user_id bigint, dropoff_datetime timestamp_ntz", ["user_id"], "dropoff_datetime",
+                source_path=f"{base}/in", sink_path=f"{base}/out", gap=P.SESSION_GAP, available_now=True,
+                state_partitions=spark.sparkContext.defaultParallelism, heartbeat_path=f"{base}/heartbeats",
+                log=log).awaitTermination()
+    told = audit.row_report(spark, f"{base}/log", f"{base}/out_checkpoint").select("arrived", "open_rows", "dropped")
     return spark.read.parquet(f"{base}/out").agg(
-        F.sum("taxi_trips_streak").alias("rides"), F.min("session_start").alias("first_session"))
+        F.sum("taxi_trips_streak").alias("rides"), F.min("session_start").alias("first_session")).crossJoin(told)  # one row each
 
 
 QUERIES = {f.__name__: f for f in (

@@ -564,5 +564,8 @@ FROM rides""")
 SQL["top_tips"] = with_ctes(RIDES, body=f"""
 SELECT event_id, tip_amount FROM rides ORDER BY tip_amount DESC NULLS LAST, event_id LIMIT {P.TOP_TIPS}""")
 SQL["late_rides_dropped"] = with_ctes(RIDES, body=f"""
-SELECT CAST(count(*) AS BIGINT) AS rides, min(dropoff_datetime) AS first_session
-FROM rides WHERE dropoff_datetime >= TIMESTAMP '{P.LATE_BEFORE}'""")
+SELECT CAST(count(*) FILTER (WHERE dropoff_datetime >= TIMESTAMP '{P.LATE_BEFORE}') AS BIGINT) AS rides,
+       min(dropoff_datetime) FILTER (WHERE dropoff_datetime >= TIMESTAMP '{P.LATE_BEFORE}') AS first_session,
+       count(dropoff_datetime) AS arrived, CAST(0 AS BIGINT) AS open_rows,
+       count(*) FILTER (WHERE dropoff_datetime < TIMESTAMP '{P.LATE_BEFORE}') AS dropped
+FROM rides""")

@@ -247,30 +247,28 @@ def session_streaks_stream(spark, d):
 
     Rides arrive in ``P.STREAM_SLICES`` slices of drop-off time, each published
     and then processed by a new start of the job on the same checkpoint, so no
-    micro-batch holds all of them and none comes too late.  A flush marker, a
-    column of its own and far past the last ride, lets the watermark pass every
-    real session; its own session never closes, so it never reaches the sink.
+    micro-batch holds all of them and none comes too late.  A heartbeat after
+    the last slice lets the watermark pass every session.
     """
     base = scratch_path(spark, "session-stream")
-    rides = A.ride_events(spark, d).select(*_RIDE_COLUMNS, F.lit(False).alias("marker"))
+    rides = A.ride_events(spark, d).select(*_RIDE_COLUMNS)
     shares = [i / P.STREAM_SLICES for i in range(1, P.STREAM_SLICES)]
     at = F.unix_micros(F.col("dropoff_datetime").cast("timestamp"))
     bounds = sorted(set(rides.agg(F.percentile_approx(at, shares)).first()[0] or []))
     slices = [rides.filter((at >= lo) & (at < hi))
               for lo, hi in zip([-(1 << 62), *bounds], [*bounds, 1 << 62])]
-    empty = {c: F.lit(None) for c in rides.columns}
-    marker = rides.agg(F.max("dropoff_datetime").alias("m")).select(*[
-        {**empty, "marker": F.lit(True), "dropoff_datetime": F.timestamp_add("DAY", F.lit(1), F.col("m"))}[f.name]
-        .cast(f.dataType).alias(f.name) for f in rides.schema])
-    for part in [*slices, marker]:
+    end = rides.agg(F.timestamp_add("DAY", F.lit(1), F.max("dropoff_datetime")).alias("until"))
+    for i, part in enumerate(slices, 1):
         messages.publish(part, path=f"{base}/messages")
+        if i == len(slices):
+            stream_sessions.send_heartbeat(end, f"{base}/heartbeats")
         stream_sessions.run_session_job(
-            spark, f"{_RIDE_DDL}, marker boolean", ["user_id", "event_type", "marker"], "dropoff_datetime",
+            spark, _RIDE_DDL, ["user_id", "event_type"], "dropoff_datetime",
             source_path=f"{base}/messages", sink_path=f"{base}/sessions", gap=P.SESSION_GAP, available_now=True,
-            state_partitions=spark.sparkContext.defaultParallelism).awaitTermination()
-    return (spark.read.schema("user_id bigint, event_type string, marker boolean, session_start timestamp_ntz, "
-                              "session_end timestamp_ntz, taxi_trips_streak bigint")
-                 .parquet(f"{base}/sessions").filter(~F.col("marker")).drop("marker"))
+            state_partitions=spark.sparkContext.defaultParallelism,
+            heartbeat_path=f"{base}/heartbeats").awaitTermination()
+    return spark.read.schema("user_id bigint, event_type string, session_start timestamp_ntz, session_end timestamp_ntz, "
+                             "taxi_trips_streak bigint").parquet(f"{base}/sessions")
 
 
 # -- ingest, loads, messages ---------------------------------------------------

@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from faresight.session import path_exists
-from faresight.streaming import jdbc
-from faresight.streaming.messages import parse_messages, require_kafka
+from faresight.streaming import audit
+from faresight.streaming.jdbc import ledger_writer
+from faresight.streaming.messages import parse_messages, publish, require_kafka
 
 # Message schema of the reference's trip topic (green trips, 7 columns).
 TRIP_MESSAGE_DDL = (
@@ -54,21 +55,56 @@ def message_stream(spark: SparkSession, schema_ddl: str, path: str | None = None
     return parse_messages(raw, schema_ddl)
 
 
+HEARTBEAT_DDL = "until timestamp_ntz"
+
+
+def heartbeat_stream(spark: SparkSession, path: str) -> DataFrame:
+    """Heartbeats, ``{"until": time}`` message files: no row before ``until`` is still to come.
+
+    They come from whoever knows that (the producer, or the landing job after
+    its last file), never from a clock: a backlog that is read later than it was
+    written would be dropped as late.  The folder is made if it is not there.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+    return message_stream(spark, HEARTBEAT_DDL, path=path)
+
+
+def send_heartbeat(until: DataFrame, path: str) -> None:
+    """Write the one time of ``until`` (its first column) as a heartbeat."""
+    publish(until.select(F.col(until.columns[0]).cast("timestamp_ntz").alias("until")), path=path)
+
+
 def session_aggregate(stream: DataFrame, keys: Sequence[str], event_time_col: str,
                       watermark: str = "5 seconds", gap: str = "5 minutes",
-                      count_alias: str = "taxi_trips_streak") -> DataFrame:
+                      count_alias: str = "taxi_trips_streak", heartbeats: DataFrame | None = None,
+                      audited: bool = False) -> DataFrame:
     """Event time + watermark + session window count per key.
 
     ``withWatermark`` needs a zone-aware TIMESTAMP, so zone-less input is
     cast (the session time zone should be UTC).  Output times are cast back
     to zone-less timestamps.
+
+    ``heartbeats`` (see :func:`heartbeat_stream`) move the watermark like rows
+    and are then left out, so idle keys' newest sessions close without a row
+    that is made up.  ``audited`` adds the counts that ``streaming.audit`` logs.
     """
-    ev = stream.withColumn("event_watermark", F.col(event_time_col).cast("timestamp"))
-    agg = (ev.withWatermark("event_watermark", watermark)
-             .groupBy(*keys, F.session_window("event_watermark", gap).alias("_w"))
+    ev = stream.withColumn("event_watermark", F.col(event_time_col).cast("timestamp")).select(*keys, "event_watermark")
+    if heartbeats is not None:
+        beats = heartbeats.select(F.col("until").cast("timestamp").alias("event_watermark"), F.lit(True).alias("_beat"))
+        ev = ev.withColumn("_beat", F.lit(False)).unionByName(beats, allowMissingColumns=True)
+    ev = ev.withWatermark("event_watermark", watermark)
+    if heartbeats is not None:
+        # The watermark must see the heartbeats: naming the event time keeps this filter above it, and the metric
+        # keeps the optimizer from merging it with the window's own filter on the event time.
+        ev = ev.filter(~(F.col("_beat") & F.col("event_watermark").isNotNull())).drop("_beat")
+    if audited or heartbeats is not None:
+        ev = ev.observe(audit.ARRIVED, F.count("event_watermark").alias("n"))
+    agg = (ev.groupBy(*keys, F.session_window("event_watermark", gap).alias("_w"))
              .agg(F.count(F.lit(1)).alias(count_alias)))
-    return agg.select(*keys, F.col("_w.start").cast("timestamp_ntz").alias("session_start"),
-                      F.col("_w.end").cast("timestamp_ntz").alias("session_end"), count_alias)
+    out = agg.select(*keys, F.col("_w.start").cast("timestamp_ntz").alias("session_start"),
+                     F.col("_w.end").cast("timestamp_ntz").alias("session_end"), count_alias)
+    return out.observe(audit.EMITTED, F.sum(count_alias).alias("n")) if audited else out
 
 
 def start(agg: DataFrame, checkpoint: str, path: str | None = None,
@@ -118,7 +154,7 @@ def jdbc_batch_writer(url: str, table: str, properties: dict | None = None,
                       batch_col: str = "batch_id") -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function writing each micro-batch to a JDBC table with
     its batch id in ``batch_col``, exactly once (see ``streaming.jdbc``)."""
-    return jdbc.ledger_writer(url, table, properties, batch_col)
+    return ledger_writer(url, table, properties, batch_col)
 
 
 def run_session_job(spark: SparkSession, schema_ddl: str, keys: Sequence[str], event_time_col: str,
@@ -127,13 +163,15 @@ def run_session_job(spark: SparkSession, schema_ddl: str, keys: Sequence[str], e
                     jdbc: tuple[str, str, dict] | None = None, checkpoint: str | None = None,
                     watermark: str = "5 seconds", gap: str = "5 minutes",
                     processing_time: str = "10 seconds", available_now: bool = False,
-                    state_partitions: int | None = None) -> StreamingQuery:
+                    state_partitions: int | None = None, heartbeat_path: str | None = None,
+                    log: audit.ProgressLog | None = None) -> StreamingQuery:
     """The whole job in one call: source (topic or message files) -> event
     time + watermark -> session counts per key -> parquet files or a JDBC
     table (``jdbc=(url, table, properties)``).  Unlike the reference job,
     start-up errors raise instead of being printed.  ``checkpoint`` defaults
     to ``<sink_path>_checkpoint``, the same on every start; a JDBC sink needs
-    it named."""
+    it named.  ``heartbeat_path`` names a folder of heartbeats, ``log`` takes
+    the counts of every batch."""
     if jdbc is None and not sink_path:
         raise ValueError("a sink is required: sink_path or jdbc")
     if checkpoint is None:
@@ -141,7 +179,9 @@ def run_session_job(spark: SparkSession, schema_ddl: str, keys: Sequence[str], e
             raise ValueError("a JDBC sink needs a checkpoint folder that stays the same on every start")
         checkpoint = f"{sink_path.rstrip('/')}_checkpoint"
     stream = message_stream(spark, schema_ddl, path=source_path, topic=topic, bootstrap_servers=bootstrap_servers)
-    agg = session_aggregate(stream, keys, event_time_col, watermark, gap)
+    beats = heartbeat_stream(spark, heartbeat_path) if heartbeat_path else None
+    agg = session_aggregate(stream, keys, event_time_col, watermark, gap, heartbeats=beats, audited=log is not None)
     writer = jdbc_batch_writer(*jdbc) if jdbc else None
-    return start(agg, checkpoint, path=sink_path, foreach_batch=writer, processing_time=processing_time,
-                 available_now=available_now, state_partitions=state_partitions)
+    query = start(agg, checkpoint, path=sink_path, foreach_batch=writer, processing_time=processing_time,
+                  available_now=available_now, state_partitions=state_partitions)
+    return log.follow(query) if log is not None else query
