@@ -12,11 +12,13 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from faresight.functions.columns import exact_mean, month_start, ntz_literal, seconds_between
+from faresight.session import scratch_path
 
 _FACT_COLUMNS = (
     "tripid", "vendorid", "service_type", "ratecodeid", "pickup_locationid",
@@ -190,6 +192,89 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str | Column,
     return g.select(*[F.col(k).alias(n) for k, n in zip(groups, keys)], *finals)
 
 
+def value_counts(df: DataFrame, keys: Sequence[str], value: str | Column) -> DataFrame:
+    """Rows per (group, value): ``_k0 ... _kn, _v, _c``; a group without values keeps its NULL row.
+
+    A hash aggregate that combines in each task first, so a group or a value of
+    very many rows is spread over all of them.  Such tables can be kept:
+    :func:`merge_value_counts` adds a new month's to the old ones.
+    """
+    v = (F.col(value) if isinstance(value, str) else value).cast("double")
+    groups = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+    return df.groupBy(*groups, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+
+
+def merge_value_counts(*tables: DataFrame) -> DataFrame:
+    """The counts of all rows behind ``tables``."""
+    rows = reduce(DataFrame.unionByName, tables)
+    return rows.groupBy(*[c for c in rows.columns if c != "_c"]).agg(F.sum("_c").alias("_c"))
+
+
+def percentiles_of_counts(counts: DataFrame, keys: Sequence[str], percentiles: Sequence[float],
+                          names: Sequence[str]) -> DataFrame:
+    """Exact interpolated percentiles per group from a table of value counts (same
+    result as Spark's ``percentile``: position ``(n-1)·p`` between the two
+    neighbouring values), one row per group, NULL where it has no value.
+
+    No step is keyed by the group alone but those over at most one row for each
+    range that the group reaches into:
+
+    1. the counts are sorted over all by ranges of (group, value) and written;
+       pairs are distinct, so ranges are even, whatever the groups' sizes;
+    2. counts run up inside each (range, group), and the ranges' totals run up
+       inside the group: that places each range's first rank;
+    3. the ranges that hold a wanted rank are joined back to their rows, which
+       are still dealt by (range, group), and the values picked out.
+    """
+    spark, groups = counts.sparkSession, [f"_k{i}" for i in range(len(keys))]
+    order = [*groups, "_v"]
+    ranged = counts.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
+    path = scratch_path(spark, "value-counts")
+    ranged.write.parquet(path)
+    # A group is named by a hash of its key, so joins on it treat NULL keys like others.
+    h = spark.read.schema(ranged.schema).parquet(path).withColumn(
+        "_g", F.md5(F.to_json(F.struct(*groups), {"ignoreNullFields": "false"})))
+    counted = F.when(F.col("_v").isNotNull(), F.col("_c")).otherwise(F.lit(0))
+    running = Window.partitionBy("_part", "_g").orderBy(F.col("_v").asc_nulls_first()) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    h = h.withColumn("_own", counted).withColumn("_up", F.sum(counted).over(running))
+    in_group = Window.partitionBy("_g").orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    per = (h.groupBy("_part", "_g").agg(F.max("_up").alias("_bn"))
+            .withColumn("_bend", F.sum("_bn").over(in_group))
+            .withColumn("_n", F.sum("_bn").over(Window.partitionBy("_g"))))
+    per = per.withColumn("_bstart", F.col("_bend") - F.col("_bn"))
+    wanted = F.col("_n") == 0   # a group without values stays in the result
+    for p in percentiles:
+        pos = (F.col("_n") - 1) * F.lit(float(p))
+        for rank in (F.floor(pos), F.ceil(pos)):
+            wanted = wanted | ((F.col("_bstart") <= rank) & (rank < F.col("_bend")))
+    chosen = per.filter(wanted).select("_part", "_g", "_n", "_bstart")
+    h = h.join(chosen, ["_part", "_g"]).withColumn("_end", F.col("_bstart") + F.col("_up"))
+    h = h.withColumn("_start", F.col("_end") - F.col("_own"))   # first 0-based rank holding this value
+    aggs, finals = [], []
+    for i, p in enumerate(percentiles):
+        pos = (F.col("_n") - 1) * F.lit(float(p))
+        lo, hi = F.floor(pos), F.ceil(pos)
+        at = lambda r: F.col("_v").isNotNull() & (F.col("_start") <= r) & (r < F.col("_end"))
+        aggs += [F.max(F.when(at(lo), F.col("_v"))).alias(f"_lo{i}"),
+                 F.max(F.when(at(hi), F.col("_v"))).alias(f"_hi{i}")]
+    g = h.groupBy(*groups).agg(F.max("_n").alias("_n"), *aggs)
+    for i, (p, name) in enumerate(zip(percentiles, names)):
+        pos = (F.col("_n") - 1) * F.lit(float(p))
+        lo, hi = F.floor(pos), F.ceil(pos)
+        lo_v, hi_v = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        finals.append(F.when(lo == hi, lo_v).otherwise((hi - pos) * lo_v + (pos - lo) * hi_v).alias(name))
+    return g.select(*[F.col(k).alias(n) for k, n in zip(groups, keys)], *finals)
+
+
+def range_percentiles(df: DataFrame, keys: Sequence[str], value: str | Column,
+                      percentiles: Sequence[float], names: Sequence[str]) -> DataFrame:
+    """Percentiles of ``df`` by :func:`percentiles_of_counts`: half the shuffles of
+    :func:`exact_percentiles` and no join on the group alone, but the counts are
+    written when the plan is made."""
+    return percentiles_of_counts(value_counts(df, keys, value), keys, percentiles, names)
+
+
 def valid_paid_fares(fact: DataFrame, methods: Sequence[str] = ("Cash", "Credit card")) -> DataFrame:
     return fact.filter((F.col("fare_amount") > 0) & (F.col("trip_distance") > 0)
                        & F.col("payment_type_description").isin(list(methods)))
@@ -222,11 +307,11 @@ def fhv_travel_time_p90(dim: DataFrame, p: float = 0.90) -> DataFrame:
     Written as aggregate-then-join instead of a percentile window: the
     aggregate is partial (value->count maps combine map-side), and the join
     back is an equi-join that AQE can split if one group is skewed, whereas a
-    window would pin a hot group's rows to one task.
+    window would pin a hot group's rows to one task.  ``dim`` is read twice.
     """
     keys = ["year", "month", "pulocationid", "dolocationid"]
     t = with_trip_duration(dim)
-    p90 = exact_percentiles(t, keys, "trip_duration", [p], ["_p90"]) \
+    p90 = range_percentiles(t, keys, "trip_duration", [p], ["_p90"]) \
         .select(*[F.col(k).alias(f"_g_{k}") for k in keys], F.round("_p90", 4).alias("trip_duration_p90"))
     # NULL-safe keys: a row whose group key is NULL still gets its group's p90
     cond = [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys]
