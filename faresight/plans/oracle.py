@@ -472,6 +472,13 @@ SELECT * FROM source s WHERE NOT EXISTS (SELECT 1 FROM target t WHERE t.unique_r
 SQL["ingest_merge"] = merge_sql("Yellow", P.ROW_ID_COLUMNS_ON_PREMISE)
 SQL["ingest_merge_cloud"] = merge_sql("Green", P.ROW_ID_COLUMNS_CLOUD)
 
+SQL["merge_small_batch"] = f"""
+WITH o AS (SELECT year(o_orderdate) AS y, o_orderkey % {P.SMALL_BATCH_EVERY} = 0 AS new FROM orders),
+per_year AS (SELECT y, count(*) + count(*) FILTER (WHERE new) AS rows FROM o GROUP BY y)
+SELECT target, CAST(y AS INTEGER) AS y, CAST(rows AS BIGINT) AS rows, (SELECT 2 * count(*) FROM o WHERE new) AS inserted,
+       CAST(0 AS BIGINT) AS inserted_again
+FROM per_year, (VALUES ('bucketed'), ('plain')) AS t(target)"""
+
 SQL["publish_trips"] = with_ctes(RIDES, body="""
 SELECT event_id, user_id, event_type, pickup_datetime, dropoff_datetime,
        coalesce(passenger_count, 0) AS passenger_count, coalesce(tip_amount, 0.0) AS tip_amount

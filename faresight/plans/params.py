@@ -18,6 +18,7 @@ INCREMENTAL_INITIAL = "2024-01-01"     # first-run cursor floor
 LOAD_RESOURCES = ("click", "purchase")  # kinds of rides loaded as resources of their own
 ARRIVALS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")  # when landed files are picked up
 INCREMENTAL_SPLIT = "2024-01-15"       # source extent at the first run
+SMALL_BATCH_EVERY = 500                # one order key in so many is new, and one is there already
 KEPT_BEFORE = 1998                     # fares before this year are counted in a kept table
 MERGE_TARGET_BEFORE = "1998-01-01"     # target holds files before this month
 REVISED_RATECODE = "3"                 # rides of the new batch that come again with another fare

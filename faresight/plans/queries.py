@@ -6,6 +6,7 @@ adapter) in full and returns a lazy DataFrame; nothing is collected here.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from faresight.functions.columns import MONEY, keep_keys, surrogate_key
 from faresight.operators import adhoc, models, nested, quality, sessions, staging
 from faresight.plans import io_queries
 from faresight.plans import params as P
-from faresight.sinks import loads, merge
+from faresight.sinks import loads, merge, tables
 from faresight.sinks.files import write_json
 from faresight.sources import taxi_adapter as A
 from faresight.sources.files import read_json
@@ -315,7 +316,7 @@ def ingest_merge(spark, d):
     """Yellow target (files before 1998) merged with an overlapping new batch
     (files from mid-1997 on): target rows plus the batch rows not yet there.
     A revised fare is part of the row id, so such rides are new rows."""
-    y = _yellow(spark, d)
+    y = _written(spark, _yellow(spark, d), "landed-yellow")  # both roles come from one read
     target = _landed(y.filter(F.col("pickup_datetime") < F.lit(P.MERGE_TARGET_BEFORE).cast("timestamp_ntz")))
     return merge.merged(_landed(_batch(y)), target)
 
@@ -323,13 +324,34 @@ def ingest_merge(spark, d):
 def ingest_merge_cloud(spark, d):
     """Same merge on green trips with the 5-column row id of the cloud flow (X7),
     for which a ride with a revised fare is the same row."""
-    g = _green(spark, d)
+    g = _written(spark, _green(spark, d), "landed-green")
     st = lambda df: merge.stamp(df.select("service_type", *_LANDED), P.ROW_ID_COLUMNS_CLOUD,
                                 adhoc.file_name()).drop("service_type")
     target = st(g.filter(F.col("pickup_datetime") < F.lit(P.MERGE_TARGET_BEFORE).cast("timestamp_ntz")))
     return merge.merged(st(_batch(g)), target)
 
 
+def merge_small_batch(spark, d):
+    """A small batch of orders, some of them twice, merged into a bucketed and into a plain table of the older ones:
+    rows of each target by year."""
+    base = table(spark, d, "orders").select(F.md5(F.col("o_orderkey").cast("string")).alias(merge.ROW_ID), "o_orderkey",
+                                            F.year("o_orderdate").alias("y"))
+    old = base.filter(F.col("o_orderkey") % P.SMALL_BATCH_EVERY != 0)
+    batch = base.filter(F.col("o_orderkey") % P.SMALL_BATCH_EVERY < 2)
+    out = []
+    for kind in ("bucketed", "plain"):
+        name = f"orders_{kind}_{uuid.uuid4().hex[:10]}"
+        if kind == "bucketed":
+            tables.save_bucketed(old, name, merge.ROW_ID, 16)
+        else:
+            old.write.format("parquet").saveAsTable(name)
+        inserted = [merge.merge_insert_only(spark, batch.unionAll(batch), name) for _ in range(2)]
+        out.append(spark.table(name).groupBy("y").agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(kind).alias("target"), "y", "rows", F.lit(inserted[0]).cast("bigint").alias("inserted"),
+            F.lit(inserted[1]).cast("bigint").alias("inserted_again")))
+    return out[0].unionAll(out[1])
+
+
 _RIDE_COLUMNS = ("event_id", "user_id", "event_type", "pickup_datetime", "dropoff_datetime",
                  "passenger_count", "tip_amount")
 _RIDE_DDL = ("event_id bigint, user_id bigint, event_type string, pickup_datetime timestamp_ntz, "
@@ -442,6 +464,7 @@ QUERIES: dict[str, Query] = {
     "session_streaks_stream": session_streaks_stream,
     "ingest_merge": ingest_merge,
     "ingest_merge_cloud": ingest_merge_cloud,
+    "merge_small_batch": merge_small_batch,
     "publish_trips": publish_trips,
     "load_incremental": load_incremental,
     "load_nested_parents": load_nested_parents,

@@ -5,14 +5,19 @@ already in the target are skipped, everything else is appended.  On Spark
 that is a left-anti join of the source against the target's id column
 (only that column is read from the target), then an append.
 
-Scale notes: the anti-join shuffles the new batch on the row id; when the
-target is bucketed on the row id (``sinks.tables.save_bucketed``) the
-target side is read co-partitioned and not shuffled at all.  AQE splits a
-hot id of the batch only where both sides are shuffled, that is for a target
-that is not bucketed; on a bucketed one its rows pass one task of the join,
-row by row, before they are spread for the write.  Plain parquet
-has no transactions, so only one merge may run against a target at a time
-(the reference's flow has the same single-execution limit).
+Scale notes: :func:`merge_insert_only` writes the stamped batch once and asks
+for each *distinct* id of it whether the target has it, so the question never
+holds a hot id twice; then the batch drops the ids that were found, a join
+whose two sides AQE may split.  Of the target it reads the id column only, and
+of that
+
+* for a target bucketed on the row id (``sinks.tables.save_bucketed``) the
+  files of those buckets alone that the batch's ids hash to, without a shuffle;
+* for another target the ids that pass a one-hash Bloom filter of the batch
+  (at most ``POSITIONS`` positions, so it is broadcast), before the shuffle.
+
+Plain parquet has no transactions, so only one merge may run against a target
+at a time (the reference's flow has the same single-execution limit).
 """
 
 from __future__ import annotations
@@ -24,6 +29,7 @@ from pyspark.sql import functions as F
 
 from faresight.functions.columns import row_hash
 from faresight.operators.staging import dedupe_first
+from faresight.session import scratch_path
 
 ROW_ID = "unique_row_id"
 FILE_NAME = "filename"
@@ -64,19 +70,50 @@ def merged(source: DataFrame, target: DataFrame, key: str = ROW_ID, dedupe_sourc
     return target.unionByName(new_rows(source, target, key, dedupe_source))
 
 
+POSITIONS = 1 << 20     # of the Bloom filter: at most so many numbers are broadcast
+
+
+def bucket_files(target: DataFrame, buckets: Sequence[int]) -> DataFrame:
+    """The rows of a bucketed table's files of these buckets; the others are not listed for the scan."""
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"_(\d+)(?:\..*)?$", 1).cast("int")
+    return target.filter(number.isin(list(buckets)))
+
+
+def passing(target: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Target rows whose id may be among ``ids``, by a one-hash Bloom filter."""
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(POSITIONS)).cast("int")
+    taken = ids.select(place(key).alias("_place")).distinct()
+    return target.join(F.broadcast(taken), place(key) == taken["_place"], "left_semi")
+
+
+def matched_ids(spark: SparkSession, ids: DataFrame, target_table: str, key: str = ROW_ID) -> DataFrame:
+    """The ids (distinct, non-null) that a catalog table holds, read as sparingly as its layout allows."""
+    target = spark.table(target_table)
+    buckets = _buckets(spark, target_table, key)
+    if buckets:
+        used = ids.select(F.pmod(F.hash(key), F.lit(buckets)).alias("b")).distinct().collect()  # at most ``buckets`` numbers
+        target = bucket_files(target, [r["b"] for r in used])
+    else:
+        target = passing(target, ids, key)
+    return ids.join(target.select(key), key, "left_semi")
+
+
 def merge_insert_only(spark: SparkSession, source: DataFrame, target_table: str, key: str = ROW_ID,
                       dedupe_source: bool = False) -> int:
     """Append the new rows of ``source`` to catalog table ``target_table``;
     returns the number of rows inserted.
 
-    Each row is written once: the target's files are listed when the anti-join
-    is planned, so it never reads what the append writes, and a lost task
-    computes the same rows again.  For a target bucketed on ``key`` the rows of
-    a bucket are first brought together (one file for each bucket); a bucket
-    that one hot id makes too large is split over several tasks.
+    The batch and the ids found in the target are written under the scratch
+    path first, so a lost task computes the same rows again and nothing reads
+    what the append writes.  For a target bucketed on ``key`` the rows of a
+    bucket are first brought together (one file for each bucket); a bucket that
+    one hot id makes too large is split over several tasks.
     """
     target = spark.table(target_table)
-    new = new_rows(source, target, key, dedupe_source).select(*target.columns)
+    batch = _written(spark, source.select(*target.columns), "merge-batch")
+    ids = batch.select(key).filter(F.col(key).isNotNull()).distinct()
+    found = _written(spark, matched_ids(spark, ids, target_table, key), "merge-matched")
+    new = new_rows(batch, found, key, dedupe_source).select(*target.columns)
     buckets = _buckets(spark, target_table, key)
     if buckets:
         dealt = new.withColumn("_bucket", F.pmod(F.hash(key), F.lit(buckets)))  # the expression of bucketBy
@@ -86,6 +123,12 @@ def merge_insert_only(spark: SparkSession, source: DataFrame, target_table: str,
     return written.get["n"]
 
 
+def _written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _buckets(spark: SparkSession, table: str, key: str) -> int:
     """Number of buckets if the table is bucketed on ``key`` alone, else 0."""
     told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
