@@ -8,15 +8,18 @@
 
 All of it is column expressions plus ``posexplode`` over each row's own
 list: no grouping, no shuffle, work stays with the partition that read it.
+Records without a key of their own are written once, and named by the file and
+the row where they lie, which tells identical records apart.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 from faresight.functions.columns import snake_case
+from faresight.session import scratch_path
 
 PARENT_ID = "_parent_id"
 LIST_IDX = "_list_idx"
@@ -52,20 +55,27 @@ def record_key(df: DataFrame, key: str | None = None) -> Column:
     return F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
 
 
+def with_place(df: DataFrame) -> DataFrame:
+    """``df`` written under the scratch path and read back with ``_record_id``: an MD5 of each row's file and place in it."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "records")
+    df.write.parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    return back.withColumn(RECORD_ID, F.md5(F.concat_ws("-", "_metadata.file_name", "_metadata.row_index")))
+
+
 def normalise(df: DataFrame, table: str, key: str | None = None) -> dict[str, DataFrame]:
     """Return ``{table: flat_parent, f"{table}__{list}": child, ...}``.
 
     ``key`` names the column identifying a record (e.g. ``record_hash``);
-    without it a row hash is used, with a number for each further one of
-    several identical records.  Nested lists inside list elements, and lists
-    of lists, become grandchild tables keyed by the child's own ``_record_id``.
+    without it a record is named by its place (see :func:`with_place`), so
+    identical records keep ids of their own.  Nested lists inside list
+    elements, and lists of lists, become grandchild tables keyed by the child's
+    own ``_record_id`` (its parent and place in the list tell it apart).
     """
-    keyed = df.withColumn(RECORD_ID, record_key(df, key))
-    if key is None and PARENT_ID not in df.columns:  # a child row has its parent and place to tell it apart
-        same = Window.partitionBy(RECORD_ID).orderBy(RECORD_ID)
-        keyed = keyed.withColumn("_copy", F.row_number().over(same)).withColumn(
-            RECORD_ID, F.when(F.col("_copy") == 1, F.col(RECORD_ID)).otherwise(
-                F.concat_ws("-", RECORD_ID, "_copy"))).drop("_copy")
+    if key is None and PARENT_ID not in df.columns:
+        keyed = with_place(df)
+    else:
+        keyed = df.withColumn(RECORD_ID, record_key(df, key))
     cols, arrays = _flatten_fields(keyed.schema, None, "")
     out = {table: keyed.select(*cols)}
     for name, col, elem in arrays:

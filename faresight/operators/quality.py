@@ -74,26 +74,40 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
             raise ValueError(f"unknown check kind {c.kind!r}")
 
     results = [(c, f"_f{i}") for i, c in enumerate(row_checks)]
-    if uniques:
-        u = uniques[0]
-        grouped = base.groupBy(F.col(u.column).alias("_u")).agg(
-            F.count(F.lit(1)).alias("_n"), *[F.count_if(cond).alias(f"_f{i}") for i, cond in enumerate(conds)])
-        agg = grouped.agg(*[F.sum(f"_f{i}").cast("bigint").alias(f"_f{i}") for i in range(len(conds))],
-                          F.count_if((F.col("_n") > 1) & F.col("_u").isNotNull()).alias("_fu"))
-        results.append((u, "_fu"))
+    keys = list(dict.fromkeys(c.column for c in uniques))
+    if keys:
+        agg = _counted(base, keys, conds)
+        results += [(c, f"_u{keys.index(c.column)}") for c in uniques]
     else:
         agg = base.agg(*[F.count_if(cond).alias(f"_f{i}") for i, cond in enumerate(conds)])
     rows = F.array(*[
         F.struct(F.lit(c.kind).alias("check_name"), F.lit(c.column).alias("column_name"),
                  F.lit(c.severity).alias("severity"), F.coalesce(F.col(name), F.lit(0)).cast("bigint").alias("failures"))
         for c, name in results])
-    out = agg.select(F.inline(rows))
-    for c in uniques[1:]:
-        dup = (df.filter(F.col(c.column).isNotNull()).groupBy(c.column).count()
-                 .filter(F.col("count") > 1).agg(F.count(F.lit(1)).alias("failures")))
-        out = out.unionByName(dup.select(F.lit("unique").alias("check_name"), F.lit(c.column).alias("column_name"),
-                                         F.lit(c.severity).alias("severity"), "failures"))
-    return out
+    return agg.select(F.inline(rows))
+
+
+def _counted(base: DataFrame, keys: list[str], conds: list) -> DataFrame:
+    """One row: rows that fail each condition (``_f0`` ...) and values that occur twice or more (``_u0`` ...).
+
+    With several key columns each row is expanded once for each of them and
+    grouped by that one alone, so the table is read once and combined in each
+    task whatever the number of columns; the conditions count in the first.
+    """
+    flags = [F.count_if(cond).alias(f"_f{i}") for i, cond in enumerate(conds)]
+    if len(keys) == 1:
+        grouped = base.groupBy(F.col(keys[0]).alias("_key")).agg(F.count(F.lit(1)).alias("_n"), *flags)
+        first, repeated = F.lit(True), [(F.col("_n") > 1) & F.col("_key").isNotNull()]
+    else:
+        columns = [F.col(k) for k in keys]
+        grouped = base.groupingSets([[c] for c in columns], *columns).agg(
+            F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_n"), *flags)
+        numbers = [(1 << len(keys)) - 1 - (1 << (len(keys) - 1 - i)) for i in range(len(keys))]
+        first = F.col("_set") == numbers[0]
+        repeated = [(F.col("_set") == s) & (F.col("_n") > 1) & F.col(k).isNotNull() for s, k in zip(numbers, keys)]
+    return grouped.agg(
+        *[F.sum(F.when(first, F.col(f"_f{i}"))).cast("bigint").alias(f"_f{i}") for i in range(len(conds))],
+        *[F.count_if(r).alias(f"_u{i}") for i, r in enumerate(repeated)])
 
 
 class CheckFailed(AssertionError):

@@ -155,6 +155,22 @@ def partitioned_vendors(spark: SparkSession, d: str) -> DataFrame:
     return spark.table(name).filter(days).select("vendorid").distinct()
 
 
+def reload_days(spark: SparkSession, d: str) -> DataFrame:
+    """A table by day whose one day is replaced by a corrected batch, and another batch brings a new day:
+    rows and vendors of each day."""
+    name = _name("yellow_daily")
+    trips = A.raw_service_trips(spark, d, "Yellow", ("vendorid", "dropoff_datetime")).select("vendorid", "dropoff_datetime")
+    day, new = (F.lit(t).cast("date") for t in (P.VENDOR_RANGE[0], P.NEW_DAY))
+    tables.save_daily(trips, name, "dropoff_datetime", "vendorid")
+    corrected = trips.filter((F.to_date("dropoff_datetime") == day) & F.col("vendorid").isNotNull())
+    added = corrected.withColumn("dropoff_datetime", F.lit(f"{P.NEW_DAY} 12:00:00").cast("timestamp_ntz"))
+    for batch in (corrected.unionAll(corrected), added):
+        tables.replace_days(spark, batch, name, "dropoff_datetime", "vendorid")
+    return spark.table(name).groupBy(F.col("d").alias("day")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("vendorid").alias("vendors"),
+        F.count_if(F.to_date("dropoff_datetime") != F.col("d")).alias("misplaced"))
+
+
 def native_copy_reload(spark: SparkSession, d: str) -> DataFrame:
     """A native copy, emptied and loaded with another year; a dropped table is gone."""
     orders, name = table(spark, d, "orders"), _name("orders_copy")
@@ -308,6 +324,7 @@ def late_rides_dropped(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     csv_inferred, csv_gzip, csv_external, bulk_load_columns, parquet_glob, repartition_parquet, append_batches, json_lines,
-    json_pages, parse_timestamps, external_parquet_table, bucketed_table, partitioned_vendors, native_copy_reload,
+    json_pages, parse_timestamps, external_parquet_table, bucketed_table, partitioned_vendors, reload_days,
+    native_copy_reload,
     table_catalog, replace_append_loads, load_incremental_resources, incremental_stream, load_new_column, ingest_monthly, trips_on_day_formatted, recent_rides, top_tips,
     late_rides_dropped)}

@@ -382,6 +382,13 @@ SELECT 'unique', 'tripid', 'warn', count(*) FROM (
 )"""
 
 
+SQL["dq_orders_unique"] = " UNION ALL ".join([
+    f"SELECT 'unique' AS check_name, '{c}' AS column_name, '{level}' AS severity, count(*) AS failures "
+    f"FROM (SELECT {c} FROM orders WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)"
+    for c, level in (("o_orderkey", "error"), ("o_custkey", "warn"), ("o_orderdate", "warn"))] + [
+    "SELECT 'not_null', 'o_totalprice', 'error', count(*) FILTER (WHERE o_totalprice IS NULL) FROM orders",
+    "SELECT 'accepted_values', 'o_orderstatus', 'warn', count(*) FILTER (WHERE o_orderstatus NOT IN ('F', 'O')) FROM orders",
+    "SELECT 'relationships', 'o_custkey', 'warn', count(*) FILTER (WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)) FROM orders"])
 SQL["dq_raw_trips"] = with_ctes(RAW_TRIPS, ZONES, """
 t AS (
   SELECT md5(concat_ws('-', coalesce(vendorid, ''), coalesce(CAST(pickup_datetime AS VARCHAR), ''))) AS tripid,
@@ -508,6 +515,10 @@ FROM (
   FROM conversations
 )"""
 
+SQL["load_nested_by_place"] = """
+SELECT conv_id, turn, coalesce(len(string_split(text, ' ')), 0)::BIGINT AS words
+FROM (SELECT * FROM conversations UNION ALL SELECT * FROM conversations)"""
+
 SQL["brand_avg_price"] = f"""
 SELECT p_brand AS brand, {exact_mean_sql('CAST(p_retailprice AS DECIMAL(20,9))', 9, 2)} AS avg_price
 FROM part GROUP BY p_brand ORDER BY avg_price DESC"""
@@ -529,6 +540,15 @@ SQL["parse_timestamps"] = "SELECT o_orderkey, date_trunc('minute', o_orderdate)
 SQL["external_parquet_table"] = "SELECT * FROM customer"
 SQL["bucketed_table"] = "SELECT o_custkey, count(*) AS orders FROM orders GROUP BY o_custkey"
 SQL["partitioned_vendors"] = SQL["vendors_in_range"]
+SQL["reload_days"] = with_ctes(RAW_TRIPS, f"""
+t AS (SELECT vendorid, CAST(dropoff_datetime AS DATE) AS day FROM raw_trips WHERE service_type = 'Yellow'),
+fixed AS (SELECT * FROM t WHERE day = DATE '{P.VENDOR_RANGE[0]}' AND vendorid IS NOT NULL),
+loaded AS (
+  SELECT * FROM t WHERE day IS DISTINCT FROM DATE '{P.VENDOR_RANGE[0]}' OR NOT EXISTS (SELECT 1 FROM fixed)
+  UNION ALL SELECT * FROM fixed UNION ALL SELECT * FROM fixed
+  UNION ALL SELECT vendorid, DATE '{P.NEW_DAY}' FROM fixed
+)""", body="""
+SELECT day, count(*) AS rows, count(DISTINCT vendorid) AS vendors, CAST(0 AS BIGINT) AS misplaced FROM loaded GROUP BY day""")
 SQL["native_copy_reload"] = """
 SELECT o_orderpriority, count(*) AS orders, false AS dropped_table_exists
 FROM orders WHERE year(o_orderdate) = 1997 GROUP BY o_orderpriority"""

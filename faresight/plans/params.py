@@ -12,6 +12,7 @@ TOP_ZONES_MIN_TOTAL = 100_000          # HAVING bound
 TOP_ZONES_K = 3
 TIP_PICKUP_ZONE = "NATION_3"           # "East Harlem North"
 VENDOR_RANGE = ("1998-03-01", "1998-03-15")
+NEW_DAY = "2031-01-01"                 # a day that no trip has
 EVENT_DAY = "2024-01-15"
 P90_YEAR, P90_MONTH, P90_RANK = 1996, 11, 2
 INCREMENTAL_INITIAL = "2024-01-01"     # first-run cursor floor

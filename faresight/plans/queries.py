@@ -232,6 +232,14 @@ def dq_raw_trips(spark, d):
                                     quality.relationships("pulocationid", stg_zones(spark, d), "locationid", "warn")])
 
 
+def dq_orders_unique(spark, d):
+    """Three columns checked for repeated values in one pass over the orders."""
+    return quality.run_checks(table(spark, d, "orders"), [
+        quality.unique("o_orderkey", "error"), quality.unique("o_custkey", "warn"), quality.unique("o_orderdate", "warn"),
+        quality.not_null("o_totalprice", "error"), quality.accepted_values("o_orderstatus", ["F", "O"], "warn"),
+        quality.relationships("o_custkey", table(spark, d, "customer"), "c_custkey", "warn")])
+
+
 # -- sessions -----------------------------------------------------------------
 
 def session_streaks(spark, d):
@@ -406,6 +414,16 @@ def load_nested_children(spark, d):
     return child.select(nested.PARENT_ID, nested.LIST_IDX, "word", "length")
 
 
+def load_nested_by_place(spark, d):
+    """Nested records without a key, each one twice: children joined to the record that they came from."""
+    turns = _nested_turns(spark, d).drop("record_hash")
+    made = nested.normalise(turns.unionAll(turns), "turns")
+    records = made["turns"].select("conv_id", "turn", nested.RECORD_ID)
+    words = made["turns__words"].groupBy(nested.PARENT_ID).agg(F.count(F.lit(1)).alias("words"))
+    return records.join(words, F.col(nested.RECORD_ID) == F.col(nested.PARENT_ID), "left").select(
+        "conv_id", "turn", F.coalesce("words", F.lit(0)).cast("bigint").alias("words"))
+
+
 def brand_avg_price(spark, d):
     """Products as files of JSON documents ``{"products": [...]}``, read,
     unwrapped, reduced to the kept keys (missing -> 'N/A') and averaged per brand."""
@@ -456,6 +474,7 @@ QUERIES: dict[str, Query] = {
     "dq_raw_trips": dq_raw_trips,
     "dq_stg_green": dq_stg_green,
     "dq_stg_yellow": dq_stg_yellow,
+    "dq_orders_unique": dq_orders_unique,
     "session_streaks": session_streaks,
     "session_streaks_6h": session_streaks_6h,
     "longest_streak": longest_streak,
@@ -469,6 +488,7 @@ QUERIES: dict[str, Query] = {
     "load_incremental": load_incremental,
     "load_nested_parents": load_nested_parents,
     "load_nested_children": load_nested_children,
+    "load_nested_by_place": load_nested_by_place,
     "brand_avg_price": brand_avg_price,
     **io_queries.QUERIES,
 }

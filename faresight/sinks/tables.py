@@ -36,8 +36,7 @@ def save_partitioned_clustered(df: DataFrame, name: str, ts_col: str, cluster_co
     """Partition by the calendar date of ``ts_col`` and cluster (bucket +
     sort) by ``cluster_col``.  Filters must name ``date_col`` to prune
     partitions (see :func:`date_partition_filter`)."""
-    # rebalance on the partition column: few files per date, hot dates split by AQE
-    out = df.withColumn(date_col, F.to_date(ts_col)).hint("rebalance", date_col)
+    out = _by_day(df.withColumn(date_col, F.to_date(ts_col)), date_col, cluster_col)
     w = (out.write.mode(mode).format("parquet").partitionBy(date_col)
             .bucketBy(buckets, cluster_col).sortBy(cluster_col))
     if path:
@@ -45,6 +44,52 @@ def save_partitioned_clustered(df: DataFrame, name: str, ts_col: str, cluster_co
     w.saveAsTable(name)
 
 
+def _by_day(df: DataFrame, date_col: str, cluster_col: str) -> DataFrame:
+    """Rows in ranges of (day, cluster value), sorted: small days share a task, a hot day is cut into
+    ranges of the cluster column.
+
+    The number of ranges is that of the shuffle partitions.  It is given, as AQE would merge small ones
+    by their bytes, and the time to write many small days is that of their files, not of their bytes.
+    """
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(ranges, date_col, cluster_col).sortWithinPartitions(date_col, cluster_col)
+
+
+def save_daily(df: DataFrame, name: str, ts_col: str, cluster_col: str, date_col: str = "d", path: str | None = None,
+               row_group_bytes: int | None = None) -> None:
+    """A table partitioned by day whose files are sorted by ``cluster_col``.
+
+    Its row groups hold narrow ranges of the cluster column, so their
+    statistics let a scan for a few of its values skip the rest; days can be
+    replaced one by one (:func:`replace_days`).
+    """
+    out = _by_day(df.withColumn(date_col, F.to_date(ts_col)), date_col, cluster_col)
+    w = out.write.mode("overwrite").format("parquet").partitionBy(date_col)
+    if row_group_bytes:
+        w = w.option("parquet.block.size", row_group_bytes)
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(name)
+
+
+def replace_days(spark: SparkSession, df: DataFrame, name: str, ts_col: str, cluster_col: str, date_col: str = "d",
+                 row_group_bytes: int | None = None) -> None:
+    """Replace the days that ``df`` has rows of, whole; the table's other days stay as they are.
+
+    The partition overwrite mode is set on this write, whatever the session's
+    is.  A day whose rows are all gone has to be dropped by its partition.
+    """
+    where = [r for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect() if r["col_name"] == "Location"]
+    target = spark.table(name)
+    out = _by_day(df.withColumn(date_col, F.to_date(ts_col)).select(*target.columns), date_col, cluster_col)
+    w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date_col)
+    if row_group_bytes:
+        w = w.option("parquet.block.size", row_group_bytes)
+    w.parquet(where[0]["data_type"])
+    spark.sql(f"MSCK REPAIR TABLE {name}")      # days that the table did not have
+    spark.catalog.refreshTable(name)
+
+
 def date_partition_filter(ts_col: str, first_day: str, last_day: str, date_col: str = "d"):
     """Inclusive day range written on BOTH the partition column (so the scan
     prunes partitions) and the timestamp itself (exact rows)."""
