@@ -9,10 +9,12 @@
 from __future__ import annotations
 
 import argparse
+import json
 import sys
 
 
 def main(argv=None) -> int:
+    from faresight.plans import settings
     from faresight.plans.queries import QUERIES
 
     ap = argparse.ArgumentParser(prog="python -m faresight")
@@ -23,10 +25,12 @@ def main(argv=None) -> int:
         p.add_argument("query", choices=sorted(QUERIES))
         p.add_argument("--data", required=True, help="folder with the <table>.parquet inputs")
         p.add_argument("--master", default=None, help="e.g. local[8]; default: the environment's")
+        p.add_argument("--vars", default="{}", type=json.loads, help="run parameters as JSON, e.g. '{\"days_back\": 30}'")
         if name == "run":
             p.add_argument("--show", type=int, default=20, help="rows to print (a bounded limit)")
             p.add_argument("--out", default=None, help="write the full result as parquet here instead")
     a = ap.parse_args(argv)
+    settings.GIVEN.update(getattr(a, "vars", {}))
     if a.cmd == "list":
         print("\n".join(sorted(QUERIES)))
         return 0

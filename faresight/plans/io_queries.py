@@ -17,6 +17,7 @@ from faresight.functions.columns import on_day_formatted, parse_timestamp, since
 from faresight.operators import adhoc
 from faresight.plans import ingest
 from faresight.plans import params as P
+from faresight.plans.settings import var
 from faresight.session import scratch_path
 from faresight.sinks import files as out
 from faresight.sinks import loads, tables
@@ -114,7 +115,8 @@ def json_pages(spark: SparkSession, d: str) -> DataFrame:
     """Conversation turns as numbered pages, each one JSON array, and an empty page."""
     base = scratch_path(spark, "json-pages")
     turns = table(spark, d, "conversations")
-    page = F.floor(F.col("conv_id") / 10).alias("page")  # the turns of ten conversations
+    # up to fifty turns each of ten conversations: a page stays small however long a conversation is
+    page = (F.floor(F.col("conv_id") / 10) * 100_000 + F.floor(F.col("turn") / 50)).alias("page")
     arrays = turns.groupBy(page).agg(F.to_json(F.collect_list(F.struct(*turns.columns))).alias("value"))
     empty = spark.range(1).select((-F.col("id") - 1).alias("page"), F.lit("[]").alias("value"))
     arrays.unionAll(empty).repartition("page").write.partitionBy("page").text(base)
@@ -122,6 +124,21 @@ def json_pages(spark: SparkSession, d: str) -> DataFrame:
     return files.read_json_pages(spark, base, schema=ddl, pattern="page=*/*.txt")
 
 
+def numbered_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Parts as numbered pages with an empty one in the middle: read up to it, and resumed behind it."""
+    base = scratch_path(spark, "numbered-pages")
+    parts = table(spark, d, "part").select("p_partkey", "p_name", (F.floor(F.col("p_partkey") / P.PAGE_ROWS) + 1).alias("page"))
+    record = F.struct("p_partkey", "p_name")
+    pages = parts.groupBy("page").agg(F.to_json(F.collect_list(record)).alias("value"))     # PAGE_ROWS records at most
+    pages.select("page", F.when(F.col("page") == P.EMPTY_PAGE, "[]").otherwise(F.col("value")).alias("value")) \
+        .repartition("page").write.partitionBy("page").text(base)
+    ddl, pattern = "p_partkey bigint, p_name string", "page=*/*.txt"
+    first = files.read_numbered_pages(spark, base, ddl, 1, pattern)
+    _, end = files.page_bounds(spark, base, 1, pattern)
+    second = files.read_numbered_pages(spark, base, ddl, end + 1, pattern)
+    return first.withColumn("run", F.lit(1)).unionByName(second.withColumn("run", F.lit(2)))
+
+
 def parse_timestamps(spark: SparkSession, d: str) -> DataFrame:
     """Order dates from text in a fixed format."""
     text = F.date_format("o_orderdate", "dd/MM/yyyy HH:mm")
@@ -223,7 +240,7 @@ def ingest_monthly(spark: SparkSession, d: str) -> DataFrame:
         landed = landed.withColumn(stamp, F.date_format(stamp, "yyyy-MM-dd HH:mm:ss"))
     chosen = [f"{y}-{m:02d}" for y, m in P.INGEST_MONTHS]
     for month in chosen:
-        landed.filter(F.col("month") == month).drop("month").coalesce(1).write.option("header", True).csv(
+        landed.filter(F.col("month") == month).drop("month").write.option("header", True).csv(
             f"{base}/yellow_tripdata_{month}.csv")
     ingest.ingest_months(spark, base, "yellow", P.INGEST_MONTHS[:-1], target, buckets=4, named_by_folder=True)
     for _ in range(2):
@@ -287,7 +304,8 @@ def trips_on_day_formatted(spark: SparkSession, d: str) -> DataFrame:
 def recent_rides(spark: SparkSession, d: str) -> DataFrame:
     """Rides of the last days before a given day, and those that the current date would still reach."""
     rides = A.ride_events(spark, d)
-    return rides.agg(F.count_if(since_days("pickup_datetime", P.DAYS_BACK, P.AS_OF)).alias("before_day"),
+    days = var("days_back", P.DAYS_BACK)    # a run may name another number: --vars, or $DAYS_BACK
+    return rides.agg(F.count_if(since_days("pickup_datetime", days, P.AS_OF)).alias("before_day"),
                      F.count_if(since_days("pickup_datetime", 100 * 365)).alias("last_century"))
 
 
@@ -324,7 +342,7 @@ def late_rides_dropped(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     csv_inferred, csv_gzip, csv_external, bulk_load_columns, parquet_glob, repartition_parquet, append_batches, json_lines,
-    json_pages, parse_timestamps, external_parquet_table, bucketed_table, partitioned_vendors, reload_days,
+    json_pages, numbered_pages, parse_timestamps, external_parquet_table, bucketed_table, partitioned_vendors, reload_days,
     native_copy_reload,
     table_catalog, replace_append_loads, load_incremental_resources, incremental_stream, load_new_column, ingest_monthly, trips_on_day_formatted, recent_rides, top_tips,
     late_rides_dropped)}

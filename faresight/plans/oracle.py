@@ -536,6 +536,10 @@ SQL["append_batches"] = """
 SELECT c_custkey, c_nationkey FROM customer UNION ALL SELECT s_suppkey, s_nationkey FROM supplier"""
 SQL["json_lines"] = "SELECT * FROM events"
 SQL["json_pages"] = "SELECT conv_id, turn, role, text FROM conversations"
+SQL["numbered_pages"] = f"""
+WITH p AS (SELECT p_partkey, p_name, p_partkey // {P.PAGE_ROWS} + 1 AS page FROM part),
+ends AS (SELECT least(CAST({P.EMPTY_PAGE} AS BIGINT), max(page) + 1) AS empty, max(page) AS last FROM p)
+SELECT p_partkey, p_name, page, CASE WHEN page < empty THEN 1 ELSE 2 END AS run FROM p, ends WHERE page <> empty"""
 SQL["parse_timestamps"] = "SELECT o_orderkey, date_trunc('minute', o_orderdate) AS ordered_at FROM orders"
 SQL["external_parquet_table"] = "SELECT * FROM customer"
 SQL["bucketed_table"] = "SELECT o_custkey, count(*) AS orders FROM orders GROUP BY o_custkey"

@@ -15,6 +15,7 @@ VENDOR_RANGE = ("1998-03-01", "1998-03-15")
 NEW_DAY = "2031-01-01"                 # a day that no trip has
 EVENT_DAY = "2024-01-15"
 P90_YEAR, P90_MONTH, P90_RANK = 1996, 11, 2
+PAGE_ROWS, EMPTY_PAGE = 100, 7         # records of a landed page, and the page that is empty
 INCREMENTAL_INITIAL = "2024-01-01"     # first-run cursor floor
 LOAD_RESOURCES = ("click", "purchase")  # kinds of rides loaded as resources of their own
 ARRIVALS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")  # when landed files are picked up

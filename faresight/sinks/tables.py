@@ -81,12 +81,16 @@ def replace_days(spark: SparkSession, df: DataFrame, name: str, ts_col: str, clu
     """
     where = [r for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect() if r["col_name"] == "Location"]
     target = spark.table(name)
-    out = _by_day(df.withColumn(date_col, F.to_date(ts_col)).select(*target.columns), date_col, cluster_col)
+    dated = df.withColumn(date_col, F.to_date(ts_col)).select(*target.columns)
+    days = [str(r[0]) for r in dated.select(date_col).filter(F.col(date_col).isNotNull()).distinct().collect()]
+    out = _by_day(dated, date_col, cluster_col)
     w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date_col)
     if row_group_bytes:
         w = w.option("parquet.block.size", row_group_bytes)
     w.parquet(where[0]["data_type"])
-    spark.sql(f"MSCK REPAIR TABLE {name}")      # days that the table did not have
+    if days:    # the catalog learns of days that the table did not have
+        parts = " ".join(f"PARTITION ({date_col} = DATE '{day}')" for day in days)
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")
     spark.catalog.refreshTable(name)
 
 

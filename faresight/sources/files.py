@@ -83,6 +83,96 @@ def read_json_pages(spark: SparkSession, pages_dir: str, schema: str | None = No
     return read_json(spark, f"{pages_dir.rstrip('/')}/{pattern}", schema=schema, multiline=True)
 
 
+def _numbered(df: DataFrame, pattern: str) -> DataFrame:
+    number = F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
+    return df.withColumn("_page", F.when(number != "", number.cast("bigint")))
+
+
+def page_bounds(spark: SparkSession, pages_dir: str, start_page: int = 1, pattern: str = "*.json",
+                number: str = r"page[_=](\d+)") -> tuple[int, int]:
+    """``(start, end)`` of the pages to read: from ``start_page`` up to, not including, the first one that is empty or missing.
+
+    Pages are looked at in parallel, each as one text; two numbers come back.
+    """
+    texts = _numbered(spark.read.option("wholetext", True).text(f"{pages_dir.rstrip('/')}/{pattern}"), number)
+    pages = (texts.filter(F.col("_page") >= start_page).groupBy("_page")
+             .agg(F.min(F.col("value").rlike(r"^\s*(\[\s*\])?\s*$")).alias("_empty")))
+    after = pages.select((F.col("_page") + 1).alias("_page"), F.lit(False).alias("_empty"))
+    missing = after.join(pages.select("_page"), "_page", "left_anti")
+    ends = missing.unionByName(pages.filter("_empty").select("_page", "_empty"))
+    first = pages.filter(F.col("_page") == start_page).isEmpty()
+    return start_page, start_page if first else ends.agg(F.min("_page")).first()[0]
+
+
+def read_numbered_pages(spark: SparkSession, pages_dir: str, schema: str, start_page: int = 1, pattern: str = "*.json",
+                        number: str = r"page[_=](\d+)") -> DataFrame:
+    """Records of landed API pages with their ``page``, read as the API is read: pages follow each other from
+    ``start_page`` and the first empty one ends the data, whatever lies behind it.
+
+    To resume, start at the ``end`` that :func:`page_bounds` gives: it is the
+    first page not read.  A page may be a file or a folder of files.
+    """
+    start, end = page_bounds(spark, pages_dir, start_page, pattern, number)
+    rows = _numbered(read_json(spark, f"{pages_dir.rstrip('/')}/{pattern}", schema=schema, multiline=True), number)
+    return rows.filter((F.col("_page") >= start) & (F.col("_page") < end)).withColumnRenamed("_page", "page")
+
+
+def even_ranges(spark: SparkSession, url: str, query: str, column: str, parts: int, properties: dict | None = None,
+                bins: int = 256) -> list[tuple[float, float, int]]:
+    """Ranges ``[low, high)`` of a numeric column that hold about equal numbers of a query's rows, with these numbers.
+
+    The database counts its rows in ``bins`` equal steps between the least and
+    largest value; steps that hold more than their share of a part are divided
+    again, until a step is within its share or a single value.  Only counts
+    come back, at most ``bins`` a round for each of at most ``2 * parts`` steps.
+    """
+    def ask(sql: str) -> list:
+        return read_jdbc_query(spark, url, sql, properties).collect()
+
+    source = f"({query}) q"
+    (low, high, n), = ask(f"SELECT min({column}) AS LO, max({column}) AS HI, count({column}) AS N FROM {source}")
+    if not n:
+        return []
+    share, done, todo = max(1, n // (2 * parts)), [], [(float(low), float(high) + 1.0)]
+    while todo:
+        a, b = todo.pop()
+        step = max((b - a) / bins, 1.0)
+        place = f"FLOOR((CAST({column} AS DOUBLE PRECISION) - {a!r}) / {step!r})"
+        counted = ask(f"SELECT B, count(*) AS N FROM (SELECT {place} AS B FROM {source} WHERE {column} >= {a!r} AND {column} < {b!r}) s "
+                      "GROUP BY B")
+        for r in counted:
+            lo, hi = a + float(r[0]) * step, min(a + (float(r[0]) + 1) * step, b)
+            if r[1] > share and step > 1.0:
+                todo.append((lo, hi))
+            else:
+                done.append((lo, hi, int(r[1])))
+    done.sort()
+    out, begin, held = [], done[0][0], 0
+    for i, (_, hi, count) in enumerate(done):
+        held += count
+        if held * parts >= n or i == len(done) - 1:
+            out.append((begin, hi, held))
+            begin, held = hi, 0
+    return out
+
+
+def read_jdbc_even(spark: SparkSession, url: str, query: str, column: str, parts: int, properties: dict | None = None) -> DataFrame:
+    """A query's result in about ``parts`` even partitions by a numeric column whose range and skew are not known.
+
+    The first and last range are open, so rows that come while the ranges are
+    measured are read too; rows without a value are read with the first.
+    """
+    ranges = even_ranges(spark, url, query, column, parts, properties)
+    cuts = [r[0] for r in ranges[1:]]
+    edges = [None, *cuts, None]
+    predicates = []
+    for a, b in zip(edges, edges[1:]):
+        bounds = [f"{column} >= {a!r}" if a is not None else "", f"{column} < {b!r}" if b is not None else ""]
+        inside = " AND ".join(x for x in bounds if x) or "1 = 1"
+        predicates.append(f"({inside}) OR {column} IS NULL" if a is None else inside)
+    return spark.read.jdbc(url, f"({query}) q", predicates=predicates, properties=dict(properties or {}))
+
+
 def read_jdbc_query(spark: SparkSession, url: str, query: str, properties: dict | None = None,
                     partition_column: str | None = None, lower: int | None = None,
                     upper: int | None = None, num_partitions: int | None = None) -> DataFrame:
