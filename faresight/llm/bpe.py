@@ -11,8 +11,8 @@ leftmost among equals).  New pre-tokens of many texts share one queue, as if the
 were one long pre-token whose parts never meet, so a rank is looked up once for
 all its places.
 
-Encoding runs inside Arrow batches; each task keeps a bounded table of
-pre-tokens already encoded.  The vocabulary (under a million bytes) is read on
+Encoding runs inside Arrow batches; each Python worker keeps a bounded table of
+pre-tokens already encoded, also between tasks.  The vocabulary (under a million bytes) is read on
 the driver from a path that the caller gives and broadcast.
 
 Cases: a null or empty text has no ids and decodes to no bytes; every text
@@ -28,7 +28,7 @@ import hashlib
 from array import array
 from collections import ChainMap
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -169,7 +169,8 @@ class Codec:
     def _learn(self, pretokens: set[str]) -> dict[str, tuple[int, ...]]:
         """Ids of new pre-tokens, of which the short ones are kept; returns the others."""
         if len(self.known) + len(pretokens) > KEPT_PRETOKENS:
-            self.known.clear()
+            for p in list(islice(self.known, len(self.known) // 2)):    # the older half
+                del self.known[p]
         longer: dict[str, tuple[int, ...]] = {}
         group: list[str] = []
         raw: list[bytes] = []
@@ -211,6 +212,18 @@ class Codec:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
+_CODECS: dict[tuple[bytes, str], Codec] = {}
+
+
+def worker_codec(vocabulary: bytes, pattern: str) -> Codec:
+    """The codec of this Python worker, with the pre-tokens that its earlier tasks learnt (one vocabulary is kept)."""
+    key = hashlib.sha256(vocabulary).digest(), pattern
+    if key not in _CODECS:
+        _CODECS.clear()
+        _CODECS[key] = Codec(parse_ranks(vocabulary), pattern)
+    return _CODECS[key]
+
+
 def text_groups(column: pa.Array) -> Iterator[list[str]]:
     """Texts in groups of bounded size (a longer one has its own)."""
     group, size = [], 0
@@ -237,7 +250,7 @@ def encode_documents(spark: SparkSession, docs: DataFrame, vocabulary: str, patt
     raw = read_ranks(spark, vocabulary)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(parse_ranks(raw.value), pattern)
+        codec = worker_codec(raw.value, pattern)
         for batch in batches:
             ids = [x for texts in text_groups(batch.column("_text")) for x in codec.encode_batch(texts)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
@@ -250,7 +263,7 @@ def decode_documents(spark: SparkSession, encoded: DataFrame, vocabulary: str, p
     raw = read_ranks(spark, vocabulary)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(parse_ranks(raw.value), pattern)
+        codec = worker_codec(raw.value, pattern)
         for batch in batches:
             made = [codec.decode(x.as_py() or ()) for x in batch.column("ids")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(made, pa.binary())], ["doc_id", "bytes"])
@@ -264,7 +277,7 @@ def round_trip(spark: SparkSession, docs: DataFrame, vocabulary: str, pattern: s
     raw = read_ranks(spark, vocabulary)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(parse_ranks(raw.value), pattern)
+        codec = worker_codec(raw.value, pattern)
         for batch in batches:
             counts, ids_digest, decoded_digest = [], [], []
             for ids in (x for texts in text_groups(batch.column("_text")) for x in codec.encode_batch(texts)):
