@@ -284,15 +284,15 @@ SELECT CAST(pickup_datetime AS DATE) AS day, max(trip_distance) AS longest_trip
 FROM raw_green GROUP BY 1 ORDER BY longest_trip DESC, day ASC LIMIT 1""")
 
 SQL["top_pickup_zones"] = with_ctes(RAW_TRIPS, ZONES, GREEN, f"""
-cte AS (
-  SELECT CAST(pulocationid AS INTEGER) AS pulocationid, CAST(sum(total_amount) AS DECIMAL(38,2)) AS total_amount
-  FROM raw_green
-  WHERE strftime(pickup_datetime, '%Y-%m-%d') = '{P.TOP_ZONES_DAY}'
-  GROUP BY 1
-  HAVING sum(total_amount) > {P.TOP_ZONES_MIN_TOTAL}
+takings AS (
+  SELECT named.zone, named.locationid, CAST(sum(trip.total_amount) AS DECIMAL(38,2)) AS total_amount
+  FROM zones AS named, raw_green AS trip
+  WHERE named.locationid = CAST(trip.pulocationid AS INTEGER)
+    AND trip.pickup_datetime >= DATE '{P.TOP_ZONES_DAY}' AND trip.pickup_datetime < DATE '{P.TOP_ZONES_DAY}' + INTERVAL 1 DAY
+  GROUP BY ALL
 )""", body=f"""
-SELECT lk.zone, total_amount FROM cte JOIN zones lk ON cte.pulocationid = lk.locationid
-ORDER BY total_amount DESC, zone LIMIT {P.TOP_ZONES_K}""")
+SELECT zone, total_amount FROM takings WHERE total_amount > {P.TOP_ZONES_MIN_TOTAL}
+QUALIFY row_number() OVER (ORDER BY total_amount DESC, zone) <= {P.TOP_ZONES_K}""")
 
 SQL["largest_tip_dropoff"] = with_ctes(RAW_TRIPS, ZONES, GREEN, f"""
 ranked AS (
