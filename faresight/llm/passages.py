@@ -139,7 +139,8 @@ def repeated_sentences(docs: DataFrame, plan: PassagePlan = PassagePlan()) -> Da
 def repeated_lines(spark: SparkSession, docs: DataFrame, plan: PassagePlan = PassagePlan()) -> DataFrame:
     """``doc_id, place`` of long lines that are not the first of their component (``docs``: doc_id, text)."""
     lines = docs.filter("doc_id is not null").mapInArrow(_line_rows(plan), "doc_id long, place int, text string")
-    lines = lines.withColumn("line", F.xxhash64("doc_id", "place", "text"))
+    # written once: the texts are cut in one pass, and later joins do not run beside Python workers
+    lines = materialise(spark, lines.withColumn("line", F.xxhash64("doc_id", "place", "text")), "line-texts")
     found = near_duplicates(spark, lines, "line", "text", plan.bands).select(F.col("doc_id").alias("line"), "component_id")
     several = found.groupBy("component_id").agg(F.count("*").alias("n")).filter("n > 1").select("component_id")
     members = materialise(spark, found.join(several, "component_id"), "lines")
@@ -194,22 +195,24 @@ def without_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 def _cleaner(names: list[str], text: str, plan: PassagePlan):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column, sentences, lines = (batch.column(c) for c in (text, "_sentences", "_lines"))
-            texts, counts, spans = [], [], []
-            for begin, encoded in groups(column):
-                marked = [i for i in range(len(encoded)) if sentences[begin + i].is_valid or lines[begin + i].is_valid]
-                s = Sentences(encoded) if marked else None
-                at = set(marked)
-                for i, raw in enumerate(encoded):
-                    found = removed_spans(s, i, set(sentences[begin + i].as_py() or ()), set(lines[begin + i].as_py() or ()),
-                                          plan) if i in at else []
-                    new = without_spans(raw, found) if found else raw
-                    texts.append(new.decode("utf-8") if column[begin + i].is_valid else None)
-                    spans.append(len(found))
-                    counts.append(sum(len(raw[a:b].split()) for a, b in found))
-            arrays = [pa.array(texts, pa.string()) if c == text else batch.column(c) for c in names]
-            yield pa.RecordBatch.from_arrays(
-                [*arrays, pa.array(spans, pa.int64()), pa.array(counts, pa.int64())], [*names, "_spans", "_removed"])
+            for begin, encoded in groups(batch.column(text)):
+                yield cleaned(batch.slice(begin, len(encoded)), encoded)
+
+    def cleaned(part: pa.RecordBatch, encoded: list[bytes]) -> pa.RecordBatch:
+        """One group of texts, so that no more than these are held in two versions."""
+        column, sentences, lines = (part.column(c) for c in (text, "_sentences", "_lines"))
+        at = {i for i in range(len(encoded)) if sentences[i].is_valid or lines[i].is_valid}
+        s = Sentences(encoded) if at else None
+        texts, counts, spans = [], [], []
+        for i, raw in enumerate(encoded):
+            found = removed_spans(s, i, set(sentences[i].as_py() or ()), set(lines[i].as_py() or ()), plan) if i in at else []
+            new = without_spans(raw, found) if found else raw
+            texts.append(new.decode("utf-8") if column[i].is_valid else None)
+            spans.append(len(found))
+            counts.append(sum(len(raw[a:b].split()) for a, b in found))
+        arrays = [pa.array(texts, pa.string()) if c == text else part.column(c) for c in names]
+        return pa.RecordBatch.from_arrays(
+            [*arrays, pa.array(spans, pa.int64()), pa.array(counts, pa.int64())], [*names, "_spans", "_removed"])
 
     return rows
 
