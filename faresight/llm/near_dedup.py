@@ -16,17 +16,26 @@ Documents are linked when the Jaccard similarity of their sets of distinct
    chance of 8e-5), and what is still large then ``DIVISIONS`` times by two
    further bands, chosen by the bucket's key.  Each step gives pairs and stars,
    so it adds a fixed number of rows for each member, never the square of a
-   bucket.  Divisions only add candidates: the large buckets of the bands
-   themselves that are still mixed then get a star around the member with the
-   most links, and those mixed even so are compared in blocks of bounded size,
-   members outside a bucket's largest component with all of them.  So every pair
-   that shares a band is compared, or its members are linked otherwise.
+   bucket.  Divisions only add candidates; the large buckets of the bands
+   themselves that are still mixed go on to step 5.
 3. Sequential Bayesian verification: signatures of a candidate pair are
    compared 16 values at a time.  With a uniform prior the similarity after m
    comparisons with k matches is Beta(k + 1, m - k + 1); a pair is pruned as
    soon as P(similarity >= 0.75) is below ``miss`` (1e-6 for each look).
 4. Survivors are verified exactly on full shingle sets, computed again from
    the whole texts, and links are contracted to components.
+5. Large buckets that are still mixed: buckets with members in common make one
+   group.  A group's common set C holds the shingles of more than half of its
+   members, and each member is kept as its difference D = set ^ C.  A pair is
+   linked if 7 * |D_x ^ D_y| <= n_x + n_y.  With u = 7 * |D| - n that is certain
+   where u_x + u_y <= 0, and such pairs are linked through the member of least
+   u; any other linked pair shares (u_x + u_y) / 14 elements of D at least.  So
+   an ordered prefix of each D is enough to meet (shingles outside C first,
+   hardly ever held twice), and the members that share an element of their
+   prefixes are compared: few ones as pairs, many in blocks of bounded size, by
+   signatures and then exactly within the block, which returns a forest of true
+   links, at most one row a member.  So every pair that shares a band is
+   compared, or its members are linked otherwise.
 
 Cases: a text that is null, empty or without words has an empty set and is
 linked with nothing; a text with one to four words has its whole sequence as
@@ -57,6 +66,7 @@ THRESHOLD_PERCENT = 75
 MISS = 1e-6
 SMALL_BUCKET = 8
 BLOCK, SPAN = 1024, 2048
+BLOCK_ELEMENTS = 1 << 22  # of the differences held by a block or span
 DIVISIONS, STEPS = 8, 2
 
 
@@ -187,6 +197,79 @@ def _block_pairs(look: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     return pairs
 
 
+def _linked(diff_a: np.ndarray, u_a: int, diff_b: np.ndarray, u_b: int) -> bool:
+    """Whether two sets of a group reach the threshold, by their sorted differences from its common set."""
+    least = u_a + u_b  # 14 times the number of common elements at least
+    if least > 14 * min(len(diff_a), len(diff_b)):
+        return False
+    return 14 * len(np.intersect1d(diff_a, diff_b, assume_unique=True)) >= least
+
+
+def _block_links(look: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """A forest of the true links between a block of outside members and a span of all members."""
+    def links(pdf: pd.DataFrame) -> pd.DataFrame:
+        found: list[tuple[int, int]] = []
+        side = pdf["side"].to_numpy()
+        if side.any() and not side.all():
+            sig, ids, u = _stack(pdf["sig"]), pdf["id"].to_numpy(), pdf["u"].to_numpy()
+            diffs = [np.sort(d) for d in pdf["diff"]]
+            # Rows of one component are one part already; parts are merged as links are found.
+            part = np.unique(pdf["comp"].to_numpy(), return_inverse=True)[1]
+            right = np.flatnonzero(~side)
+            for i in np.flatnonzero(side):
+                others = right[part[right] != part[i]]
+                if not len(others):
+                    continue
+                live, matches = bayes_survivors(np.broadcast_to(sig[i], (len(others), sig.shape[1])), sig[others], look)
+                for k in others[live[np.argsort(-matches, kind="stable")]]:
+                    if part[k] != part[i] and _linked(diffs[i], u[i], diffs[k], u[k]):
+                        found.append((min(ids[i], ids[k]), max(ids[i], ids[k])))
+                        part[part == part[k]] = part[i]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return links
+
+
+_MEMBER = "grp long, id long, n long, shingles array<long>, sig binary"
+_DIFFERENCE = "grp long, id long, n long, u long, diff array<long>, sig binary"
+
+
+def _members(plan: Banding) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Full sets and signatures of the texts of groups' members."""
+    mult, add = random_words(plan.values, 101) | np.uint64(1), random_words(plan.values, 102)
+
+    def rows(frames):
+        for pdf in frames:
+            held = zip(pdf[["grp", "id"]].itertuples(index=False, name=None), distinct_shingle_sets(pdf["text"]))
+            out: list = []
+            size = 0
+            for (grp, i), distinct in held:
+                if not len(distinct):
+                    continue
+                low = np.array([(distinct * m + a).min() for m, a in zip(mult, add)], dtype=np.uint64)
+                sig = ((low ^ (low >> np.uint64(32))) & np.uint64(0xFFFF)).astype(np.uint16)
+                out.append((grp, i, len(distinct), distinct.view(np.int64), sig.tobytes()))
+                size += len(distinct)
+                if size > BLOCK_ELEMENTS:
+                    yield pd.DataFrame(out, columns=["grp", "id", "n", "shingles", "sig"])
+                    out, size = [], 0
+            if out:
+                yield pd.DataFrame(out, columns=["grp", "id", "n", "shingles", "sig"])
+
+    return rows
+
+
+def _differences(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Each member's shingles outside its group's common set, then the common ones that it lacks, each by value."""
+    for pdf in frames:
+        diffs = []
+        for own, common in zip(pdf["shingles"], pdf["common"]):
+            common = np.empty(0, np.int64) if common is None else common
+            diffs.append(np.concatenate([np.sort(np.setdiff1d(own, common)), np.sort(np.setdiff1d(common, own))]))
+        u = [7 * len(d) - n for d, n in zip(diffs, pdf["n"])]
+        yield pd.DataFrame({"grp": pdf["grp"], "id": pdf["id"], "n": pdf["n"], "u": u, "diff": diffs, "sig": pdf["sig"]})
+
+
 class _Links:
     """Verified links so far, and the components they make."""
 
@@ -281,36 +364,93 @@ def _still_mixed(links: _Links, mixed: DataFrame) -> DataFrame:
     return _mixed_buckets(links, large).select("key", "id", "comp", "n")
 
 
-def _centre_stars(links: _Links, still: DataFrame) -> DataFrame:
-    """Each bucket's member with the most links, with all members of other components."""
-    degree = links.links.select(F.explode(F.array("a", "b")).alias("_i")).groupBy("_i").agg(F.count("*").alias("_n"))
-    held = still.join(degree, still["id"] == degree["_i"], "left")
-    centres = held.groupBy("key").agg(F.max(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "id", "comp")).alias("c"))
-    return still.join(centres, "key").filter(F.col("comp") != F.col("c.comp")).select(
-        F.least("id", "c.id").alias("a"), F.greatest("id", "c.id").alias("b")).distinct()
-
-
-def _in_blocks(links: _Links, still: DataFrame) -> DataFrame:
-    """Survivors among all pairs of the buckets' members, in blocks of bounded size.
+def _dealt(still: DataFrame, elements: str = "0") -> DataFrame:
+    """Bucket members (``key, id, comp`` and more) dealt to blocks and spans of bounded size.
 
     A pair between two components has a member outside the bucket's largest
-    one, so blocks of such members meet spans of all members.
+    one, so blocks of such members meet spans of all members.  ``elements`` is
+    the length of a member's difference, of which a block holds a bounded sum.
     """
-    parts = still.groupBy("key", "comp").agg(F.count("*").alias("_n"))
-    buckets = parts.groupBy("key").agg(F.sum("_n").alias("_all"), F.max(F.struct("_n", "comp")).alias("_main")).select(
-        "key", F.col("_main.comp").alias("_main"), F.ceil(F.col("_all") / SPAN).alias("spans"),
-        F.ceil((F.col("_all") - F.col("_main._n")) / BLOCK).alias("blocks"))
-    members = still.select("key", "id", "comp").join(buckets, "key").filter("blocks > 0").withColumn(
-        "outside", F.col("comp") != F.col("_main"))
+    names = still.columns
+    parts = still.groupBy("key", "comp").agg(F.count("*").alias("_n"), F.sum(F.expr(elements)).alias("_e"))
+    main = F.max(F.struct("_n", "comp", "_e"))
+    buckets = parts.groupBy("key").agg(F.sum("_n").alias("_all"), F.sum("_e").alias("_alle"), main.alias("_main")).select(
+        "key", F.col("_main.comp").alias("_main"),
+        F.ceil(F.greatest(F.col("_all") / SPAN, F.col("_alle") / BLOCK_ELEMENTS)).alias("spans"),
+        F.ceil(F.greatest((F.col("_all") - F.col("_main._n")) / BLOCK,
+                          (F.col("_alle") - F.col("_main._e")) / BLOCK_ELEMENTS)).alias("blocks"))
+    members = still.join(buckets, "key").filter("blocks > 0").withColumn("outside", F.col("comp") != F.col("_main"))
     one = F.lit(1).cast("long")
     left = members.filter("outside").withColumn("side", F.lit(True)).withColumn(
         "block", F.pmod(F.xxhash64("id"), "blocks") + 1).withColumn("span", F.explode(F.sequence(one, F.col("spans"))))
     right = members.withColumn("side", F.lit(False)).withColumn(
         "span", F.pmod(F.xxhash64("id", F.lit(1)), "spans") + 1).withColumn(
         "block", F.explode(F.sequence(one, F.col("blocks"))))
-    names = ["key", "id", "comp", "outside", "side", "block", "span"]
-    return left.select(*names).unionAll(right.select(*names)).join(links.signed.select("id", "sig"), "id").groupBy(
-        "key", "block", "span").applyInPandas(_block_pairs(links.plan.look), "a long, b long, matches long").distinct()
+    names = [*names, "outside", "side", "block", "span"]
+    return left.select(*names).unionAll(right.select(*names))
+
+
+def _in_blocks(links: _Links, still: DataFrame) -> DataFrame:
+    """Survivors among all pairs of the buckets' members, in blocks of bounded size."""
+    dealt = _dealt(still.select("key", "id", "comp"))
+    return dealt.join(links.signed.select("id", "sig"), "id").groupBy("key", "block", "span").applyInPandas(
+        _block_pairs(links.plan.look), "a long, b long, matches long").distinct()
+
+
+def _group_differences(links: _Links, still: DataFrame) -> DataFrame:
+    """``grp, id, n, u, diff, sig`` of the members of mixed buckets; buckets with members in common make a group."""
+    spark = links.spark
+    first = still.groupBy("key").agg(F.min("id").alias("_first"))
+    groups_of = connected_components(spark, still.join(first, "key").filter("id > _first"), "id", "_first")
+    wanted = materialise(spark, groups_of.select("id", F.col("component").alias("grp")), "groups")
+    texts = links.docs.join(wanted, links.docs["doc_id"] == wanted["id"]).groupBy(
+        "grp", "id", F.md5("text").alias("_t")).agg(F.min("text").alias("text"))  # rows that repeat a doc_id
+    members = materialise(spark, texts.select("grp", "id", "text").mapInPandas(_members(links.plan), _MEMBER), "members")
+    sizes = members.groupBy("grp").agg(F.count("*").alias("_all"))
+    held = members.select("grp", F.explode("shingles").alias("e")).groupBy("grp", "e").agg(F.count("*").alias("_n"))
+    # at most twice the mean size of the group's sets
+    common = materialise(spark, held.filter("_n > 1").join(sizes, "grp").filter("2 * _n > _all").groupBy("grp").agg(
+        F.sort_array(F.collect_list("e")).alias("common")), "common")
+    return materialise(spark, members.join(common, "grp", "left").mapInPandas(_differences, _DIFFERENCE), "differences")
+
+
+def _prefix_buckets(links: _Links, diffs: DataFrame) -> DataFrame:
+    """Mixed buckets of members that share an element of their prefixes: key, grp, id, comp, n, leader, leader_comp."""
+    k = links.with_component(diffs.select("grp", "id", "n", "u", "diff"), "id", "comp")
+    k = materialise(links.spark, k, "placed")
+    tops = k.groupBy("grp").agg(F.min(F.struct("u", "comp")).alias("_m"), F.max("n").alias("_most"))
+    rest = k.join(tops, "grp").filter(F.col("comp") != F.col("_m.comp")).groupBy("grp").agg(F.min("u").alias("_rest"))
+    placed = k.join(tops.join(rest, "grp"), "grp")
+    # u of any partner in another component, and the size of any partner at most
+    low = F.when(F.col("comp") == F.col("_m.comp"), F.col("_rest")).otherwise(F.col("_m.u"))
+    most = F.least(F.expr("4 * n div 3"), F.col("_most"))
+    least = F.greatest(F.lit(1), F.ceil(F.greatest(F.col("u") + low, 2 * F.col("u") - 2 * most) / 14))
+    placed = placed.withColumn("_p", (F.size("diff") - least + 1).cast("int")).filter("_p > 0")
+    keys = placed.select("grp", "id", "comp", F.explode(F.expr("slice(diff, 1, _p)")).alias("e")).select(
+        F.xxhash64("grp", "e").alias("key"), "grp", "id", "comp")
+    keys = materialise(links.spark, keys, "prefixes")
+    buckets = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+                                      F.min(F.struct("id", "comp")).alias("first"))
+    buckets = buckets.filter("lo < hi").select("key", "n", F.col("first.id").alias("leader"),
+                                               F.col("first.comp").alias("leader_comp"))
+    return materialise(links.spark, keys.join(buckets, "key"), "buckets")
+
+
+def _by_differences(links: _Links, still: DataFrame) -> None:
+    """Add every link between members of mixed buckets (``key, id``) that are not yet in one component."""
+    diffs = _group_differences(links, still)
+    nearest = diffs.groupBy("grp").agg(F.min(F.struct("u", "id")).alias("_m"))
+    links.add(diffs.join(nearest, "grp").filter((F.col("u") + F.col("_m.u") <= 0) & (F.col("id") != F.col("_m.id")))
+              .select(F.least("id", "_m.id").alias("a"), F.greatest("id", "_m.id").alias("b")))
+    mixed = _prefix_buckets(links, diffs)
+    links.verify(_candidates(mixed))
+    large = mixed.filter(F.col("n") > SMALL_BUCKET).select("key", "grp", "id")
+    grp = large.groupBy("key").agg(F.min("grp").alias("grp"))
+    held = _mixed_buckets(links, large.select("key", "id")).select("key", "id", "comp").join(grp, "key")
+    held = materialise(links.spark, held.distinct().join(diffs, ["grp", "id"]).drop("grp", "n"), "blocks")
+    if not held.isEmpty():
+        links.add(_dealt(held, "size(diff)").groupBy("key", "block", "span").applyInPandas(
+            _block_links(links.plan.look), "a long, b long"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -343,10 +483,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id"
         links.verify(pairs.distinct())
         # From the bands' own buckets: a division may part a pair.
         still = _still_mixed(links, still)
-        links.verify(_centre_stars(links, still))
-        still = _still_mixed(links, still)
         if not still.isEmpty():
-            links.confirm(_in_blocks(links, still))
+            _by_differences(links, still)
     classes = links.with_component(signed.select("id", "set_hash"), "id", "component")
     out = rows.select("doc_id", "n_shingles", "set_hash").join(
         classes.select("set_hash", "component"), "set_hash", "left")

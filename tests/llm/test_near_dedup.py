@@ -172,3 +172,22 @@ def test_components(spark):
     linked = {i for a, b in pairs if a != b for i in (a, b)}
     assert got == {i: find(i) for i in linked}
     assert connected_components(spark, links.limit(0)).collect() == []
+
+
+def test_links_by_differences_from_the_common_set(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK", 16)
+    monkeypatch.setattr(N, "SPAN", 32)
+    rng = random.Random(13)
+    hub = [f"h{rng.randrange(10**9)}" for _ in range(150)]
+    texts = {i: " ".join(changed(rng, hub, rng.choice((0, 2, 5, 7, 9, 11)))) for i in range(120)}
+    other = [*hub[:90], *(f"o{rng.randrange(10**9)}" for _ in range(60))]
+    texts.update({200 + i: " ".join(changed(rng, other, rng.choice((1, 4, 6, 8)))) for i in range(60)})
+    docs = _frame(spark, texts)
+    signed = docs.mapInArrow(N._signer(N.Banding()), N._SIGNED).selectExpr(
+        "doc_id as id", "n_shingles as n", "sig", "set_hash")
+    links = N._Links(spark, signed, docs, N.Banding())
+    N._by_differences(links, signed.selectExpr("1L as key", "id"))  # all in one bucket, none linked yet
+    got = {r["id"]: r["component"] for r in links.components.collect()}
+    want = brute(texts)
+    assert {i: got.get(i, i) for i in texts} == {i: want[i][1] for i in texts}
+    assert links.links.count() < 3 * len(texts)
