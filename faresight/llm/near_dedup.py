@@ -11,13 +11,7 @@ Documents are linked when the Jaccard similarity of their sets of distinct
    a chance of 5e-6.  A bucket with few members gives all its pairs.  A large
    bucket gives a star, every member with the smallest.  The links found are
    contracted to components, and only large buckets whose members are still in
-   different components go on: each is divided by every other band (a pair at
-   the threshold shares ten of 32 on average, and two at least except with a
-   chance of 8e-5), and what is still large then ``DIVISIONS`` times by two
-   further bands, chosen by the bucket's key.  Each step gives pairs and stars,
-   so it adds a fixed number of rows for each member, never the square of a
-   bucket.  Divisions only add candidates; the large buckets of the bands
-   themselves that are still mixed go on to step 5.
+   different components go on to step 5.
 3. Sequential Bayesian verification: signatures of a candidate pair are
    compared 16 values at a time.  With a uniform prior the similarity after m
    comparisons with k matches is Beta(k + 1, m - k + 1); a pair is pruned as
@@ -25,17 +19,19 @@ Documents are linked when the Jaccard similarity of their sets of distinct
 4. Survivors are verified exactly on full shingle sets, computed again from
    the whole texts, and links are contracted to components.
 5. Large buckets that are still mixed: buckets with members in common make one
-   group.  A group's common set C holds the shingles of more than half of its
-   members, and each member is kept as its difference D = set ^ C.  A pair is
-   linked if 7 * |D_x ^ D_y| <= n_x + n_y.  With u = 7 * |D| - n that is certain
-   where u_x + u_y <= 0, and such pairs are linked through the member of least
-   u; any other linked pair shares (u_x + u_y) / 14 elements of D at least.  So
-   an ordered prefix of each D is enough to meet (shingles outside C first,
-   hardly ever held twice), and the members that share an element of their
-   prefixes are compared: few ones as pairs, many in blocks of bounded size, by
-   signatures and then exactly within the block, which returns a forest of true
-   links, at most one row a member.  So every pair that shares a band is
-   compared, or its members are linked otherwise.
+   group, which is divided ``DIVISIONS`` times by two bands, for pairs and
+   stars as above; that only adds candidates. A group's common set C holds the
+   shingles of more than half of its members, and each member is kept as its
+   difference D = set ^ C. A pair is linked if 7 * |D_x ^ D_y| <= n_x + n_y.
+   With u = 7 * |D| - n that is certain where u_x + u_y <= 0, and such pairs
+   are linked through the member of least u; any other linked pair shares (u_x
+   + u_y) / 14 elements of D at least. So an ordered prefix of each D is enough
+   to meet (shingles outside C first, hardly ever held twice), and the members
+   that share an element of their prefixes are compared: few ones as pairs,
+   many in blocks of bounded size, by signatures and then exactly within the
+   block, which returns a forest of true links, at most one row a member. So
+   every pair that shares a band is compared, or its members are linked
+   otherwise.
 
 Cases: a text that is null, empty or without words has an empty set and is
 linked with nothing; a text with one to four words has its whole sequence as
@@ -66,8 +62,9 @@ THRESHOLD_PERCENT = 75
 MISS = 1e-6
 SMALL_BUCKET = 8
 BLOCK, SPAN = 1024, 2048
+SALTS = 64
 BLOCK_ELEMENTS = 1 << 22  # of the differences held by a block or span
-DIVISIONS, STEPS = 8, 2
+DIVISIONS = 8
 
 
 @dataclass(frozen=True)
@@ -338,24 +335,17 @@ def _candidates(mixed: DataFrame) -> DataFrame:
 
 
 def _divided(links: _Links, large: DataFrame, step: int) -> DataFrame:
-    """``key, id`` of large buckets' members (``key, id``), dealt by further bands.
+    """``key, id`` of large groups' members (``key, id``), dealt by two bands.
 
-    Step 0 divides a bucket by every other band, so two members that share at
-    least two bands meet again.  Later steps divide by two further bands at a
-    time, ``DIVISIONS`` times, chosen anew for each bucket by its key.
+    ``DIVISIONS`` times in each step, with bands chosen anew by the group's key.
     """
     size, bands = 2 * links.plan.rows, links.plan.bands
     held = large.join(links.signed.select("id", "sig"), "id")
-    if step == 0:
-        other = f"xxhash64(i, substring(sig, i * {size} + 1, {size}))"  # the keys of _bands
-        keys = f"transform(sequence(0, {bands - 1}), i -> {other})"
-        return held.select("key", "id", F.explode(F.expr(keys)).alias("other")).filter("key <> other").select(
-            F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"), "id").distinct()
 
     def band(t: str) -> str:
-        return f"substring(sig, cast(pmod(xxhash64(key, {t}), {bands}) as int) * {size} + 1, {size})"
+        return f"substring(sig, cast(pmod(xxhash64(key, {step}, {t}), {bands}) as int) * {size} + 1, {size})"
 
-    picked = f"xxhash64(key, t, {band('2 * t')}, {band('2 * t + 1')})"
+    picked = f"xxhash64(key, {step}, t, {band('2 * t')}, {band('2 * t + 1')})"
     return held.select(F.expr(f"explode(transform(sequence(0, {DIVISIONS - 1}), t -> {picked}))").alias("key"), "id")
 
 
@@ -397,19 +387,26 @@ def _in_blocks(links: _Links, still: DataFrame) -> DataFrame:
         _block_pairs(links.plan.look), "a long, b long, matches long").distinct()
 
 
-def _group_differences(links: _Links, still: DataFrame) -> DataFrame:
-    """``grp, id, n, u, diff, sig`` of the members of mixed buckets; buckets with members in common make a group."""
-    spark = links.spark
+def _groups(links: _Links, still: DataFrame) -> DataFrame:
+    """``id, grp`` of the members of mixed buckets (``key, id``); buckets with members in common make a group."""
     first = still.groupBy("key").agg(F.min("id").alias("_first"))
-    groups_of = connected_components(spark, still.join(first, "key").filter("id > _first"), "id", "_first")
-    wanted = materialise(spark, groups_of.select("id", F.col("component").alias("grp")), "groups")
+    groups_of = connected_components(links.spark, still.join(first, "key").filter("id > _first"), "id", "_first")
+    return materialise(links.spark, groups_of.select("id", F.col("component").alias("grp")), "groups")
+
+
+def _group_differences(links: _Links, wanted: DataFrame) -> DataFrame:
+    """``grp, id, n, u, diff, sig`` of the members of groups (``id, grp``)."""
+    spark = links.spark
     texts = links.docs.join(wanted, links.docs["doc_id"] == wanted["id"]).groupBy(
         "grp", "id", F.md5("text").alias("_t")).agg(F.min("text").alias("text"))  # rows that repeat a doc_id
     members = materialise(spark, texts.select("grp", "id", "text").mapInPandas(_members(links.plan), _MEMBER), "members")
-    sizes = members.groupBy("grp").agg(F.count("*").alias("_all"))
+    # A group's size meets each of its shingles: dealt by SALTS parts of them, as a large group has many.
+    sizes = members.groupBy("grp").agg(F.count("*").alias("_all")).withColumn(
+        "_part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     held = members.select("grp", F.explode("shingles").alias("e")).groupBy("grp", "e").agg(F.count("*").alias("_n"))
     # at most twice the mean size of the group's sets
-    common = materialise(spark, held.filter("_n > 1").join(sizes, "grp").filter("2 * _n > _all").groupBy("grp").agg(
+    held = held.filter("_n > 1").withColumn("_part", F.pmod("e", F.lit(SALTS)).cast("int"))
+    common = materialise(spark, held.join(sizes, ["grp", "_part"]).filter("2 * _n > _all").groupBy("grp").agg(
         F.sort_array(F.collect_list("e")).alias("common")), "common")
     return materialise(spark, members.join(common, "grp", "left").mapInPandas(_differences, _DIFFERENCE), "differences")
 
@@ -438,7 +435,10 @@ def _prefix_buckets(links: _Links, diffs: DataFrame) -> DataFrame:
 
 def _by_differences(links: _Links, still: DataFrame) -> None:
     """Add every link between members of mixed buckets (``key, id``) that are not yet in one component."""
-    diffs = _group_differences(links, still)
+    wanted = _groups(links, still)
+    parts = _mixed_buckets(links, _divided(links, wanted.select(F.col("grp").alias("key"), "id"), 1))
+    links.verify(_candidates(parts))
+    diffs = _group_differences(links, wanted)
     nearest = diffs.groupBy("grp").agg(F.min(F.struct("u", "id")).alias("_m"))
     links.add(diffs.join(nearest, "grp").filter((F.col("u") + F.col("_m.u") <= 0) & (F.col("id") != F.col("_m.id")))
               .select(F.least("id", "_m.id").alias("a"), F.greatest("id", "_m.id").alias("b")))
@@ -474,17 +474,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id"
     links.verify(_candidates(mixed))
     still = materialise(spark, _still_mixed(links, mixed), "buckets")
     if not still.isEmpty():
-        pairs, divided = None, still
-        for step in range(STEPS):
-            parts = _mixed_buckets(links, _divided(links, divided.select("key", "id"), step))
-            found = _candidates(parts)
-            pairs = found if pairs is None else pairs.unionAll(found)
-            divided = parts.filter(F.col("n") > SMALL_BUCKET)
-        links.verify(pairs.distinct())
-        # From the bands' own buckets: a division may part a pair.
-        still = _still_mixed(links, still)
-        if not still.isEmpty():
-            _by_differences(links, still)
+        _by_differences(links, still)
     classes = links.with_component(signed.select("id", "set_hash"), "id", "component")
     out = rows.select("doc_id", "n_shingles", "set_hash").join(
         classes.select("set_hash", "component"), "set_hash", "left")
