@@ -56,7 +56,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faresight.llm.tables import connected_components, materialise
-from faresight.llm.text import Words, distinct_shingle_sets, groups, random_words
+from faresight.llm.text import GROUP_BYTES, Words, distinct_shingle_sets, groups, random_words
 
 THRESHOLD_PERCENT = 75
 MISS = 1e-6
@@ -231,40 +231,54 @@ _MEMBER = "grp long, id long, n long, shingles array<long>, sig binary"
 _DIFFERENCE = "grp long, id long, n long, u long, diff array<long>, sig binary"
 
 
-def _members(plan: Banding) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """Full sets and signatures of the texts of groups' members."""
+def _members(plan: Banding) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Full sets and signatures of the texts of groups' members, one group of texts at a time."""
     mult, add = random_words(plan.values, 101) | np.uint64(1), random_words(plan.values, 102)
 
-    def rows(frames):
-        for pdf in frames:
-            held = zip(pdf[["grp", "id"]].itertuples(index=False, name=None), distinct_shingle_sets(pdf["text"]))
-            out: list = []
-            size = 0
-            for (grp, i), distinct in held:
-                if not len(distinct):
-                    continue
-                low = np.array([(distinct * m + a).min() for m, a in zip(mult, add)], dtype=np.uint64)
-                sig = ((low ^ (low >> np.uint64(32))) & np.uint64(0xFFFF)).astype(np.uint16)
-                out.append((grp, i, len(distinct), distinct.view(np.int64), sig.tobytes()))
-                size += len(distinct)
-                if size > BLOCK_ELEMENTS:
-                    yield pd.DataFrame(out, columns=["grp", "id", "n", "shingles", "sig"])
-                    out, size = [], 0
-            if out:
-                yield pd.DataFrame(out, columns=["grp", "id", "n", "shingles", "sig"])
+    def rows(batches):
+        for batch in batches:
+            for begin, encoded in groups(batch.column("text")):
+                values, bounds = Words(encoded).shingles()
+                at, sets, sigs = [], [], []
+                for i in range(len(encoded)):
+                    distinct = np.unique(values[bounds[i]:bounds[i + 1]])
+                    if len(distinct):
+                        low = np.array([(distinct * m + a).min() for m, a in zip(mult, add)], dtype=np.uint64)
+                        at.append(begin + i)
+                        sets.append(distinct.view(np.int64))
+                        sigs.append(((low ^ (low >> np.uint64(32))) & np.uint64(0xFFFF)).astype(np.uint16).tobytes())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("grp").take(pa.array(at, pa.int64())), batch.column("id").take(pa.array(at, pa.int64())),
+                     pa.array([len(x) for x in sets], pa.int64()), _lists(sets), pa.array(sigs, pa.binary())],
+                    ["grp", "id", "n", "shingles", "sig"])
 
     return rows
 
 
-def _differences(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    """A list column of int64 arrays."""
+    ends = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *arrays])))
+
+
+def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each member's shingles outside its group's common set, then the common ones that it lacks, each by value."""
-    for pdf in frames:
-        diffs = []
-        for own, common in zip(pdf["shingles"], pdf["common"]):
-            common = np.empty(0, np.int64) if common is None else common
-            diffs.append(np.concatenate([np.sort(np.setdiff1d(own, common)), np.sort(np.setdiff1d(common, own))]))
-        u = [7 * len(d) - n for d, n in zip(diffs, pdf["n"])]
-        yield pd.DataFrame({"grp": pdf["grp"], "id": pdf["id"], "n": pdf["n"], "u": u, "diff": diffs, "sig": pdf["sig"]})
+    for batch in batches:
+        sets, commons, n = batch.column("shingles"), batch.column("common"), batch.column("n").to_numpy()
+        begin = 0
+        while begin < len(n):
+            end = begin + max(1, int(np.searchsorted(np.cumsum(n[begin:]), GROUP_BYTES // 8)))  # about a megabyte
+            diffs = []
+            for i in range(begin, end):
+                own = sets[i].values.to_numpy()
+                common = commons[i].values.to_numpy() if commons[i].is_valid else np.empty(0, np.int64)
+                diffs.append(np.concatenate([np.setdiff1d(own, common), np.setdiff1d(common, own)]))
+            part = batch.slice(begin, end - begin)
+            u = 7 * np.array([len(d) for d in diffs], dtype=np.int64) - n[begin:end]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("grp"), part.column("id"), part.column("n"), pa.array(u), _lists(diffs), part.column("sig")],
+                ["grp", "id", "n", "u", "diff", "sig"])
+            begin = end
 
 
 class _Links:
@@ -399,7 +413,7 @@ def _group_differences(links: _Links, wanted: DataFrame) -> DataFrame:
     spark = links.spark
     texts = links.docs.join(wanted, links.docs["doc_id"] == wanted["id"]).groupBy(
         "grp", "id", F.md5("text").alias("_t")).agg(F.min("text").alias("text"))  # rows that repeat a doc_id
-    members = materialise(spark, texts.select("grp", "id", "text").mapInPandas(_members(links.plan), _MEMBER), "members")
+    members = materialise(spark, texts.select("grp", "id", "text").mapInArrow(_members(links.plan), _MEMBER), "members")
     # A group's size meets each of its shingles: dealt by SALTS parts of them, as a large group has many.
     sizes = members.groupBy("grp").agg(F.count("*").alias("_all")).withColumn(
         "_part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
@@ -408,7 +422,7 @@ def _group_differences(links: _Links, wanted: DataFrame) -> DataFrame:
     held = held.filter("_n > 1").withColumn("_part", F.pmod("e", F.lit(SALTS)).cast("int"))
     common = materialise(spark, held.join(sizes, ["grp", "_part"]).filter("2 * _n > _all").groupBy("grp").agg(
         F.sort_array(F.collect_list("e")).alias("common")), "common")
-    return materialise(spark, members.join(common, "grp", "left").mapInPandas(_differences, _DIFFERENCE), "differences")
+    return materialise(spark, members.join(common, "grp", "left").mapInArrow(_differences, _DIFFERENCE), "differences")
 
 
 def _prefix_buckets(links: _Links, diffs: DataFrame) -> DataFrame:
