@@ -12,9 +12,18 @@ they fill a line or stand in the middle of one:
   words, at word pairs chosen by hash, so that both copies are cut alike).
   Such a short paragraph counts as repeated if an equal one occurs in a
   document with a smaller doc_id: one band that holds the whole set, as at this
-  length a single other word brings the similarity below 0.75.  Neighbouring
-  repeated ones (sentences of fewer than ``min_sentence_words`` words do not
-  part them) form a run, and runs of ``min_run_words`` words or more are removed.
+  length a single other word brings the similarity below 0.75.  Sentences of
+  fewer than ``min_sentence_words`` words do not part two repeated ones.
+* A passage cut out of sentences shows in its seeds: of every ``SEED`` neighbouring
+  windows of ``SEED`` words the one with the smallest hash (all that tie).  The choice
+  depends on these words alone, so a run of 2 * SEED - 1 = 25 words has a seed
+  that is one in its other copy too, and the seeds inside a common run touch or
+  overlap.  A seed that a document with a smaller doc_id has marks its words.
+  At most SEED - 1 words at each end of a common run lie outside of its seeds.
+
+Marked words next to each other, by sentences or seeds, form a run, and runs of
+``min_run_words`` words or more are removed; so a passage of 44 words or more
+that a smaller doc_id has is always found, wherever it was cut.
 
 The occurrence in the smallest doc_id always stays.  Repeats within one
 document are not removed.  Counting pre-aggregates, and the join that marks
@@ -45,6 +54,7 @@ from faresight.llm.text import Words, groups, mix64, random_words
 
 LONG_SENTENCE = 40
 CUT_EVERY = 12
+SEED = 13
 _ENDS = np.zeros(256, dtype=bool)
 _ENDS[list(b".!?")] = True
 _MULT, _PAIR = (int(x) | 1 for x in random_words(2, 31))
@@ -88,6 +98,7 @@ class Sentences:
         np.multiply.accumulate(inverse, out=inverse)
         sums = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum(w.hash * powers[:n], out=sums[1:])
+        self._sums, self._inverse = sums, inverse
         total = (sums[self.first + self.size] - sums[self.first]) * inverse[self.first]
         self.hash = mix64(total + self.size.astype(np.uint64))
         # lines: ranges of words
@@ -96,17 +107,48 @@ class Sentences:
         self.line_text = w.text[self.line_first]
         self.line_number = np.arange(len(self.line_first)) - np.searchsorted(self.line_text, self.line_text)
 
-
-def _sentence_rows(plan: PassagePlan):
+    def seeds(self) -> tuple[np.ndarray, np.ndarray]:
+        """First words and hashes of the seeds, ascending.
+
+        Windows of ``SEED`` words that begin in two texts are at least ``SEED``
+        places apart, so ``SEED`` neighbouring places never mix two texts.
+        """
+        w, count = self.words, len(self.words.start) - SEED + 1
+        if count < SEED:
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+        value = ~mix64((self._sums[SEED:] - self._sums[:count]) * self._inverse[:count] + np.uint64(SEED))
+        whole = w.text[:count] == w.text[SEED - 1:]
+        least = sliding(np.minimum, value)
+        least[~(whole[:len(least)] & whole[SEED - 1:])] = 0  # places beside a text's end are no windows
+        pad = np.zeros(SEED - 1, dtype=np.uint64)
+        chosen = np.flatnonzero(whole & (value == sliding(np.maximum, np.concatenate([pad, least, pad]))))
+        return chosen, value[chosen]
+
+
+def sliding(pick: np.ufunc, values: np.ndarray) -> np.ndarray:
+    """``pick`` (minimum or maximum) over every ``SEED`` neighbouring values."""
+    out, width = values.copy(), 1
+    while width < SEED:
+        step = min(width, SEED - width)
+        out = pick(out[:-step], out[step:])
+        width += step
+    return out
+
+
+def _repeat_rows(plan: PassagePlan):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id")
             for begin, encoded in groups(batch.column("text")):
                 s = Sentences(encoded)
                 some = np.flatnonzero(s.size >= plan.min_sentence_words)
+                seed, value = s.seeds()
+                of = s.words.text[seed]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(s.hash[some].view(np.int64)), ids.take(pa.array(begin + s.text[some])),
-                     pa.array(s.number[some].astype(np.int32))], ["h", "doc_id", "place"])
+                    [pa.array(np.concatenate([s.hash[some], value]).view(np.int64)),
+                     ids.take(pa.array(begin + np.concatenate([s.text[some], of]))),
+                     pa.array(np.concatenate([s.number[some], -1 - (seed - s.words.first[of])]).astype(np.int32))],
+                    ["h", "doc_id", "place"])
 
     return rows
 
@@ -128,12 +170,16 @@ def _line_rows(plan: PassagePlan):
     return rows
 
 
-def repeated_sentences(docs: DataFrame, plan: PassagePlan = PassagePlan()) -> DataFrame:
-    """``doc_id, place`` of sentences that a smaller doc_id has too (``docs``: doc_id, text)."""
-    rows = docs.filter("doc_id is not null").mapInArrow(_sentence_rows(plan), "h long, doc_id long, place int")
+def repeated_parts(docs: DataFrame, plan: PassagePlan = PassagePlan()) -> DataFrame:
+    """``doc_id, place`` of sentences and seeds that a smaller doc_id has too (``docs``: doc_id, text).
+
+    A place from 0 is a sentence's number, a place below 0 the word -1 - place
+    at which a seed begins; rows that repeat a doc_id repeat its places.
+    """
+    rows = docs.filter("doc_id is not null").mapInArrow(_repeat_rows(plan), "h long, doc_id long, place int")
     first = rows.groupBy("h").agg(F.min("doc_id").alias("_first"), F.max("doc_id").alias("_last")).filter(
         "_first < _last").select("h", "_first")
-    return rows.join(first, "h").filter("doc_id > _first").select("doc_id", "place").distinct()
+    return rows.join(first, "h").filter("doc_id > _first").select("doc_id", "place")
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, plan: PassagePlan = PassagePlan()) -> DataFrame:
@@ -150,11 +196,11 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, plan: PassagePlan = Pas
     return placed.join(first, "component_id").filter("doc_id > _first").select("doc_id", "place").distinct()
 
 
-def removed_spans(s: Sentences, i: int, sentences: set[int], lines: set[int], plan: PassagePlan) -> list[tuple[int, int]]:
-    """Byte spans to remove from text ``i`` of a group, ascending and apart."""
+def removed_spans(s: Sentences, i: int, parts: set[int], lines: set[int], plan: PassagePlan) -> list[tuple[int, int]]:
+    """Byte spans to remove from text ``i`` of a group, ascending and apart (``parts``: see ``repeated_parts``)."""
     w = s.words
-    marked = np.zeros(int(w.first[i + 1] - w.first[i]), dtype=bool)
-    base = int(w.first[i])
+    base, n = int(w.first[i]), int(w.first[i + 1] - w.first[i])
+    marked, repeated = np.zeros(n, dtype=bool), np.zeros(n, dtype=bool)
     lo, hi = np.searchsorted(s.line_text, [i, i + 1])
     for k in range(lo, hi):
         if k - lo in lines:
@@ -162,16 +208,21 @@ def removed_spans(s: Sentences, i: int, sentences: set[int], lines: set[int], pl
     lo, hi = np.searchsorted(s.text, [i, i + 1])
     k = lo
     while k < hi:
-        if k - lo not in sentences:
+        if k - lo not in parts:
             k += 1
             continue
         begin, end = k, k + 1  # the run is [begin, end)
-        while k < hi and (k - lo in sentences or s.size[k] < plan.min_sentence_words):
+        while k < hi and (k - lo in parts or s.size[k] < plan.min_sentence_words):
             k += 1
-            end = k if k - 1 - lo in sentences else end
-        a, b = int(s.first[begin]), int(s.first[end - 1] + s.size[end - 1])
+            end = k if k - 1 - lo in parts else end
+        repeated[s.first[begin] - base:s.first[end - 1] + s.size[end - 1] - base] = True
+    for place in parts:
+        if place < 0:
+            repeated[-1 - place:-1 - place + SEED] = True
+    edge = np.flatnonzero(np.diff(np.concatenate([[0], repeated.astype(np.int8), [0]])))
+    for a, b in zip(edge[::2], edge[1::2]):
         if b - a >= plan.min_run_words:
-            marked[a - base:b - base] = True
+            marked[a:b] = True
     edge = np.flatnonzero(np.diff(np.concatenate([[0], marked.astype(np.int8), [0]])))
     return [(int(w.start[base + a] - w.text_start[i]), int(w.end[base + b - 1] - w.text_start[i]))
             for a, b in zip(edge[::2], edge[1::2])]
@@ -200,12 +251,12 @@ def _cleaner(names: list[str], text: str, plan: PassagePlan):
 
     def cleaned(part: pa.RecordBatch, encoded: list[bytes]) -> pa.RecordBatch:
         """One group of texts, so that no more than these are held in two versions."""
-        column, sentences, lines = (part.column(c) for c in (text, "_sentences", "_lines"))
-        at = {i for i in range(len(encoded)) if sentences[i].is_valid or lines[i].is_valid}
+        column, repeats, lines = (part.column(c) for c in (text, "_parts", "_lines"))
+        at = {i for i in range(len(encoded)) if repeats[i].is_valid or lines[i].is_valid}
         s = Sentences(encoded) if at else None
         texts, counts, spans = [], [], []
         for i, raw in enumerate(encoded):
-            found = removed_spans(s, i, set(sentences[i].as_py() or ()), set(lines[i].as_py() or ()), plan) if i in at else []
+            found = removed_spans(s, i, set(repeats[i].as_py() or ()), set(lines[i].as_py() or ()), plan) if i in at else []
             new = without_spans(raw, found) if found else raw
             texts.append(new.decode("utf-8") if column[i].is_valid else None)
             spans.append(len(found))
@@ -224,11 +275,11 @@ def _cleaned(spark: SparkSession, docs: DataFrame, plan: PassagePlan, doc_id: st
     key, body = f"_c{names.index(doc_id)}", f"_c{names.index(text)}"
     pairs = plain.select(F.col(key).cast("long").alias("doc_id"), F.col(body).alias("text"))
     lines = repeated_lines(spark, pairs, plan).withColumn("line", F.lit(True))
-    marks = repeated_sentences(pairs, plan).withColumn("line", F.lit(False)).unionAll(lines)
-    # at most the sentences and lines of one document are gathered
+    marks = repeated_parts(pairs, plan).withColumn("line", F.lit(False)).unionAll(lines)
+    # at most the sentences, seeds and lines of one document are gathered
     marks = materialise(spark, marks.groupBy("doc_id").agg(
-        F.collect_list(F.when(~F.col("line"), F.col("place"))).alias("_sentences"),
-        F.collect_list(F.when(F.col("line"), F.col("place"))).alias("_lines")).withColumnRenamed("doc_id", "_id"), "marks")
+        F.collect_set(F.when(~F.col("line"), F.col("place"))).alias("_parts"),
+        F.collect_set(F.when(F.col("line"), F.col("place"))).alias("_lines")).withColumnRenamed("doc_id", "_id"), "marks")
     joined = plain.join(marks, plain[key].cast("long") == marks["_id"], "left").drop("_id")
     schema = StructType([StructField(f.name, StringType() if f.name == body else f.dataType) for f in plain.schema]
                         + [StructField("_spans", LongType()), StructField("_removed", LongType())])

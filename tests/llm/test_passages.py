@@ -135,3 +135,87 @@ def test_spans():
     assert P.without_spans(b"all", [(0, 3)]) == b""
     assert P.without_spans(b"a", []) == b"a"
     assert np.array_equal(P.Sentences([b"", b" "]).first, [])
+
+
+def naive_seeds(words):
+    """(place, 13 words) of each window that is the smallest by hash of 13 neighbouring ones."""
+    k = P.SEED
+    windows = [tuple(words[i:i + k]) for i in range(len(words) - k + 1)]
+    value = {x: int(v) for x, v in zip(windows, window_hashes(words))}
+    out = set()
+    for i in range(len(windows) - k + 1):
+        least = min(value[x] for x in windows[i:i + k])
+        out |= {(j, windows[j]) for j in range(i, i + k) if value[windows[j]] == least}
+    return out
+
+
+def window_hashes(words):
+    """Hashes of all windows, each from a text of its words alone."""
+    k = P.SEED
+    out = []
+    for i in range(len(words) - k + 1):
+        s = P.Sentences([" ".join(words[i:i + k]).encode()])
+        total = (s._sums[k:] - s._sums[:1]) * s._inverse[:1]
+        out.append(int((~P.mix64(total + np.uint64(k)))[0]))
+    return out
+
+
+def test_seeds_are_those_of_the_definition_whatever_the_neighbouring_texts():
+    rng = random.Random(7)
+    texts = [" ".join(f"w{rng.randrange(9)}" for _ in range(n)) for n in (0, 1, 12, 13, 24, 25, 26, 60, 0, 140)]
+    texts.append(" ".join(["again"] * 40))
+    s = P.Sentences([t.encode() for t in texts])
+    first, value = s.seeds()
+    got = {}
+    for a in first.tolist():
+        i = int(s.words.text[a])
+        got.setdefault(i, set()).add(a - int(s.words.first[i]))
+    for i, t in enumerate(texts):
+        assert got.get(i, set()) == {j for j, _ in naive_seeds(t.split())}, i
+        alone = P.Sentences([t.encode()]).seeds()
+        assert set(alone[0].tolist()) == got.get(i, set())
+    assert len(P.Sentences([]).seeds()[0]) == 0
+
+
+def test_equal_runs_share_a_seed_and_seeds_leave_no_gap():
+    rng = random.Random(8)
+    for n in (25, 40, 51, 90):
+        run = [f"w{rng.randrange(500)}" for _ in range(n)]
+        places = []
+        for _ in range(2):
+            before = [f"x{rng.randrange(500)}" for _ in range(rng.randrange(30))]
+            after = [f"y{rng.randrange(500)}" for _ in range(rng.randrange(30))]
+            first, _ = P.Sentences([" ".join(before + run + after).encode()]).seeds()
+            places.append({a - len(before) for a in first.tolist() if 0 <= a - len(before) <= n - P.SEED})
+        common = sorted(places[0] & places[1])
+        assert common and common[0] < P.SEED and common[-1] + P.SEED > n - P.SEED
+        assert all(b - a <= P.SEED for a, b in zip(common, common[1:]))
+
+
+def test_passages_cut_out_anywhere_leave_all_but_their_edges(spark):
+    """51 words from a random place of a document, put inside a line of two others; without stops too."""
+    rng = random.Random(9)
+    texts, planted = {}, []
+    for k in range(60):
+        stops = k % 2 == 0
+        words = prose(rng, 200).split() if stops else [f"w{rng.randrange(10**7)}" for _ in range(200)]
+        a = rng.randrange(150)
+        passage = words[a:a + 51]
+        texts[3 * k] = " ".join(words)
+        for d in (1, 2):
+            own = [" ".join(f"v{rng.randrange(10**7)}" for _ in range(rng.randrange(20, 60))) for _ in range(2)]
+            texts[3 * k + d] = f"{own[0]} {' '.join(passage)} {own[1]}"
+            planted.append((3 * k + d, {x.strip(".") for x in passage}, set(WORD.findall(" ".join(own)))))
+    got = cleaned(spark, texts)
+    assert all(got[3 * k] == texts[3 * k] for k in range(60))
+    for i, passage, own in planted:
+        left = {x.strip(".") for x in WORD.findall(got[i])}
+        assert len(passage & left) <= 2 * (P.SEED - 1), i
+        assert own <= set(WORD.findall(got[i])), i  # nothing else goes
+
+
+def test_short_equal_runs_stay(spark):
+    rng = random.Random(10)
+    phrase = " ".join(f"w{rng.randrange(10**7)}" for _ in range(19))
+    texts = {i: f"{prose(rng, 40)[:-1]} {phrase} {prose(rng, 40)}" for i in range(10)}
+    assert cleaned(spark, texts) == texts
