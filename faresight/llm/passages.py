@@ -86,6 +86,7 @@ class Sentences:
         pair = mix64(w.hash[:-1] * np.uint64(_PAIR) + w.hash[1:])
         chosen = np.zeros(n, dtype=bool)
         chosen[1:] = pair % np.uint64(CUT_EVERY) == 0
+        chosen[first] = False  # a pair within one sentence only: no cut depends on the text before it
         sentence_end |= chosen & np.repeat(size > LONG_SENTENCE, size)
         self.first = np.flatnonzero(np.concatenate([[True], sentence_end[:-1]])) if n else first
         self.size = np.diff(np.concatenate([self.first, [n]]))

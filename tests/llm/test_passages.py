@@ -219,3 +219,12 @@ def test_short_equal_runs_stay(spark):
     phrase = " ".join(f"w{rng.randrange(10**7)}" for _ in range(19))
     texts = {i: f"{prose(rng, 40)[:-1]} {phrase} {prose(rng, 40)}" for i in range(10)}
     assert cleaned(spark, texts) == texts
+
+
+def test_parts_do_not_depend_on_the_texts_beside():
+    rng = random.Random(11)
+    texts = [" ".join(f"w{rng.randrange(10**7)}" for _ in range(rng.randint(41, 90))).encode() for _ in range(200)]
+    together = P.Sentences(texts)
+    for i, t in enumerate(texts):
+        own = together.text == i
+        assert together.hash[own].tolist() == P.Sentences([t]).hash.tolist(), i
