@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faresight.functions.columns import on_day_formatted, parse_timestamp, since_days
@@ -111,6 +111,10 @@ def json_lines(spark: SparkSession, d: str) -> DataFrame:
     return _as(back.withColumn("ts", parse_timestamp("ts")), events)
 
 
+def _page_name() -> Column:
+    return F.concat(F.lit("page_"), F.coalesce(F.col("page").cast("string"), F.lit("none"))).alias("name")
+
+
 def json_pages(spark: SparkSession, d: str) -> DataFrame:
     """Conversation turns as numbered pages, each one JSON array, and an empty page."""
     base = scratch_path(spark, "json-pages")
@@ -118,10 +122,10 @@ def json_pages(spark: SparkSession, d: str) -> DataFrame:
     # up to fifty turns each of ten conversations: a page stays small however long a conversation is
     page = (F.floor(F.col("conv_id") / 10) * 100_000 + F.floor(F.col("turn") / 50)).alias("page")
     arrays = turns.groupBy(page).agg(F.to_json(F.collect_list(F.struct(*turns.columns))).alias("value"))
-    empty = spark.range(1).select((-F.col("id") - 1).alias("page"), F.lit("[]").alias("value"))
-    arrays.unionAll(empty).repartition("page").write.partitionBy("page").text(base)
+    empty = spark.range(1).select(F.lit("page_empty").alias("name"), F.lit("[]").alias("value"))
+    out.write_pages(arrays.select(_page_name(), "value").unionAll(empty), base)
     ddl = "conv_id bigint, turn bigint, role string, text string"
-    return files.read_json_pages(spark, base, schema=ddl, pattern="page=*/*.txt")
+    return files.read_json_pages(spark, base, schema=ddl)
 
 
 def numbered_pages(spark: SparkSession, d: str) -> DataFrame:
@@ -130,12 +134,12 @@ def numbered_pages(spark: SparkSession, d: str) -> DataFrame:
     parts = table(spark, d, "part").select("p_partkey", "p_name", (F.floor(F.col("p_partkey") / P.PAGE_ROWS) + 1).alias("page"))
     record = F.struct("p_partkey", "p_name")
     pages = parts.groupBy("page").agg(F.to_json(F.collect_list(record)).alias("value"))     # PAGE_ROWS records at most
-    pages.select("page", F.when(F.col("page") == P.EMPTY_PAGE, "[]").otherwise(F.col("value")).alias("value")) \
-        .repartition("page").write.partitionBy("page").text(base)
-    ddl, pattern = "p_partkey bigint, p_name string", "page=*/*.txt"
-    first = files.read_numbered_pages(spark, base, ddl, 1, pattern)
-    _, end = files.page_bounds(spark, base, 1, pattern)
-    second = files.read_numbered_pages(spark, base, ddl, end + 1, pattern)
+    value = F.when(F.col("page") == P.EMPTY_PAGE, "[]").otherwise(F.col("value")).alias("value")
+    out.write_pages(pages.select(_page_name(), value), base)
+    ddl = "p_partkey bigint, p_name string"
+    first = files.read_numbered_pages(spark, base, ddl, 1)
+    _, end = files.page_bounds(spark, base, 1)
+    second = files.read_numbered_pages(spark, base, ddl, end + 1)
     return first.withColumn("run", F.lit(1)).unionByName(second.withColumn("run", F.lit(2)))
 
 

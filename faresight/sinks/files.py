@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+from collections.abc import Iterator
+
+import pyarrow.fs as pafs
+from pyspark.sql import DataFrame, Row
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partitions: int | None = None,
@@ -47,6 +51,35 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool =
     df.write.mode(mode).option("header", header).csv(path)
 
 
+def _open_folder(path: str) -> tuple[pafs.FileSystem, str]:
+    """File system and path of a folder, which is made if it is missing."""
+    if "://" not in path and path.startswith("file:"):
+        path = "file://" + path[len("file:"):]
+    store, folder = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
+    store.create_dir(folder, recursive=True)
+    return store, folder.rstrip("/")
+
+
+def write_pages(pages: DataFrame, path: str, suffix: str = ".json") -> None:
+    """Land every row of ``name, value`` as the file ``<name><suffix>`` of one folder; names are unique.
+
+    Tasks write the files themselves, so a page costs one file, not a folder
+    that the driver commits and readers list.  A file gets its name when it is
+    whole; what a failed task leaves is hidden from readers.
+    """
+    _open_folder(path)
+
+    def land(rows: Iterator[Row]) -> None:
+        store, folder = _open_folder(path)
+        for name, value in rows:
+            hidden = f"{folder}/_{uuid.uuid4().hex}"
+            with store.open_output_stream(hidden, compression=None) as f:
+                f.write(value.encode("utf-8"))
+            store.move(hidden, f"{folder}/{name}{suffix}")
+
+    pages.select("name", "value").foreachPartition(land)
+
+
 def append_jdbc(df: DataFrame, url: str, table: str, batch_size: int = 100_000,
                 properties: dict | None = None) -> None:
     """Append to a database table over JDBC, ``batch_size`` rows per insert batch.

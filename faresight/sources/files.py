@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -74,13 +74,27 @@ def read_json(spark: SparkSession, path: str, schema: str | None = None, multili
     return r.json(path)
 
 
+def _pages(spark: SparkSession, pages_dir: str, pattern: str) -> tuple[DataFrameReader, str]:
+    """Reader and path of landed pages.
+
+    Pages in one folder are found by listing that folder; a glob would give
+    each file as a path of its own, which Spark lists again in a task each.
+    """
+    if "/" in pattern:
+        return spark.read, f"{pages_dir.rstrip('/')}/{pattern}"
+    return spark.read.option("pathGlobFilter", pattern), pages_dir
+
+
 def read_json_pages(spark: SparkSession, pages_dir: str, schema: str | None = None,
                     pattern: str = "*.json") -> DataFrame:
     """Numbered JSON pages landed as files (``page_1.json``, ...), each a
     top-level array of records.  All pages are read in parallel; an empty
     page (``[]``) contributes no rows, so "stop at the first empty page" is
     the same as reading every page that exists."""
-    return read_json(spark, f"{pages_dir.rstrip('/')}/{pattern}", schema=schema, multiline=True)
+    reader, path = _pages(spark, pages_dir, pattern)
+    if schema:
+        reader = reader.schema(schema)
+    return reader.option("multiLine", True).json(path)
 
 
 def _numbered(df: DataFrame, pattern: str) -> DataFrame:
@@ -92,16 +106,18 @@ def page_bounds(spark: SparkSession, pages_dir: str, start_page: int = 1, patter
                 number: str = r"page[_=](\d+)") -> tuple[int, int]:
     """``(start, end)`` of the pages to read: from ``start_page`` up to, not including, the first one that is empty or missing.
 
-    Pages are looked at in parallel, each as one text; two numbers come back.
+    Pages are looked at in parallel, once and each as one text; one number comes back.
     """
-    texts = _numbered(spark.read.option("wholetext", True).text(f"{pages_dir.rstrip('/')}/{pattern}"), number)
-    pages = (texts.filter(F.col("_page") >= start_page).groupBy("_page")
-             .agg(F.min(F.col("value").rlike(r"^\s*(\[\s*\])?\s*$")).alias("_empty")))
-    after = pages.select((F.col("_page") + 1).alias("_page"), F.lit(False).alias("_empty"))
-    missing = after.join(pages.select("_page"), "_page", "left_anti")
-    ends = missing.unionByName(pages.filter("_empty").select("_page", "_empty"))
-    first = pages.filter(F.col("_page") == start_page).isEmpty()
-    return start_page, start_page if first else ends.agg(F.min("_page")).first()[0]
+    reader, path = _pages(spark, pages_dir, pattern)
+    texts = _numbered(reader.option("wholetext", True).text(path), number).filter(F.col("_page") >= start_page)
+    empty = F.col("value").rlike(r"^\s*(\[\s*\])?\s*$")
+    # Each page marks itself and the next one; a page that nothing but the page before it marks is missing.
+    marks = texts.select(F.explode(F.array(
+        F.struct("_page", empty.alias("_empty")),
+        F.struct((F.col("_page") + 1).alias("_page"), F.lit(None).cast("boolean").alias("_empty")))).alias("m")).select("m.*")
+    first = spark.range(1).select(F.lit(start_page).cast("bigint").alias("_page"), F.lit(None).cast("boolean").alias("_empty"))
+    pages = marks.unionByName(first).groupBy("_page").agg(F.min("_empty").alias("_empty"))
+    return start_page, pages.filter(F.coalesce("_empty", F.lit(True))).agg(F.min("_page")).first()[0]
 
 
 def read_numbered_pages(spark: SparkSession, pages_dir: str, schema: str, start_page: int = 1, pattern: str = "*.json",
@@ -113,7 +129,7 @@ def read_numbered_pages(spark: SparkSession, pages_dir: str, schema: str, start_
     first page not read.  A page may be a file or a folder of files.
     """
     start, end = page_bounds(spark, pages_dir, start_page, pattern, number)
-    rows = _numbered(read_json(spark, f"{pages_dir.rstrip('/')}/{pattern}", schema=schema, multiline=True), number)
+    rows = _numbered(read_json_pages(spark, pages_dir, schema, pattern), number)
     return rows.filter((F.col("_page") >= start) & (F.col("_page") < end)).withColumnRenamed("_page", "page")
 
 

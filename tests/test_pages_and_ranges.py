@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from faresight.plans import io_queries, settings
 from faresight.session import scratch_path
+from faresight.sinks import files as sinks
 from faresight.sources import files
 from tests.conftest import SF_SMALL
 
@@ -36,6 +37,26 @@ def test_pages_end_at_the_first_empty_one(spark):
     assert _read(spark, base, 10) == [(10, 5)]
 
 
+def test_pages_are_listed_and_looked_at_in_few_tasks(spark):
+    base = scratch_path(spark, "t-pages")
+    # 120 pages, the 70th empty, and one without a number
+    value = F.when(F.col("id") == 70, "[]").otherwise(F.format_string('[{"id": %d}]', "id"))
+    name = F.when(F.col("id") > 0, F.concat(F.lit("page_"), F.col("id"))).otherwise("page_none")
+    sinks.write_pages(spark.range(121).select(name.alias("name"), value.alias("value")), base)
+    spark.sparkContext.setJobGroup("pages", "pages")
+    try:
+        assert files.page_bounds(spark, base) == (1, 70)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup("pages") for s in tracker.getJobInfo(j).stageIds}
+    tasks = [i.numTasks for i in map(tracker.getStageInfo, stages) if i]
+    assert tasks and max(tasks) < 100               # no task a page
+    assert _read(spark, base) == [(i, i) for i in range(1, 70)]
+    assert _read(spark, base, 71) == [(i, i) for i in range(71, 121)]
+    assert files.read_json_pages(spark, base, "id int").count() == 120
+
+
 @pytest.fixture()
 def url(spark):
     try:
