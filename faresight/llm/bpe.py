@@ -26,9 +26,9 @@ from __future__ import annotations
 import base64
 import hashlib
 from array import array
-from collections import ChainMap
 from collections.abc import Iterator
-from itertools import chain, islice
+from itertools import chain
+from struct import Struct
 
 import numpy as np
 import pyarrow as pa
@@ -36,11 +36,11 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-KEPT_PRETOKENS = 400_000
+KEPT_PRETOKENS = 1_000_000  # about 200 bytes each; half of them those last met
 KEPT_LENGTH = 64  # bytes; longer pre-tokens are encoded anew each time
 QUEUE_BYTES = 1 << 18  # new pre-tokens that share a queue (a longer one has its own)
 TEXT_CHARS = 1 << 20  # texts that are split together
-SHIFT = 24  # of a pair's first rank
+ID = Struct("=i")
 
 
 def parse_ranks(raw: bytes) -> dict[bytes, int]:
@@ -94,19 +94,31 @@ class Codec:
     """Encoder and decoder for one vocabulary and pre-token pattern."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.tokens = {rank: token for token, rank in ranks.items()}
-        self.decimals = {rank: str(rank) for rank in self.tokens}
+        tokens: list[bytes | None] = [None] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            tokens[rank] = token
+        self.tokens = pa.array(tokens, pa.large_binary())
+        self.decimals = pa.array([b"%d," % rank for rank in range(len(tokens))], pa.large_binary())
         self.whole = ranks
         self.byte_rank = [ranks[bytes([i])] for i in range(256)]
-        # rank of each pair of tokens that merge, by both tokens' ranks
-        self.pairs = {ranks[t[:i]] << SHIFT | ranks[t[i:]]: r for t, r in ranks.items()
-                      for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks}
+        # each token's halves that merge to it, and what it merges to with the token behind and before it
+        self.halves: dict[int, dict[int, int]] = {}
+        self.behind: dict[int, dict[int, int]] = {}
+        self.ahead: dict[int, dict[int, int]] = {}
+        for t, r in ranks.items():
+            for i in range(1, len(t)):
+                x, y = ranks.get(t[:i]), ranks.get(t[i:])
+                if x is not None and y is not None:
+                    self.halves.setdefault(r, {})[x] = y
+                    self.behind.setdefault(x, {})[y] = r
+                    self.ahead.setdefault(y, {})[x] = r
         self.byte_pairs = np.full(1 << 16, -1, dtype=np.int64)
         for t, r in ranks.items():
             if len(t) == 2:
                 self.byte_pairs[t[0] << 8 | t[1]] = r
         self.find = regex.compile(pattern).findall
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}  # ids as int32
+        self.older: dict[str, bytes] = {}  # met before; those met again move to ``known``
 
     def _queue(self, data: np.ndarray, last: np.ndarray) -> RankQueue:
         """Queue of the pairs of bytes that merge; ``last``: positions that end a pre-token."""
@@ -122,8 +134,8 @@ class Codec:
             queue.fill(int(rank[part[0]]), part.tolist())
         return queue
 
-    def encode_pretokens(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
-        """Ids of each pre-token (none of them empty).
+    def encode_pretokens(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of each pre-token (none of them empty), as int32.
 
         All pre-tokens share one queue: their linked lists do not touch, and
         the lowest rank of all is never above the lowest of any one of them.
@@ -139,77 +151,113 @@ class Codec:
         link[ends[:-1]] = -1
         before = array("i", link.tobytes())
         token = array("i", np.asarray(self.byte_rank, dtype=np.int32)[data].tobytes())
-        queue, merging = self._queue(data, ends - 1), self.pairs.get
+        queue, none = self._queue(data, ends - 1), {}
         push = queue.push
         while (entry := queue.lowest()) is not None:
             rank, bucket = entry
             lower = False
+            halves, behind, ahead = self.halves[rank], self.behind.get(rank, none), self.ahead.get(rank, none)
             while bucket and not lower:
                 i = bucket.pop()
                 j = after[i]
-                if j < 0 or token[i] < 0 or merging(token[i] << SHIFT | token[j]) != rank:
+                if j < 0 or halves.get(token[i]) != token[j]:
                     continue  # stale: one of the two has merged otherwise
                 token[i] = rank
                 token[j] = -1
                 k = after[i] = after[j]
                 if k >= 0:
                     before[k] = i
-                    if (new := merging(rank << SHIFT | token[k])) is not None:
+                    if (new := behind.get(token[k])) is not None:
                         push(new, i)
                         lower = new < rank
-                if (h := before[i]) >= 0 and (new := merging(token[h] << SHIFT | rank)) is not None:
+                if (h := before[i]) >= 0 and (new := ahead.get(token[h])) is not None:
                     push(new, h)
                     lower = lower or new < rank
         ids = np.frombuffer(token, dtype=np.int32)
         left = ids >= 0
-        bounds = np.cumsum(left)[ends - 1]
-        ids = ids[left].tolist()
-        return [tuple(ids[a:b]) for a, b in zip([0, *bounds[:-1].tolist()], bounds.tolist())]
-
-    def _learn(self, pretokens: set[str]) -> dict[str, tuple[int, ...]]:
-        """Ids of new pre-tokens, of which the short ones are kept; returns the others."""
-        if len(self.known) + len(pretokens) > KEPT_PRETOKENS:
-            for p in list(islice(self.known, len(self.known) // 2)):    # the older half
-                del self.known[p]
-        longer: dict[str, tuple[int, ...]] = {}
+        bounds = (ids.itemsize * np.cumsum(left)[ends - 1]).tolist()
+        raw = ids[left].tobytes()
+        return [raw[a:b] for a, b in zip([0, *bounds[:-1]], bounds)]
+
+    def _learn(self, pretokens: list[str]) -> dict[str, bytes]:
+        """Ids of pre-tokens not met before."""
+        learnt: dict[str, bytes] = {}
         group: list[str] = []
         raw: list[bytes] = []
         size = 0
         for p in chain(pretokens, (None,)):
             if p is None or size > QUEUE_BYTES:
                 for q, r, ids in zip(group, raw, self.encode_pretokens(raw) if raw else ()):
-                    (self.known if len(r) <= KEPT_LENGTH else longer)[q] = ids
+                    learnt[q] = ids
+                    if len(r) <= KEPT_LENGTH:
+                        self.known[q] = ids
                 group, raw, size = [], [], 0
             if p is not None:
                 b = p.encode("utf-8")
                 whole = self.whole.get(b)
                 if whole is not None:
-                    self.known[p] = (whole,)
+                    learnt[p] = self.known[p] = ID.pack(whole)
                 else:
                     group.append(p)
                     raw.append(b)
                     size += len(b)
-        return longer
+        return learnt
+
+    def _ids(self, pretokens: set[str]) -> dict[str, bytes]:
+        """Ids of each of these pre-tokens."""
+        if 2 * (len(self.known) + len(pretokens)) > KEPT_PRETOKENS:
+            self.known, self.older = {}, self.known
+        ids = dict(zip(pretokens, map(self.known.get, pretokens)))
+        new = [p for p, x in ids.items() if x is None]
+        if new and self.older:
+            again = {p: x for p, x in zip(new, map(self.older.get, new)) if x is not None}
+            self.known.update(again)
+            ids.update(again)
+            new = [p for p in new if p not in again]
+        if new:
+            ids.update(self._learn(new))
+        return ids
+
+    def encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another (int32), and where each text's begin and the last one's end."""
+        split = [self.find(t) for t in texts]
+        ids = self._ids(set(chain.from_iterable(split)))
+        raw = [b"".join(map(ids.__getitem__, pretokens)) for pretokens in split]
+        bounds = np.cumsum([0, *map(len, raw)]) // ID.size
+        return np.frombuffer(b"".join(raw), dtype=np.int32), bounds
 
     def encode_batch(self, texts: list[str]) -> list[list[int]]:
         """Ids of each text."""
-        split = [self.find(t) for t in texts]
-        found = [list(map(self.known.get, pretokens)) for pretokens in split]
-        new = {p for pretokens, ids in zip(split, found) if None in ids for p, x in zip(pretokens, ids) if x is None}
-        if new:
-            longer = self._learn(new)
-            lookup = ChainMap(self.known, longer) if longer else self.known
-            found = [[lookup[p] if x is None else x for p, x in zip(pretokens, ids)] if None in ids else ids
-                     for pretokens, ids in zip(split, found)]
-        return [list(chain.from_iterable(ids)) for ids in found]
+        flat, bounds = self.encode_flat(texts)
+        return [flat[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])]
 
     def encode(self, text: str) -> list[int]:
         """Ids of a text."""
         return self.encode_batch([text])[0]
 
+    def decode_flat(self, ids: np.ndarray, bounds: np.ndarray) -> list[memoryview]:
+        """Bytes of each of several sequences of ids, as ``encode_flat`` gives them."""
+        return _joined(self.tokens, ids, bounds)
+
     def decode(self, ids) -> bytes:
         """Bytes of a sequence of ids."""
-        return b"".join(map(self.tokens.__getitem__, ids))
+        return bytes(self.decode_flat(np.asarray(ids, dtype=np.int32), np.array([0, len(ids)]))[0])
+
+    def listed(self, ids: np.ndarray, bounds: np.ndarray) -> list[memoryview]:
+        """Decimal ids of each sequence, joined by commas."""
+        return [m[:-1] for m in _joined(self.decimals, ids, bounds)]
+
+
+def _joined(values: pa.Array, at: np.ndarray, bounds: np.ndarray) -> list[memoryview]:
+    """The values at each sequence of places, joined."""
+    taken = values.take(pa.array(at, pa.int32()))
+    if taken.null_count:
+        raise KeyError("an id that the vocabulary lacks")
+    if not len(at):
+        return [memoryview(b"")] * (len(bounds) - 1)
+    ends = np.frombuffer(taken.buffers()[1], dtype=np.int64)[bounds].tolist()
+    data = memoryview(taken.buffers()[2])
+    return [data[a:b] for a, b in zip(ends, ends[1:])]
 
 
 _CODECS: dict[tuple[bytes, str], Codec] = {}
@@ -252,8 +300,12 @@ def encode_documents(spark: SparkSession, docs: DataFrame, vocabulary: str, patt
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = worker_codec(raw.value, pattern)
         for batch in batches:
-            ids = [x for texts in text_groups(batch.column("_text")) for x in codec.encode_batch(texts)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+            begin = 0
+            for texts in text_groups(batch.column("_text")):
+                ids, bounds = codec.encode_flat(texts)
+                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(begin, len(texts)), lists], ["doc_id", "ids"])
+                begin += len(texts)
 
     return _texts(docs, doc_id, text).mapInArrow(rows, "doc_id long, ids array<int>")
 
@@ -280,10 +332,11 @@ def round_trip(spark: SparkSession, docs: DataFrame, vocabulary: str, pattern: s
         codec = worker_codec(raw.value, pattern)
         for batch in batches:
             counts, ids_digest, decoded_digest = [], [], []
-            for ids in (x for texts in text_groups(batch.column("_text")) for x in codec.encode_batch(texts)):
-                counts.append(len(ids))
-                ids_digest.append(hashlib.sha256(",".join(map(codec.decimals.__getitem__, ids)).encode("ascii")).hexdigest())
-                decoded_digest.append(hashlib.sha256(codec.decode(ids)).hexdigest())
+            for texts in text_groups(batch.column("_text")):
+                ids, bounds = codec.encode_flat(texts)
+                counts += np.diff(bounds).tolist()
+                ids_digest += [hashlib.sha256(m).hexdigest() for m in codec.listed(ids, bounds)]
+                decoded_digest += [hashlib.sha256(m).hexdigest() for m in codec.decode_flat(ids, bounds)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids_digest, pa.string()),
                  pa.array(decoded_digest, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])

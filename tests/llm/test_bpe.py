@@ -95,3 +95,15 @@ def test_kept_table_is_bounded(both, monkeypatch):
     for i in range(20):
         assert codec.encode(f"other{i}q zz{i}v") == both[1].encode_ordinary(f"other{i}q zz{i}v")
     assert len(codec.known) <= 60
+
+
+def test_pretokens_met_again_are_not_encoded_again(both, monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT_PRETOKENS", 40)
+    codec = bpe.Codec(both[0].whole, public_tokenizers.PATTERN)
+    encoded, encode = [], codec.encode_pretokens
+    monkeypatch.setattr(codec, "encode_pretokens", lambda raw: encoded.extend(raw) or encode(raw))
+    for i in range(30):
+        text = "hotq9wordz" + "".join(f" cold{chr(97 + i % 26)}{chr(97 + j)}zq{'x' * (i // 26)}" for j in range(5))
+        assert codec.encode(text) == both[1].encode_ordinary(text)
+    assert encoded.count(b"wordz") + encoded.count(b"hotq") <= 2
+    assert len(codec.known) + len(codec.older) <= 40
