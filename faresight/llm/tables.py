@@ -8,14 +8,24 @@ from pyspark.sql import functions as F
 from faresight.session import scratch_path
 
 
+# A query's shuffle files go as soon as it has ended, not when the driver next collects its garbage.
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet under the shared checkpoint folder and read back.
 
     This cuts the lineage at files that every executor sees, and gives the
     planner the table's true size when it chooses between join strategies.
+    The table is all that stays on disk: the shuffle files behind it are removed.
     """
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEAN_UP, None)
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEAN_UP) if before is None else spark.conf.set(_CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,11 +1,12 @@
 import itertools
 import random
+import time
 
 import numpy as np
 
 from faresight.llm import near_dedup as N
 from faresight.llm.registry import op5_near_dedup
-from faresight.llm.tables import connected_components
+from faresight.llm.tables import connected_components, materialise
 from tests.conftest import SF_SMALL
 from tests.llm.helpers import documents, shingles
 
@@ -191,3 +192,18 @@ def test_links_by_differences_from_the_common_set(spark, monkeypatch):
     want = brute(texts)
     assert {i: got.get(i, i) for i in texts} == {i: want[i][1] for i in texts}
     assert links.links.count() < 3 * len(texts)
+
+
+def test_shuffle_files_go_with_the_write_that_needed_them(spark):
+    def shuffled():
+        found = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return sum(found.apply(i).getName().startswith("shuffle_") for i in range(found.size()))
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = shuffled(), spark.conf.get(name)
+    table = materialise(spark, spark.range(5000).selectExpr("id % 700 as k", "id").groupBy("k").sum("id"), "sums")
+    deadline = time.time() + 20
+    while shuffled() > before and time.time() < deadline:
+        time.sleep(0.2)
+    assert shuffled() <= before and spark.conf.get(name) == was
+    assert table.count() == 700
