@@ -28,8 +28,8 @@ Documents are linked when the Jaccard similarity of their sets of distinct
    + u_y) / 14 elements of D at least. So an ordered prefix of each D is enough
    to meet (shingles outside C first, hardly ever held twice), and the members
    that share an element of their prefixes are compared: few ones as pairs,
-   many in blocks of bounded size, by signatures and then exactly within the
-   block, which returns a forest of true links, at most one row a member. So
+   many in blocks of bounded size, exactly, by counts of
+   common elements within the block, which returns a forest of true links, at most one row a member. So
    every pair that shares a band is compared, or its members are linked
    otherwise.
 
@@ -55,7 +55,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faresight.llm.tables import connected_components, materialise
+from faresight.llm.tables import connected_components, contracted, materialise
 from faresight.llm.text import GROUP_BYTES, Words, distinct_shingle_sets, groups, random_words
 
 THRESHOLD_PERCENT = 75
@@ -194,65 +194,57 @@ def _block_pairs(look: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     return pairs
 
 
-def _linked(diff_a: np.ndarray, u_a: int, diff_b: np.ndarray, u_b: int) -> bool:
-    """Whether two sets of a group reach the threshold, by their sorted differences from its common set."""
-    least = u_a + u_b  # 14 times the number of common elements at least
-    if least > 14 * min(len(diff_a), len(diff_b)):
-        return False
-    return 14 * len(np.intersect1d(diff_a, diff_b, assume_unique=True)) >= least
+def _block_links(pdf: pd.DataFrame) -> pd.DataFrame:
+    """A forest of the true links between a block of outside members and a span of all members.
 
-
-def _block_links(look: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """A forest of the true links between a block of outside members and a span of all members."""
-    def links(pdf: pd.DataFrame) -> pd.DataFrame:
-        found: list[tuple[int, int]] = []
-        side = pdf["side"].to_numpy()
-        if side.any() and not side.all():
-            sig, ids, u = _stack(pdf["sig"]), pdf["id"].to_numpy(), pdf["u"].to_numpy()
-            diffs = [np.sort(d) for d in pdf["diff"]]
-            # Rows of one component are one part already; parts are merged as links are found.
-            part = np.unique(pdf["comp"].to_numpy(), return_inverse=True)[1]
-            right = np.flatnonzero(~side)
-            for i in np.flatnonzero(side):
-                others = right[part[right] != part[i]]
-                if not len(others):
-                    continue
-                live, matches = bayes_survivors(np.broadcast_to(sig[i], (len(others), sig.shape[1])), sig[others], look)
-                for k in others[live[np.argsort(-matches, kind="stable")]]:
-                    if part[k] != part[i] and _linked(diffs[i], u[i], diffs[k], u[k]):
-                        found.append((min(ids[i], ids[k]), max(ids[i], ids[k])))
-                        part[part == part[k]] = part[i]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-
-    return links
-
-
-_MEMBER = "grp long, id long, n long, shingles array<long>, sig binary"
-_DIFFERENCE = "grp long, id long, n long, u long, diff array<long>, sig binary"
-
-
-def _members(plan: Banding) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Full sets and signatures of the texts of groups' members, one group of texts at a time."""
-    mult, add = random_words(plan.values, 101) | np.uint64(1), random_words(plan.values, 102)
-
-    def rows(batches):
-        for batch in batches:
-            for begin, encoded in groups(batch.column("text")):
-                values, bounds = Words(encoded).shingles()
-                at, sets, sigs = [], [], []
-                for i in range(len(encoded)):
-                    distinct = np.unique(values[bounds[i]:bounds[i + 1]])
-                    if len(distinct):
-                        low = np.array([(distinct * m + a).min() for m, a in zip(mult, add)], dtype=np.uint64)
-                        at.append(begin + i)
-                        sets.append(distinct.view(np.int64))
-                        sigs.append(((low ^ (low >> np.uint64(32))) & np.uint64(0xFFFF)).astype(np.uint16).tobytes())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("grp").take(pa.array(at, pa.int64())), batch.column("id").take(pa.array(at, pa.int64())),
-                     pa.array([len(x) for x in sets], pa.int64()), _lists(sets), pa.array(sigs, pa.binary())],
-                    ["grp", "id", "n", "shingles", "sig"])
-
-    return rows
+    A member's common elements with all members of the span are counted at
+    once, through the list of the members that hold each element.
+    """
+    found: list[tuple[int, int]] = []
+    side = pdf["side"].to_numpy()
+    if side.any() and not side.all():
+        ids, u, diffs = pdf["id"].to_numpy(), pdf["u"].to_numpy(), pdf["diff"].to_numpy()
+        # Rows of one component are one part already; parts are merged as links are found.
+        part = np.unique(pdf["comp"].to_numpy(), return_inverse=True)[1]
+        right = np.flatnonzero(~side)
+        sizes = np.array([len(diffs[k]) for k in right])
+        elements = np.concatenate([np.empty(0, np.int64), *(diffs[k] for k in right)])
+        order = np.argsort(elements, kind="stable")
+        elements, holders = elements[order], np.repeat(np.arange(len(right)), sizes)[order]
+        for i in np.flatnonzero(side):
+            if (part[right] == part[i]).all():
+                continue
+            first = np.searchsorted(elements, diffs[i], side="left")
+            count = np.searchsorted(elements, diffs[i], side="right") - first
+            at = np.arange(count.sum()) + np.repeat(first - np.cumsum(count) + count, count)
+            common = np.bincount(holders[at], minlength=len(right))
+            # 7 * |D_x ^ D_y| <= n_x + n_y
+            near = right[14 * common >= u[i] + u[right]]
+            for k in near[np.unique(part[near], return_index=True)[1]]:
+                if part[k] != part[i]:
+                    found.append((min(ids[i], ids[k]), max(ids[i], ids[k])))
+                    part[part == part[k]] = part[i]
+    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+
+_MEMBER = "grp long, id long, n long, shingles array<long>"
+_DIFFERENCE = "grp long, id long, n long, u long, diff array<long>"
+
+
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Full sets of the texts of groups' members, one group of texts at a time."""
+    for batch in batches:
+        for begin, encoded in groups(batch.column("text")):
+            values, bounds = Words(encoded).shingles()
+            at, sets = [], []
+            for i in range(len(encoded)):
+                distinct = np.unique(values[bounds[i]:bounds[i + 1]])
+                if len(distinct):
+                    at.append(begin + i)
+                    sets.append(distinct.view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("grp").take(pa.array(at, pa.int64())), batch.column("id").take(pa.array(at, pa.int64())),
+                 pa.array([len(x) for x in sets], pa.int64()), _lists(sets)], ["grp", "id", "n", "shingles"])
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -276,8 +268,8 @@ def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = batch.slice(begin, end - begin)
             u = 7 * np.array([len(d) for d in diffs], dtype=np.int64) - n[begin:end]
             yield pa.RecordBatch.from_arrays(
-                [part.column("grp"), part.column("id"), part.column("n"), pa.array(u), _lists(diffs), part.column("sig")],
-                ["grp", "id", "n", "u", "diff", "sig"])
+                [part.column("grp"), part.column("id"), part.column("n"), pa.array(u), _lists(diffs)],
+                ["grp", "id", "n", "u", "diff"])
             begin = end
 
 
@@ -295,27 +287,27 @@ class _Links:
         return df.join(c, df[column] == F.col("_i"), "left").select(
             *[df[x] for x in df.columns], F.coalesce("_c", df[column]).alias(name))
 
-    def verify(self, pairs: DataFrame) -> None:
-        """Prune candidate pairs, verify the survivors exactly and contract the links."""
+    def verify(self, pairs: DataFrame, certain: DataFrame | None = None) -> None:
+        """Prune candidate pairs, verify the survivors exactly and contract the links, with ``certain`` ones."""
         x, y = (self.signed.select(F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("sig").alias(f"sig_{s}"))
                 for s in "ab")
         sized = pairs.join(x, "a").join(y, "b").filter(
             100 * F.least("n_a", "n_b") >= THRESHOLD_PERCENT * F.greatest("n_a", "n_b"))
         self.confirm(sized.select("a", "b", "sig_a", "sig_b").mapInPandas(
-            _pruner(self.plan.look), "a long, b long, matches long"))
+            _pruner(self.plan.look), "a long, b long, matches long"), certain)
 
-    def confirm(self, survivors: DataFrame) -> None:
+    def confirm(self, survivors: DataFrame, certain: DataFrame | None = None) -> None:
         """Verify pairs exactly and contract the links."""
         texts = self.docs.select("doc_id", "text")
         x, y = (texts.select(F.col("doc_id").alias(s), F.col("text").alias(f"text_{s}")) for s in "ab")
         wanted = materialise(self.spark, survivors.select("a", "b"), "survivors")
         found = (wanted.join(y, "b").join(x, "a").select("a", "b", "text_a", "text_b")
                  .mapInPandas(_similar, "a long, b long"))
-        self.add(found)
+        self.add(found if certain is None else found.unionAll(certain))
 
     def add(self, found: DataFrame) -> None:
         self.links = materialise(self.spark, self.links.unionAll(found), "links")
-        self.components = materialise(self.spark, connected_components(self.spark, self.links), "components")
+        self.components = contracted(self.spark, self.links)  # a component's smallest id is not listed
 
 
 def _bands(signed: DataFrame, plan: Banding) -> DataFrame:
@@ -409,11 +401,11 @@ def _groups(links: _Links, still: DataFrame) -> DataFrame:
 
 
 def _group_differences(links: _Links, wanted: DataFrame) -> DataFrame:
-    """``grp, id, n, u, diff, sig`` of the members of groups (``id, grp``)."""
+    """``grp, id, n, u, diff`` of the members of groups (``id, grp``)."""
     spark = links.spark
     texts = links.docs.join(wanted, links.docs["doc_id"] == wanted["id"]).groupBy(
         "grp", "id", F.md5("text").alias("_t")).agg(F.min("text").alias("text"))  # rows that repeat a doc_id
-    members = materialise(spark, texts.select("grp", "id", "text").mapInArrow(_members(links.plan), _MEMBER), "members")
+    members = materialise(spark, texts.select("grp", "id", "text").mapInArrow(_members, _MEMBER), "members")
     # A group's size meets each of its shingles: dealt by SALTS parts of them, as a large group has many.
     sizes = members.groupBy("grp").agg(F.count("*").alias("_all")).withColumn(
         "_part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
@@ -451,11 +443,11 @@ def _by_differences(links: _Links, still: DataFrame) -> None:
     """Add every link between members of mixed buckets (``key, id``) that are not yet in one component."""
     wanted = _groups(links, still)
     parts = _mixed_buckets(links, _divided(links, wanted.select(F.col("grp").alias("key"), "id"), 1))
-    links.verify(_candidates(parts))
     diffs = _group_differences(links, wanted)
     nearest = diffs.groupBy("grp").agg(F.min(F.struct("u", "id")).alias("_m"))
-    links.add(diffs.join(nearest, "grp").filter((F.col("u") + F.col("_m.u") <= 0) & (F.col("id") != F.col("_m.id")))
-              .select(F.least("id", "_m.id").alias("a"), F.greatest("id", "_m.id").alias("b")))
+    certain = diffs.join(nearest, "grp").filter((F.col("u") + F.col("_m.u") <= 0) & (F.col("id") != F.col("_m.id"))).select(
+        F.least("id", "_m.id").alias("a"), F.greatest("id", "_m.id").alias("b"))
+    links.verify(_candidates(parts), certain)
     mixed = _prefix_buckets(links, diffs)
     links.verify(_candidates(mixed))
     large = mixed.filter(F.col("n") > SMALL_BUCKET).select("key", "grp", "id")
@@ -464,7 +456,7 @@ def _by_differences(links: _Links, still: DataFrame) -> None:
     held = materialise(links.spark, held.distinct().join(diffs, ["grp", "id"]).drop("grp", "n"), "blocks")
     if not held.isEmpty():
         links.add(_dealt(held, "size(diff)").groupBy("key", "block", "span").applyInPandas(
-            _block_links(links.plan.look), "a long, b long"))
+            _block_links, "a long, b long"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from faresight.session import scratch_path
@@ -29,38 +29,35 @@ def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _written(spark: SparkSession, edges: DataFrame) -> tuple[DataFrame, tuple]:
-    """Edges as a written table, and their number and hash sum (taken while writing)."""
-    seen = Observation()
-    watched = edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h"))
-    table = materialise(spark, watched, "components")
-    return table, (seen.get["n"], seen.get["h"])
-
-
-def connected_components(spark: SparkSession, links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """``id, component`` (smallest reachable id) of every id that occurs in ``links``.
+def contracted(spark: SparkSession, links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """``id, component`` (smallest reachable id) of every id in ``links`` that is not its component's smallest.
 
     Alternating star contraction: large-star hangs a node's larger neighbours
-    on its smallest neighbour, small-star the smaller ones, until nothing
-    changes (a number of rounds logarithmic in practice).  Only a minimum per
-    node is aggregated, so a node with very many links needs no task that
-    holds them all; each round is a written table.  Rows with a null end and
-    self-links add nothing; an empty table gives an empty result.
+    on its smallest neighbour, small-star the smaller ones, until a round moves
+    nothing (a number of rounds logarithmic in practice).  Either half is one
+    shuffle of the links by node and a window over each node's links, which
+    Spark spills if they are many; each round is a written table.  Rows with a
+    null end and self-links add nothing; an empty table gives an empty result.
     """
-    edges = (links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
-             .filter(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("u") > F.col("v"))).distinct())
-    edges, state = _written(spark, edges)
-    while state[0]:
+    edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter(
+        F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("u") > F.col("v")))
+    node = Window.partitionBy("u")
+    while True:
+        seen = Observation()
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u > v")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u")
-        small = (small.filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .unionAll(low.select("u", F.col("m").alias("v")))).distinct()
-        before = state
-        edges, state = _written(spark, small)
-        if before == state:
-            break
-    return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionAll(
-        edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
+        large = both.withColumn("m", F.least("u", F.min("v").over(node))).filter("v > u").select(
+            F.col("v").alias("u"), F.col("m").alias("v"), F.expr("m < u").alias("moved"))
+        small = large.select("u", "v", "moved", F.first("v").over(node.orderBy("v")).alias("m"),
+                             F.lag("v").over(node.orderBy("v")).alias("_before"))
+        small = small.observe(seen, F.count_if(F.expr("moved or v > m")).alias("n"))
+        # equal links of a node are neighbours here; one of them goes on
+        edges = materialise(spark, small.filter("_before is null or _before < v").select(
+            F.expr("if(v > m, v, u)").alias("u"), F.col("m").alias("v")), "components")
+        if not seen.get["n"]:
+            return edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
+
+
+def connected_components(spark: SparkSession, links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """``id, component`` (smallest reachable id) of every id that occurs in ``links``; see ``contracted``."""
+    found = contracted(spark, links, a, b)
+    return found.unionAll(found.select(F.col("component").alias("id"), "component").distinct())

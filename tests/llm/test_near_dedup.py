@@ -3,10 +3,11 @@ import random
 import time
 
 import numpy as np
+import pandas as pd
 
 from faresight.llm import near_dedup as N
 from faresight.llm.registry import op5_near_dedup
-from faresight.llm.tables import connected_components, materialise
+from faresight.llm.tables import connected_components, contracted, materialise
 from tests.conftest import SF_SMALL
 from tests.llm.helpers import documents, shingles
 
@@ -194,6 +195,21 @@ def test_links_by_differences_from_the_common_set(spark, monkeypatch):
     assert links.links.count() < 3 * len(texts)
 
 
+def test_a_contraction_shuffles_the_links_twice_a_round(spark, monkeypatch):
+    written = []
+
+    def counted(session, df, name):
+        written.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return materialise(session, df, name)
+
+    monkeypatch.setattr("faresight.llm.tables.materialise", counted)
+    links = spark.createDataFrame([(1, 1 + k) for k in range(1, 50)] + [(1, 2), (100, 101)], "a long, b long")
+    got = sorted(map(tuple, contracted(spark, links).collect()))
+    assert got == [(i, 1) for i in range(2, 51)] + [(101, 100)]  # the smallest ids are not listed, no id twice
+    assert len(written) == 1  # stars and pairs are seen in the round that finds them
+    assert written[0].count("Window ") <= 2 and "Join" not in written[0] and "Aggregate" not in written[0]
+
+
 def test_shuffle_files_go_with_the_write_that_needed_them(spark):
     def shuffled():
         found = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
@@ -207,3 +223,28 @@ def test_shuffle_files_go_with_the_write_that_needed_them(spark):
         time.sleep(0.2)
     assert shuffled() <= before and spark.conf.get(name) == was
     assert table.count() == 700
+
+
+def test_block_links_are_a_forest_of_all_true_links():
+    rng = np.random.default_rng(5)
+    common = np.arange(40)
+    diffs = [np.sort(np.concatenate([rng.choice(common, 30, replace=False), 1000 + rng.choice(60, 12, replace=False)]))
+             for _ in range(60)] + [np.empty(0, np.int64)]
+    sizes = rng.integers(60, 120, len(diffs))
+    u = np.array([7 * len(d) for d in diffs]) - sizes
+    rows = [{"id": i, "comp": i, "u": u[i], "diff": d} for i, d in enumerate(diffs)]
+    block = [{**r, "side": side} for side in (True, False) for r in rows if not side or r["id"] % 2]
+    found = N._block_links(pd.DataFrame(block))
+    true = {(a, b) for a, b in itertools.combinations(range(len(diffs)), 2) if (a % 2 or b % 2)
+            and 14 * len(np.intersect1d(diffs[a], diffs[b])) >= u[a] + u[b]}
+    got = set(zip(found["a"], found["b"]))
+    assert true and got <= true and len(got) < len(diffs)
+
+    def parts(pairs):
+        root = list(range(len(diffs)))
+        for _ in diffs:
+            for a, b in pairs:
+                root[a] = root[b] = min(root[a], root[b])
+        return root
+
+    assert parts(got) == parts(true)
