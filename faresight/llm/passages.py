@@ -26,8 +26,9 @@ Marked words next to each other, by sentences or seeds, form a run, and runs of
 that a smaller doc_id has is always found, wherever it was cut.
 
 The occurrence in the smallest doc_id always stays.  Repeats within one
-document are not removed.  Counting pre-aggregates, and the join that marks
-repeated paragraphs is a sort-merge join whose hot keys AQE can split.
+document are not removed.  Sentences and seeds are cut and shuffled once; of
+equal ones in a group of about a megabyte of texts only the first document's
+meet those of other groups.
 
 Cases: a null text stays null, an empty one empty; a text may become empty;
 rows that repeat a doc_id are one document, so they lose nothing to each
@@ -44,11 +45,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from faresight.llm.near_dedup import Banding, near_duplicates
+from faresight.llm.near_dedup import SALTS, Banding, near_duplicates
 from faresight.llm.tables import materialise
 from faresight.llm.text import Words, groups, mix64, random_words
 
@@ -145,15 +146,28 @@ def _repeat_rows(plan: PassagePlan):
                 some = np.flatnonzero(s.size >= plan.min_sentence_words)
                 seed, value = s.seeds()
                 of = s.words.text[seed]
+                h = np.concatenate([s.hash[some], value]).view(np.int64)
+                doc = ids.take(pa.array(begin + np.concatenate([s.text[some], of])))
+                later = _later(h, doc.to_numpy())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([s.hash[some], value]).view(np.int64)),
-                     ids.take(pa.array(begin + np.concatenate([s.text[some], of]))),
-                     pa.array(np.concatenate([s.number[some], -1 - (seed - s.words.first[of])]).astype(np.int32))],
-                    ["h", "doc_id", "place"])
+                    [pa.array(h), doc,
+                     pa.array(np.concatenate([s.number[some], -1 - (seed - s.words.first[of])]).astype(np.int32)),
+                     pa.array(np.where(later, 1 + doc.to_numpy() % SALTS, 0).astype(np.int32))],
+                    ["h", "doc_id", "place", "known"])
 
     return rows
 
 
+def _later(h: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Which rows have a row with an equal ``h`` and a smaller ``doc`` beside them."""
+    order = np.argsort(h, kind="stable")
+    first = np.flatnonzero(np.concatenate([[True], np.diff(h[order]) != 0])) if len(h) else order
+    least = np.minimum.reduceat(doc[order], first) if len(h) else doc
+    later = np.empty(len(h), dtype=bool)
+    later[order] = doc[order] > np.repeat(least, np.diff(np.concatenate([first, [len(h)]])))
+    return later
+
+
 def _line_rows(plan: PassagePlan):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -175,12 +189,14 @@ def repeated_parts(docs: DataFrame, plan: PassagePlan = PassagePlan()) -> DataFr
     """``doc_id, place`` of sentences and seeds that a smaller doc_id has too (``docs``: doc_id, text).
 
     A place from 0 is a sentence's number, a place below 0 the word -1 - place
-    at which a seed begins; rows that repeat a doc_id repeat its places.
+    at which a seed begins; rows that repeat a doc_id repeat its places.  Of the
+    equal parts of one group of texts only those of its smallest doc_id have to
+    meet the other groups' (``known`` is 0); the others are repeated for certain
+    and dealt apart, so a part that is everywhere does not meet in one task.
     """
-    rows = docs.filter("doc_id is not null").mapInArrow(_repeat_rows(plan), "h long, doc_id long, place int")
-    first = rows.groupBy("h").agg(F.min("doc_id").alias("_first"), F.max("doc_id").alias("_last")).filter(
-        "_first < _last").select("h", "_first")
-    return rows.join(first, "h").filter("doc_id > _first").select("doc_id", "place")
+    rows = docs.filter("doc_id is not null").mapInArrow(_repeat_rows(plan), "h long, doc_id long, place int, known int")
+    first = F.min("doc_id").over(Window.partitionBy("h", "known"))
+    return rows.withColumn("_first", first).filter("known > 0 or doc_id > _first").select("doc_id", "place")
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, plan: PassagePlan = PassagePlan()) -> DataFrame:

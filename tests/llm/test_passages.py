@@ -228,3 +228,23 @@ def test_parts_do_not_depend_on_the_texts_beside():
     for i, t in enumerate(texts):
         own = together.text == i
         assert together.hash[own].tolist() == P.Sentences([t]).hash.tolist(), i
+
+
+def test_parts_are_cut_and_shuffled_once_and_a_frequent_one_is_dealt_apart(spark):
+    common = "this very common sentence is in every text here."
+    texts = [(i, f"{common} words of text {i} alone make this sentence.") for i in range(300)]
+    docs = spark.createDataFrame([*texts, (7, common)], "doc_id long, text string").coalesce(1)
+    parts = P.repeated_parts(docs)
+    plan = parts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Join" not in plan and "Aggregate" not in plan
+    assert sorted(map(tuple, parts.collect())) == sorted([(i, 0) for i in range(1, 300)] + [(7, 0)])
+    rows = docs.mapInArrow(P._repeat_rows(P.PassagePlan()), "h long, doc_id long, place int, known int")
+    h = rows.groupBy("h").count().orderBy("count", ascending=False).first()["h"]
+    met = rows.filter(rows.h == h).groupBy("known").count().collect()
+    assert max(r["count"] for r in met) < 20 and sum(r["count"] for r in met) == 301
+
+
+def test_later_rows_are_those_after_a_smaller_document():
+    h, doc = np.array([5, 3, 5, 5, 9, 3]), np.array([4, 2, 2, 2, 1, 8])
+    assert P._later(h, doc).tolist() == [True, False, False, False, False, True]
+    assert P._later(h[:0], doc[:0]).tolist() == []
